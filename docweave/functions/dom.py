@@ -17,7 +17,7 @@ from xml.parsers import expat
 
 
 class _Frame:
-    __slots__ = ("path", "depth", "seen", "value", "run", "attrs", "name")
+    __slots__ = ("path", "depth", "seen", "value", "run", "attrs", "name", "seq_on")
 
     def __init__(self, name, path, depth, attrs):
         self.name = name
@@ -32,10 +32,11 @@ class _Frame:
 class _Collector:
     """Builds first-chain node rows from start/end/value events."""
 
-    def __init__(self):
+    def __init__(self, every_node: bool = False):
         self.stack: list[_Frame] = []
         self.rows: list[_Frame] = []
         self.root_seen = False
+        self.every_node = every_node   # outline mode: keep elements off the first chains too
 
     def start(self, name: str, attrs: dict) -> None:
         self._close_run()
@@ -49,9 +50,11 @@ class _Collector:
             path = None if self.root_seen else f"/{name}"
             self.root_seen = True
             depth = 1
-        f = _Frame(name, path, depth, attrs if path is not None else None)
+        keep = path is not None or self.every_node
+        f = _Frame(name, path, depth, attrs if keep else None)
+        f.seq_on = keep
         self.stack.append(f)
-        if path is not None:
+        if keep:
             self.rows.append(f)
 
     def end(self) -> None:
@@ -62,7 +65,7 @@ class _Collector:
         if not self.stack:
             return
         f = self.stack[-1]
-        if f.path is None:
+        if not f.seq_on:
             return
         if f.run is not None:
             f.run.append(data)
@@ -74,7 +77,7 @@ class _Collector:
         self._close_run()
         if self.stack:
             f = self.stack[-1]
-            if f.path is not None and f.value is None:
+            if f.seq_on and f.value is None:
                 f.value = data
 
     def boundary(self) -> None:
@@ -92,11 +95,15 @@ class _Collector:
         return [(f.path, f.name, f.depth, f.value, f.attrs or {}) for f in self.rows]
 
 
-def xml_nodes(body: str | None):
-    """Rows ``(path, name, depth, value, attrs)``; raises ``ValueError`` if malformed."""
+def xml_nodes(body: str | None, every_node: bool = False):
+    """Rows ``(path, name, depth, value, attrs)``; raises ``ValueError`` if malformed.
+
+    With ``every_node`` all elements are returned in document order (outline);
+    those off the first chains have ``path`` None.
+    """
     if body is None:
         raise ValueError("no document")
-    c = _Collector()
+    c = _Collector(every_node)
     p = expat.ParserCreate()
     p.buffer_text = True
     p.ordered_attributes = False
@@ -140,9 +147,9 @@ IMPLIED = {
 class _HtmlTree(HTMLParser):
     """Tolerant tree builder following the recovery rules in the README."""
 
-    def __init__(self):
+    def __init__(self, every_node: bool = False):
         super().__init__(convert_charrefs=True)
-        self.c = _Collector()
+        self.c = _Collector(every_node)
         self.open: list[str] = []        # names parallel to c.stack
         self.has_head = self.has_body = False
 
@@ -245,11 +252,11 @@ class _HtmlTree(HTMLParser):
     # comments, doctype and processing instructions are dropped
 
 
-def html_nodes(body: str | None):
+def html_nodes(body: str | None, every_node: bool = False):
     """Rows ``(path, name, depth, value, attrs)`` of the recovered HTML tree."""
     if body is None:
         raise ValueError("no document")
-    t = _HtmlTree()
+    t = _HtmlTree(every_node)
     t.feed(body)
     t.close()
     t._ensure_body()

@@ -140,22 +140,12 @@ def truth_vectors(docs: DataFrame, compiled: DataFrame, matches: DataFrame,
 
 # --- X12: row-wise evaluation ------------------------------------------------
 
-def doc_node_maps(nodes: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, nodes map<path, struct<text, attrs>>``.
-
-    A document's node list is bounded by the document itself (one row in, one
-    row out), so this group never grows with the table.
-    """
-    return (nodes.where(F.col("path").isNotNull())
-            .groupBy("doc_id")
-            .agg(F.map_from_entries(F.collect_list(F.struct(
-                "path", F.struct("text", "attrs")))).alias("nodes")))
-
-
 def match_rowwise(node_maps: DataFrame, compiled: DataFrame,
                   max_xpaths: int = 5_000) -> DataFrame:
     """Evaluate all expressions inside each document row, no join, no state.
 
+    ``node_maps`` comes from ``docnodes.doc_node_map`` (one row per document).
+
     The compiled expression set becomes one literal array (its size is counted
     first and must stay under ``max_xpaths``); each row keeps the expressions
     whose atoms all hold, so only matches leave the row.  Suited to streams.

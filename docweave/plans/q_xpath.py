@@ -112,8 +112,8 @@ UNION ALL SELECT o_orderkey, '/g:order/line/st', 3, f_st, '' FROM ox WHERE has_l
 UNION ALL SELECT o_orderkey, '/g:order/line/pk', 3, f_pk, '' FROM ox WHERE has_line""")
 def q_xml_nodes(spark, sf_dir):
     """First-chain node table of the order documents."""
-    o = dn.doc_outline(order_nodes(spark, sf_dir))
-    return o.select("doc_id", "path", "depth", F.col("value").alias("text"), "attrs")
+    n = dn.node_rows(order_nodes(spark, sf_dir))
+    return n.select("doc_id", "path", "depth", "text", dn.node_attrs_text(F.col("attrs")).alias("attrs"))
 
 
 @query("xpath_matrix", sql=f"""{MATCH_SQL},
@@ -137,7 +137,7 @@ def q_xpath_matrix(spark, sf_dir):
 @query("xpath_match_rowwise", sql=f"{MATCH_SQL}\nSELECT doc_id, xpath FROM m")
 def q_xpath_match_rowwise(spark, sf_dir):
     """The same answer as X4, evaluated inside each document row."""
-    maps = xm.doc_node_maps(order_nodes(spark, sf_dir))
+    maps = dn.doc_node_map(order_xml(spark, sf_dir), "id", "xml", "xml")
     return xm.match_rowwise(maps, xm.compile_xpaths(order_xpaths(spark)))
 
 
@@ -145,3 +145,25 @@ def q_xpath_match_rowwise(spark, sf_dir):
 def q_xpath_atoms(spark, sf_dir):
     """The atom table of the subscription set (rows-only check)."""
     return xm.atom_table(xm.compile_xpaths(order_subscriptions(spark)))
+
+
+@query("doc_outline", sql=f"""WITH ln AS (
+  SELECT l_orderkey, l_returnflag, l_linestatus, l_partkey,
+         row_number() OVER (PARTITION BY l_orderkey
+           ORDER BY l_linenumber, l_returnflag, l_linestatus, l_partkey) AS rn
+  FROM lineitem),
+o AS (SELECT o_orderkey, o_orderpriority, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS o_date
+      FROM orders)
+SELECT o_orderkey AS doc_id, 0 AS seq, 1 AS depth, '/g:order' AS path, 'g:order' AS name,
+       NULL::VARCHAR AS value, 'pri=' || o_orderpriority AS attrs FROM o
+UNION ALL SELECT o_orderkey, 1, 2, '/g:order/status', 'status', o_orderstatus, '' FROM o
+UNION ALL SELECT o_orderkey, 2, 2, '/g:order/date', 'date', o_date, '' FROM o
+UNION ALL SELECT l_orderkey, CAST(3 * rn AS INTEGER), 2, CASE WHEN rn = 1 THEN '/g:order/line' END,
+                 'line', NULL, 'flag=' || l_returnflag FROM ln
+UNION ALL SELECT l_orderkey, CAST(3 * rn + 1 AS INTEGER), 3, CASE WHEN rn = 1 THEN '/g:order/line/st' END,
+                 'st', l_linestatus, '' FROM ln
+UNION ALL SELECT l_orderkey, CAST(3 * rn + 2 AS INTEGER), 3, CASE WHEN rn = 1 THEN '/g:order/line/pk' END,
+                 'pk', CAST(l_partkey AS VARCHAR), '' FROM ln""")
+def q_doc_outline(spark, sf_dir):
+    """X11: full outline of every order document, document order."""
+    return dn.doc_outline(order_xml(spark, sf_dir), "id", "xml", "xml")
