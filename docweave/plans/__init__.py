@@ -4,3 +4,4 @@ from .registry import ORACLE, QUERIES  # noqa: F401
 from . import q_xpath  # noqa: F401  (registers queries)
 from . import q_web  # noqa: F401
 from . import q_html  # noqa: F401
+from . import q_channels  # noqa: F401

@@ -141,12 +141,6 @@ def q_xpath_match_rowwise(spark, sf_dir):
     return xm.match_rowwise(maps, xm.compile_xpaths(order_xpaths(spark)))
 
 
-@query("xpath_atoms")
-def q_xpath_atoms(spark, sf_dir):
-    """The atom table of the subscription set (rows-only check)."""
-    return xm.atom_table(xm.compile_xpaths(order_subscriptions(spark)))
-
-
 @query("doc_outline", sql=f"""WITH ln AS (
   SELECT l_orderkey, l_returnflag, l_linestatus, l_partkey,
          row_number() OVER (PARTITION BY l_orderkey
