@@ -116,7 +116,7 @@ def doc_outline(df: DataFrame, id_col: str = "doc_id", body_col: str = "body",
     return src.mapInArrow(lambda it: _outline_batches(it, kind), OUTLINE_SCHEMA)
 
 
-def _map_batches(batches, kind: str):
+def _map_batches(batches, kind: str, schema=_MAP_SCHEMA):
     for b in batches:
         ids = b.column(0).to_pylist()
         bodies = b.column(1).to_pylist()
@@ -131,19 +131,25 @@ def _map_batches(batches, kind: str):
             except Exception as e:  # malformed input
                 maps.append([])
                 errs.append(f"{type(e).__name__}: {e}")
+        extra = [b.column(i) for i in range(2, b.num_columns)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, type=pa.int64()), pa.array(maps, type=_MAP_TYPE),
-             pa.array(errs, type=pa.string())], schema=_MAP_SCHEMA)
+             pa.array(errs, type=pa.string())] + extra,
+            schema=pa.schema(list(_MAP_SCHEMA) + [b.schema.field(i) for i in range(2, b.num_columns)]))
 
 
 def doc_node_map(df: DataFrame, id_col: str = "doc_id", body_col: str = "body",
-                 kind: str = "xml") -> DataFrame:
-    """One row per document: ``doc_id, nodes map<path, struct<text, attrs>>, error``.
+                 kind: str = "xml", carry=()) -> DataFrame:
+    """One row per document: ``doc_id, nodes map<path, struct<text, attrs>>, error``
+    (+ ``carry`` columns passed through unchanged).
 
     Built inside the parsing task: no shuffle, one row in, one row out.
     """
-    src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(body_col).alias("body"))
-    return src.mapInArrow(lambda it: _map_batches(it, kind), NODE_MAP_SCHEMA)
+    src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(body_col).alias("body"),
+                    *carry)
+    schema = NODE_MAP_SCHEMA + "".join(
+        f", {c} {df.schema[c].dataType.simpleString()}" for c in carry)
+    return src.mapInArrow(lambda it: _map_batches(it, kind), schema)
 
 
 def node_attrs_text(attrs: F.Column) -> F.Column:

@@ -140,29 +140,21 @@ def truth_vectors(docs: DataFrame, compiled: DataFrame, matches: DataFrame,
 
 # --- X12: row-wise evaluation ------------------------------------------------
 
-def match_rowwise(node_maps: DataFrame, compiled: DataFrame,
-                  max_xpaths: int = 5_000) -> DataFrame:
-    """Evaluate all expressions inside each document row, no join, no state.
-
-    ``node_maps`` comes from ``docnodes.doc_node_map`` (one row per document).
-
-    The compiled expression set becomes one literal array (its size is counted
-    first and must stay under ``max_xpaths``); each row keeps the expressions
-    whose atoms all hold, so only matches leave the row.  Suited to streams.
-    """
+def _matched_xpaths(compiled: DataFrame, max_xpaths: int):
+    """Column: array of expressions whose atoms all hold in ``nodes`` (or None)."""
     exprs = compiled.where("valid").select("xpath", "atoms")
     if exprs.count() > max_xpaths:
         raise ValueError("too many expressions for row-wise matching; use match_nodes")
     rows = exprs.collect()
+    if not rows:
+        return None
     lit_arr = F.array(*[
         F.struct(F.lit(r["xpath"]).alias("xpath"),
                  F.array(*[F.struct(F.lit(a["path"]).alias("path"), F.lit(a["kind"]).alias("kind"),
                                     F.lit(a["attr"]).cast("string").alias("attr"),
                                     F.lit(a["lit"]).cast("string").alias("lit"))
                            for a in r["atoms"]]).alias("atoms"))
-        for r in rows]) if rows else None
-    if lit_arr is None:
-        return node_maps.select("doc_id", F.lit(None).cast("string").alias("xpath")).limit(0)
+        for r in rows])
 
     def holds(a):
         node = F.try_element_at(F.col("nodes"), a["path"])
@@ -174,5 +166,43 @@ def match_rowwise(node_maps: DataFrame, compiled: DataFrame,
                                       F.lit(False))))
 
     matched = F.filter(lit_arr, lambda x: F.forall(x["atoms"], holds))
-    return (node_maps.select("doc_id", F.explode(F.transform(matched, lambda x: x["xpath"]))
-                             .alias("xpath")))
+    return F.transform(matched, lambda x: x["xpath"])
+
+
+def match_rowwise(node_maps: DataFrame, compiled: DataFrame,
+                  max_xpaths: int = 5_000) -> DataFrame:
+    """Evaluate all expressions inside each document row, no join, no state.
+
+    ``node_maps`` comes from ``docnodes.doc_node_map`` (one row per document).
+    The compiled expression set becomes one literal array (its size is counted
+    first and must stay under ``max_xpaths``); each row keeps the expressions
+    whose atoms all hold, so only matches leave the row.  Suited to streams.
+    """
+    arr = _matched_xpaths(compiled, max_xpaths)
+    if arr is None:
+        return node_maps.select("doc_id", F.lit(None).cast("string").alias("xpath")).limit(0)
+    return node_maps.select("doc_id", F.explode(arr).alias("xpath"))
+
+
+def channels_rowwise(node_maps: DataFrame, compiled: DataFrame, subs: DataFrame,
+                     max_xpaths: int = 5_000, max_subs: int = 100_000, keep=()) -> DataFrame:
+    """X12 + J3: ``(doc_id, channel)`` straight from each document row.
+
+    Each document's matched expressions are mapped to their channels inside
+    the row (the subscription table travels as a literal map after its size
+    is counted) and de-duplicated there, so a stream needs no state to credit
+    a document once per channel.
+    """
+    if subs.count() > max_subs:
+        raise ValueError("subscription table too large for row-wise fan-out; use fan_out")
+    pairs: dict[str, list[str]] = {}
+    for r in subs.select("xpath", "channel").distinct().collect():
+        pairs.setdefault(r["xpath"], []).append(r["channel"])
+    used = compiled.where(F.col("xpath").isin(list(pairs))) if pairs else compiled.limit(0)
+    arr = _matched_xpaths(used, max_xpaths)
+    if arr is None:
+        return node_maps.select("doc_id", *keep, F.lit(None).cast("string").alias("channel")).limit(0)
+    cmap = F.create_map(*[x for xp, chs in sorted(pairs.items())
+                          for x in (F.lit(xp), F.array(*[F.lit(c) for c in sorted(chs)]))])
+    chans = F.array_distinct(F.flatten(F.transform(arr, lambda x: F.element_at(cmap, x))))
+    return node_maps.select("doc_id", *keep, F.explode(chans).alias("channel"))

@@ -6,3 +6,4 @@ from . import q_web  # noqa: F401
 from . import q_html  # noqa: F401
 from . import q_channels  # noqa: F401
 from . import q_crawl  # noqa: F401
+from . import q_stream  # noqa: F401

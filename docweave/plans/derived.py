@@ -22,6 +22,11 @@ def _x(col) -> F.Column:
 
 
 def order_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, xml)``: one document per order (see ``order_xml_from``)."""
+    return order_xml_from(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
+
+
+def order_xml_from(orders: DataFrame, lineitem: DataFrame, keep=()) -> DataFrame:
     """``(id, xml)``: one document per order.
 
     ``<g:order pri=P><status>S</status><date>yyyy-MM-dd</date>``
@@ -31,7 +36,7 @@ def order_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded by the document it builds; lines are pre-rendered before the
     shuffle so only short strings move.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = lineitem.select(
         "l_orderkey",
         F.struct("l_linenumber", "l_returnflag", "l_linestatus", "l_partkey",
                  F.concat(F.lit('<line flag="'), _x("l_returnflag"), F.lit('"><st>'),
@@ -41,8 +46,7 @@ def order_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = (li.groupBy("l_orderkey")
              .agg(F.array_join(F.transform(F.array_sort(F.collect_list("ln")),
                                            lambda s: s["x"]), "").alias("lines")))
-    o = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderpriority", "o_orderstatus", "o_orderdate")
+    o = orders.select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_orderdate", *keep)
     return (o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
             .select(F.col("o_orderkey").alias("id"),
                     F.concat(F.lit('<g:order pri="'), _x("o_orderpriority"),
@@ -50,7 +54,7 @@ def order_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.lit("</status><date>"),
                              F.date_format("o_orderdate", "yyyy-MM-dd"),
                              F.lit("</date>"), F.coalesce("lines", F.lit("")),
-                             F.lit("</g:order>")).alias("xml")))
+                             F.lit("</g:order>")).alias("xml"), *keep))
 
 
 # --- S1: responses synthesised from pages -------------------------------------
@@ -77,8 +81,12 @@ def _case(key: F.Column, table: dict, default):
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(page_id, url, fetched_at, status_line, header_block, body)`` from ``pages``."""
+    return responses_from(read_table(spark, sf_dir, "pages"))
+
+
+def responses_from(p: DataFrame) -> DataFrame:
+    """Synthetic responses for a (batch or streaming) ``pages`` DataFrame."""
     from ..functions.urls import url_parts
-    p = read_table(spark, sf_dir, "pages")
     n = F.col("page_id")
     host = url_parts(F.col("url"))["host"]
     modified = F.timestamp_add("HOUR", n, F.lit(BASE_MODIFIED).cast("timestamp"))
