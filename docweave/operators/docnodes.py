@@ -17,20 +17,37 @@ from ..functions.dom import html_nodes, xml_nodes
 
 NODE_SCHEMA = ("doc_id long, path string, name string, depth int, text string, "
                "attrs map<string,string>")
+HITS_SCHEMA = NODE_SCHEMA + ", hits array<string>"
 
 _ARROW_SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("path", pa.string()), ("name", pa.string()),
     ("depth", pa.int32()), ("text", pa.string()),
     ("attrs", pa.map_(pa.string(), pa.string())),
 ])
+_HITS_ARROW_SCHEMA = _ARROW_SCHEMA.append(pa.field("hits", pa.list_(pa.string())))
 
 
-def _parse_batches(batches, default_kind: str):
+def _automata(literals):
+    """path -> Aho-Corasick automaton over that path's substring literals."""
+    import ahocorasick
+    out = {}
+    for path, lit in literals:
+        a = out.get(path)
+        if a is None:
+            a = out[path] = ahocorasick.Automaton()
+        a.add_word(lit, lit)
+    for a in out.values():
+        a.make_automaton()
+    return out
+
+
+def _parse_batches(batches, default_kind: str, literals=None):
+    auto = _automata(literals) if literals is not None else None
     for b in batches:
         ids = b.column(0).to_pylist()
         bodies = b.column(1).to_pylist()
         kinds = b.column(2).to_pylist() if b.num_columns > 2 else [default_kind] * len(ids)
-        cols = ([], [], [], [], [], [])
+        cols = ([], [], [], [], [], [], [])
         for doc_id, body, kind in zip(ids, bodies, kinds):
             parse = html_nodes if kind == "html" else xml_nodes
             try:
@@ -41,22 +58,49 @@ def _parse_batches(batches, default_kind: str):
                 cols[0].append(doc_id); cols[1].append(path); cols[2].append(name)
                 cols[3].append(depth); cols[4].append(text)
                 cols[5].append(list(attrs.items()))
+                if auto is not None:
+                    a = auto.get(path)
+                    cols[6].append(sorted({lit for _, lit in a.iter(text)})
+                                   if a is not None and text else None)
+        schema = _HITS_ARROW_SCHEMA if auto is not None else _ARROW_SCHEMA
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, type=t) for c, t in zip(cols, _ARROW_SCHEMA.types)],
-            schema=_ARROW_SCHEMA)
+            [pa.array(c, type=t) for c, t in zip(cols, schema.types)], schema=schema)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin documents over at least ``min_partitions`` tasks (default: the
+    cluster's default parallelism) when the input is coarser than that.
+
+    Parsing is CPU-heavy per byte, so a one-file input must not leave one task
+    doing all of it.  Large inputs already have more splits than cores and are
+    left as they are (no extra shuffle).
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
 
 
 def doc_nodes(df: DataFrame, id_col: str = "doc_id", body_col: str = "body",
-              kind: str = "xml", kind_col: str | None = None) -> DataFrame:
+              kind: str = "xml", kind_col: str | None = None,
+              contains_literals: list[tuple[str, str]] | None = None) -> DataFrame:
     """Node table ``(doc_id, path, name, depth, text, attrs)``.
 
     ``kind`` is ``"xml"`` or ``"html"``; with ``kind_col`` the per-row value
     (``html`` -> HTML parser, anything else -> XML parser) decides.
+
+    With ``contains_literals`` (``(path, literal)`` pairs, a bounded list) each
+    node also gets ``hits``: the literals of its path found in its text, by one
+    Aho-Corasick pass over the text in the parsing task.
     """
     cols = [F.col(id_col).cast("long").alias("doc_id"), F.col(body_col).alias("body")]
     if kind_col is not None:
         cols.append(F.col(kind_col).alias("kind"))
-    return df.select(*cols).mapInArrow(lambda it: _parse_batches(it, kind), NODE_SCHEMA)
+    if contains_literals is not None:
+        lits = sorted(set(contains_literals))
+        return spread(df.select(*cols)).mapInArrow(
+            lambda it: _parse_batches(it, kind, lits), HITS_SCHEMA)
+    return spread(df.select(*cols)).mapInArrow(lambda it: _parse_batches(it, kind), NODE_SCHEMA)
 
 
 def node_rows(nodes: DataFrame) -> DataFrame:
@@ -113,7 +157,7 @@ def doc_outline(df: DataFrame, id_col: str = "doc_id", body_col: str = "body",
     their name); ``attrs`` is ``k=v`` pairs in key order.
     """
     src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(body_col).alias("body"))
-    return src.mapInArrow(lambda it: _outline_batches(it, kind), OUTLINE_SCHEMA)
+    return spread(src).mapInArrow(lambda it: _outline_batches(it, kind), OUTLINE_SCHEMA)
 
 
 def _map_batches(batches, kind: str, schema=_MAP_SCHEMA):
@@ -149,6 +193,8 @@ def doc_node_map(df: DataFrame, id_col: str = "doc_id", body_col: str = "body",
                     *carry)
     schema = NODE_MAP_SCHEMA + "".join(
         f", {c} {df.schema[c].dataType.simpleString()}" for c in carry)
+    if not df.isStreaming:
+        src = spread(src)
     return src.mapInArrow(lambda it: _map_batches(it, kind), schema)
 
 

@@ -35,6 +35,7 @@ COMPILED_TYPE = T.StructType([
 
 DEFAULT_MAX_BROADCAST_ATOMS = 200_000
 DEFAULT_SALTS = 32
+DEFAULT_MAX_LITERALS = 200_000
 
 
 @F.pandas_udf(COMPILED_TYPE)
@@ -70,13 +71,56 @@ def atom_table(compiled: DataFrame) -> DataFrame:
                     "a.path", "a.kind", "a.attr", "a.lit"))
 
 
-def _atom_holds(text: F.Column, attrs: F.Column) -> F.Column:
-    kind = F.col("kind")
-    return (F.when(kind == "exists", F.lit(True))
-            .when(kind == "text", text == F.col("lit"))
-            .when(kind == "contains", F.contains(text, F.col("lit")))
-            .when(kind == "attr", F.try_element_at(attrs, F.col("attr")) == F.col("lit"))
-            .otherwise(F.lit(False)))
+# Atom kinds become join keys: an exact atom (exists / text / attr) matches a
+# node *fact* with the same (path, kind, key); a substring atom matches every
+# text fact of its path with key "*" and keeps a residual ``contains``.
+_SEP = "\u0000"
+
+
+def node_facts(nodes: DataFrame) -> DataFrame:
+    """``(doc_id, path, kind, key, text)``: one fact per node (exists), per text
+    (exact text and a substring candidate) and per attribute.  One generator
+    over the node table: the parse runs once."""
+    nd = nodes.where(F.col("path").isNotNull())
+    pre = "hits" in nodes.columns   # substring hits already found while parsing
+    e = F.array(F.struct(F.lit("e").alias("kind"), F.lit("").alias("key"),
+                         F.lit(None).cast("string").alias("text")))
+    empty = F.array().cast("array<struct<kind:string,key:string,text:string>>")
+    t_fact = F.struct(F.lit("t").alias("kind"), F.col("text").alias("key"),
+                      F.lit(None).cast("string").alias("text"))
+    if pre:
+        t = F.when(F.col("text").isNotNull(), F.array(t_fact)).otherwise(empty)
+        c = F.transform(F.coalesce(F.col("hits"), F.array().cast("array<string>")),
+                        lambda h: F.struct(F.lit("c").alias("kind"), h.alias("key"),
+                                           F.lit(None).cast("string").alias("text")))
+        t = F.concat(t, c)
+    else:
+        t = F.when(F.col("text").isNotNull(), F.array(
+            t_fact,
+            F.struct(F.lit("c").alias("kind"), F.lit("*").alias("key"), F.col("text").alias("text")))
+        ).otherwise(empty)
+    a = F.transform(F.map_entries("attrs"), lambda x: F.struct(
+        F.lit("a").alias("kind"), F.concat(x["key"], F.lit(_SEP), x["value"]).alias("key"),
+        F.lit(None).cast("string").alias("text")))
+    return nd.select("doc_id", "path", F.explode(F.concat(e, t, a)).alias("f")).select(
+        "doc_id", "path", "f.kind", "f.key", "f.text")
+
+
+def atom_keys(atoms: DataFrame, prefound: bool = False) -> DataFrame:
+    """``(xpath, n_atoms, path, kind, key, lit)`` with the join key of each atom.
+
+    With ``prefound`` substring atoms are keyed by their literal (the facts
+    carry literals already found in the text); otherwise by ``*`` with the
+    literal kept for the residual ``contains``."""
+    k = F.col("kind")
+    return atoms.select(
+        "xpath", "n_atoms", "path",
+        F.when(k == "exists", "e").when(k == "text", "t").when(k == "attr", "a")
+         .otherwise("c").alias("kind"),
+        F.when(k == "exists", F.lit("")).when(k == "text", F.col("lit"))
+         .when(k == "attr", F.concat(F.col("attr"), F.lit(_SEP), F.col("lit")))
+         .otherwise(F.col("lit") if prefound else F.lit("*")).alias("key"),
+        F.when((k == "contains") & F.lit(not prefound), F.col("lit")).alias("lit"))
 
 
 def match_nodes(nodes: DataFrame, atoms: DataFrame,
@@ -85,19 +129,24 @@ def match_nodes(nodes: DataFrame, atoms: DataFrame,
     """``(doc_id, xpath)`` for every document that satisfies every atom.
 
     ``nodes`` is a node table (``doc_nodes``); ``atoms`` is ``atom_table``.
+    Facts and atoms meet in one equi-join on ``(path, kind, key)``: exact atoms
+    only produce rows that hold; substring atoms produce one candidate per text
+    of their path and are filtered by ``contains``.
     """
-    nd = nodes.where(F.col("path").isNotNull()).select(
-        "doc_id", "path", F.col("text").alias("n_text"), F.col("attrs").alias("n_attrs"))
-    at = atoms.select("xpath", "n_atoms", "atom", "path", "kind", "attr", "lit")
+    facts = node_facts(nodes)
+    prefound = "hits" in nodes.columns
+    at = atom_keys(atoms, prefound)
     if n_atoms is None:
         n_atoms = at.count()
+    keys = ["path", "kind", "key"]
     if n_atoms <= max_broadcast_atoms:
-        joined = nd.join(F.broadcast(at), "path")
+        joined = facts.join(F.broadcast(at), keys)
     else:
-        nd = nd.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
+        facts = facts.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
         at = at.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = nd.join(at, ["path", "salt"])
-    hits = joined.where(_atom_holds(F.col("n_text"), F.col("n_attrs")))
+        joined = facts.join(at, keys + ["salt"])
+    hits = joined if prefound else joined.where(
+        (F.col("kind") != "c") | F.contains(F.col("text"), F.col("lit")))
     return (hits.groupBy("doc_id", "xpath", "n_atoms")
             .agg(F.count(F.lit(1)).alias("n_hit"))
             .where(F.col("n_hit") == F.col("n_atoms"))
@@ -108,9 +157,32 @@ def match_documents(docs: DataFrame, xpaths: DataFrame, id_col: str = "doc_id",
                     body_col: str = "body", kind: str = "xml",
                     xpath_col: str = "xpath", **kw) -> DataFrame:
     """Parse + compile + match in one plan: ``(doc_id, xpath)``."""
+    atoms = atom_table(compile_xpaths(xpaths, xpath_col))
+    return match_nodes(nodes_for(docs, atoms, id_col, body_col, kind), atoms, **kw)
+
+
+def contains_literals(atoms: DataFrame, max_literals: int = DEFAULT_MAX_LITERALS):
+    """Distinct ``(path, literal)`` of the substring atoms, or None when there
+    are more than ``max_literals`` (then the join-side residual is used)."""
+    lits = atoms.where(F.col("kind") == "contains").select("path", "lit").distinct()
+    if lits.count() > max_literals:
+        return None
+    return [(r["path"], r["lit"]) for r in lits.collect()]
+
+
+def nodes_for(docs: DataFrame, atoms: DataFrame, id_col: str = "doc_id", body_col: str = "body",
+              kind: str = "xml", max_literals: int = DEFAULT_MAX_LITERALS) -> DataFrame:
+    """Parse documents for matching against ``atoms``: substring literals are
+    searched while parsing (Aho-Corasick) when pyahocorasick is installed and
+    the literal set is within ``max_literals``."""
     from .docnodes import doc_nodes
-    nodes = doc_nodes(docs, id_col, body_col, kind)
-    return match_nodes(nodes, atom_table(compile_xpaths(xpaths, xpath_col)), **kw)
+    lits = None
+    try:
+        import ahocorasick  # noqa: F401
+        lits = contains_literals(atoms, max_literals)
+    except ImportError:
+        pass
+    return doc_nodes(docs, id_col, body_col, kind, contains_literals=lits)
 
 
 def truth_vectors(docs: DataFrame, compiled: DataFrame, matches: DataFrame,

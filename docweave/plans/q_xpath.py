@@ -52,7 +52,7 @@ def order_nodes(spark, sf_dir):
 def order_matches(spark, sf_dir, xpaths=None):
     xpaths = order_xpaths(spark) if xpaths is None else xpaths
     atoms = xm.atom_table(xm.compile_xpaths(xpaths))
-    return xm.match_nodes(order_nodes(spark, sf_dir), atoms)
+    return xm.match_nodes(xm.nodes_for(order_xml(spark, sf_dir), atoms, "id", "xml"), atoms)
 
 
 def _only(kind_pred):
@@ -130,7 +130,7 @@ def q_xpath_matrix(spark, sf_dir):
     xpaths = order_xpaths(spark)
     compiled = xm.compile_xpaths(xpaths)
     docs = order_xml(spark, sf_dir).select(F.col("id").alias("doc_id"))
-    matches = xm.match_nodes(order_nodes(spark, sf_dir), xm.atom_table(compiled))
+    matches = order_matches(spark, sf_dir, xpaths)
     return xm.truth_vectors(docs, compiled, matches)
 
 
