@@ -68,15 +68,24 @@ def _parse_batches(batches, default_kind: str, literals=None):
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin documents over at least ``min_partitions`` tasks (default: the
-    cluster's default parallelism) when the input is coarser than that.
+    """Round-robin small inputs over at least ``min_partitions`` tasks (default:
+    the cluster's default parallelism) before CPU-heavy parsing.
 
-    Parsing is CPU-heavy per byte, so a one-file input must not leave one task
-    doing all of it.  Large inputs already have more splits than cores and are
-    left as they are (no extra shuffle).
+    Decided from the scanned bytes (sum of the plan's leaf sizes), without
+    running anything: an input smaller than one file split per core may arrive
+    as a single partition, and moving it is cheap; a larger input already
+    arrives in many splits and is left alone (no extra shuffle of documents).
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 << 20)).rstrip("b"))
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
+        est = sum(v if isinstance(v, int) else int(v.toString()) for v in sizes)
+    except Exception:  # estimate unavailable: leave the partitioning alone
+        return df
+    if est < split * want:
         return df.repartition(want)
     return df
 

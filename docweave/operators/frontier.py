@@ -14,6 +14,7 @@ without any single-partition window.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +49,11 @@ def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int,
     if checkpoint:
         level = level.checkpoint()
     visited = level
-    edges = links.select("src", "dst", "pos")
+    # the edge table is read once per level: hash-partition it by ``src`` once and
+    # keep it (memory, spilling to disk) so each level shuffles only the frontier
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges = links.select("src", "dst", "pos").repartition(n_parts, "src").persist(
+        StorageLevel.MEMORY_AND_DISK)
     for d in range(1, max_depth + 1):
         cand = (level.select(F.col("url").alias("src"), F.col("order_key").alias("pkey"))
                 .join(edges, "src")
@@ -66,6 +71,7 @@ def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int,
         visited = visited.unionByName(level)
         if checkpoint:
             visited = visited.checkpoint()
+    edges.unpersist()
     return visited
 
 

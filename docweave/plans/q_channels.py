@@ -81,6 +81,12 @@ class ChannelState:
         self.deletions = ch.delete_channels(self.channels, dels)
         self.live = ch.live_channels(self.channels, self.deletions)
         self.live_subs = ch.purge_subscriptions(self.subs, self.live)
+        # small tables read by several size checks and joins: keep them once
+        # (cache is safe under executor loss: lost blocks are recomputed)
+        self.channels = self.channels.cache()
+        self.subs = self.subs.cache()
+        self.live = self.live.cache()
+        self.live_subs = self.live_subs.cache()
 
 
 def _matches(spark, sf_dir, subs):
