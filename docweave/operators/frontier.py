@@ -25,13 +25,45 @@ def _pos_key(pos: Column) -> Column:
     return F.lpad(pos.cast("string"), POS_WIDTH, "0")
 
 
+REDIRECT_MARK = "!"   # sorts after a key and before any longer sibling key
+
+
+def _follow_redirects(level: DataFrame, redirects: DataFrame, visited: DataFrame, vk,
+                      max_hops: int) -> DataFrame:
+    """F3 -> I1: a redirect target is queued in front, i.e. visited right after
+    the redirecting page, at the same depth.  Chains are followed ``max_hops``
+    times; targets already visited are skipped."""
+    hop = level
+    out = level
+    for _ in range(max_hops):
+        nxt = (hop.join(redirects.select(F.col("src").alias("url"), F.col("dst").alias("_to")), "url")
+               .select(F.col("_to").alias("url"), "depth",
+                       F.concat("order_key", F.lit(REDIRECT_MARK)).alias("order_key"))
+               .withColumn("vkey", vk(F.col("url"))))
+        nxt = (nxt.join(visited.select("vkey"), "vkey", "left_anti")
+               .join(out.select("vkey"), "vkey", "left_anti")
+               .groupBy("vkey").agg(F.min_by("url", "order_key").alias("url"),
+                                    F.min("order_key").alias("order_key"),
+                                    F.min("depth").alias("depth"))
+               .select("url", "depth", "vkey", "order_key"))
+        nxt = nxt.cache()
+        if nxt.isEmpty():
+            break
+        out = out.unionByName(nxt)
+        hop = nxt
+    return out
+
+
 def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int,
-                visit_key=None, checkpoint: bool = True) -> DataFrame:
+                visit_key=None, checkpoint: bool = True,
+                redirects: DataFrame | None = None, max_redirect_hops: int = 5) -> DataFrame:
     """Reachable nodes with BFS depth and visit-order key.
 
     ``links(src, dst, pos)``; ``seeds(url)`` (seed order = ``pos`` if present).
     ``visit_key`` maps a URL column to the column used for "already visited"
-    (default: the URL itself).  Returns ``url, depth, vkey, order_key``.
+    (default: the URL itself).  ``redirects(src, dst)``: a redirecting page
+    has no links of its own and its target jumps the queue (same depth, next
+    in order).  Returns ``url, depth, vkey, order_key``.
     """
     vk = visit_key or (lambda c: c)
     spark = links.sparkSession
@@ -46,14 +78,18 @@ def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int,
              .withColumn("depth", F.lit(0)))
     cols = ["url", "depth", "vkey", "order_key"]
     level = level.select(*cols)
+    if redirects is not None:
+        level = _follow_redirects(level, redirects, level.limit(0), vk, max_redirect_hops)
     if checkpoint:
         level = level.checkpoint()
     visited = level
     # the edge table is read once per level: hash-partition it by ``src`` once and
     # keep it (memory, spilling to disk) so each level shuffles only the frontier
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges = links.select("src", "dst", "pos").repartition(n_parts, "src").persist(
-        StorageLevel.MEMORY_AND_DISK)
+    edges = links.select("src", "dst", "pos")
+    if redirects is not None:   # a redirect response carries no links
+        edges = edges.join(redirects.select("src").distinct(), "src", "left_anti")
+    edges = edges.repartition(n_parts, "src").persist(StorageLevel.MEMORY_AND_DISK)
     for d in range(1, max_depth + 1):
         cand = (level.select(F.col("url").alias("src"), F.col("order_key").alias("pkey"))
                 .join(edges, "src")
@@ -66,6 +102,10 @@ def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int,
                  .withColumn("depth", F.lit(d)).select(*cols))
         if checkpoint:
             level = level.checkpoint()
+        if redirects is not None:
+            level = _follow_redirects(level, redirects, visited, vk, max_redirect_hops)
+            if checkpoint:
+                level = level.checkpoint()
         if level.isEmpty():
             break
         visited = visited.unionByName(level)

@@ -53,3 +53,40 @@ def test_visit_key_dedup(spark):
     r = frontier.crawl_reach(links, seeds, 5, visit_key=visit_key)
     assert sorted((x.url, x.depth) for x in r.collect()) == [
         ("http://h/", 0), ("http://h/a", 1), ("http://h/b", 2)]
+
+
+def brute_bfs_redirects(edges, redirects, seeds, max_depth):
+    """FIFO queue; a redirect target goes to the front, same depth; a
+    redirecting page has no links."""
+    out, order = {}, []
+    q = deque((s, 0) for s in seeds)
+    while q:
+        n, d = q.popleft()
+        if n in out:
+            continue
+        out[n] = d
+        order.append(n)
+        if n in redirects:
+            q.appendleft((redirects[n], d))
+            continue
+        if d < max_depth:
+            for dst, _pos in sorted(edges.get(n, []), key=lambda e: e[1]):
+                q.append((dst, d + 1))
+    return out, order
+
+
+def test_redirects_jump_the_queue(spark):
+    links = lineitem_links(spark, SF001)
+    edges = {}
+    for r in links.collect():
+        edges.setdefault(r.src, []).append((r.dst, r.pos))
+    parts = sorted({d for v in edges.values() for d, _ in v if d.startswith("p")})
+    redirects = {p: f"p{int(p[1:]) + 1}" for p in parts if int(p[1:]) % 10 == 0}
+    seeds = ["s1", "s2"]
+    depth, order = brute_bfs_redirects(edges, redirects, seeds, 3)
+    rdf = spark.createDataFrame(list(redirects.items()), "src string, dst string")
+    sdf = spark.createDataFrame([(s, i) for i, s in enumerate(seeds)], "url string, pos long")
+    reached = frontier.crawl_reach(links, sdf, 3, redirects=rdf)
+    assert {r.url: r.depth for r in reached.collect()} == depth
+    budget = frontier.crawl_budget(reached, 60).orderBy("visit_rank").collect()
+    assert [r.url for r in budget] == order[:60]
