@@ -13,6 +13,15 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import split_list
 
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is at most ``max_rows``, else ``df``
+    unchanged (then the join shuffles and AQE splits skewed keys)."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 # Name rules for channels and users.
 CHANNEL_NAME_RE = r"^[A-Za-z0-9]{1,20}$"
 USER_NAME_RE = r"^[A-Za-z0-9]{5,16}$"
@@ -48,7 +57,8 @@ def register_channels(req: DataFrame, store: DataFrame | None = None,
                .agg(F.min_by(F.col("request_id"), order).alias("win_id")))
     if store is not None:
         winners = winners.join(store.select("channel"), "channel", "left_anti")
-    out = req.join(winners, "channel", "left")
+    # one row per channel name: broadcast it so a hot name is never one task
+    out = req.join(small(winners), "channel", "left")
     return out.withColumn(
         "result",
         F.when(F.col("status") != "ok", F.col("status"))
@@ -79,19 +89,19 @@ def delete_channels(channels: DataFrame, requests: DataFrame) -> DataFrame:
     ``requests(request_id, owner, channel)`` -> each request with ``deleted``.
     """
     owned = channels.select("channel", "owner").withColumn("_hit", F.lit(True))
-    return (requests.join(owned, ["channel", "owner"], "left")
+    return (requests.join(small(owned), ["channel", "owner"], "left")
             .withColumn("deleted", F.coalesce("_hit", F.lit(False))).drop("_hit"))
 
 
 def live_channels(channels: DataFrame, deletions: DataFrame) -> DataFrame:
     """Channels minus those deleted by their owner."""
     gone = deletions.where("deleted").select("channel").distinct()
-    return channels.join(gone, "channel", "left_anti")
+    return channels.join(small(gone), "channel", "left_anti")
 
 
 def purge_subscriptions(subs: DataFrame, live: DataFrame) -> DataFrame:
     """Subscriptions of channels that no longer exist are dropped."""
-    return subs.join(live.select("channel"), "channel", "left_semi")
+    return subs.join(small(live.select("channel")), "channel", "left_semi")
 
 
 def channel_diff(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -103,15 +113,15 @@ def channel_diff(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def fan_out(matches: DataFrame, subs: DataFrame, key: str = "doc_id") -> DataFrame:
     """J3 + A6: matches x subscriptions, one association per (key, channel)
-    credited to its smallest expression.  The subscription side is joined on
-    ``xpath``; Spark/AQE picks broadcast when it is small."""
-    return (matches.join(subs, "xpath")
+    credited to its smallest expression.  The subscription side is broadcast
+    when its counted size allows; a hot expression then costs no shuffle."""
+    return (matches.join(small(subs.select("xpath", "channel")), "xpath")
             .groupBy(key, "channel").agg(F.min("xpath").alias("xpath")))
 
 
 def keep_live(hits: DataFrame, live: DataFrame) -> DataFrame:
     """Associations of live channels only."""
-    return hits.join(live.select("channel"), "channel", "left_semi")
+    return hits.join(small(live.select("channel")), "channel", "left_semi")
 
 
 def new_associations(hits: DataFrame, existing: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -151,7 +161,7 @@ def prune_page_channels(pages: DataFrame, live: DataFrame, col: str = "channels"
     per page; pages left with no live channel get an empty array.
     """
     ex = pages.select("page_key", F.explode_outer(col).alias("channel"))
-    kept = (ex.join(live.select("channel"), "channel", "left_semi")
+    kept = (ex.join(small(live.select("channel")), "channel", "left_semi")
             .groupBy("page_key").agg(F.array_sort(F.collect_set("channel")).alias("_kept")))
     return (pages.join(kept, "page_key", "left")
             .withColumn(col, F.coalesce("_kept", F.array().cast("array<string>"))).drop("_kept"))
