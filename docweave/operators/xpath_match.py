@@ -135,9 +135,12 @@ def match_nodes(nodes: DataFrame, atoms: DataFrame,
     """
     facts = node_facts(nodes)
     prefound = "hits" in nodes.columns
-    at = atom_keys(atoms, prefound)
+    at = atom_keys(atoms, prefound).withColumn("xid", F.xxhash64("xpath"))
     if n_atoms is None:
         n_atoms = at.count()
+    ids = atoms.select("xpath", F.xxhash64("xpath").alias("xid")).distinct().agg(
+        F.countDistinct("xpath").alias("n"), F.countDistinct("xid").alias("m")).first()
+    use_ids = ids["n"] == ids["m"]
     keys = ["path", "kind", "key"]
     if n_atoms <= max_broadcast_atoms:
         joined = facts.join(F.broadcast(at), keys)
@@ -147,10 +150,20 @@ def match_nodes(nodes: DataFrame, atoms: DataFrame,
         joined = facts.join(at, keys + ["salt"])
     hits = joined if prefound else joined.where(
         (F.col("kind") != "c") | F.contains(F.col("text"), F.col("lit")))
-    return (hits.groupBy("doc_id", "xpath", "n_atoms")
+    if not use_ids:
+        return (hits.groupBy("doc_id", "xpath", "n_atoms")
+                .agg(F.count(F.lit(1)).alias("n_hit"))
+                .where(F.col("n_hit") == F.col("n_atoms"))
+                .select("doc_id", "xpath"))
+    # group on a 64-bit expression id (collision-free, checked above) instead of
+    # the expression text; the text comes back through a small join
+    done = (hits.groupBy("doc_id", "xid", "n_atoms")
             .agg(F.count(F.lit(1)).alias("n_hit"))
-            .where(F.col("n_hit") == F.col("n_atoms"))
-            .select("doc_id", "xpath"))
+            .where(F.col("n_hit") == F.col("n_atoms")))
+    names = atoms.select(F.xxhash64("xpath").alias("xid"), "xpath").distinct()
+    if n_atoms <= max_broadcast_atoms:
+        names = F.broadcast(names)
+    return done.join(names, "xid").select("doc_id", "xpath")
 
 
 def match_documents(docs: DataFrame, xpaths: DataFrame, id_col: str = "doc_id",
