@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,28 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
+def prepare(spark: SparkSession) -> None:
+    """Session settings every query relies on: timestamps are UTC (event-time
+    windows, HTTP dates and synthetic times are defined in UTC) and lineage cuts
+    have a checkpoint folder."""
+    from ..session import ensure_checkpoint_dir
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+
+
 def query(name: str, sql: str | None = None):
     """Register a query; ``sql`` is its DuckDB twin over the input tables."""
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            prepare(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
