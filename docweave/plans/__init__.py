@@ -7,3 +7,4 @@ from . import q_html  # noqa: F401
 from . import q_channels  # noqa: F401
 from . import q_crawl  # noqa: F401
 from . import q_stream  # noqa: F401
+from . import q_rss  # noqa: F401

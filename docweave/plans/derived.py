@@ -116,3 +116,19 @@ def responses_from(p: DataFrame) -> DataFrame:
         "page_id", "url",
         F.timestamp_add("MINUTE", n, F.lit(BASE_FETCHED).cast("timestamp")).alias("fetched_at"),
         status.alias("status_line"), lines.alias("header_block"), F.col("html").alias("body"))
+
+
+def rss_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, xml)``: one RSS feed per document of ``documents``.
+
+    ``<rss><channel><title>source</title><item><title>first line</title>``
+    ``<description>whole text</description></item></channel></rss>`` with text
+    XML-escaped.  One feed per document keeps every feed bounded by its
+    document (no per-source group).
+    """
+    d = read_table(spark, sf_dir, "documents")
+    first = F.element_at(F.split(F.col("text"), "\n"), 1)
+    return d.select(F.col("doc_id").alias("id"), F.concat(
+        F.lit("<rss><channel><title>"), _x("source"), F.lit("</title><item><title>"), _x(first),
+        F.lit("</title><description>"), _x("text"), F.lit("</description></item></channel></rss>"))
+        .alias("xml"))
