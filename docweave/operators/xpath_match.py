@@ -16,6 +16,7 @@ is spread over ``salts`` tasks instead of one.
 from __future__ import annotations
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,9 +59,11 @@ def compile_xpaths(xpaths: DataFrame, col: str = "xpath") -> DataFrame:
     c = (xpaths.select(F.col(col).alias("xpath")).where(F.col("xpath").isNotNull())
          .distinct()
          .withColumn("c", _compile_udf(F.col("xpath"))))
+    # the expression table feeds several counted size checks and the join:
+    # keep it once instead of re-running the compiler for each
     return c.select("xpath", F.col("c.valid").alias("valid"),
                     F.size("c.atoms").cast("int").alias("n_atoms"),
-                    F.col("c.atoms").alias("atoms"))
+                    F.col("c.atoms").alias("atoms")).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def atom_table(compiled: DataFrame) -> DataFrame:
