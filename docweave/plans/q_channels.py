@@ -71,22 +71,19 @@ class ChannelState:
             req = req.where(F.col("ts") < F.lit(cutoff).cast("timestamp"))
         self.requests = req
         creates = req.where(F.col("kind") == "create")
+        # every stage is small (one row per request / channel / expression) and
+        # feeds later counted size checks: keep each once instead of recomputing
+        # the chain from ``events`` for every check
         self.validated = ch.validate_requests(creates)
-        self.registered = ch.register_channels(self.validated)
-        self.channels = ch.channels_of(self.registered)
+        self.registered = ch.register_channels(self.validated).cache()
+        self.channels = ch.channels_of(self.registered).cache()
         self.items = ch.subscriptions_of(self.channels)          # every listed expression
-        self.valid = xm.xpath_valid(self.items.select("xpath").distinct())
-        self.subs = ch.subscriptions_of(self.channels, self.valid)
+        self.valid = xm.xpath_valid(self.items.select("xpath").distinct()).cache()
+        self.subs = ch.subscriptions_of(self.channels, self.valid).cache()
         dels = req.where(F.col("kind") == "delete").select("request_id", "owner", "channel")
-        self.deletions = ch.delete_channels(self.channels, dels)
-        self.live = ch.live_channels(self.channels, self.deletions)
-        self.live_subs = ch.purge_subscriptions(self.subs, self.live)
-        # small tables read by several size checks and joins: keep them once
-        # (cache is safe under executor loss: lost blocks are recomputed)
-        self.channels = self.channels.cache()
-        self.subs = self.subs.cache()
-        self.live = self.live.cache()
-        self.live_subs = self.live_subs.cache()
+        self.deletions = ch.delete_channels(self.channels, dels).cache()
+        self.live = ch.live_channels(self.channels, self.deletions).cache()
+        self.live_subs = ch.purge_subscriptions(self.subs, self.live).cache()
 
 
 def _matches(spark, sf_dir, subs):
