@@ -33,3 +33,13 @@ def test_decode_bodies(spark):
                                "body string, encoding string")
     got = [r.n_chars for r in decode_bodies(df).collect()]
     assert got == [1, 2, 1]
+
+
+def test_write_collections_sorted_per_channel(spark, tmp_path):
+    from docweave.operators.render import write_collections
+    frags = spark.createDataFrame([("c1", "http://b", "<document b/>"), ("c1", "http://a", "<document a/>"),
+                                   ("c2", "http://z", "<document z/>")], "channel string, url string, fragment string")
+    out = str(tmp_path / "coll")
+    write_collections(frags, out, partitions=2)
+    back = spark.read.text(out + "/channel=c1").collect()
+    assert [r.value for r in back] == ["<document a/>", "<document b/>"]
