@@ -56,7 +56,8 @@ def _follow_redirects(level: DataFrame, redirects: DataFrame, visited: DataFrame
 
 def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int,
                 visit_key=None, checkpoint: bool = True,
-                redirects: DataFrame | None = None, max_redirect_hops: int = 5) -> DataFrame:
+                redirects: DataFrame | None = None, max_redirect_hops: int = 5,
+                max_broadcast_frontier: int = 2_000_000) -> DataFrame:
     """Reachable nodes with BFS depth and visit-order key.
 
     ``links(src, dst, pos)``; ``seeds(url)`` (seed order = ``pos`` if present).
@@ -64,6 +65,11 @@ def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int,
     (default: the URL itself).  ``redirects(src, dst)``: a redirecting page
     has no links of its own and its target jumps the queue (same depth, next
     in order).  Returns ``url, depth, vkey, order_key``.
+
+    Each level's frontier is counted; when it has at most
+    ``max_broadcast_frontier`` rows it is broadcast to the edge partitions, so
+    a page with a huge share of all links is read where it lies instead of
+    being joined in one task.
     """
     vk = visit_key or (lambda c: c)
     spark = links.sparkSession
@@ -90,9 +96,12 @@ def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int,
     if redirects is not None:   # a redirect response carries no links
         edges = edges.join(redirects.select("src").distinct(), "src", "left_anti")
     edges = edges.repartition(n_parts, "src").persist(StorageLevel.MEMORY_AND_DISK)
+    n_level = level.count()
     for d in range(1, max_depth + 1):
-        cand = (level.select(F.col("url").alias("src"), F.col("order_key").alias("pkey"))
-                .join(edges, "src")
+        front = level.select(F.col("url").alias("src"), F.col("order_key").alias("pkey"))
+        if n_level <= max_broadcast_frontier:
+            front = F.broadcast(front)
+        cand = (edges.join(front, "src")
                 .select(F.col("dst").alias("url"),
                         F.concat(F.col("pkey"), _pos_key(F.col("pos"))).alias("order_key"))
                 .withColumn("vkey", vk(F.col("url"))))
@@ -106,7 +115,8 @@ def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int,
             level = _follow_redirects(level, redirects, visited, vk, max_redirect_hops)
             if checkpoint:
                 level = level.checkpoint()
-        if level.isEmpty():
+        n_level = level.count()
+        if n_level == 0:
             break
         visited = visited.unionByName(level)
         if checkpoint:

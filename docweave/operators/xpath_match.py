@@ -273,7 +273,7 @@ def match_rowwise(node_maps: DataFrame, compiled: DataFrame,
 
 
 def channels_rowwise(node_maps: DataFrame, compiled: DataFrame, subs: DataFrame,
-                     max_xpaths: int = 5_000, max_subs: int = 100_000, keep=()) -> DataFrame:
+                     max_xpaths: int = 5_000, max_subs: int = 20_000, keep=()) -> DataFrame:
     """X12 + J3: ``(doc_id, channel)`` straight from each document row.
 
     Each document's matched expressions are mapped to their channels inside
