@@ -192,9 +192,19 @@ def q_xpath_valid(spark, sf_dir):
     return xm.xpath_valid(xs).select("xpath", "valid")
 
 
-@query("xpath_atoms")
+@query("xpath_atoms", sql=f"""{CH_SQL},
+xa AS (SELECT DISTINCT xpath, tk, p1, p2 FROM items)
+SELECT xpath, 1 AS n_atoms, 0 AS atom, '/g:order' AS path, 'attr' AS kind, 'pri' AS attr, p1 AS lit
+  FROM xa WHERE tk = 'pri'
+UNION ALL SELECT xpath, 1, 0, '/g:order/line/pk', 'contains', NULL::VARCHAR, p1 FROM xa WHERE tk = 'pk'
+UNION ALL SELECT xpath, 2, 0, '/g:order/line', 'attr', 'flag', p1 FROM xa WHERE tk = 'flagst'
+UNION ALL SELECT xpath, 2, 1, '/g:order/line/st', 'text', NULL::VARCHAR, p2 FROM xa WHERE tk = 'flagst'
+UNION ALL SELECT xpath, 1, 0, '/g:order/status', 'text', NULL::VARCHAR, p1 FROM xa WHERE tk = 'status'
+UNION ALL SELECT xpath, 1, 0, '/g:order/date', 'contains', NULL::VARCHAR, p1 FROM xa WHERE tk = 'month'
+UNION ALL SELECT xpath, 2, 0, '/g:order/status', 'text', NULL::VARCHAR, 'O' FROM xa WHERE tk = 'openpk'
+UNION ALL SELECT xpath, 2, 1, '/g:order/line/pk', 'contains', NULL::VARCHAR, p1 FROM xa WHERE tk = 'openpk'""")
 def q_xpath_atoms(spark, sf_dir):
-    """Atom table of every requested expression (rows-only check)."""
+    """Atom table (distinguishing atoms) of every requested expression."""
     from ..functions.urls import split_list
     r = channel_requests(spark, sf_dir).where(F.col("kind") == "create")
     xs = r.select(F.explode(split_list(F.col("xpaths"))).alias("xpath"))
