@@ -126,9 +126,22 @@ def atom_keys(atoms: DataFrame, prefound: bool = False) -> DataFrame:
         F.when((k == "contains") & F.lit(not prefound), F.col("lit")).alias("lit"))
 
 
+def atom_stats(atoms: DataFrame) -> dict:
+    """All size checks of an atom table in one job: rows, distinct expressions,
+    distinct 64-bit ids, distinct substring literals."""
+    r = atoms.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct("xpath").alias("xpaths"),
+        F.countDistinct(F.xxhash64("xpath")).alias("xids"),
+        F.countDistinct(F.when(F.col("kind") == "contains", F.struct("path", "lit"))).alias("lits"),
+    ).first()
+    return r.asDict()
+
+
 def match_nodes(nodes: DataFrame, atoms: DataFrame,
                 max_broadcast_atoms: int = DEFAULT_MAX_BROADCAST_ATOMS,
-                salts: int = DEFAULT_SALTS, n_atoms: int | None = None) -> DataFrame:
+                salts: int = DEFAULT_SALTS, n_atoms: int | None = None,
+                stats: dict | None = None) -> DataFrame:
     """``(doc_id, xpath)`` for every document that satisfies every atom.
 
     ``nodes`` is a node table (``doc_nodes``); ``atoms`` is ``atom_table``.
@@ -139,11 +152,10 @@ def match_nodes(nodes: DataFrame, atoms: DataFrame,
     facts = node_facts(nodes)
     prefound = "hits" in nodes.columns
     at = atom_keys(atoms, prefound).withColumn("xid", F.xxhash64("xpath"))
+    stats = stats or atom_stats(atoms)
     if n_atoms is None:
-        n_atoms = at.count()
-    ids = atoms.select("xpath", F.xxhash64("xpath").alias("xid")).distinct().agg(
-        F.countDistinct("xpath").alias("n"), F.countDistinct("xid").alias("m")).first()
-    use_ids = ids["n"] == ids["m"]
+        n_atoms = stats["rows"]
+    use_ids = stats["xpaths"] == stats["xids"]
     keys = ["path", "kind", "key"]
     if n_atoms <= max_broadcast_atoms:
         joined = facts.join(F.broadcast(at), keys)
@@ -174,20 +186,33 @@ def match_documents(docs: DataFrame, xpaths: DataFrame, id_col: str = "doc_id",
                     xpath_col: str = "xpath", **kw) -> DataFrame:
     """Parse + compile + match in one plan: ``(doc_id, xpath)``."""
     atoms = atom_table(compile_xpaths(xpaths, xpath_col))
-    return match_nodes(nodes_for(docs, atoms, id_col, body_col, kind), atoms, **kw)
+    return match_parsed(docs, atoms, id_col, body_col, kind, **kw)
+
 
+def match_parsed(docs: DataFrame, atoms: DataFrame, id_col: str = "doc_id",
+                 body_col: str = "body", kind: str = "xml", **kw) -> DataFrame:
+    """Parse ``docs`` for ``atoms`` and match, with all size checks in one job."""
+    stats = atom_stats(atoms)
+    return match_nodes(nodes_for(docs, atoms, id_col, body_col, kind, stats=stats), atoms,
+                       stats=stats, **kw)
 
-def contains_literals(atoms: DataFrame, max_literals: int = DEFAULT_MAX_LITERALS):
+
+def contains_literals(atoms: DataFrame, max_literals: int = DEFAULT_MAX_LITERALS,
+                      stats: dict | None = None):
     """Distinct ``(path, literal)`` of the substring atoms, or None when there
     are more than ``max_literals`` (then the join-side residual is used)."""
-    lits = atoms.where(F.col("kind") == "contains").select("path", "lit").distinct()
-    if lits.count() > max_literals:
+    n = (stats or atom_stats(atoms))["lits"]
+    if n > max_literals:
         return None
+    if n == 0:
+        return []
+    lits = atoms.where(F.col("kind") == "contains").select("path", "lit").distinct()
     return [(r["path"], r["lit"]) for r in lits.collect()]
 
 
 def nodes_for(docs: DataFrame, atoms: DataFrame, id_col: str = "doc_id", body_col: str = "body",
-              kind: str = "xml", max_literals: int = DEFAULT_MAX_LITERALS) -> DataFrame:
+              kind: str = "xml", max_literals: int = DEFAULT_MAX_LITERALS,
+              stats: dict | None = None) -> DataFrame:
     """Parse documents for matching against ``atoms``: substring literals are
     searched while parsing (Aho-Corasick) when pyahocorasick is installed and
     the literal set is within ``max_literals``."""
@@ -195,7 +220,7 @@ def nodes_for(docs: DataFrame, atoms: DataFrame, id_col: str = "doc_id", body_co
     lits = None
     try:
         import ahocorasick  # noqa: F401
-        lits = contains_literals(atoms, max_literals)
+        lits = contains_literals(atoms, max_literals, stats)
     except ImportError:
         pass
     return doc_nodes(docs, id_col, body_col, kind, contains_literals=lits)

@@ -89,7 +89,7 @@ class ChannelState:
 def _matches(spark, sf_dir, subs):
     from .derived import order_xml
     atoms = xm.atom_table(xm.compile_xpaths(subs.select("xpath").distinct()))
-    return xm.match_nodes(xm.nodes_for(order_xml(spark, sf_dir), atoms, "id", "xml"), atoms)
+    return xm.match_parsed(order_xml(spark, sf_dir), atoms, "id", "xml")
 
 
 # --- SQL twins ----------------------------------------------------------------

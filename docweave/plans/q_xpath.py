@@ -52,7 +52,7 @@ def order_nodes(spark, sf_dir):
 def order_matches(spark, sf_dir, xpaths=None):
     xpaths = order_xpaths(spark) if xpaths is None else xpaths
     atoms = xm.atom_table(xm.compile_xpaths(xpaths))
-    return xm.match_nodes(xm.nodes_for(order_xml(spark, sf_dir), atoms, "id", "xml"), atoms)
+    return xm.match_parsed(order_xml(spark, sf_dir), atoms, "id", "xml")
 
 
 def _only(kind_pred):
