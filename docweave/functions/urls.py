@@ -27,7 +27,8 @@ def url_struct(url: Column) -> Column:
 
 def url_parts(url: Column) -> dict[str, Column]:
     """C4: scheme, host, port (null when absent), path, query, fragment."""
-    ok = url.rlike(URL_RE)
+    # the scheme group is mandatory, so an empty scheme means "no match"
+    ok = F.regexp_extract(url, URL_RE, 1) != ""
 
     def g(i):
         return F.when(ok, F.regexp_extract(url, URL_RE, i))
