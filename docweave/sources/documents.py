@@ -26,6 +26,17 @@ def read_documents(spark: SparkSession, path: str, recursive: bool = True) -> Da
             .where(F.col("kind").isNotNull()))
 
 
+def documents_from_table(df: DataFrame, url: str = "url", body: str = "body") -> DataFrame:
+    """S2 over a table of (url, body): kind from the URL path suffix, anything
+    but HTML/XML/RSS rejected (same rule as ``read_documents``)."""
+    path = url_parts(F.col(url))["path"]
+    suffix = F.lower(F.regexp_extract(path, r"(\.[^./]*)$", 1))
+    kind = F.create_map(*[x for k, v in KIND_BY_SUFFIX.items() for x in (F.lit(k), F.lit(v))])
+    return (df.select(F.col(url).alias("url"), F.element_at(kind, suffix).alias("kind"),
+                      F.col(body).alias("body"))
+            .where(F.col("kind").isNotNull()))
+
+
 def read_xpaths(spark: SparkSession, path: str) -> DataFrame:
     """S3: expression files, one expression per line or ``;``-separated."""
     lines = spark.read.text(path)
@@ -33,8 +44,15 @@ def read_xpaths(spark: SparkSession, path: str) -> DataFrame:
             .where(F.col("xpath") != ""))
 
 
-def write_bodies(df: DataFrame, path: str, url: str = "url", body: str = "body") -> None:
-    """Bodies written as parquet, partitioned by host (one folder per host)."""
+def write_bodies(df: DataFrame, path: str, url: str = "url", body: str = "body",
+                 buckets_per_host: int = 4) -> None:
+    """Bodies written as parquet, partitioned by host (one folder per host).
+
+    Rows are spread over ``(host, hash(url) % buckets_per_host)`` before the
+    write, so a host holding a large share of all pages is written by several
+    tasks instead of one, while each host still gets only a few files.
+    """
     host = url_parts(F.col(url))["host"]
+    bucket = F.pmod(F.xxhash64(F.col(url)), F.lit(buckets_per_host))
     (df.select(F.col(url).alias("url"), host.alias("host"), F.col(body).alias("body"))
-     .repartition("host").write.mode("overwrite").partitionBy("host").parquet(path))
+     .repartition("host", bucket).write.mode("overwrite").partitionBy("host").parquet(path))
