@@ -89,13 +89,14 @@ def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int,
     if checkpoint:
         level = level.checkpoint()
     visited = level
-    # the edge table is read once per level: hash-partition it by ``src`` once and
-    # keep it (memory, spilling to disk) so each level shuffles only the frontier
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the edge table is read once per level: keep it (memory, spilling to disk)
+    # in its input layout.  Levels are usually broadcast to it, so edges never
+    # move and a page holding a huge share of all links is not one task; a level
+    # too large to broadcast is shuffle-joined and AQE splits skewed sources.
     edges = links.select("src", "dst", "pos")
     if redirects is not None:   # a redirect response carries no links
         edges = edges.join(redirects.select("src").distinct(), "src", "left_anti")
-    edges = edges.repartition(n_parts, "src").persist(StorageLevel.MEMORY_AND_DISK)
+    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
     n_level = level.count()
     for d in range(1, max_depth + 1):
         front = level.select(F.col("url").alias("src"), F.col("order_key").alias("pkey"))
