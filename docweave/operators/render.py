@@ -13,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .recrawl import lookup  # noqa: F401  (re-exported for renderers)
-
 # The collection wrapper.
 COLLECTION_OPEN = "<documentcollection>"
 COLLECTION_CLOSE = "</documentcollection>"
@@ -42,9 +40,21 @@ def channel_fragments(channel_pages: DataFrame, meta: DataFrame, data: DataFrame
 
 
 def write_collections(fragments: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Write fragments sorted by (channel, url), range-partitioned, as text."""
+    """Write each channel's collection as text, one folder per channel.
+
+    A header row (sort key ``""``) and a footer row (sort key ``U+FFFF``) are
+    added per channel; rows are range-partitioned and sorted by (channel, url),
+    so a channel's part files read in order form one ``<documentcollection>``
+    and a large channel spreads over several ranges instead of one task.
+    """
     n = partitions or fragments.sparkSession.sparkContext.defaultParallelism
-    (fragments.repartitionByRange(n, "channel", "url").sortWithinPartitions("channel", "url")
+    chans = fragments.select("channel").distinct()
+    rows = (fragments.select("channel", "url", "fragment")
+            .unionByName(chans.select("channel", F.lit("").alias("url"),
+                                      F.lit(COLLECTION_OPEN).alias("fragment")))
+            .unionByName(chans.select("channel", F.lit("\uffff").alias("url"),
+                                      F.lit(COLLECTION_CLOSE).alias("fragment"))))
+    (rows.repartitionByRange(n, "channel", "url").sortWithinPartitions("channel", "url")
      .select("channel", "fragment").write.mode("overwrite").partitionBy("channel").text(path))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import channels as ch
 from ..operators import xpath_match as xm
 from ..sources.tables import read_table
-from .q_xpath import OX_CTE, order_nodes
+from .q_xpath import OX_CTE
 from .registry import query
 
 CUTOFF = "2024-01-01 04:00:00"   # snapshot boundary for J9 / J5

@@ -10,10 +10,9 @@ from ..operators import fetch
 from ..operators import xpath_match as xm
 from ..sources.tables import read_table
 from ..streaming import jobs
-from .catalog import ORDER_SUBSCRIPTIONS
 from .derived import responses_from
 from .q_crawl import STORE_CTE, TS, _page_parts, new_meta_rows, store_v0
-from .q_xpath import MATCH_SQL, OX_CTE, SUBS_SQL, order_subscriptions, order_xpaths
+from .q_xpath import MATCH_SQL, SUBS_SQL, order_subscriptions, order_xpaths
 from .registry import query
 
 
@@ -64,5 +63,3 @@ def q_stream_upsert(spark, sf_dir):
                        dates.format_crawl_time(F.col("time_last_access")).alias("time_last_access"),
                        "file_size", "stored")
 
-
-_ = OX_CTE

@@ -42,4 +42,5 @@ def test_write_collections_sorted_per_channel(spark, tmp_path):
     out = str(tmp_path / "coll")
     write_collections(frags, out, partitions=2)
     back = spark.read.text(out + "/channel=c1").collect()
-    assert [r.value for r in back] == ["<document a/>", "<document b/>"]
+    assert [r.value for r in back] == ["<documentcollection>", "<document a/>", "<document b/>",
+                                       "</documentcollection>"]
