@@ -17,10 +17,11 @@ def prepare(spark: SparkSession) -> None:
     """Session settings every query relies on: timestamps are UTC (event-time
     windows, HTTP dates and synthetic times are defined in UTC) and lineage cuts
     have a checkpoint folder."""
-    from ..session import ensure_checkpoint_dir
+    from ..session import ensure_checkpoint_dir, ship_package
     if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
 
 
 def query(name: str, sql: str | None = None):

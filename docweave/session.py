@@ -52,3 +52,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="docweave-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``docweave`` importable in Python workers (Arrow UDFs, mapInArrow)
+    wherever the driver runs from: the package is zipped once per context and
+    distributed with ``addPyFile``."""
+    import shutil
+    sc = spark.sparkContext
+    if getattr(sc, "_docweave_shipped", False):
+        return
+    pkg_root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    base = tempfile.mkdtemp(prefix="docweave-pyfiles-")
+    archive = shutil.make_archive(os.path.join(base, "docweave"), "zip",
+                                  root_dir=pkg_root, base_dir="docweave")
+    sc.addPyFile(archive)
+    sc._docweave_shipped = True
