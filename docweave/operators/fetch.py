@@ -114,3 +114,28 @@ def resolve_links(links: DataFrame, schemes=("http",), with_concat: bool = False
     df = df.withColumn("admissible", F.coalesce(link_admissible(
         F.col("dst"), F.col("resolved"), schemes, resolved_parts=F.col("_r")), F.lit(False)))
     return df.drop("_b", "_r")
+
+
+def kept_links(df: DataFrame, src: str = "url", body: str = "body", type_col: str | None = None,
+               schemes=("http",)) -> DataFrame:
+    """C1 + F20 + C2 + F12 in one pass per page: ``(src, pos, dst, resolved)``
+    for the links a crawler follows.
+
+    Links are resolved and tested inside the page's link array (the page URL is
+    parsed once per page), and only kept links are exploded, so no filter has
+    to repeat the resolution per row.
+    """
+    links = href_links(F.col(body))
+    if type_col is not None:
+        links = F.when(F.col(type_col) == "html", links)
+    page = df.select(F.col(src).alias("src"), links.alias("_l")).withColumn(
+        "_b", url_struct(F.col("src")))
+
+    def one(link, i):
+        res = resolve_link(F.col("src"), link, base_parts=F.col("_b"))
+        return F.struct(i.alias("pos"), link.alias("dst"), res.alias("resolved"))
+
+    items = F.transform(F.col("_l"), one)
+    keep = F.filter(items, lambda x: F.coalesce(
+        link_admissible(x["dst"], x["resolved"], schemes), F.lit(False)))
+    return page.select("src", F.inline(keep))
