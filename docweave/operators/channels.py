@@ -16,10 +16,21 @@ from ..functions.urls import split_list
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
+_COUNTS: dict[int, int] = {}
+
+
 def small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when its row count is at most ``max_rows``, else ``df``
-    unchanged (then the join shuffles and AQE splits skewed keys)."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    unchanged (then the join shuffles and AQE splits skewed keys).
+
+    Counts are remembered per plan (``semanticHash``) within the process, so a
+    table checked by several joins is counted once; the count only steers the
+    join strategy, never the result."""
+    key = df.semanticHash()
+    n = _COUNTS.get(key)
+    if n is None:
+        n = _COUNTS[key] = df.count()
+    return F.broadcast(df) if n <= max_rows else df
 
 
 # Name rules for channels and users.
