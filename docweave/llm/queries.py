@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat_examples, residual_packing, rule_ledger, sketch_dedup
+from . import bit_sliced, chat_examples, mixture_language, residual_packing, rule_ledger, sketch_dedup
 from .common import table
 from .registry import query
 
@@ -103,3 +103,38 @@ def tokenizer_path() -> str:
 @query("op8_best_fit_packing")
 def op8(spark, sf_dir):
     return residual_packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), SEQUENCE)
+
+
+OP1_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+             CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+
+@query("op1_exact_top_k", OP1_SQL)
+def op1(spark, sf_dir):
+    t = table(spark, sf_dir, "embeddings")
+    rows = t.where(F.col("vec_id").isNotNull() & bit_sliced.usable(F.col("embedding"))).select(
+        F.col("vec_id").cast("long").alias("id"), bit_sliced.quantise(64)(F.col("embedding")).alias("v"))
+    return bit_sliced.top_k(rows, rows.where(F.col("id") % 20 == 0), 20)
+
+
+#: Documents of this remainder are held out from training.
+HELD_OUT = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def language_model(docs):
+    return mixture_language.train(docs.where(~HELD_OUT))
+
+
+@query("op10_language_id")
+def op10(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = mixture_language.identify(docs, language_model(docs))
+    return out.select("doc_id", HELD_OUT.alias("held_out"), "lang_pred", "score", "languages")
