@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bit_sliced, chat_examples, mixture_language, residual_packing, rule_ledger, sketch_dedup
+from . import bit_sliced, chat_examples, mixture_language, residual_packing, rule_ledger, sketch_dedup, suffix_dedup
 from .common import table
 from .registry import query
 
@@ -125,16 +125,25 @@ def op1(spark, sf_dir):
     return bit_sliced.top_k(rows, rows.where(F.col("id") % 20 == 0), 20)
 
 
-#: Documents of this remainder are held out from training.
-HELD_OUT = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+def held_out():
+    """Documents of this remainder are held out from training."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def language_model(docs):
-    return mixture_language.train(docs.where(~HELD_OUT))
+    return mixture_language.train(docs.where(~held_out()))
 
 
 @query("op10_language_id")
 def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     out = mixture_language.identify(docs, language_model(docs))
-    return out.select("doc_id", HELD_OUT.alias("held_out"), "lang_pred", "score", "languages")
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "languages")
+
+
+@query("op6_suffix_array_dedup")
+def op6(spark, sf_dir):
+    out = suffix_dedup.remove_repeated_strings(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", F.aggregate(
+        "removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"]).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
