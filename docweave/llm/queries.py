@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bit_sliced, chat_examples, mixture_language, residual_packing, rule_ledger, sketch_dedup, suffix_dedup
+from . import bit_sliced, chat_examples, mixture_language, residual_packing, rule_ledger, sketch_dedup, suffix_dedup, weighted_minhash
 from .common import table
 from .registry import query
 
@@ -147,3 +147,9 @@ def op6(spark, sf_dir):
     return out.select("doc_id", "n_bytes", F.aggregate(
         "removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"]).alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_minhash_near_dedup")
+def op3(spark, sf_dir):
+    out = weighted_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "class_id", "n_class")
