@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bit_sliced, chat_examples, mixture_language, residual_packing, rule_ledger, sketch_dedup, suffix_dedup, weighted_minhash
+from . import bit_sliced, chat_examples, dropout_pieces, mixture_language, residual_packing, rule_ledger, sketch_dedup, suffix_dedup, template_extract, weighted_minhash
 from .common import table
 from .registry import query
 
@@ -153,3 +153,23 @@ def op6(spark, sf_dir):
 def op3(spark, sf_dir):
     out = weighted_minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "class_id", "n_class")
+
+
+@query("op7_html_extraction")
+def op7(spark, sf_dir):
+    out = template_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "slot")
+
+
+def piece_model_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op9_sentencepiece_dropout")
+def op9(spark, sf_dir):
+    """Pieces of every text under dropout, and what they decode to."""
+    docs = table(spark, sf_dir, "documents")
+    out = dropout_pieces.decode(dropout_pieces.encode(docs, piece_model_path(), rate=0.1, seed=7), piece_model_path())
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+                      F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
