@@ -79,30 +79,33 @@ def _covered(windows: Column) -> Column:
     return F.size(F.array_distinct(F.flatten(places)))
 
 
-def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the measurements as columns (and without the text).  Every
-    step is row-local: no shuffle, whatever the sizes of documents."""
+def measure(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``key`` and the measurements of every row of ``docs``.  Every step is
+    row-local: no shuffle, whatever the sizes of documents.  ``key`` may be of any
+    type, a struct of the whole row for instance."""
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(WHITE)) != "")
     one = docs.select(
-        "doc_id", _words(t).alias("words"), lines.alias("lines"),
+        key, _words(t).alias("words"), lines.alias("lines"),
         F.length(F.translate(t, WHITE, "")).alias("word_chars"),
         (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).alias("n_symbols"),
         F.regexp_count(t, F.lit(r"\p{Lu}")).alias("n_upper"))
     two = one.select(
-        "doc_id", "word_chars", "n_symbols", "n_upper", F.size("words").alias("n_words"),
+        key, "word_chars", "n_symbols", "n_upper", F.size("words").alias("n_words"),
         F.size("lines").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         _windows(F.col("words")).alias("windows"))
-    done = two.withColumn("n_repeat_words", _covered(F.col("windows")))
-    return done.select("doc_id", *(F.col(m).cast("long").alias(m) for m in MEASURES))
+    values = {"n_repeat_words": _covered(F.col("windows"))}
+    # as a generated row, so that no filter on a measurement is pushed into the making of it
+    row = F.struct(*(values.get(m, F.col(m)).cast("long").alias(m) for m in MEASURES))
+    return two.select(key, F.inline(F.array(row)))
 
 
-def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id``, the measurements and ``bits``: bit i is set where rule i fails."""
+def ledger(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``key``, the measurements and ``bits``: bit i is set where rule i fails."""
     bits = F.lit(0).cast("long")
     for rule, fails in RULES.items():
         bits = bits.bitwiseOR(F.when(F.expr(fails), BIT[rule]).otherwise(0).cast("long"))
-    return measure(docs, text).withColumn("bits", bits)
+    return measure(docs, text, key).withColumn("bits", bits)
 
 
 def kept(policy: Policy, bits: str = "bits") -> Column:

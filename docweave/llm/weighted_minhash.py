@@ -216,9 +216,9 @@ def _squeeze(batches):
                                          ["doc_id", "text_key", "chunk", "z"])
 
 
-def among(df: DataFrame, keys: DataFrame, key: str, log_bits: int = 26) -> DataFrame:
-    """Rows of ``df`` whose long ``key`` may be among ``keys``: a test against a bitmap
-    of 2**log_bits bits, whatever the number of keys."""
+def among(df: DataFrame, keys: DataFrame, key: str, log_bits: int = 26, without: bool = False) -> DataFrame:
+    """Rows of ``df`` whose long ``key`` may be among ``keys`` (``without``: surely is
+    not): a test against a bitmap of 2**log_bits bits, whatever the number of keys."""
     place = F.shiftrightunsigned(F.col(key), 64 - log_bits) + 1      # Spark numbers places from 1
     maps = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("n")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("map"))
@@ -231,7 +231,7 @@ def among(df: DataFrame, keys: DataFrame, key: str, log_bits: int = 26) -> DataF
     def run(batches):
         for batch in batches:
             p = (batch.column(key).to_numpy(zero_copy_only=False).astype(np.int64).view(U64) >> U64(64 - log_bits)).astype(np.int64)
-            yield batch.filter(pa.array((held.value[p >> 3] >> (p & 7)) & 1 == 1))
+            yield batch.filter(pa.array((held.value[p >> 3] >> (p & 7)) & 1 != int(without)))
     return df.mapInArrow(run, df.schema)
 
 
@@ -291,8 +291,8 @@ def link_block(n_docs: int, least: float):
 
 def near_duplicates(docs: DataFrame, least: float = 0.8, shingle: int = 5, bands: int = 16, rows: int = 4, seed: int = 1,
                     chunk_bytes: int = 8 << 20, shard_words: int = 1 << 21, block_bytes: int = 2 << 20) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``doc_id, text_key, class_id, n_class``: the least
-    doc_id of the class and its number of rows.  ``text_key`` (xxhash64 of the text)
+    """``docs(doc_id, text)`` -> ``doc_id, text_key, class_id, n_class, is_first``: the
+    least doc_id of the class, its number of rows, and whether this is its first row.  ``text_key`` (xxhash64 of the text)
     tells rows of one doc_id apart."""
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     size, n_docs = total_bytes(docs, "text"), docs.count()
@@ -335,6 +335,25 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, shingle: int = 5, bands
 
     named = signed.join(classes.withColumnRenamed("node", "content"), "content", "left").withColumn(
         "label", F.when(F.col("content") != F.lit(b""), F.coalesce("label", "content")))
-    totals = named.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_class"))
-    alone = named.where("label is null").select("doc_id", "text_key", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_class"))
-    return named.where("label is not null").join(totals, "label").select("doc_id", "text_key", "class_id", "n_class").unionByName(alone)
+    first = F.min(F.struct("doc_id", "text_key"))
+    totals = named.where("label is not null").groupBy("label").agg(
+        F.min("doc_id").alias("class_id"), F.count("*").alias("n_class"), first.alias("first"))
+    alone = named.where("label is null").select("doc_id", "text_key", F.col("doc_id").alias("class_id"),
+                                                F.lit(1).cast("long").alias("n_class"), F.lit(True).alias("is_first"))
+    first_here = F.col("first").eqNullSafe(F.struct("doc_id", "text_key"))
+    return named.where("label is not null").join(totals, "label").select(
+        "doc_id", "text_key", "class_id", "n_class", first_here.alias("is_first")).unionByName(alone)
+
+
+def keep_firsts(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay when each class keeps its first row.  Only rows
+    that may be in question (by a bitmap of fixed size) meet the classes in a join."""
+    contested = durable(classes.groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"), F.max("is_first").alias("is_first"))
+                        .where("copies > 1 or not is_first"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.xxhash64("text").alias("text_key"))
+    maybe = among(rows, contested, "text_key")
+    theirs = contested.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "copies", "is_first")
+    met = maybe.join(theirs, (F.col("key") == F.col("text_key")) & F.col("id").eqNullSafe(F.col("row.doc_id")), "left")
+    stay = met.where("key is null or (is_first and copies = 1)").select("row.*")
+    one = met.where("is_first and copies > 1").dropDuplicates(["id", "text_key"]).select("row.*")
+    return among(rows, contested, "text_key", without=True).select("row.*").unionByName(stay).unionByName(one)
