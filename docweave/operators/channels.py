@@ -13,24 +13,19 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import split_list
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
-_COUNTS: dict[int, int] = {}
-
-
-def small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is at most ``max_rows``, else ``df``
-    unchanged (then the join shuffles and AQE splits skewed keys).
-
-    Counts are remembered per plan (``semanticHash``) within the process, so a
-    table checked by several joins is counted once; the count only steers the
-    join strategy, never the result."""
-    key = df.semanticHash()
-    n = _COUNTS.get(key)
-    if n is None:
-        n = _COUNTS[key] = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+def small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its rows, as counted and measured, take at most
+    ``max_bytes``; else ``df`` unchanged (then the join shuffles and AQE splits
+    skewed keys).  Only the join strategy depends on it, never the result."""
+    width = F.lit(16)
+    for f in df.schema:
+        size = F.octet_length(f.name) if f.dataType.simpleString() in ("string", "binary") else F.lit(8)
+        width = width + F.coalesce(size, F.lit(0))
+    size = df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 # Name rules for channels and users.
@@ -145,16 +140,14 @@ def matched_any(matches: DataFrame, key: str = "doc_id") -> DataFrame:
     return matches.groupBy(key).agg(F.count(F.lit(1)).alias("n_xpaths"))
 
 
-def xpath_map(subs: DataFrame, sep: str = ",") -> DataFrame:
-    """A1: xpath -> its channels, sorted (rendered with ``sep``)."""
-    return subs.groupBy("xpath").agg(
-        F.array_join(F.array_sort(F.collect_set("channel")), sep).alias("channels"))
+def xpath_map(subs: DataFrame) -> DataFrame:
+    """A1: xpath -> its channels, a row each (an expression may have any number)."""
+    return subs.select("xpath", "channel").distinct()
 
 
-def user_channels(channels: DataFrame, sep: str = ",") -> DataFrame:
-    """A3: owner -> the owner's channel names in key order."""
-    return channels.groupBy("owner").agg(
-        F.array_join(F.array_sort(F.collect_set("channel")), sep).alias("channels"))
+def user_channels(channels: DataFrame) -> DataFrame:
+    """A3: owner -> the owner's channels, a row each."""
+    return channels.select("owner", "channel").distinct()
 
 
 def channel_status(channels: DataFrame, channel_pages: DataFrame) -> DataFrame:

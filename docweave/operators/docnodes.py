@@ -15,101 +15,70 @@ from pyspark.sql import functions as F
 
 from ..functions.dom import html_nodes, xml_nodes
 
-NODE_SCHEMA = ("doc_id long, path string, name string, depth int, text string, "
-               "attrs map<string,string>")
-HITS_SCHEMA = NODE_SCHEMA + ", hits array<string>"
-
-_ARROW_SCHEMA = pa.schema([
-    ("doc_id", pa.int64()), ("path", pa.string()), ("name", pa.string()),
-    ("depth", pa.int32()), ("text", pa.string()),
-    ("attrs", pa.map_(pa.string(), pa.string())),
-])
-_HITS_ARROW_SCHEMA = _ARROW_SCHEMA.append(pa.field("hits", pa.list_(pa.string())))
-
-
-def _automata(literals):
-    """path -> Aho-Corasick automaton over that path's substring literals."""
-    import ahocorasick
-    out = {}
-    for path, lit in literals:
-        a = out.get(path)
-        if a is None:
-            a = out[path] = ahocorasick.Automaton()
-        a.add_word(lit, lit)
-    for a in out.values():
-        a.make_automaton()
-    return out
-
-
-def _parse_batches(batches, default_kind: str, literals=None):
-    auto = _automata(literals) if literals is not None else None
-    for b in batches:
-        ids = b.column(0).to_pylist()
-        bodies = b.column(1).to_pylist()
-        kinds = b.column(2).to_pylist() if b.num_columns > 2 else [default_kind] * len(ids)
-        cols = ([], [], [], [], [], [], [])
-        for doc_id, body, kind in zip(ids, bodies, kinds):
-            parse = html_nodes if kind == "html" else xml_nodes
-            try:
-                rows = parse(body)
-            except Exception as e:  # malformed input: keep the job alive
-                rows = [(None, "#error", 0, f"{type(e).__name__}: {e}", {})]
-            for path, name, depth, text, attrs in rows:
-                cols[0].append(doc_id); cols[1].append(path); cols[2].append(name)
-                cols[3].append(depth); cols[4].append(text)
-                cols[5].append(list(attrs.items()))
-                if auto is not None:
-                    a = auto.get(path)
-                    cols[6].append(sorted({lit for _, lit in a.iter(text)})
-                                   if a is not None and text else None)
-        schema = _HITS_ARROW_SCHEMA if auto is not None else _ARROW_SCHEMA
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, type=t) for c, t in zip(cols, schema.types)], schema=schema)
+NODE_FIELDS = "path string, name string, depth int, text string, attrs map<string,string>"
+_NODE_TYPES = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.map_(pa.string(), pa.string())]
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin small inputs over at least ``min_partitions`` tasks (default:
-    the cluster's default parallelism) before CPU-heavy parsing.
+def _schema(df: DataFrame, fields: str) -> str:
+    """``doc_id`` in its own type (ids may be urls or paths), then ``fields``."""
+    return f"doc_id {df.schema['doc_id'].dataType.simpleString()}, {fields}"
 
-    Decided from the scanned bytes (sum of the plan's leaf sizes), without
-    running anything: an input smaller than one file split per core may arrive
-    as a single partition, and moving it is cheap; a larger input already
-    arrives in many splits and is left alone (no extra shuffle of documents).
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 << 20)).rstrip("b"))
+
+def _batch(ids, source: pa.RecordBatch, columns, types, names) -> pa.RecordBatch:
+    arrays = [pa.array(ids, type=source.schema.field(0).type)]
+    return pa.RecordBatch.from_arrays(arrays + [pa.array(c, type=t) for c, t in zip(columns, types)], names)
+
+
+def parse_nodes(body: str | None, kind: str, every_node: bool = False):
+    """(nodes, None) of a document, or ([], message) when it does not parse."""
     try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
-        est = sum(v if isinstance(v, int) else int(v.toString()) for v in sizes)
-    except Exception:  # estimate unavailable: leave the partitioning alone
+        return (html_nodes if kind == "html" else xml_nodes)(body, every_node=every_node), None
+    except Exception as e:  # malformed input: keep the job alive
+        return [], f"{type(e).__name__}: {e}"
+
+
+def _parse_batches(batches):
+    names = ["doc_id", "path", "name", "depth", "text", "attrs"]
+    for b in batches:
+        ids, cols = [], ([], [], [], [], [])
+        for doc_id, body, kind in zip(*(b.column(i).to_pylist() for i in range(3))):
+            rows, error = parse_nodes(body, kind)
+            if error is not None:
+                rows = [(None, "#error", 0, error, {})]
+            for row in rows:
+                ids.append(doc_id)
+                for c, v in zip(cols, (*row[:4], list(row[4].items()))):
+                    c.append(v)
+        yield _batch(ids, b, cols, _NODE_TYPES, names)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Deal a batch input round-robin over at least ``min_partitions`` tasks (default:
+    the cluster's default parallelism) before CPU-heavy parsing, when it comes in
+    fewer partitions than that.  An input behind a shuffle is left as it is."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in df._jdf.queryExecution().sparkPlan().toString() or "Join" in df._jdf.queryExecution().sparkPlan().toString():
         return df
-    if est < split * want:
-        return df.repartition(want)
-    return df
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+def _source(df: DataFrame, id_col: str, body_col: str, kind: str, kind_col: str | None = None, carry=()) -> DataFrame:
+    from ..session import ship_package
+    ship_package(df.sparkSession)
+    src = df.select(F.col(id_col).alias("doc_id"), F.col(body_col).alias("body"),
+                    (F.col(kind_col) if kind_col else F.lit(kind)).alias("kind"), *carry)
+    return src if df.isStreaming else spread(src)
 
 
 def doc_nodes(df: DataFrame, id_col: str = "doc_id", body_col: str = "body",
-              kind: str = "xml", kind_col: str | None = None,
-              contains_literals: list[tuple[str, str]] | None = None) -> DataFrame:
+              kind: str = "xml", kind_col: str | None = None) -> DataFrame:
     """Node table ``(doc_id, path, name, depth, text, attrs)``.
 
     ``kind`` is ``"xml"`` or ``"html"``; with ``kind_col`` the per-row value
     (``html`` -> HTML parser, anything else -> XML parser) decides.
-
-    With ``contains_literals`` (``(path, literal)`` pairs, a bounded list) each
-    node also gets ``hits``: the literals of its path found in its text, by one
-    Aho-Corasick pass over the text in the parsing task.
     """
-    cols = [F.col(id_col).cast("long").alias("doc_id"), F.col(body_col).alias("body")]
-    if kind_col is not None:
-        cols.append(F.col(kind_col).alias("kind"))
-    if contains_literals is not None:
-        lits = sorted(set(contains_literals))
-        return spread(df.select(*cols)).mapInArrow(
-            lambda it: _parse_batches(it, kind, lits), HITS_SCHEMA)
-    return spread(df.select(*cols)).mapInArrow(lambda it: _parse_batches(it, kind), NODE_SCHEMA)
+    src = _source(df, id_col, body_col, kind, kind_col)
+    return src.mapInArrow(_parse_batches, _schema(src, NODE_FIELDS))
 
 
 def node_rows(nodes: DataFrame) -> DataFrame:
@@ -121,90 +90,68 @@ def parse_errors(nodes: DataFrame) -> DataFrame:
     return nodes.where(F.col("path").isNull()).select("doc_id", F.col("text").alias("error"))
 
 
-_OUTLINE_SCHEMA = pa.schema([
-    ("doc_id", pa.int64()), ("seq", pa.int32()), ("depth", pa.int32()), ("path", pa.string()),
-    ("name", pa.string()), ("value", pa.string()), ("attrs", pa.string()),
-])
-OUTLINE_SCHEMA = ("doc_id long, seq int, depth int, path string, name string, value string, "
-                  "attrs string")
+OUTLINE_FIELDS = "seq int, depth int, path string, name string, value string, attrs string"
+_OUTLINE_TYPES = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string()]
 
 _MAP_TYPE = pa.map_(pa.string(), pa.struct([
     ("text", pa.string()), ("attrs", pa.map_(pa.string(), pa.string()))]))
-_MAP_SCHEMA = pa.schema([("doc_id", pa.int64()), ("nodes", _MAP_TYPE), ("error", pa.string())])
-NODE_MAP_SCHEMA = ("doc_id long, nodes map<string, struct<text: string, attrs: map<string,string>>>, "
-                   "error string")
+MAP_FIELDS = "nodes map<string, struct<text: string, attrs: map<string,string>>>, error string"
 
 
 def _attr_text(attrs: dict) -> str:
     return " ".join(f"{k}={attrs[k]}" for k in sorted(attrs))
 
 
-def _outline_batches(batches, kind: str):
+def _outline_batches(batches):
+    names = ["doc_id", "seq", "depth", "path", "name", "value", "attrs"]
     for b in batches:
-        ids = b.column(0).to_pylist()
-        bodies = b.column(1).to_pylist()
-        cols = ([], [], [], [], [], [], [])
-        for doc_id, body in zip(ids, bodies):
-            parse = html_nodes if kind == "html" else xml_nodes
-            try:
-                rows = parse(body, every_node=True)
-            except Exception as e:  # malformed input: one error row
-                rows = [(None, "#error", 0, f"{type(e).__name__}: {e}", {})]
+        ids, cols = [], ([], [], [], [], [], [])
+        for doc_id, body, kind in zip(*(b.column(i).to_pylist() for i in range(3))):
+            rows, error = parse_nodes(body, kind, every_node=True)
+            if error is not None:
+                rows = [(None, "#error", 0, error, {})]
             for seq, (path, name, depth, text, attrs) in enumerate(rows):
-                for c, v in zip(cols, (doc_id, seq, depth, path, name, text, _attr_text(attrs))):
+                ids.append(doc_id)
+                for c, v in zip(cols, (seq, depth, path, name, text, _attr_text(attrs))):
                     c.append(v)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, type=t) for c, t in zip(cols, _OUTLINE_SCHEMA.types)],
-            schema=_OUTLINE_SCHEMA)
+        yield _batch(ids, b, cols, _OUTLINE_TYPES, names)
 
 
 def doc_outline(df: DataFrame, id_col: str = "doc_id", body_col: str = "body",
-                kind: str = "xml") -> DataFrame:
+                kind: str = "xml", kind_col: str | None = None) -> DataFrame:
     """X11: every element in document order: ``doc_id, seq, depth, path, name, value, attrs``.
 
     ``path`` is null for elements that no expression can reach (not first of
     their name); ``attrs`` is ``k=v`` pairs in key order.
     """
-    src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(body_col).alias("body"))
-    return spread(src).mapInArrow(lambda it: _outline_batches(it, kind), OUTLINE_SCHEMA)
+    src = _source(df, id_col, body_col, kind, kind_col)
+    return src.mapInArrow(_outline_batches, _schema(src, OUTLINE_FIELDS))
 
 
-def _map_batches(batches, kind: str, schema=_MAP_SCHEMA):
+def _map_batches(batches):
     for b in batches:
-        ids = b.column(0).to_pylist()
-        bodies = b.column(1).to_pylist()
         maps, errs = [], []
-        for body in bodies:
-            parse = html_nodes if kind == "html" else xml_nodes
-            try:
-                rows = parse(body)
-                maps.append([(path, {"text": text, "attrs": list(attrs.items())})
-                             for path, _n, _d, text, attrs in rows])
-                errs.append(None)
-            except Exception as e:  # malformed input
-                maps.append([])
-                errs.append(f"{type(e).__name__}: {e}")
-        extra = [b.column(i) for i in range(2, b.num_columns)]
+        for body, kind in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            rows, error = parse_nodes(body, kind)
+            maps.append([(path, {"text": text, "attrs": list(attrs.items())})
+                         for path, _n, _d, text, attrs in rows])
+            errs.append(error)
+        extra = list(range(3, b.num_columns))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, type=pa.int64()), pa.array(maps, type=_MAP_TYPE),
-             pa.array(errs, type=pa.string())] + extra,
-            schema=pa.schema(list(_MAP_SCHEMA) + [b.schema.field(i) for i in range(2, b.num_columns)]))
+            [b.column(0), pa.array(maps, type=_MAP_TYPE), pa.array(errs, type=pa.string()), *(b.column(i) for i in extra)],
+            ["doc_id", "nodes", "error", *(b.schema.field(i).name for i in extra)])
 
 
 def doc_node_map(df: DataFrame, id_col: str = "doc_id", body_col: str = "body",
-                 kind: str = "xml", carry=()) -> DataFrame:
+                 kind: str = "xml", carry=(), kind_col: str | None = None) -> DataFrame:
     """One row per document: ``doc_id, nodes map<path, struct<text, attrs>>, error``
     (+ ``carry`` columns passed through unchanged).
 
     Built inside the parsing task: no shuffle, one row in, one row out.
     """
-    src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(body_col).alias("body"),
-                    *carry)
-    schema = NODE_MAP_SCHEMA + "".join(
-        f", {c} {df.schema[c].dataType.simpleString()}" for c in carry)
-    if not df.isStreaming:
-        src = spread(src)
-    return src.mapInArrow(lambda it: _map_batches(it, kind), schema)
+    src = _source(df, id_col, body_col, kind, kind_col, carry)
+    fields = MAP_FIELDS + "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in carry)
+    return src.mapInArrow(_map_batches, _schema(src, fields))
 
 
 def node_attrs_text(attrs: F.Column) -> F.Column:

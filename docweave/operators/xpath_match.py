@@ -1,27 +1,30 @@
 """Compile expressions to atoms and match documents.
 
-Matching M documents against N expressions is an equi-join of the node table
-with the atom table on ``path``, a per-kind residual predicate, and a
-relational division (count satisfied atoms per (document, expression) and keep
-groups where the count equals the expression's atom count).  The aggregate is
-partial (map-side) + final, keyed by (doc_id, xpath) which is never skewed.
-
-The atom table is broadcast only when its row count is at most
-``max_broadcast_atoms`` (counted, not guessed).  Beyond that both sides are
-shuffled on ``(path, salt)``: node rows get a salt from their document id and
-atom rows are replicated once per salt, so one hot path (``/html/body``...)
-is spread over ``salts`` tasks instead of one.
+Navigation takes the first child of a name, so a path names at most one node of a
+document and an expression is a set of atoms on paths.  Documents are parsed and
+matched in one ``mapInArrow`` pass: every node looks up its path in an index of all
+atoms (exact text and attribute values by hash, substrings by one Aho-Corasick scan
+a path), and an expression matches when all its atoms were met.  The decision is
+made inside the document, so ids may be of any type and may repeat; nothing is
+shuffled and streams need no state.
+
+The index is broadcast in blocks of at most ``block_atoms`` atoms.  A larger
+expression set becomes several blocks, each matched in a pass of its own, so there
+is no limit to it and no task holds more than a block.
 """
 
 from __future__ import annotations
 
+import functools
+
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.xpath_grammar import compile_xpath
+from .docnodes import parse_nodes, spread
 
 ATOM_TYPE = T.ArrayType(T.StructType([
     T.StructField("path", T.StringType()),
@@ -34,9 +37,7 @@ COMPILED_TYPE = T.StructType([
     T.StructField("atoms", ATOM_TYPE),
 ])
 
-DEFAULT_MAX_BROADCAST_ATOMS = 200_000
-DEFAULT_SALTS = 32
-DEFAULT_MAX_LITERALS = 200_000
+BLOCK_ATOMS = 200_000
 
 
 @F.pandas_udf(COMPILED_TYPE)
@@ -59,11 +60,9 @@ def compile_xpaths(xpaths: DataFrame, col: str = "xpath") -> DataFrame:
     c = (xpaths.select(F.col(col).alias("xpath")).where(F.col("xpath").isNotNull())
          .distinct()
          .withColumn("c", _compile_udf(F.col("xpath"))))
-    # the expression table feeds several counted size checks and the join:
-    # keep it once instead of re-running the compiler for each
     return c.select("xpath", F.col("c.valid").alias("valid"),
                     F.size("c.atoms").cast("int").alias("n_atoms"),
-                    F.col("c.atoms").alias("atoms")).persist(StorageLevel.MEMORY_AND_DISK)
+                    F.col("c.atoms").alias("atoms"))
 
 
 def atom_table(compiled: DataFrame) -> DataFrame:
@@ -74,248 +73,175 @@ def atom_table(compiled: DataFrame) -> DataFrame:
                     "a.path", "a.kind", "a.attr", "a.lit"))
 
 
-# Atom kinds become join keys: an exact atom (exists / text / attr) matches a
-# node *fact* with the same (path, kind, key); a substring atom matches every
-# text fact of its path with key "*" and keeps a residual ``contains``.
-_SEP = "\u0000"
-
-
-def node_facts(nodes: DataFrame) -> DataFrame:
-    """``(doc_id, path, kind, key, text)``: one fact per node (exists), per text
-    (exact text and a substring candidate) and per attribute.  One generator
-    over the node table: the parse runs once."""
-    nd = nodes.where(F.col("path").isNotNull())
-    pre = "hits" in nodes.columns   # substring hits already found while parsing
-    e = F.array(F.struct(F.lit("e").alias("kind"), F.lit("").alias("key"),
-                         F.lit(None).cast("string").alias("text")))
-    empty = F.array().cast("array<struct<kind:string,key:string,text:string>>")
-    t_fact = F.struct(F.lit("t").alias("kind"), F.col("text").alias("key"),
-                      F.lit(None).cast("string").alias("text"))
-    if pre:
-        t = F.when(F.col("text").isNotNull(), F.array(t_fact)).otherwise(empty)
-        c = F.transform(F.coalesce(F.col("hits"), F.array().cast("array<string>")),
-                        lambda h: F.struct(F.lit("c").alias("kind"), h.alias("key"),
-                                           F.lit(None).cast("string").alias("text")))
-        t = F.concat(t, c)
-    else:
-        t = F.when(F.col("text").isNotNull(), F.array(
-            t_fact,
-            F.struct(F.lit("c").alias("kind"), F.lit("*").alias("key"), F.col("text").alias("text")))
-        ).otherwise(empty)
-    a = F.transform(F.map_entries("attrs"), lambda x: F.struct(
-        F.lit("a").alias("kind"), F.concat(x["key"], F.lit(_SEP), x["value"]).alias("key"),
-        F.lit(None).cast("string").alias("text")))
-    return nd.select("doc_id", "path", F.explode(F.concat(e, t, a)).alias("f")).select(
-        "doc_id", "path", "f.kind", "f.key", "f.text")
-
-
-def atom_keys(atoms: DataFrame, prefound: bool = False) -> DataFrame:
-    """``(xpath, n_atoms, path, kind, key, lit)`` with the join key of each atom.
-
-    With ``prefound`` substring atoms are keyed by their literal (the facts
-    carry literals already found in the text); otherwise by ``*`` with the
-    literal kept for the residual ``contains``."""
-    k = F.col("kind")
-    return atoms.select(
-        "xpath", "n_atoms", "path",
-        F.when(k == "exists", "e").when(k == "text", "t").when(k == "attr", "a")
-         .otherwise("c").alias("kind"),
-        F.when(k == "exists", F.lit("")).when(k == "text", F.col("lit"))
-         .when(k == "attr", F.concat(F.col("attr"), F.lit(_SEP), F.col("lit")))
-         .otherwise(F.col("lit") if prefound else F.lit("*")).alias("key"),
-        F.when((k == "contains") & F.lit(not prefound), F.col("lit")).alias("lit"))
-
-
-def atom_stats(atoms: DataFrame) -> dict:
-    """All size checks of an atom table in one job: rows, distinct expressions,
-    distinct 64-bit ids, distinct substring literals."""
-    r = atoms.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.countDistinct("xpath").alias("xpaths"),
-        F.countDistinct(F.xxhash64("xpath")).alias("xids"),
-        F.countDistinct(F.when(F.col("kind") == "contains", F.struct("path", "lit"))).alias("lits"),
-    ).first()
-    return r.asDict()
-
-
-def match_nodes(nodes: DataFrame, atoms: DataFrame,
-                max_broadcast_atoms: int = DEFAULT_MAX_BROADCAST_ATOMS,
-                salts: int = DEFAULT_SALTS, n_atoms: int | None = None,
-                stats: dict | None = None) -> DataFrame:
-    """``(doc_id, xpath)`` for every document that satisfies every atom.
-
-    ``nodes`` is a node table (``doc_nodes``); ``atoms`` is ``atom_table``.
-    Facts and atoms meet in one equi-join on ``(path, kind, key)``: exact atoms
-    only produce rows that hold; substring atoms produce one candidate per text
-    of their path and are filtered by ``contains``.
-    """
-    facts = node_facts(nodes)
-    prefound = "hits" in nodes.columns
-    at = atom_keys(atoms, prefound).withColumn("xid", F.xxhash64("xpath"))
-    stats = stats or atom_stats(atoms)
-    if n_atoms is None:
-        n_atoms = stats["rows"]
-    use_ids = stats["xpaths"] == stats["xids"]
-    keys = ["path", "kind", "key"]
-    if n_atoms <= max_broadcast_atoms:
-        joined = facts.join(F.broadcast(at), keys)
-    else:
-        facts = facts.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-        at = at.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = facts.join(at, keys + ["salt"])
-    hits = joined if prefound else joined.where(
-        (F.col("kind") != "c") | F.contains(F.col("text"), F.col("lit")))
-    if not use_ids:
-        return (hits.groupBy("doc_id", "xpath", "n_atoms")
-                .agg(F.count(F.lit(1)).alias("n_hit"))
-                .where(F.col("n_hit") == F.col("n_atoms"))
-                .select("doc_id", "xpath"))
-    # group on a 64-bit expression id (collision-free, checked above) instead of
-    # the expression text; the text comes back through a small join
-    done = (hits.groupBy("doc_id", "xid", "n_atoms")
-            .agg(F.count(F.lit(1)).alias("n_hit"))
-            .where(F.col("n_hit") == F.col("n_atoms")))
-    names = atoms.select(F.xxhash64("xpath").alias("xid"), "xpath").distinct()
-    if n_atoms <= max_broadcast_atoms:
-        names = F.broadcast(names)
-    return done.join(names, "xid").select("doc_id", "xpath")
-
-
-def match_documents(docs: DataFrame, xpaths: DataFrame, id_col: str = "doc_id",
-                    body_col: str = "body", kind: str = "xml",
-                    xpath_col: str = "xpath", **kw) -> DataFrame:
-    """Parse + compile + match in one plan: ``(doc_id, xpath)``."""
-    atoms = atom_table(compile_xpaths(xpaths, xpath_col))
-    return match_parsed(docs, atoms, id_col, body_col, kind, **kw)
-
-
-def match_parsed(docs: DataFrame, atoms: DataFrame, id_col: str = "doc_id",
-                 body_col: str = "body", kind: str = "xml", **kw) -> DataFrame:
-    """Parse ``docs`` for ``atoms`` and match, with all size checks in one job."""
-    stats = atom_stats(atoms)
-    return match_nodes(nodes_for(docs, atoms, id_col, body_col, kind, stats=stats), atoms,
-                       stats=stats, **kw)
-
-
-def contains_literals(atoms: DataFrame, max_literals: int = DEFAULT_MAX_LITERALS,
-                      stats: dict | None = None):
-    """Distinct ``(path, literal)`` of the substring atoms, or None when there
-    are more than ``max_literals`` (then the join-side residual is used)."""
-    n = (stats or atom_stats(atoms))["lits"]
-    if n > max_literals:
-        return None
-    if n == 0:
-        return []
-    lits = atoms.where(F.col("kind") == "contains").select("path", "lit").distinct()
-    return [(r["path"], r["lit"]) for r in lits.collect()]
-
-
-def nodes_for(docs: DataFrame, atoms: DataFrame, id_col: str = "doc_id", body_col: str = "body",
-              kind: str = "xml", max_literals: int = DEFAULT_MAX_LITERALS,
-              stats: dict | None = None) -> DataFrame:
-    """Parse documents for matching against ``atoms``: substring literals are
-    searched while parsing (Aho-Corasick) when pyahocorasick is installed and
-    the literal set is within ``max_literals``."""
-    from .docnodes import doc_nodes
-    lits = None
-    try:
-        import ahocorasick  # noqa: F401
-        lits = contains_literals(atoms, max_literals, stats)
-    except ImportError:
-        pass
-    return doc_nodes(docs, id_col, body_col, kind, contains_literals=lits)
-
-
-def truth_vectors(docs: DataFrame, compiled: DataFrame, matches: DataFrame,
-                  max_xpaths: int = 10_000) -> DataFrame:
-    """Per document the full truth vector (the reference's ``boolean[]``).
-
-    ``truth`` holds one ``1``/``0`` per expression in expression order, plus
-    ``n_true`` / ``n_false``.  No document x expression pairs are materialised:
-    each document collects only its own matches (at most one per expression)
-    and the vector is computed inside the row against the expression list,
-    whose size is counted before it is shipped with the plan.
-    """
-    xp = compiled.select("xpath").distinct()
-    if xp.count() > max_xpaths:
-        raise ValueError("expression set too large for truth vectors")
-    names = sorted(r["xpath"] for r in xp.collect())
-    arr = F.array(*[F.lit(x) for x in names]) if names else F.array().cast("array<string>")
-    hits = matches.groupBy("doc_id").agg(F.collect_set("xpath").alias("hit"))
-    hit = F.coalesce(F.col("hit"), F.array().cast("array<string>"))
-    return (docs.select("doc_id").join(hits, "doc_id", "left")
-            .select("doc_id",
-                    F.size(hit).cast("long").alias("n_true"),
-                    (F.lit(len(names)) - F.size(hit)).cast("long").alias("n_false"),
-                    F.array_join(F.transform(arr, lambda x: F.when(
-                        F.array_contains(hit, x), "1").otherwise("0")), "").alias("truth")))
-
-
-# --- X12: row-wise evaluation ------------------------------------------------
-
-def _matched_xpaths(compiled: DataFrame, max_xpaths: int):
-    """Column: array of expressions whose atoms all hold in ``nodes`` (or None)."""
-    exprs = compiled.where("valid").select("xpath", "atoms")
-    if exprs.count() > max_xpaths:
-        raise ValueError("too many expressions for row-wise matching; use match_nodes")
-    rows = exprs.collect()
-    if not rows:
-        return None
-    lit_arr = F.array(*[
-        F.struct(F.lit(r["xpath"]).alias("xpath"),
-                 F.array(*[F.struct(F.lit(a["path"]).alias("path"), F.lit(a["kind"]).alias("kind"),
-                                    F.lit(a["attr"]).cast("string").alias("attr"),
-                                    F.lit(a["lit"]).cast("string").alias("lit"))
-                           for a in r["atoms"]]).alias("atoms"))
-        for r in rows])
-
-    def holds(a):
-        node = F.try_element_at(F.col("nodes"), a["path"])
-        return (F.when(a["kind"] == "exists", node.isNotNull())
-                .when(a["kind"] == "text", F.coalesce(node["text"] == a["lit"], F.lit(False)))
-                .when(a["kind"] == "contains",
-                      F.coalesce(F.contains(node["text"], a["lit"]), F.lit(False)))
-                .otherwise(F.coalesce(F.try_element_at(node["attrs"], a["attr"]) == a["lit"],
-                                      F.lit(False))))
-
-    matched = F.filter(lit_arr, lambda x: F.forall(x["atoms"], holds))
-    return F.transform(matched, lambda x: x["xpath"])
-
-
-def match_rowwise(node_maps: DataFrame, compiled: DataFrame,
-                  max_xpaths: int = 5_000) -> DataFrame:
-    """Evaluate all expressions inside each document row, no join, no state.
-
-    ``node_maps`` comes from ``docnodes.doc_node_map`` (one row per document).
-    The compiled expression set becomes one literal array (its size is counted
-    first and must stay under ``max_xpaths``); each row keeps the expressions
-    whose atoms all hold, so only matches leave the row.  Suited to streams.
-    """
-    arr = _matched_xpaths(compiled, max_xpaths)
-    if arr is None:
-        return node_maps.select("doc_id", F.lit(None).cast("string").alias("xpath")).limit(0)
-    return node_maps.select("doc_id", F.explode(arr).alias("xpath"))
-
-
-def channels_rowwise(node_maps: DataFrame, compiled: DataFrame, subs: DataFrame,
-                     max_xpaths: int = 5_000, max_subs: int = 20_000, keep=()) -> DataFrame:
-    """X12 + J3: ``(doc_id, channel)`` straight from each document row.
-
-    Each document's matched expressions are mapped to their channels inside
-    the row (the subscription table travels as a literal map after its size
-    is counted) and de-duplicated there, so a stream needs no state to credit
-    a document once per channel.
-    """
-    if subs.count() > max_subs:
-        raise ValueError("subscription table too large for row-wise fan-out; use fan_out")
-    pairs: dict[str, list[str]] = {}
-    for r in subs.select("xpath", "channel").distinct().collect():
-        pairs.setdefault(r["xpath"], []).append(r["channel"])
-    used = compiled.where(F.col("xpath").isin(list(pairs))) if pairs else compiled.limit(0)
-    arr = _matched_xpaths(used, max_xpaths)
-    if arr is None:
-        return node_maps.select("doc_id", *keep, F.lit(None).cast("string").alias("channel")).limit(0)
-    cmap = F.create_map(*[x for xp, chs in sorted(pairs.items())
-                          for x in (F.lit(xp), F.array(*[F.lit(c) for c in sorted(chs)]))])
-    chans = F.array_distinct(F.flatten(F.transform(arr, lambda x: F.element_at(cmap, x))))
-    return node_maps.select("doc_id", *keep, F.explode(chans).alias("channel"))
+class AtomIndex:
+    """All atoms of a block of expressions by path; built on first use in a worker."""
+
+    def __init__(self, rows: list[tuple]):
+        self.rows = rows            # (expression, atoms as (path, kind, attr, lit))
+        self.by_path = None
+
+    def __getstate__(self):
+        return {"rows": self.rows, "by_path": None}
+
+    def build(self) -> None:
+        by_path: dict[str, dict] = {}
+        for x, (_, atoms) in enumerate(self.rows):
+            for path, kind, attr, lit in atoms:
+                at = by_path.setdefault(path, {"exists": [], "text": {}, "attr": {}, "contains": {}})
+                if kind == "exists":
+                    at["exists"].append(x)
+                else:
+                    key = (attr, lit) if kind == "attr" else lit
+                    at[kind].setdefault(key, []).append(x)
+        for at in by_path.values():
+            at["scan"] = _scanner(at["contains"])
+        self.need = [len(atoms) for _, atoms in self.rows]
+        self.by_path = by_path
+
+    def match(self, nodes) -> list[int]:
+        """Numbers of the expressions that hold in a document's nodes, ascending."""
+        if self.by_path is None:
+            self.build()
+        met: dict[int, int] = {}
+
+        def meet(xs):
+            for x in xs:
+                met[x] = met.get(x, 0) + 1
+        for path, _name, _depth, text, attrs in nodes:
+            at = self.by_path.get(path)
+            if at is None:
+                continue
+            meet(at["exists"])
+            if text is not None:
+                meet(at["text"].get(text, ()))
+                for xs in at["scan"](text):
+                    meet(xs)
+            for key in attrs.items() if at["attr"] else ():
+                meet(at["attr"].get(key, ()))
+        return sorted(x for x, n in met.items() if n == self.need[x])
+
+
+def _scanner(literals: dict[str, list[int]]):
+    """text -> expressions of each literal that it contains."""
+    if not literals:
+        return lambda text: ()
+    plain = {k: v for k, v in literals.items() if k}
+    always = [v for k, v in literals.items() if not k]
+    import ahocorasick
+    machine = ahocorasick.Automaton()
+    for lit, xs in plain.items():
+        machine.add_word(lit, (lit, xs))
+    if plain:
+        machine.make_automaton()
+
+    def scan(text):
+        found = {lit: xs for _, (lit, xs) in machine.iter(text)} if plain else {}
+        return [*found.values(), *always]
+    return scan
+
+
+def expression_blocks(compiled: DataFrame, block_atoms: int = BLOCK_ATOMS) -> list:
+    """The valid expressions as broadcast indexes of about ``block_atoms`` atoms each."""
+    valid = compiled.where("valid")
+    total = valid.agg(F.coalesce(F.sum("n_atoms"), F.lit(0))).first()[0]
+    n = max(1, -(-total // block_atoms))
+    out = []
+    for b in range(n):
+        part = valid.where(F.pmod(F.xxhash64("xpath"), F.lit(n)) == b) if n > 1 else valid
+        rows = [(r["xpath"], [tuple(a) for a in r["atoms"]]) for r in part.select("xpath", "atoms").orderBy("xpath").collect()]
+        out.append(compiled.sparkSession.sparkContext.broadcast(AtomIndex(rows)))
+    return out
+
+
+def _row_local(docs: DataFrame, id_col: str, body_col: str, kind: str, kind_col: str | None, keep, out: str, emit):
+    """One parsing pass: ``emit(nodes)`` gives the values of column ``out`` that a
+    document yields (nodes: None where it does not parse), next to its id and the
+    ``keep`` columns."""
+    from ..session import ship_package
+    ship_package(docs.sparkSession)
+    cols = [F.col(id_col).alias("doc_id"), F.col(body_col).alias("body"),
+            (F.col(kind_col) if kind_col else F.lit(kind)).alias("kind"), *keep]
+    src = docs.select(*cols)
+    if not docs.isStreaming:
+        src = spread(src)
+    name, kind_of = out.split()
+
+    def run(batches):
+        for b in batches:
+            index, values = [], []
+            for i, (body, k) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
+                nodes, error = parse_nodes(body, k)
+                for v in emit(nodes if error is None else None):
+                    index.append(i)
+                    values.append(v)
+            rows = b.select([0, *range(3, b.num_columns)]).take(pa.array(index, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(values, pa.string())], [*rows.schema.names, name])
+    schema = T.StructType([src.schema["doc_id"], *(src.schema[c] for c in keep)])
+    return src.mapInArrow(run, schema.add(name, kind_of))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def match_compiled(docs: DataFrame, compiled: DataFrame, id_col: str = "doc_id", body_col: str = "body",
+                   kind: str = "xml", kind_col: str | None = None, keep=(), block_atoms: int = BLOCK_ATOMS) -> DataFrame:
+    """``(doc_id, xpath)`` (and ``keep``) for every document row and every
+    expression that holds in it.  ``kind_col`` names a column that picks the parser of
+    each row (``html``, anything else is XML).  Batch or streaming."""
+    def emit(held):
+        def run(nodes):
+            index = held.value
+            return [index.rows[x][0] for x in index.match(nodes or ())]
+        return run
+    return _union([_row_local(docs, id_col, body_col, kind, kind_col, keep, "xpath string", emit(b))
+                   for b in expression_blocks(compiled, block_atoms)])
+
+
+def match_documents(docs: DataFrame, xpaths: DataFrame, id_col: str = "doc_id", body_col: str = "body",
+                    kind: str = "xml", xpath_col: str = "xpath", **how) -> DataFrame:
+    """Compile, parse and match: ``(doc_id, xpath)``."""
+    return match_compiled(docs, compile_xpaths(xpaths, xpath_col), id_col, body_col, kind, **how)
+
+
+def match_channels(docs: DataFrame, subs: DataFrame, id_col: str = "doc_id", body_col: str = "body", kind: str = "xml",
+                   kind_col: str | None = None, keep=(), block_atoms: int = BLOCK_ATOMS) -> DataFrame:
+    """X12 + J3: ``(doc_id, channel)``, each channel once a document row.  An
+    expression travels with its channels; those of one channel share a block."""
+    compiled = compile_xpaths(subs).where("valid")
+    rows = subs.select("xpath", "channel").distinct().join(compiled, "xpath")
+    total = rows.agg(F.coalesce(F.sum("n_atoms"), F.lit(0))).first()[0]
+    n = max(1, -(-total // block_atoms))
+    parts = []
+    for b in range(n):
+        part = rows.where(F.pmod(F.xxhash64("channel"), F.lit(n)) == b) if n > 1 else rows
+        pairs = part.select("channel", "atoms").orderBy("channel").collect()
+        held = docs.sparkSession.sparkContext.broadcast(AtomIndex([(r["channel"], [tuple(a) for a in r["atoms"]]) for r in pairs]))
+
+        def emit(nodes, held=held):
+            index = held.value
+            return dict.fromkeys(index.rows[x][0] for x in index.match(nodes or ()))
+        parts.append(_row_local(docs, id_col, body_col, kind, kind_col, keep, "channel string", emit))
+    return _union(parts)
+
+
+def truth_vectors(docs: DataFrame, compiled: DataFrame, id_col: str = "doc_id", body_col: str = "body",
+                  kind: str = "xml", kind_col: str | None = None, block_atoms: int = BLOCK_ATOMS) -> DataFrame:
+    """Per document row ``doc_id, n_true, n_false, truth``: one ``1``/``0`` per
+    expression in expression order (invalid ones are false).  Every block of the
+    expression set fills its places, so a worker holds the vector, as the row does."""
+    blocks = expression_blocks(compiled, block_atoms)
+    names = docs.sparkSession.sparkContext.broadcast(
+        {r["xpath"]: i for i, r in enumerate(compiled.select("xpath").distinct().orderBy("xpath").collect())})
+
+    def emit(nodes):
+        places = [names.value[b.value.rows[x][0]] for b in blocks for x in b.value.match(nodes or ())]
+        truth = bytearray(b"0" * len(names.value))
+        for i in places:
+            truth[i] = 49
+        return [truth.decode()]
+
+    out = _row_local(docs, id_col, body_col, kind, kind_col, (), "truth string", emit)
+    ones = F.length("truth") - F.length(F.translate("truth", "1", ""))
+    return out.select("doc_id", ones.cast("long").alias("n_true"),
+                      (F.length("truth") - ones).cast("long").alias("n_false"), "truth")

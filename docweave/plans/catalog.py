@@ -3,7 +3,7 @@
 Expression sets are query *parameters* (the standing queries); the documents
 they run over always come from the input tables.  Each order expression is
 listed with the SQL predicate that states the same condition on the base
-tables (``ox`` = order joined with its first line, see ``plans.oracle``).
+tables (``ox`` = order joined with its first line, see ``q_xpath.OX_CTE``).
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Engine tables derived from the input tables by Spark.
 
-Every builder here has a SQL twin in ``plans.oracle`` computing the same rows
+Every builder here has a SQL twin next to its queries computing the same rows
 from the same parquet files, which is what makes the document queries
 checkable against plain SQL.
 """
@@ -47,7 +47,8 @@ def order_xml_from(orders: DataFrame, lineitem: DataFrame, keep=()) -> DataFrame
              .agg(F.array_join(F.transform(F.array_sort(F.collect_list("ln")),
                                            lambda s: s["x"]), "").alias("lines")))
     o = orders.select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_orderdate", *keep)
-    return (o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
+    # never broadcast by an estimate: collected lists are larger than Spark guesses
+    return (o.join(lines.hint("merge"), o.o_orderkey == lines.l_orderkey, "left")
             .select(F.col("o_orderkey").alias("id"),
                     F.concat(F.lit('<g:order pri="'), _x("o_orderpriority"),
                              F.lit('"><status>'), _x("o_orderstatus"),

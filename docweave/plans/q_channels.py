@@ -72,24 +72,23 @@ class ChannelState:
         self.requests = req
         creates = req.where(F.col("kind") == "create")
         # every stage is small (one row per request / channel / expression) and
-        # feeds later counted size checks: keep each once instead of recomputing
-        # the chain from ``events`` for every check
+        # feeds several later ones: checkpointed, so none is computed from
+        # ``events`` again and nothing stays pinned in executors
         self.validated = ch.validate_requests(creates)
-        self.registered = ch.register_channels(self.validated).cache()
-        self.channels = ch.channels_of(self.registered).cache()
+        self.registered = ch.register_channels(self.validated).checkpoint()
+        self.channels = ch.channels_of(self.registered)
         self.items = ch.subscriptions_of(self.channels)          # every listed expression
-        self.valid = xm.xpath_valid(self.items.select("xpath").distinct()).cache()
-        self.subs = ch.subscriptions_of(self.channels, self.valid).cache()
+        self.valid = xm.xpath_valid(self.items.select("xpath").distinct())
+        self.subs = ch.subscriptions_of(self.channels, self.valid).checkpoint()
         dels = req.where(F.col("kind") == "delete").select("request_id", "owner", "channel")
-        self.deletions = ch.delete_channels(self.channels, dels).cache()
-        self.live = ch.live_channels(self.channels, self.deletions).cache()
-        self.live_subs = ch.purge_subscriptions(self.subs, self.live).cache()
+        self.deletions = ch.delete_channels(self.channels, dels).checkpoint()
+        self.live = ch.live_channels(self.channels, self.deletions).checkpoint()
+        self.live_subs = ch.purge_subscriptions(self.subs, self.live)
 
 
 def _matches(spark, sf_dir, subs):
     from .derived import order_xml
-    atoms = xm.atom_table(xm.compile_xpaths(subs.select("xpath").distinct()))
-    return xm.match_parsed(order_xml(spark, sf_dir), atoms, "id", "xml")
+    return xm.match_documents(order_xml(spark, sf_dir), subs.select("xpath").distinct(), "id", "xml")
 
 
 # --- SQL twins ----------------------------------------------------------------
@@ -236,10 +235,9 @@ def q_purge_subscriptions(spark, sf_dir):
 
 
 @query("xpath_map", sql=f"""{CH_SQL}
-SELECT xpath, string_agg(channel, ',' ORDER BY channel) AS channels
-FROM (SELECT DISTINCT xpath, channel FROM live_subs) GROUP BY xpath""")
+SELECT DISTINCT xpath, channel FROM live_subs""")
 def q_xpath_map(spark, sf_dir):
-    """A1: expression -> sorted channel list."""
+    """A1: expression -> its channels, one row each."""
     return ch.xpath_map(ChannelState(spark, sf_dir).live_subs)
 
 
@@ -250,9 +248,9 @@ def q_all_channels(spark, sf_dir):
 
 
 @query("user_channels", sql=f"""{CH_SQL}
-SELECT owner, string_agg(channel, ',' ORDER BY channel) AS channels FROM live GROUP BY owner""")
+SELECT DISTINCT owner, channel FROM live""")
 def q_user_channels(spark, sf_dir):
-    """A3: each user's live channels in key order."""
+    """A3: each user's live channels, one row each."""
     return ch.user_channels(ChannelState(spark, sf_dir).live)
 
 
@@ -270,8 +268,8 @@ def q_channel_diff(spark, sf_dir):
 def q_live_hits(spark, sf_dir):
     """J3 + J4 + A6: order documents credited to live channels."""
     st = ChannelState(spark, sf_dir)
-    m = _matches(spark, sf_dir, st.subs)
-    return ch.keep_live(ch.fan_out(m, st.subs), st.live).select("channel", "doc_id", "xpath")
+    hits = ch.fan_out(_matches(spark, sf_dir, st.live_subs), st.live_subs)     # dead channels are never matched
+    return ch.keep_live(hits, st.live).select("channel", "doc_id", "xpath")
 
 
 @query("new_hits", sql=f"""{CH_SQL},
@@ -283,7 +281,7 @@ def q_new_hits(spark, sf_dir):
     """Associations not present under the earlier snapshot."""
     now = ChannelState(spark, sf_dir)
     before = ChannelState(spark, sf_dir, CUTOFF)
-    m = _matches(spark, sf_dir, now.subs)
+    m = _matches(spark, sf_dir, now.live_subs.select("xpath").union(before.live_subs.select("xpath")))
     hits = ch.fan_out(m, now.live_subs)
     old = ch.fan_out(m, before.live_subs)
     return ch.new_associations(hits, old).select("channel", "doc_id", "xpath")
@@ -306,7 +304,7 @@ FROM live l LEFT JOIN h USING (channel) GROUP BY l.channel""")
 def q_channel_status(spark, sf_dir):
     """Per live channel, attached documents and ``empty`` status."""
     st = ChannelState(spark, sf_dir)
-    hits = ch.keep_live(ch.fan_out(_matches(spark, sf_dir, st.subs), st.subs), st.live)
+    hits = ch.fan_out(_matches(spark, sf_dir, st.live_subs), st.live_subs)
     pages = hits.select("channel", F.concat(F.lit("urn:order:"), F.col("doc_id").cast("string")).alias("url"))
     return ch.channel_status(st.live, pages)
 
@@ -318,7 +316,7 @@ UNION SELECT channel, 'urn:order:' || doc_id FROM h""")
 def q_channel_content(spark, sf_dir):
     """A4: a channel's stylesheet entry plus its document URLs, one row each."""
     st = ChannelState(spark, sf_dir)
-    hits = ch.keep_live(ch.fan_out(_matches(spark, sf_dir, st.subs), st.subs), st.live)
+    hits = ch.fan_out(_matches(spark, sf_dir, st.live_subs), st.live_subs)
     return (st.live.select("channel", F.concat(F.lit("!"), F.col("xsl_url")).alias("entry"))
             .unionByName(hits.select("channel", F.concat(F.lit("urn:order:"),
                                                          F.col("doc_id").cast("string")).alias("entry")))

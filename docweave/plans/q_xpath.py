@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import channels as ch
 from ..operators import docnodes as dn
 from ..operators import xpath_match as xm
 from .catalog import ORDER_SUBSCRIPTIONS, ORDER_XPATHS
@@ -51,8 +52,7 @@ def order_nodes(spark, sf_dir):
 
 def order_matches(spark, sf_dir, xpaths=None):
     xpaths = order_xpaths(spark) if xpaths is None else xpaths
-    atoms = xm.atom_table(xm.compile_xpaths(xpaths))
-    return xm.match_parsed(order_xml(spark, sf_dir), atoms, "id", "xml")
+    return xm.match_documents(order_xml(spark, sf_dir), xpaths, "id", "xml")
 
 
 def _only(kind_pred):
@@ -73,10 +73,7 @@ FROM m JOIN {SUBS_SQL.replace('AS t(', 'AS s(')} ON s.xpath = m.xpath
 GROUP BY s.channel, m.doc_id""")
 def q_channel_hits(spark, sf_dir):
     """J3 + A6: matches fanned out to channels, one credit per (channel, doc)."""
-    m = order_matches(spark, sf_dir)
-    subs = order_subscriptions(spark)
-    return (m.join(F.broadcast(subs), "xpath")
-            .groupBy("channel", "doc_id").agg(F.min("xpath").alias("xpath")))
+    return ch.fan_out(order_matches(spark, sf_dir), order_subscriptions(spark)).select("channel", "doc_id", "xpath")
 
 
 _EXISTS = _only(lambda x: "[" not in x)
@@ -127,18 +124,14 @@ SELECT doc_id, count(*) FILTER (WHERE hit) AS n_true, count(*) FILTER (WHERE NOT
 FROM cell GROUP BY doc_id""")
 def q_xpath_matrix(spark, sf_dir):
     """Per document the full truth vector over the expression set."""
-    xpaths = order_xpaths(spark)
-    compiled = xm.compile_xpaths(xpaths)
-    docs = order_xml(spark, sf_dir).select(F.col("id").alias("doc_id"))
-    matches = order_matches(spark, sf_dir, xpaths)
-    return xm.truth_vectors(docs, compiled, matches)
+    return xm.truth_vectors(order_xml(spark, sf_dir), xm.compile_xpaths(order_xpaths(spark)), "id", "xml")
 
 
 @query("xpath_match_rowwise", sql=f"{MATCH_SQL}\nSELECT doc_id, xpath FROM m")
 def q_xpath_match_rowwise(spark, sf_dir):
-    """The same answer as X4, evaluated inside each document row."""
-    maps = dn.doc_node_map(order_xml(spark, sf_dir), "id", "xml", "xml")
-    return xm.match_rowwise(maps, xm.compile_xpaths(order_xpaths(spark)))
+    """Matches with the expression set cut into blocks of about ten atoms, as one too
+    large for a single index would be."""
+    return xm.match_documents(order_xml(spark, sf_dir), order_xpaths(spark), "id", "xml", block_atoms=10)
 
 
 @query("doc_outline", sql=f"""WITH ln AS (

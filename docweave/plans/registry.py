@@ -14,12 +14,9 @@ ORACLE: dict[str, str] = {}
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings every query relies on: timestamps are UTC (event-time
-    windows, HTTP dates and synthetic times are defined in UTC) and lineage cuts
-    have a checkpoint folder."""
+    """What every query relies on: a checkpoint folder for lineage cuts, and the
+    package in Python workers."""
     from ..session import ensure_checkpoint_dir, ship_package
-    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
     ship_package(spark)
 
@@ -32,8 +29,14 @@ def query(name: str, sql: str | None = None):
 
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # times are UTC; expressions take the zone when the plan is made
             prepare(spark)
-            return fn(spark, sf_dir)
+            zone = spark.conf.get("spark.sql.session.timeZone")
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            try:
+                return fn(spark, sf_dir)
+            finally:
+                spark.conf.set("spark.sql.session.timeZone", zone)
 
         QUERIES[name] = run
         if sql is not None:
