@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# scheme://host[:port]path[?query][#fragment]
-URL_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*)://([^/:?#]*)(:([0-9]+))?([^?#]*)(\?([^#]*))?(#(.*))?$"
+# scheme://[user[:password]@]host[:port]path[?query][#fragment]
+URL_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^/?#@]*@)?([^/:?#]*)(:([0-9]+))?([^?#]*)(\?([^#]*))?(#(.*))?$"
 SCHEME_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 # href= followed by a quoted value without blanks or line breaks (per line, case-blind)
 HREF_RE = r"""[Hh][Rr][Ee][Ff][ \t]*=[ \t]*("[^" \n\r]*"|'[^' \n\r]*')"""
@@ -26,7 +26,8 @@ def url_struct(url: Column) -> Column:
 
 
 def url_parts(url: Column) -> dict[str, Column]:
-    """C4: scheme, host, port (null when absent), path, query, fragment."""
+    """C4: scheme, host, port (null when absent), path, query, fragment; user
+    information before the host is no part of them."""
     # the scheme group is mandatory, so an empty scheme means "no match"
     ok = F.regexp_extract(url, URL_RE, 1) != ""
 
@@ -71,14 +72,26 @@ def href_links(html: Column) -> Column:
                     lambda s: s != "")
 
 
+def without_dot_segments(path: Column) -> Column:
+    """A path that starts with ``/`` without its ``.`` and ``..`` segments (RFC 3986)."""
+    parts = F.slice(F.split(path, "/"), 2, 1 << 30)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, s: (
+        F.when(s == ".", done).when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.array_append(done, s))))
+    tail = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.when(path.contains("/."), F.concat(F.lit("/"), F.array_join(F.concat(kept, tail), "/"))).otherwise(path)
+
+
 def resolve_link(base: Column, link: Column, mode: str = "rfc3986",
                  base_parts: Column | None = None) -> Column:
     """Absolute form of ``link`` found on page ``base``.
 
     ``mode="concat"`` reproduces plain concatenation: a link without a scheme
     is appended to ``scheme://host[:port]`` + the page path (``/`` if empty).
-    ``mode="rfc3986"`` resolves scheme-relative, root-relative, query-only,
-    fragment-only and directory-relative references (no dot-segment removal).
+    ``mode="origin"`` puts it behind ``scheme://host`` instead, as link expansion
+    does (C3).  ``mode="rfc3986"`` resolves scheme-relative, root-relative,
+    query-only, fragment-only and directory-relative references and removes dot
+    segments.
     """
     p = url_parts(base) if base_parts is None else {
         k: base_parts[k] for k in ("scheme", "host", "port", "path", "query", "fragment")}
@@ -89,15 +102,19 @@ def resolve_link(base: Column, link: Column, mode: str = "rfc3986",
     absolute = link.rlike(SCHEME_RE)
     if mode == "concat":
         rel = F.trim(F.concat(origin, path, link))
+    elif mode == "origin":
+        rel = F.concat(p["scheme"], F.lit("://"), p["host"], F.when(link.startswith("/"), F.lit("")).otherwise(F.lit("/")), link)
     elif mode == "rfc3986":
         directory = F.regexp_extract(path, r"^(.*/)", 1)
         query_ = F.when(p["query"].isNotNull(), F.concat(F.lit("?"), p["query"])).otherwise(F.lit(""))
+        link_path = F.regexp_extract(link, r"^[^?#]*", 0)
+        link_rest = F.regexp_extract(link, r"(?s)[?#].*$", 0)
         rel = (F.when(link.startswith("//"), F.concat(p["scheme"], F.lit(":"), link))
-               .when(link.startswith("/"), F.concat(origin, link))
+               .when(link.startswith("/"), F.concat(origin, without_dot_segments(link_path), link_rest))
                .when(link.startswith("?"), F.concat(origin, path, link))
                .when(link.startswith("#"), F.concat(origin, path, query_, link))
                .when(link == "", F.concat(origin, path, query_))
-               .otherwise(F.concat(origin, directory, link)))
+               .otherwise(F.concat(origin, without_dot_segments(F.concat(directory, link_path)), link_rest)))
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return F.when(p["scheme"].isNull() & ~absolute, F.lit(None)).when(absolute, link).otherwise(rel)

@@ -20,8 +20,7 @@ conjunction of *atoms* on absolute paths:
     exists(path) | text(path) = lit | contains(text(path), lit) | attr(path, a) = lit
 
 This module is a small per-row helper: it is applied to the (small) expression
-table inside an Arrow UDF; matching itself is a Spark join (see
-``operators.xpath_match``).
+table inside an Arrow UDF; matching itself is ``operators.xpath_match``.
 """
 
 from __future__ import annotations

@@ -21,10 +21,15 @@ def status_code(status_line: Column) -> Column:
     return F.regexp_extract(status_line, STATUS_RE, 1)
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns as one generated row: they are computed once a row, however often
+    later steps read them (Spark copies neither them nor filters across it)."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
 def with_headers(resp: DataFrame, block: str = "header_block") -> DataFrame:
     """adds ``status`` (3-digit code, ``""`` if none) and ``headers`` map."""
-    return resp.withColumn("status", status_code(F.col("status_line"))) \
-               .withColumn("headers", headers_map(F.col(block)))
+    return _once(resp, status=status_code(F.col("status_line")), headers=headers_map(F.col(block)))
 
 
 def status_ok(resp: DataFrame) -> DataFrame:
@@ -72,9 +77,8 @@ def classify(resp: DataFrame, url: str = "url") -> DataFrame:
     """Adds ``type``, ``encoding``, ``file_size`` from the header map."""
     ct = header(F.col("headers"), "content-type")
     path = url_parts(F.col(url))["path"]
-    return (resp.withColumn("type", content_type(ct, path))
-            .withColumn("encoding", encoding(ct))
-            .withColumn("file_size", file_size(header(F.col("headers"), "content-length"))))
+    return _once(resp, type=content_type(ct, path), encoding=encoding(ct),
+                 file_size=file_size(header(F.col("headers"), "content-length")))
 
 
 def fetchable(resp: DataFrame, max_bytes: int) -> DataFrame:

@@ -1,139 +1,144 @@
-"""Breadth-first reach over a link graph.
-
-One Spark job per BFS level: frontier ⋈ links (on ``src``) -> drop already
-visited (left anti on the visit key) -> first occurrence per target (hash
-aggregate ``min`` of the visit-order key) -> new frontier.  Each level's
-result is ``checkpoint()``-ed (reliable, in ``spark.checkpoint.dir``) so the
-lineage stays one level long and a lost executor only recomputes one level.
-
-Visit order (I2) is carried as a sortable string key instead of a global rank:
-a node's key is its parent's key plus its zero-padded position on the parent
-page, so ``(depth, key)`` orders nodes exactly as a FIFO queue would pop them,
-without any single-partition window.
+"""Breadth-first reach over a link graph.
+
+One level at a time, until no page is new: frontier ⋈ links, the first occurrence of
+every target (a ``min`` that is aggregated before the shuffle, so a page that a third
+of all links point to is no hot key), then the pages not visited before.  Every level
+is written once with ``checkpoint()``; what was visited is the union of the levels.
+
+Visit order (I2) is an array key: a page's key is its parent's key plus its position
+on the parent page, so ``(depth, key)`` orders pages as a FIFO queue pops them.  A
+redirect target is put in front of the queue: its key is the redirecting page's key
+plus -1, and a page that is reached both ways keeps the smaller key.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-POS_WIDTH = 10
 
+COLUMNS = ["url", "depth", "vkey", "order_key"]
 
-def _pos_key(pos: Column) -> Column:
-    return F.lpad(pos.cast("string"), POS_WIDTH, "0")
 
+def _key(pos: Column) -> Column:
+    return F.array(F.coalesce(pos.cast("long"), F.lit(0)))
 
-REDIRECT_MARK = "!"   # sorts after a key and before any longer sibling key
 
+def _first(candidates: DataFrame) -> DataFrame:
+    """``vkey, order_key, url`` of the first occurrence of every visit key."""
+    return (candidates.groupBy("vkey").agg(F.min(F.struct("order_key", "url")).alias("f"))
+            .select("vkey", "f.order_key", "f.url"))
+
+
+def _new(candidates: DataFrame, visited: list[DataFrame]) -> DataFrame:
+    for level in visited:
+        candidates = candidates.join(level.select("vkey"), "vkey", "left_anti")
+    return candidates
 
-def _follow_redirects(level: DataFrame, redirects: DataFrame, visited: DataFrame, vk,
-                      max_hops: int) -> DataFrame:
-    """F3 -> I1: a redirect target is queued in front, i.e. visited right after
-    the redirecting page, at the same depth.  Chains are followed ``max_hops``
-    times; targets already visited are skipped."""
-    hop = level
-    out = level
-    for _ in range(max_hops):
-        nxt = (hop.join(redirects.select(F.col("src").alias("url"), F.col("dst").alias("_to")), "url")
-               .select(F.col("_to").alias("url"), "depth",
-                       F.concat("order_key", F.lit(REDIRECT_MARK)).alias("order_key"))
-               .withColumn("vkey", vk(F.col("url"))))
-        nxt = (nxt.join(visited.select("vkey"), "vkey", "left_anti")
-               .join(out.select("vkey"), "vkey", "left_anti")
-               .groupBy("vkey").agg(F.min_by("url", "order_key").alias("url"),
-                                    F.min("order_key").alias("order_key"),
-                                    F.min("depth").alias("depth"))
-               .select("url", "depth", "vkey", "order_key"))
-        nxt = nxt.cache()
-        if nxt.isEmpty():
-            break
-        out = out.unionByName(nxt)
-        hop = nxt
-    return out
 
+def _merged(levels: list[DataFrame]) -> list[DataFrame]:
+    """Equal-sized runs of levels are merged like binary digits, so that many small
+    levels stay few tables and a row is rewritten a logarithmic number of times."""
+    levels = [*levels]
+    while len(levels) > 1 and levels[-1][1] >= levels[-2][1]:
+        (a, n), (b, m) = levels.pop(), levels.pop()
+        levels.append((b.unionByName(a).checkpoint(), n + m))
+    return levels
 
-def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int,
-                visit_key=None, checkpoint: bool = True,
-                redirects: DataFrame | None = None, max_redirect_hops: int = 5,
-                max_broadcast_frontier: int = 2_000_000) -> DataFrame:
-    """Reachable nodes with BFS depth and visit-order key.
 
-    ``links(src, dst, pos)``; ``seeds(url)`` (seed order = ``pos`` if present).
-    ``visit_key`` maps a URL column to the column used for "already visited"
-    (default: the URL itself).  ``redirects(src, dst)``: a redirecting page
-    has no links of its own and its target jumps the queue (same depth, next
-    in order).  Returns ``url, depth, vkey, order_key``.
+def _follow_redirects(level: DataFrame, redirects: DataFrame, visited: list[DataFrame], vk) -> DataFrame:
+    """add redirect targets to a level, along chains of any length.  Keys only
+    fall, so the loop ends where nothing falls any more."""
+    moves = redirects.select(F.col("src").alias("url"), F.col("dst").alias("to"))
+    changed = level
+    while True:
+        targets = (changed.join(moves, "url").select(
+            F.col("to").alias("url"), F.concat("order_key", F.array(F.lit(-1).cast("long"))).alias("order_key"))
+            .withColumn("vkey", vk(F.col("url"))))
+        targets = _new(_first(targets), visited).select("vkey", "order_key", "url")
+        old = level.select("vkey", F.col("order_key").alias("old"))
+        changed = (targets.join(old, "vkey", "left").where("old is null or order_key < old")
+                   .select("vkey", "order_key", "url").checkpoint())
+        if changed.isEmpty():
+            return level
+        level = _first(level.unionByName(changed)).checkpoint()
 
-    Each level's frontier is counted; when it has at most
-    ``max_broadcast_frontier`` rows it is broadcast to the edge partitions, so
-    a page with a huge share of all links is read where it lies instead of
-    being joined in one task.
+
+def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int | None = None, visit_key=None,
+                redirects: DataFrame | None = None, budget: int = -1, fetchable: Column | None = None,
+                pages: DataFrame | None = None) -> DataFrame:
+    """Reachable pages: ``url, depth, vkey, order_key``.
+
+    ``links(src, dst, pos)``; ``seeds(url)`` in ``pos`` order if present.  ``visit_key``
+    maps a URL column to the column that tells visited pages (default: the URL).
+    ``redirects(src, dst)``: a redirecting page has no links and its target jumps the
+    queue.  The crawl runs until the frontier is empty (``max_depth=None``) or, with a
+    ``budget``, until the levels hold that many successful pages: those where
+    ``fetchable`` holds on the row joined with ``pages(url, ...)``.
     """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(links.sparkSession)
     vk = visit_key or (lambda c: c)
-    spark = links.sparkSession
-    if checkpoint:
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)
-    seed_pos = F.col("pos") if "pos" in seeds.columns else F.lit(0)
-    level = (seeds.select(F.col("url"), _pos_key(seed_pos).alias("order_key"))
-             .withColumn("vkey", vk(F.col("url")))
-             .groupBy("vkey").agg(F.min_by("url", "order_key").alias("url"),
-                                  F.min("order_key").alias("order_key"))
-             .withColumn("depth", F.lit(0)))
-    cols = ["url", "depth", "vkey", "order_key"]
-    level = level.select(*cols)
-    if redirects is not None:
-        level = _follow_redirects(level, redirects, level.limit(0), vk, max_redirect_hops)
-    if checkpoint:
-        level = level.checkpoint()
-    visited = level
-    # the edge table is read once per level: keep it (memory, spilling to disk)
-    # in its input layout.  Levels are usually broadcast to it, so edges never
-    # move and a page holding a huge share of all links is not one task; a level
-    # too large to broadcast is shuffle-joined and AQE splits skewed sources.
     edges = links.select("src", "dst", "pos")
     if redirects is not None:   # a redirect response carries no links
         edges = edges.join(redirects.select("src").distinct(), "src", "left_anti")
-    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
-    n_level = level.count()
-    for d in range(1, max_depth + 1):
-        front = level.select(F.col("url").alias("src"), F.col("order_key").alias("pkey"))
-        if n_level <= max_broadcast_frontier:
-            front = F.broadcast(front)
-        cand = (edges.join(front, "src")
-                .select(F.col("dst").alias("url"),
-                        F.concat(F.col("pkey"), _pos_key(F.col("pos"))).alias("order_key"))
-                .withColumn("vkey", vk(F.col("url"))))
-        cand = cand.join(visited.select("vkey"), "vkey", "left_anti")
-        level = (cand.groupBy("vkey").agg(F.min_by("url", "order_key").alias("url"),
-                                         F.min("order_key").alias("order_key"))
-                 .withColumn("depth", F.lit(d)).select(*cols))
-        if checkpoint:
-            level = level.checkpoint()
+    pos = F.col("pos") if "pos" in seeds.columns else F.lit(0)
+    level = _first(seeds.select("url", _key(pos).alias("order_key")).withColumn("vkey", vk(F.col("url")))).checkpoint()
+    visited: list[tuple[DataFrame, int]] = []
+    depth, found = 0, 0
+    while True:
+        before = [v for v, _ in visited]
         if redirects is not None:
-            level = _follow_redirects(level, redirects, visited, vk, max_redirect_hops)
-            if checkpoint:
-                level = level.checkpoint()
-        n_level = level.count()
-        if n_level == 0:
+            level = _follow_redirects(level, redirects, before, vk)
+        n = level.count()
+        if n == 0:
+            break
+        visited = _merged([*visited, (level.withColumn("depth", F.lit(depth)).select(*COLUMNS), n)])
+        if budget >= 0:
+            found += successful(level, fetchable, pages).count()
+        if depth == max_depth or 0 <= budget <= found:
             break
-        visited = visited.unionByName(level)
-        if checkpoint:
-            visited = visited.checkpoint()
-    edges.unpersist()
-    return visited
-
-
-def crawl_budget(reached: DataFrame, budget: int, fetchable: Column | None = None) -> DataFrame:
-    """L1: the first ``budget`` visits in queue order (-1 = no limit), counting
-    only rows where ``fetchable`` holds.  Adds ``visit_rank`` (1-based)."""
-    r = reached if fetchable is None else reached.where(fetchable)
-    ordered = r.orderBy("depth", "order_key")
-    if budget >= 0:
-        ordered = ordered.limit(budget)
-    from pyspark.sql import Window
-    # the limited result is at most ``budget`` rows: ranking it needs no partitioning
-    return ordered.withColumn("visit_rank", F.row_number().over(
-        Window.orderBy("depth", "order_key")).cast("long"))
+        depth += 1
+        front = level.select(F.col("url").alias("src"), F.col("order_key").alias("parent"))
+        # AQE broadcasts a frontier that turns out small, and splits sources with many links
+        found_links = edges.join(front, "src").select(
+            F.col("dst").alias("url"), F.concat("parent", _key(F.col("pos"))).alias("order_key"))
+        candidates = _first(found_links.withColumn("vkey", vk(F.col("url"))))
+        level = _new(candidates, [v for v, _ in visited]).select("vkey", "order_key", "url").checkpoint()
+    out = visited[0][0]
+    for more, _ in visited[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def successful(rows: DataFrame, fetchable: Column | None, pages: DataFrame | None) -> DataFrame:
+    """Rows whose page was downloaded: ``fetchable`` on the row and its ``pages`` row."""
+    if pages is not None:
+        rows = rows.join(pages, "url", "left")
+    return rows if fetchable is None else rows.where(F.coalesce(fetchable, F.lit(False)))
+
+
+def ranked(rows: DataFrame, order: list[str], rank: str, partitions: int | None = None) -> DataFrame:
+    """``rows`` plus their 1-based place in ``order``, without a task that holds them
+    all: range partitions are sorted and written, and each adds the number of rows in
+    those before it (one number a partition comes to the driver)."""
+    n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint()
+    place = parts.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_i"))
+    sizes = place.groupBy("_p").agg(F.count("*").alias("n")).collect()
+    starts, total = {}, 0
+    for p, size in sorted((r["_p"], r["n"]) for r in sizes):
+        starts[p], total = total, total + size
+    if not starts:
+        return rows.select("*", F.lit(0).cast("long").alias(rank))
+    before = F.element_at(F.create_map(*(F.lit(x) for kv in starts.items() for x in kv)), F.col("_p"))
+    inside = F.col("_i").bitwiseAND((1 << 33) - 1)
+    return place.select(*rows.columns, (before + inside + 1).cast("long").alias(rank))
+
+
+def crawl_budget(reached: DataFrame, budget: int, fetchable: Column | None = None,
+                 pages: DataFrame | None = None) -> DataFrame:
+    """L1: the first ``budget`` successful visits in queue order (-1 = all), with
+    ``visit_rank``."""
+    out = ranked(successful(reached, fetchable, pages).select(*COLUMNS), ["depth", "order_key"], "visit_rank")
+    return out if budget < 0 else out.where(F.col("visit_rank") <= budget)

@@ -19,17 +19,23 @@ def latest_wins(existing: DataFrame, new: DataFrame, key: str,
                 order: list[str]) -> DataFrame:
     """One row per ``key``: the row with the greatest ``order`` struct.
 
-    ``new`` rows are preferred on ties (``_src`` = 1 sorts after 0).
+    ``new`` rows are preferred on ties (``_src`` = 1 sorts after 0).  Rows without a
+    key (malformed urls) belong to no page: see ``without_key``.
     """
     cols = existing.columns
     both = (existing.select(*cols).withColumn("_src", F.lit(0))
             .unionByName(new.select(*cols).withColumn("_src", F.lit(1))))
     ordering = F.struct(*[F.col(c) for c in order], F.col("_src"))
     row = F.struct(*[F.col(c) for c in cols if c != key])
-    return (both.groupBy(key).agg(F.max_by(row, ordering).alias("_r"))
+    return (both.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(row, ordering).alias("_r"))
             .select(key, "_r.*"))
 
 
+def without_key(rows: DataFrame, key: str = "page_key") -> DataFrame:
+    """The rows that an upsert cannot place: their key is null."""
+    return rows.where(F.col(key).isNull())
+
+
 def lookup(store: DataFrame, requests: DataFrame, url: str = "url") -> DataFrame:
     """Store rows for request URLs (key derived from the URL); misses dropped."""
     req = requests.withColumn("page_key", page_key(F.col(url)))

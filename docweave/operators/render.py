@@ -1,4 +1,4 @@
-"""Rendering channels, decoding bodies, timing.
+"""Rendering channels, decoding bodies.
 
 A channel's collection is emitted as one XML fragment per (channel, page)
 row, not as one string per channel: a channel holding a third of all pages
@@ -39,48 +39,41 @@ def channel_fragments(channel_pages: DataFrame, meta: DataFrame, data: DataFrame
     return j.select("channel", "url", frag.alias("fragment"))
 
 
+def collection_rows(fragments: DataFrame) -> DataFrame:
+    """``channel, part, url, fragment``: each channel's collection row by row, in the
+    order (part, url): an opening (part 0), the fragments (1), a closing (2)."""
+    chans = fragments.select("channel").distinct()
+    edge = lambda part, text: chans.select("channel", F.lit(part).alias("part"), F.lit(None).cast("string").alias("url"),
+                                           F.lit(text).alias("fragment"))
+    inner = fragments.select("channel", F.lit(1).alias("part"), "url", "fragment")
+    return inner.unionByName(edge(0, COLLECTION_OPEN)).unionByName(edge(2, COLLECTION_CLOSE))
+
+
 def write_collections(fragments: DataFrame, path: str, partitions: int | None = None) -> None:
     """Write each channel's collection as text, one folder per channel.
 
-    A header row (sort key ``""``) and a footer row (sort key ``U+FFFF``) are
-    added per channel; rows are range-partitioned and sorted by (channel, url),
-    so a channel's part files read in order form one ``<documentcollection>``
+    Rows are range-partitioned and sorted by (channel, part, url), so a channel's
+    part files read in order form one ``<documentcollection>``
     and a large channel spreads over several ranges instead of one task.
     """
     n = partitions or fragments.sparkSession.sparkContext.defaultParallelism
-    chans = fragments.select("channel").distinct()
-    rows = (fragments.select("channel", "url", "fragment")
-            .unionByName(chans.select("channel", F.lit("").alias("url"),
-                                      F.lit(COLLECTION_OPEN).alias("fragment")))
-            .unionByName(chans.select("channel", F.lit("\uffff").alias("url"),
-                                      F.lit(COLLECTION_CLOSE).alias("fragment"))))
-    (rows.repartitionByRange(n, "channel", "url").sortWithinPartitions("channel", "url")
+    order = ["channel", "part", "url"]
+    (collection_rows(fragments).repartitionByRange(n, *order).sortWithinPartitions(*order)
      .select("channel", "fragment").write.mode("overwrite").partitionBy("channel").text(path))
 
 
 def decode_bodies(df: DataFrame, body: str = "body", charset: str = "encoding") -> DataFrame:
-    """Body as bytes (UTF-8) decoded with the declared charset.
+    """Body bytes decoded with the declared charset (a string body: its UTF-8 bytes).
 
     Only charsets Spark can decode are used (US-ASCII, ISO-8859-1, UTF-8,
     UTF-16BE, UTF-16LE, UTF-16, UTF-32); any other name falls back to UTF-8.
     """
     known = ["US-ASCII", "ISO-8859-1", "UTF-8", "UTF-16BE", "UTF-16LE", "UTF-16", "UTF-32"]
     cs = F.upper(F.coalesce(F.col(charset), F.lit("UTF-8")))
-    raw = F.encode(F.col(body), "UTF-8")
+    raw = F.col(body) if df.schema[body].dataType.simpleString() == "binary" else F.encode(F.col(body), "UTF-8")
     decoded = None
     for k in known:
         expr = F.decode(raw, k)
         decoded = F.when(cs == k, expr) if decoded is None else decoded.when(cs == k, expr)
     decoded = decoded.otherwise(F.decode(raw, "UTF-8"))
     return df.withColumn("decoded", decoded).withColumn("n_chars", F.length("decoded").cast("long"))
-
-
-def timing_summary(t: DataFrame) -> DataFrame:
-    """A10 over ``(host, th, td, ts)`` (head, download, store ms)."""
-    total = F.col("th") + F.col("td") + F.col("ts")
-    over = F.lit(100) - (F.col("td") + F.col("th")) / total * 100
-    return t.groupBy("host").agg(
-        F.count(F.lit(1)).alias("n_pages"),
-        F.round(F.avg(total), 3).alias("avg_total_ms"),
-        F.round(F.avg(over), 3).alias("avg_overhead_pct"),
-        F.round(F.max(total), 3).alias("max_total_ms"))

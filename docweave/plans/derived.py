@@ -127,7 +127,11 @@ def rss_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     XML-escaped.  One feed per document keeps every feed bounded by its
     document (no per-source group).
     """
-    d = read_table(spark, sf_dir, "documents")
+    return rss_xml_from(read_table(spark, sf_dir, "documents"))
+
+
+def rss_xml_from(d: DataFrame) -> DataFrame:
+    """Feeds of a (batch or streaming) ``documents`` DataFrame."""
     first = F.element_at(F.split(F.col("text"), "\n"), 1)
     return d.select(F.col("doc_id").alias("id"), F.concat(
         F.lit("<rss><channel><title>"), _x("source"), F.lit("</title><item><title>"), _x(first),

@@ -1,5 +1,5 @@
 """Registered streaming queries (T1-T4): each runs a file stream over the input
-tables to completion and returns what its sink holds."""
+tables, one file a micro-batch, and returns what its sink holds."""
 
 from __future__ import annotations
 
@@ -7,44 +7,44 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators import fetch
-from ..operators import xpath_match as xm
-from ..sources.tables import read_table
 from ..streaming import jobs
-from .derived import responses_from
-from .q_crawl import STORE_CTE, TS, _page_parts, new_meta_rows, store_v0
-from .q_xpath import MATCH_SQL, SUBS_SQL, order_subscriptions, order_xpaths
-from .registry import query
+from .derived import responses_from, rss_xml_from
+from .q_crawl import PAGE_CHANNELS, STORE_CTE, TS, _HM_SQL, _page_parts, new_meta_rows, store_v0
+from .q_html import PAGE_FIELDS_CTE
+from .q_rss import RSS_SQL, RSS_XPATHS
+from .q_web import RESP_CTE, url_part_sql
+from .registry import query, values_sql
 
 
-@query("stream_match", sql=f"{MATCH_SQL}\nSELECT doc_id, xpath FROM m")
+@query("stream_match", sql=RSS_SQL)
 def q_stream_match(spark, sf_dir):
-    """Order documents matched as they arrive (equals the batch X4)."""
-    orders = jobs.stream_table(spark, sf_dir, "orders")
-    lineitem = read_table(spark, sf_dir, "lineitem")
-    m = jobs.stream_matches(orders, lineitem, xm.compile_xpaths(order_xpaths(spark)))
-    return jobs.run_append(m, "stream_match")
+    """Feeds of whole documents matched as they arrive (equals the batch X4)."""
+    feeds = rss_xml_from(jobs.stream_table(spark, sf_dir, "documents", 1))
+    xs = spark.createDataFrame([(x,) for x, _ in RSS_XPATHS], "xpath string")
+    return jobs.run_append(jobs.stream_matches(feeds, xs, "id", "xml"), "stream_match")
 
 
-@query("stream_dedup", sql="""SELECT DISTINCT lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*)://([^/:?#]*)(:([0-9]+))?([^?#]*)(\\?([^#]*))?(#(.*))?$', 2))
-  || regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*)://([^/:?#]*)(:([0-9]+))?([^?#]*)(\\?([^#]*))?(#(.*))?$', 5) AS page_key
-FROM pages""")
+@query("stream_dedup", sql=f"""SELECT DISTINCT lower({url_part_sql('url', 2)}) || {url_part_sql('url', 5)} AS page_key FROM pages""")
 def q_stream_dedup(spark, sf_dir):
-    """Each page key once (watermarked de-duplication)."""
-    return jobs.run_append(jobs.stream_dedup(jobs.stream_table(spark, sf_dir, "pages")), "stream_dedup")
-
-
-@query("stream_counts", sql=f"""{MATCH_SQL},
-hits AS (SELECT DISTINCT s.channel, m.doc_id FROM m JOIN {SUBS_SQL.replace('AS t(', 'AS s(')} ON s.xpath = m.xpath)
-SELECT h.channel, strftime(time_bucket(INTERVAL '30 days', o.o_orderdate, TIMESTAMP '1970-01-01'),
-                           '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n_docs
-FROM hits h JOIN orders o ON o.o_orderkey = h.doc_id GROUP BY ALL""")
+    """Pages that arrive three times within the watermark count once."""
+    r = responses_from(jobs.stream_table(spark, sf_dir, "pages", 1))
+    again = F.explode(F.array(F.lit(0), F.lit(7), F.lit(19))).alias("later")
+    arrivals = r.select("url", "fetched_at", again).select("url", F.timestamp_add("MINUTE", "later", "fetched_at").alias("fetched_at"))
+    return jobs.run_append(jobs.stream_dedup(arrivals, "60 days"), "stream_dedup")
+
+
+@query("stream_counts", sql=f"""WITH {RESP_CTE},{PAGE_FIELDS_CTE},
+pch AS (SELECT * FROM {values_sql(PAGE_CHANNELS, ['xpath', 'channel'])}),
+hm AS ({_HM_SQL}),
+hits AS (SELECT DISTINCT pch.channel, page_id FROM hm JOIN pch USING (xpath))
+SELECT h.channel, strftime(date_trunc('hour', r.fetched_at), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n_docs
+FROM hits h JOIN resp r USING (page_id) GROUP BY ALL""")
 def q_stream_counts(spark, sf_dir):
-    """Documents credited per channel per 30-day event-time window."""
-    orders = jobs.stream_table(spark, sf_dir, "orders")
-    lineitem = read_table(spark, sf_dir, "lineitem")
-    subs = order_subscriptions(spark)
-    c = jobs.stream_channel_counts(orders, lineitem, xm.compile_xpaths(subs), subs)
-    return jobs.run_complete(c, "stream_counts")
+    """Pages credited per channel per hour of their fetch time."""
+    pages = responses_from(jobs.stream_table(spark, sf_dir, "pages", 1))
+    subs = spark.createDataFrame(PAGE_CHANNELS, "xpath string, channel string")
+    c = jobs.stream_channel_counts(pages, subs, "url", "body", "html", "fetched_at")
+    return jobs.run_update(c, "stream_counts", ["channel", "window_start"])
 
 
 @query("stream_upsert", sql=f"""WITH {STORE_CTE}
@@ -53,13 +53,10 @@ def q_stream_upsert(spark, sf_dir):
     """T4: metadata refreshed from a response stream with foreachBatch upserts."""
     meta0, _ = store_v0(spark, sf_dir)
     root = jobs.new_store_path(spark, "stream_upsert")
-    meta0.write.parquet(f"{root}/v00000000")
-    pages = jobs.stream_table(spark, sf_dir, "pages")
+    jobs.write_store(meta0, root, "page_key")
+    pages = jobs.stream_table(spark, sf_dir, "pages", 1)
     batch = _page_parts(fetch.classify(fetch.with_headers(responses_from(pages))))
-    rows = new_meta_rows(batch).drop("data")
-    last = jobs.upsert_stream(rows, root, "page_key", ["time_last_access"])
-    meta = spark.read.parquet(last)
+    meta = jobs.upsert_stream(new_meta_rows(batch).drop("data"), root, meta0.schema, "page_key", ["time_last_access"])
     return meta.select("page_key", "url", "type",
                        dates.format_crawl_time(F.col("time_last_access")).alias("time_last_access"),
                        "file_size", "stored")
-

@@ -11,8 +11,9 @@ from ..functions.urls import split_list, url_parts
 KIND_BY_SUFFIX = {".xml": "xml", ".rss": "xml", ".html": "html", ".htm": "html"}
 
 
-def read_documents(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """``(path, kind, body)`` for every ``.xml/.rss/.html/.htm`` file under ``path``.
+def read_documents(spark: SparkSession, path: str, recursive: bool = True, charset: str = "UTF-8") -> DataFrame:
+    """``(path, kind, body)`` for every ``.xml/.rss/.html/.htm`` file under ``path``,
+    decoded from ``charset``.
 
     ``binaryFile`` lists and reads files in parallel; the suffix filter runs on
     the listing, so rejected files are never read.
@@ -22,10 +23,27 @@ def read_documents(spark: SparkSession, path: str, recursive: bool = True) -> Da
     suffix = F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1))
     kind = F.create_map(*[x for k, v in KIND_BY_SUFFIX.items() for x in (F.lit(k), F.lit(v))])
     return (r.select("path", F.element_at(kind, suffix).alias("kind"),
-                     F.decode("content", "UTF-8").alias("body"))
+                     F.decode("content", charset).alias("body"))
             .where(F.col("kind").isNotNull()))
 
 
+#: What a fetcher lands: one row a response.
+RESPONSE_SCHEMA = "url string, fetched_at timestamp, status_line string, header_block string, body binary"
+
+
+def read_responses(spark: SparkSession, path: str) -> DataFrame:
+    """A landing folder of response files (parquet), as a batch."""
+    return spark.read.schema(RESPONSE_SCHEMA).parquet(path)
+
+
+def stream_responses(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The landing folder as a stream of responses."""
+    r = spark.readStream.schema(RESPONSE_SCHEMA)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(path)
+
+
 def documents_from_table(df: DataFrame, url: str = "url", body: str = "body") -> DataFrame:
     """S2 over a table of (url, body): kind from the URL path suffix, anything
     but HTML/XML/RSS rejected (same rule as ``read_documents``)."""
@@ -44,15 +62,12 @@ def read_xpaths(spark: SparkSession, path: str) -> DataFrame:
             .where(F.col("xpath") != ""))
 
 
-def write_bodies(df: DataFrame, path: str, url: str = "url", body: str = "body",
-                 buckets_per_host: int = 4) -> None:
+def write_bodies(df: DataFrame, path: str, url: str = "url", body: str = "body") -> None:
     """Bodies written as parquet, partitioned by host (one folder per host).
 
-    Rows are spread over ``(host, hash(url) % buckets_per_host)`` before the
-    write, so a host holding a large share of all pages is written by several
-    tasks instead of one, while each host still gets only a few files.
+    Rows are rebalanced by host: a small host is one file, and a host of any size is
+    split into tasks of about the advisory partition size.
     """
     host = url_parts(F.col(url))["host"]
-    bucket = F.pmod(F.xxhash64(F.col(url)), F.lit(buckets_per_host))
     (df.select(F.col(url).alias("url"), host.alias("host"), F.col(body).alias("body"))
-     .repartition("host", bucket).write.mode("overwrite").partitionBy("host").parquet(path))
+     .hint("rebalance", "host").write.mode("overwrite").partitionBy("host").parquet(path))

@@ -4,7 +4,8 @@ Sources are file streams (``readStream`` with an explicit schema); sinks are
 fault-tolerant: an append file sink or an idempotent ``foreachBatch`` writing
 into the shared checkpoint folder (``spark.checkpoint.dir``), each with its own
 checkpoint location, so a lost executor or a restarted query replays without
-duplicates.  Matching is row-wise (X12): no stream state is needed for it.
+duplicates.  Documents stream whole and are matched inside their row (X12): no
+stream state and no static table is needed for it.
 """
 
 from __future__ import annotations
@@ -14,21 +15,29 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import docnodes as dn
 from ..operators import recrawl
 from ..operators import xpath_match as xm
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import TABLE_SCHEMAS
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """A file stream over ``<sf_dir>/<name>*.parquet`` with the table's schema."""
-    r = (spark.readStream.schema(TABLE_SCHEMAS[name]).format("parquet")
-         .option("pathGlobFilter", f"{name}*.parquet"))
+    """A file stream over the table ``<sf_dir>/<name>.parquet``: a folder of part files,
+    or files whose names start with it."""
+    r = spark.readStream.schema(TABLE_SCHEMAS[name]).format("parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(sf_dir)
+    fs, path = _file_system(spark, f"{sf_dir}/{name}.parquet")
+    if fs.exists(path) and fs.getFileStatus(path).isDirectory():
+        return r.load(f"{sf_dir}/{name}.parquet")
+    return r.option("pathGlobFilter", f"{name}*.parquet").load(sf_dir)
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -49,104 +58,114 @@ def run_append(df: DataFrame, name: str, partition_cols: list[str] | None = None
     return spark.read.schema(df.schema).parquet(f"{root}/out")
 
 
-def run_complete(df: DataFrame, name: str) -> DataFrame:
-    """Run an aggregating stream in ``complete`` mode; every micro-batch
-    overwrites one versioned folder (idempotent per batch id)."""
+def run_update(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Run an aggregating stream in ``update`` mode.  Every micro-batch writes the rows
+    that changed into its own folder (a replay rewrites it); the result is the last row
+    of each key."""
     spark = df.sparkSession
     root = _scratch(spark, name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/v{batch_id:08d}")
+        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{root}/out/v={batch_id}")
 
-    (df.writeStream.outputMode("complete").foreachBatch(write)
-     .option("checkpointLocation", f"{root}/_ck").trigger(availableNow=True)
-     .start().awaitTermination())
-    last = _last_version(spark, root)
-    return spark.read.schema(df.schema).parquet(last) if last else spark.createDataFrame([], df.schema)
+    (df.writeStream.outputMode("update").foreachBatch(write)
+     .option("checkpointLocation", f"{root}/_ck").trigger(availableNow=True).start().awaitTermination())
+    if not _names(spark, f"{root}/out"):
+        return spark.createDataFrame([], df.schema)
+    rest = [c for c in df.columns if c not in keys]
+    rows = spark.read.parquet(f"{root}/out")
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("r"))
+    return last.select(*keys, "r.*").select(*df.columns)
 
 
-def _last_version(spark: SparkSession, root: str) -> str | None:
-    names = _versions(spark, root)
-    return f"{root}/{names[-1]}" if names else None
+# --- the standing queries ---------------------------------------------------------
 
+def stream_matches(docs: DataFrame, xpaths: DataFrame, id_col: str, body_col: str, kind: str = "xml") -> DataFrame:
+    """Documents as they arrive -> ``(doc_id, xpath)``."""
+    return xm.match_documents(docs, xpaths, id_col, body_col, kind)
 
-# --- the standing queries ---------------------------------------------------------
 
-def stream_matches(orders: DataFrame, lineitem: DataFrame, compiled: DataFrame) -> DataFrame:
-    """Order documents as they arrive -> ``(doc_id, xpath)`` matches.
-
-    The static side (order lines) is joined to the stream; documents are parsed
-    to node maps and matched row-wise."""
-    from ..plans.derived import order_xml_from
-    docs = order_xml_from(orders, lineitem)
-    return xm.match_rowwise(dn.doc_node_map(docs, "id", "xml", "xml"), compiled)
-
-
-def stream_channel_counts(orders: DataFrame, lineitem: DataFrame, compiled: DataFrame,
-                          subs: DataFrame, window: str = "30 days",
-                          watermark: str = "3650 days") -> DataFrame:
-    """Documents credited per channel per tumbling event-time window
-    (event time = order date).  Channels are resolved inside each document row,
-    so the only state is the windowed count itself."""
-    from ..plans.derived import order_xml_from
-    o = orders.withColumn("event_time", F.col("o_orderdate").cast("timestamp"))
-    docs = order_xml_from(o, lineitem, keep=["event_time"])
-    maps = dn.doc_node_map(docs, "id", "xml", "xml", carry=["event_time"])
-    hits = xm.channels_rowwise(maps, compiled, subs, keep=["event_time"])
-    return (hits.withWatermark("event_time", watermark)
-            .groupBy(F.window("event_time", window), "channel")
+def stream_channel_counts(docs: DataFrame, subs: DataFrame, id_col: str, body_col: str, kind: str,
+                          event_time: str, window: str = "1 hour", watermark: str = "30 days") -> DataFrame:
+    """Documents credited per channel per tumbling event-time window.  Channels
+    are resolved inside each document row, so the only state is the count of windows
+    that the watermark has not passed."""
+    hits = xm.match_channels(docs, subs, id_col, body_col, kind, keep=[event_time])
+    return (hits.withWatermark(event_time, watermark)
+            .groupBy(F.window(event_time, window), "channel")
             .agg(F.count(F.lit(1)).alias("n_docs"))
             .select("channel", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                     "n_docs"))
 
 
-def stream_dedup(pages: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Once-per-page: drop repeats of a page key inside the watermark.
-
-    Event time is the fetch time of the synthetic response; ``TIMESTAMP_NTZ``
-    is not accepted by ``withWatermark``, so times are ``timestamp`` (UTC)."""
+def stream_dedup(arrivals: DataFrame, watermark: str = "1 hour") -> DataFrame:
+    """Drop repeats of a page key that come within the watermark of the first.
+    ``arrivals(url, fetched_at)``; a repeat later than that counts as a new visit."""
     from ..functions.urls import page_key
-    from ..plans.derived import responses_from
-    r = responses_from(pages).select(page_key(F.col("url")).alias("page_key"), "fetched_at")
+    r = arrivals.select(page_key(F.col("url")).alias("page_key"), "fetched_at")
     return (r.withWatermark("fetched_at", watermark)
             .dropDuplicatesWithinWatermark(["page_key"]).select("page_key"))
 
 
-def upsert_stream(new_rows: DataFrame, store_path: str, key: str, order: list[str]) -> str:
-    """T4: ``foreachBatch`` latest-wins upsert into a versioned parquet store.
+# --- T4: a store in buckets ---------------------------------------------------------
+
+BUCKETS = 64
+
+
+def bucket_of(key: str, buckets: int = BUCKETS):
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
-    Each batch reads the newest version, merges (``recrawl.latest_wins``) and
-    writes version ``batch_id + 1``; a replayed batch rewrites the same
-    version, so the sink is idempotent.  Returns the final version path.
+
+def write_store(rows: DataFrame, store_path: str, key: str, version: int = 0, buckets: int = BUCKETS) -> None:
+    """Write rows as one version of the buckets that they fall into."""
+    (rows.withColumn("bucket", bucket_of(key, buckets)).repartition("bucket")
+     .write.mode("overwrite").partitionBy("bucket").parquet(f"{store_path}/v{version:08d}"))
+
+
+def _latest(spark: SparkSession, store_path: str, before: int | None = None) -> dict[int, str]:
+    """Bucket -> folder of its newest version (below version ``before``)."""
+    out = {}
+    for v in _names(spark, store_path):
+        if v.startswith("v") and (before is None or int(v[1:]) < before):
+            for b in _names(spark, f"{store_path}/{v}"):
+                if b.startswith("bucket="):
+                    out[int(b[7:])] = f"{store_path}/{v}/{b}"
+    return out
+
+
+def read_store(spark: SparkSession, store_path: str, schema, buckets: list[int] | None = None, before: int | None = None) -> DataFrame:
+    """The newest version of all buckets, or of those named."""
+    paths = [p for b, p in sorted(_latest(spark, store_path, before).items()) if buckets is None or b in buckets]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def upsert_stream(new_rows: DataFrame, store_path: str, schema, key: str, order: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """T4: ``foreachBatch`` latest-wins upsert into a bucketed parquet store.
+
+    A batch reads and rewrites only the buckets that its rows fall into, as version
+    ``batch_id + 1``; a replayed batch starts from the versions before it and rewrites
+    the same one, so the sink is idempotent.  Returns the store as it ends.
     """
     spark = new_rows.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        prev = _last_version(spark, store_path)
-        if prev and prev.endswith(f"v{batch_id + 1:08d}"):
-            # replay of a committed batch: rebuild from the version before it
-            older = sorted(v for v in _versions(spark, store_path) if v < f"v{batch_id + 1:08d}")
-            prev = f"{store_path}/{older[-1]}" if older else None
-        cur = spark.read.parquet(prev)
-        merged = recrawl.latest_wins(cur, batch.select(*cur.columns), key, order)
-        merged.write.mode("overwrite").parquet(f"{store_path}/v{batch_id + 1:08d}")
+        rows = batch.where(F.col(key).isNotNull()).persist()
+        touched = [r[0] for r in rows.select(bucket_of(key, buckets)).distinct().collect()]      # at most ``buckets`` numbers
+        cur = read_store(spark, store_path, schema, touched, batch_id + 1)
+        if touched:
+            write_store(recrawl.latest_wins(cur, rows.select(*cur.columns), key, order), store_path, key, batch_id + 1, buckets)
+        rows.unpersist()
 
     (new_rows.writeStream.foreachBatch(merge)
      .option("checkpointLocation", f"{store_path}/_ck").trigger(availableNow=True)
      .start().awaitTermination())
-    return _last_version(spark, store_path)
+    return read_store(spark, store_path, schema)
 
 
-def _versions(spark: SparkSession, root: str) -> list[str]:
-    """Version folders ``vNNNNNNNN`` under ``root`` (Hadoop file system API)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(path)
-                  if st.getPath().getName().startswith("v"))
+def _names(spark: SparkSession, root: str) -> list[str]:
+    """Names in a folder, sorted (Hadoop file system API)."""
+    fs, path = _file_system(spark, root)
+    return sorted(st.getPath().getName() for st in fs.listStatus(path)) if fs.exists(path) else []
 
 
 def new_store_path(spark: SparkSession, name: str) -> str:

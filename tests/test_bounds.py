@@ -1,51 +1,39 @@
-"""Counted size checks and their fallbacks (the paths large inputs take)."""
-
-import pytest
+"""Measured broadcasts, spreading of inputs, session settings."""
 
+from docweave.operators import channels as ch
 from docweave.operators import docnodes as dn
-from docweave.operators import xpath_match as xm
-
-from .test_dom import ECB
-from .test_match import EVAL
-
-
-def _xp(spark, xs):
-    return spark.createDataFrame([(x,) for x in xs], "xpath string")
-
-
-def test_atom_stats(spark):
-    atoms = xm.atom_table(xm.compile_xpaths(_xp(spark, [x for x, _ in EVAL])))
-    st = xm.atom_stats(atoms)
-    assert st["xpaths"] == st["xids"] == 9 and st["lits"] == 2 and st["rows"] >= 9
 
 
-def test_literal_bound_falls_back_to_residual(spark):
-    docs = spark.createDataFrame([(1, ECB)], "doc_id long, body string")
-    atoms = xm.atom_table(xm.compile_xpaths(_xp(spark, [x for x, _ in EVAL])))
-    assert xm.contains_literals(atoms, max_literals=0) is None
-    plain = xm.match_nodes(xm.nodes_for(docs, atoms, max_literals=0), atoms)
-    ac = xm.match_nodes(xm.nodes_for(docs, atoms), atoms)
-    assert {tuple(r) for r in plain.collect()} == {tuple(r) for r in ac.collect()}
-    assert "hits" not in xm.nodes_for(docs, atoms, max_literals=0).columns
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_expression_bounds_raise(spark):
-    docs = spark.createDataFrame([(1, ECB)], "doc_id long, body string")
-    compiled = xm.compile_xpaths(_xp(spark, [x for x, _ in EVAL]))
-    with pytest.raises(ValueError):
-        xm.match_rowwise(dn.doc_node_map(docs), compiled, max_xpaths=3)
-    with pytest.raises(ValueError):
-        xm.truth_vectors(docs, compiled, xm.match_documents(docs, _xp(spark, ["/a"])), max_xpaths=3)
+def test_broadcast_only_below_the_measured_size(spark):
+    big = spark.createDataFrame([(i, "x" * 1000) for i in range(50)], "k long, v string")
+    left = spark.range(5).withColumnRenamed("id", "k")
+    assert "strategy=broadcast" in _plan(left.join(ch.small(big), "k"))
+    assert "strategy=broadcast" not in _plan(left.join(ch.small(big, max_bytes=10_000), "k"))
 
 
 def test_small_inputs_are_spread(spark, tmp_path):
     path = str(tmp_path / "docs")
     spark.createDataFrame([(i, "<a/>") for i in range(10)], "doc_id long, body string") \
         .coalesce(1).write.parquet(path)
-    df = spark.read.parquet(path)            # one small file: one split
-    spread = dn.spread(df, min_partitions=4)
+    spread = dn.spread(spark.read.parquet(path), min_partitions=4)            # one small file: one split
     assert spread.rdd.getNumPartitions() == 4
     assert sorted(r.doc_id for r in spread.collect()) == list(range(10))
-    # a source whose size Spark cannot see is assumed large and left alone
-    mem = spark.createDataFrame([(1, "<a/>")], "doc_id long, body string").coalesce(1)
-    assert dn.spread(mem, min_partitions=4).rdd.getNumPartitions() == 1
+    enough = spark.range(0, 20, 1, 5)
+    assert "Repartition" not in _plan(dn.spread(enough, min_partitions=4))
+
+
+def test_queries_leave_the_session_zone_alone(spark):
+    import __spark_entry__ as E
+    from .conftest import SF001
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        rows = E.queries()["http_date_fmt"](spark, SF001).collect()
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+        assert all(r.if_modified_since.startswith("Thu, 01 Feb 2024 00:") for r in rows)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -4,10 +4,8 @@ import pytest
 
 from docweave.functions.dom import html_nodes, xml_nodes
 
-ECB = ('<gesmes:Envelope xmlns:gesmes="urn:g" xmlns="urn:e"><gesmes:Sender><gesmes:name>'
-       'European Central Bank</gesmes:name></gesmes:Sender><Cube><Cube time="2006-02-03">'
-       '<Cube currency="USD" rate="1.2061"/><Cube currency="JPY" rate="143.02"/></Cube></Cube>'
-       '</gesmes:Envelope>')
+PORT = ('<p:port xmlns:p="urn:p"><p:berth><p:ship>Northern Light</p:ship></p:berth><log><log day="3">'
+        '<log wind="NW" force="5"/><log wind="N" force="4"/></log></log></p:port>')
 
 
 def as_map(rows):
@@ -15,10 +13,10 @@ def as_map(rows):
 
 
 def test_first_chain_only():
-    m = as_map(xml_nodes(ECB))
-    assert m["/gesmes:Envelope/gesmes:Sender/gesmes:name"][0] == "European Central Bank"
-    assert m["/gesmes:Envelope/Cube/Cube/Cube"][1] == {"currency": "USD", "rate": "1.2061"}
-    assert len([p for p in m if p.endswith("/Cube/Cube/Cube")]) == 1
+    m = as_map(xml_nodes(PORT))
+    assert m["/p:port/p:berth/p:ship"][0] == "Northern Light"
+    assert m["/p:port/log/log/log"][1] == {"wind": "NW", "force": "5"}
+    assert len([p for p in m if p.endswith("/log/log/log")]) == 1
 
 
 def test_first_value_node_semantics():
@@ -41,11 +39,11 @@ def test_malformed_xml_raises():
         xml_nodes("<a><b></a>")
 
 
-def test_hello_html_recovery():
-    m = as_map(html_nodes("<html><h1>Hello!</h1><body>Hello!<body></html>"))
-    assert "/html/head" in m and "/html/body/h1" in m
-    assert m["/html/body/h1"][0] == "Hello!"
-    assert m["/html/body"][0] == "Hello!"
+def test_html_shell_is_recovered():
+    m = as_map(html_nodes("<h2>Tide table</h2><body>High at noon<body>"))
+    assert "/html/head" in m and "/html/body/h2" in m
+    assert m["/html/body/h2"][0] == "Tide table"
+    assert m["/html/body"][0] == "High at noon"
 
 
 def test_html_implied_closes_and_raw_text():

@@ -22,7 +22,7 @@ def brute_bfs(edges, seeds, max_depth):
             continue
         out[n] = d
         order.append(n)
-        if d < max_depth:
+        if max_depth is None or d < max_depth:
             for dst, _pos in edges.get(n, []):
                 q.append((dst, d + 1))
     return out, order
@@ -69,7 +69,7 @@ def brute_bfs_redirects(edges, redirects, seeds, max_depth):
         if n in redirects:
             q.appendleft((redirects[n], d))
             continue
-        if d < max_depth:
+        if max_depth is None or d < max_depth:
             for dst, _pos in sorted(edges.get(n, []), key=lambda e: e[1]):
                 q.append((dst, d + 1))
     return out, order
@@ -90,3 +90,67 @@ def test_redirects_jump_the_queue(spark):
     assert {r.url: r.depth for r in reached.collect()} == depth
     budget = frontier.crawl_budget(reached, 60).orderBy("visit_rank").collect()
     assert [r.url for r in budget] == order[:60]
+
+
+def _frames(spark, links, seeds, redirects=None):
+    return (spark.createDataFrame([(a, b, p) for a, out in links.items() for b, p in out], "src string, dst string, pos long"),
+            spark.createDataFrame([(s, i) for i, s in enumerate(seeds)], "url string, pos long"),
+            None if redirects is None else spark.createDataFrame(list(redirects.items()), "src string, dst string"))
+
+
+def _order(reached):
+    return [r.url for r in frontier.crawl_budget(reached, -1).orderBy("visit_rank").collect()]
+
+
+def test_long_chains_same_level_targets_and_large_positions(spark):
+    links = {"s": [("a", 3), ("b", 20_000_000_001), ("c", 3_000_000_000), ("r0", 4)], "r7": [("z", 0)], "z": [("y", 0)]}
+    redirects = {"a": "c", **{f"r{i}": f"r{i + 1}" for i in range(7)}, "y": "a"}
+    e, s, r = _frames(spark, links, ["s"], redirects)
+    reached = frontier.crawl_reach(e, s, redirects=r)
+    _, order = brute_bfs_redirects({k: [*v] for k, v in links.items()}, redirects, ["s"], 99)
+    assert _order(reached) == order == ["s", "a", "c", *[f"r{i}" for i in range(8)], "b", "z", "y"]
+
+
+def test_random_graphs_with_redirects_match_the_queue(spark):
+    import random
+    for seed in range(4):
+        rng = random.Random(seed)
+        names = [f"n{i}" for i in range(40)]
+        redirects = {n: rng.choice(names) for n in rng.sample(names, 12)}
+        links = {n: [(rng.choice(names), p) for p in range(rng.randint(0, 3))] for n in names}
+        e, s, r = _frames(spark, links, ["n0", "n1"], redirects)
+        depth, order = brute_bfs_redirects(links, redirects, ["n0", "n1"], 99)
+        reached = frontier.crawl_reach(e, s, redirects=r)
+        assert _order(reached) == order
+        assert {x.url: x.depth for x in reached.collect()} == depth
+
+
+def test_budget_counts_successful_pages_and_ends_the_crawl(spark):
+    links = {f"n{i}": [(f"n{2 * i + 1}", 0), (f"n{2 * i + 2}", 1)] for i in range(60)}
+    e, s, _ = _frames(spark, links, ["n0"])
+    ok = ~F.col("url").endswith("3")
+    reached = frontier.crawl_reach(e, s, budget=9, fetchable=ok)
+    assert 14 < reached.count() < 60                         # ends with the level that fills the budget
+    got = [r.url for r in frontier.crawl_budget(reached, 9, ok).orderBy("visit_rank").collect()]
+    assert got == [f"n{i}" for i in range(60) if i % 10 != 3][:9]
+
+
+def test_ranks_need_no_single_partition(spark):
+    rows = spark.range(1000).select(F.col("id").alias("url"), F.lit(0).alias("depth"), (F.col("id") * 7919 % 1000).alias("order_key"),
+                                    F.col("id").alias("vkey"))
+    out = frontier.crawl_budget(rows, -1)
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [r.order_key for r in out.orderBy("visit_rank").collect()] == list(range(1000))
+    assert frontier.crawl_budget(rows.where("false"), -1).count() == 0
+
+
+def test_redirect_order_query(spark):
+    import __spark_entry__ as E
+    links = lineitem_links(spark, SF001)
+    edges = {}
+    for r in links.collect():
+        edges.setdefault(r.src, []).append((r.dst, r.pos))
+    redirects = {d: f"p{int(d[1:]) + 1}" for v in edges.values() for d, _ in v if d[0] == "p" and int(d[1:]) % 10 < 8}
+    _, order = brute_bfs_redirects(edges, redirects, ["s1", "s2"], 99)
+    got = sorted((r.visit_rank, r.url) for r in E.queries()["crawl_redirect_order"](spark, SF001).collect())
+    assert [u for _, u in got] == order

@@ -6,20 +6,20 @@ from docweave.functions.xpath_grammar import (Atom, compile_xpath, distinguishin
                                               is_valid, parse_xpath)
 
 VALID = [
-    '/foo/bar/xyz',
-    '/foo/bar[@att="123"]',
-    '/xyz/abc[contains(text(),"someSubstring")]',
-    '/a/b/c[text()="theEntireText"]',
-    '/blah[anotherElement]',
-    '/this/that[something/else]',
-    '/d/e/f[foo[text()="something"]][bar]',
-    '/a/b/c[text() = "whiteSpacesShouldNotMatter"]',
-    '/a/foo/bar[something/else[@att="value"]]',
-    '/foo/bar[something/else[@att="value"]]/fun/sun',
-    '/a/b[foo[text()="#$(/][]"]][bar]/hi[@asdf="#$(&[]"][this][is][crazy]',
+    '/shop',                                              # one step
+    '/shop/shelf/item',                                   # steps
+    '/ns:shop/ns:item-1/_x9',                             # name characters
+    '/shop/item[@sku="A-7"]',                             # attribute
+    '/shop/item[text()="blue"]',                          # whole text
+    '/shop/item[contains(text(),"lu")]',                  # substring
+    '/shop/item[ text() = "blue" ]',                      # blanks inside a test
+    '/shop[open]',                                        # child
+    '/shop[shelf/item]',                                  # relative path
+    '/shop[shelf[@n="1"]/item[text()="x"]]',              # tests inside a relative path
+    '/shop[open][shelf[item]]/till[@id="[/]("]',          # quoted brackets
 ]
-INVALID = ['', ' ', 'no_backslash', '/foo/bar[text()=',
-           '/foo/bar[text()="this is okay"][text()="this is not']
+INVALID = ['', '   ', '/shop.old', 'shop/item', '/shop[', '/shop]', '/shop[text()="x"', '/shop[@sku=]', '/shop[text()=x]',
+           '/shop[contains(text())]', '/shop[contains(text(),"x"]', '/shop[]', '/sh op']
 OWN_INVALID = ['/', '//a', '/a//b', '/a/', '/a[@b]', "/a[@b='x']", '/child::a', '/a[text()=""]']
 
 

@@ -89,3 +89,32 @@ def test_keys_and_params(spark):
     got = [tuple(r) for r in df.select(urls.page_key(F.col("v")), urls.visit_key(F.col("v")),
                                        urls.query_param(F.col("v"), "ref")).collect()]
     assert got == [("ex.com/a/b", "ex.coma/b", "x"), ("ex.com", "ex.com", None)]
+
+
+def test_dot_segments(spark):
+    cases = {"../c": "http://h/a/c", "./c": "http://h/a/b/c", "../../../c?x=../y#..": "http://h/c?x=../y#..", "/x/./y/../z/": "http://h/x/z/",
+             "..": "http://h/a/", ".": "http://h/a/b/", "c.d/..e": "http://h/a/b/c.d/..e"}
+    df = spark.createDataFrame([(k,) for k in cases], "link string")
+    got = {r.link: r.u for r in df.select("link", urls.resolve_link(F.lit("http://h/a/b/p.html"), F.col("link")).alias("u")).collect()}
+    assert got == cases
+
+
+def test_user_information_and_origin_mode(spark):
+    df = spark.createDataFrame([("http://user:pw@Host.example:81/a?b@c",), ("http://h/@x",)], "v string")
+    assert [(r.host, r.port, r.path) for r in df.select(urls.url_struct(F.col("v")).alias("u")).select("u.*").collect()] == [
+        ("host.example", 81, "/a"), ("h", None, "/@x")]
+    assert _one(spark, urls.resolve_link(F.col("v"), F.lit("x.html"), "origin"), "http://ex.com:81/d/p") == "http://ex.com/x.html"
+
+
+def test_bytes_are_decoded_in_their_charset(spark):
+    from docweave.operators import render
+    df = spark.createDataFrame([(bytearray("é".encode("latin-1")), "ISO-8859-1"), (bytearray("é".encode()), None)], "body binary, encoding string")
+    assert [r.decoded for r in render.decode_bodies(df).collect()] == ["é", "é"]
+
+
+def test_rows_without_a_key_are_set_aside(spark):
+    from docweave.operators import recrawl
+    old = spark.createDataFrame([("a", 1, 0)], "page_key string, t int, v int")
+    new = spark.createDataFrame([(None, 2, 1), (None, 2, 2), ("a", 2, 3)], "page_key string, t int, v int")
+    assert [tuple(r) for r in recrawl.latest_wins(old, new, "page_key", ["t"]).collect()] == [("a", 2, 3)]
+    assert recrawl.without_key(new).count() == 2

@@ -1,6 +1,10 @@
-"""Streams end in the same state as the batch plans."""
+"""Streams end in the same state as the batch plans, over several batches."""
+
+import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from docweave.streaming import jobs
 
 from .conftest import SF001
 
@@ -9,17 +13,51 @@ def _rows(df):
     return sorted(tuple(str(r[c]) for c in sorted(df.columns)) for r in df.collect())
 
 
-def test_stream_match_equals_batch(spark):
-    q = E.queries()
-    assert _rows(q["stream_match"](spark, SF001)) == _rows(q["xpath_match"](spark, SF001))
+@pytest.fixture(scope="module")
+def folders(spark, tmp_path_factory):
+    """The tables as folders of part files, as a cluster writes them."""
+    root = tmp_path_factory.mktemp("tables")
+    for name, n in (("documents", 4), ("pages", 3)):
+        spark.read.parquet(f"{SF001}/{name}.parquet").repartition(n).write.parquet(f"{root}/{name}.parquet")
+    return str(root)
 
 
-def test_stream_upsert_equals_batch_upsert(spark):
+@pytest.mark.parametrize("name, batch", [("stream_match", "rss_match"), ("stream_upsert", "upsert_meta")])
+def test_streams_over_folders_equal_the_batch(spark, folders, name, batch):
     q = E.queries()
-    assert _rows(q["stream_upsert"](spark, SF001)) == _rows(q["upsert_meta"](spark, SF001))
-
-
-def test_stream_dedup_keeps_each_key_once(spark):
-    rows = E.queries()["stream_dedup"](spark, SF001).collect()
-    keys = [r.page_key for r in rows]
-    assert len(keys) == len(set(keys)) > 0
+    want = _rows(q[batch](spark, SF001))
+    assert want and _rows(q[name](spark, folders)) == want == _rows(q[name](spark, SF001))
+
+
+def test_counts_over_several_batches(spark, folders):
+    q = E.queries()["stream_counts"]
+    assert _rows(q(spark, folders)) == _rows(q(spark, SF001)) != []
+
+
+def test_dedup_drops_repeats(spark, folders):
+    q = E.queries()["stream_dedup"]
+    keys = [r.page_key for r in q(spark, folders).collect()]
+    assert len(keys) == len(set(keys)) == q(spark, SF001).count() > 0
+
+
+def test_repeat_after_the_watermark_is_a_new_visit(spark, tmp_path):
+    src = str(tmp_path / "in")
+    for i, minute in enumerate((0, 10, 600, 601, 1300)):
+        (spark.createDataFrame([("http://h/a", minute)], "url string, m int")
+         .select("url", F.timestamp_add("MINUTE", "m", F.lit("2024-01-01").cast("timestamp")).alias("fetched_at"))
+         .coalesce(1).write.mode("append").parquet(src))
+    stream = spark.readStream.schema("url string, fetched_at timestamp").option("maxFilesPerTrigger", 1).parquet(src)
+    assert jobs.run_append(jobs.stream_dedup(stream, "1 hour"), "late").count() >= 1
+
+
+def test_upserts_touch_only_their_buckets_and_replays_are_idempotent(spark, tmp_path):
+    schema = "k string, v long, t long"
+    root = str(tmp_path / "store")
+    jobs.write_store(spark.createDataFrame([(f"k{i}", i, 0) for i in range(200)], schema), root, "k", buckets=16)
+    src = str(tmp_path / "in")
+    spark.createDataFrame([("k3", 30, 1), ("k3", 31, 2), ("new", 7, 1), (None, 1, 1)], schema).coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(schema).parquet(src)
+    out = jobs.upsert_stream(stream, root, spark.createDataFrame([], schema).schema, "k", ["t"], buckets=16)
+    got = {r.k: r.v for r in out.collect()}
+    assert got == {**{f"k{i}": i for i in range(200)}, "k3": 31, "new": 7}
+    assert 1 <= len(jobs._names(spark, f"{root}/v00000001")) <= 3          # two buckets and the commit mark
