@@ -17,6 +17,8 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 
 import numpy as np
@@ -30,31 +32,80 @@ from .common import ceil_div, durable
 PIECE = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 
 
+class Memory:
+    """What was computed for a key, for the last ``size`` to ``2 * size`` keys in use."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def fill(self, keys: set, compute) -> dict:
+        """The table that holds all ``keys``; ``compute`` maps a list of missing ones."""
+        missing = keys.difference(self.new)
+        if missing:
+            if len(self.new) > self.size:
+                self.old, self.new, missing = self.new, {}, keys
+            for k in [k for k in missing if k in self.old]:
+                self.new[k] = self.old[k]
+            absent = [k for k in missing if k not in self.new]
+            if absent:
+                self.new.update(zip(absent, compute(absent)))
+        return self.new
+
+
 class WordEncoder:
-    """Encode texts with a tokenizer that drops white space, a distinct word at a
-    time: ids of a text are the ids of its words one after the other."""
+    """Encode texts with a tokenizer that drops white space and splits letters from
+    other characters, a distinct run at a time: ids of a text are the ids of its runs
+    of letters, digits and others one after the other."""
+
+    #: Texts of these characters fall into runs as below.  In others, words that hold
+    #: other characters, or an apostrophe (endings such as 's), are one unit each.
+    PLAIN = re.compile("[\x09-\x0d\x20-\x26\x28-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
+    RUNS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\x09-\x0d a-z0-9\xdf-\xf6\xf8-\xff]+")
 
-    def __init__(self, path: str, max_words: int = 400_000):
+    def __init__(self, path: str, max_runs: int = 400_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"       # Spark runs a task on every core already
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
-        self.max_words = max_words
+        self.known = Memory(max_runs)
+
+        ends = [t.endswith("</w>") for t, _ in sorted(self.tok.get_vocab().items(), key=lambda x: x[1])]
+        self.ends = np.array(ends, bool)
 
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
-        for w, e in zip(new, self.tok.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
+    def _encode_runs(self, runs: list[str]) -> list[bytes]:
+        """Many runs in one text: the last id of each is one that ends a word."""
+        out = []
+        for a in range(0, len(runs), 500):
+            ids = np.array(self.tok.encode(" ".join(runs[a:a + 500]), add_special_tokens=False).ids, "<u4")
+            cut = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            blob = ids.tobytes()
+            out += [blob[i:j] for i, j in zip([0, *cut[:-1].tolist()], cut.tolist())]
+        return out
+
+    def _encode(self, runs: list) -> list[bytes]:
+        """Runs as strings; words that are no plain words as (word,)."""
+        plain = [r for r in runs if type(r) is str]
+        known = dict(zip(plain, self._encode_runs(plain)))
+        other = [r for r in runs if type(r) is tuple]
+        for r, e in zip(other, self.tok.encode_batch_fast([w for w, in other], add_special_tokens=False)):
+            known[r] = np.array(e.ids, "<u4").tobytes()
+        return [known[r] for r in runs]
+
+    def units(self, text: str) -> list:
+        if self.PLAIN.fullmatch(text):
+            return self.RUNS.findall(text.lower())
+        out = []
+        for w in map(bytes.decode, text.encode().split()):           # at ASCII white space only
+            out += self.RUNS.findall(w.lower()) if self.PLAIN.fullmatch(w) else [(w,)]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, end id 0 included."""
         out = []
         for a in range(0, len(texts), 64):
-            if len(self.known) > self.max_words:
-                self.known.clear()
-            split = [t.encode().split() for t in texts[a:a + 64]]     # at ASCII white space only
-            self.learn({w for words in split for w in words})
-            out += [b"".join(map(self.known.__getitem__, words)) + b"\0\0\0\0" for words in split]
+            split = [self.units(t) for t in texts[a:a + 64]]
+            known = self.known.fill(set().union(*split), self._encode)
+            out += [b"".join(map(known.__getitem__, units)) + b"\0\0\0\0" for units in split]
         return out
 
 
@@ -63,12 +114,13 @@ def encode_pieces(path: str, size: int):
         enc = WordEncoder(path)
         for batch in batches:
             rows = []
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(texts)):
-                step = 4 * size
-                for k, a in enumerate(range(0, len(ids), step)):
-                    part = ids[a:a + step]
-                    rows.append((doc, k, a // 4, len(part) // 4, zlib.crc32(part)))
+            step, doc_id = 4 * size, batch.column("doc_id")
+            for at in range(0, batch.num_rows, 64):
+                texts = [t or "" for t in batch.column("text")[at:at + 64].to_pylist()]
+                for doc, ids in zip(doc_id[at:at + 64].to_pylist(), enc.encode(texts)):
+                    for k, a in enumerate(range(0, len(ids), step)):
+                        part = ids[a:a + step]
+                        rows.append((doc, k, a // 4, len(part) // 4, zlib.crc32(part)))
             cols = list(zip(*rows)) if rows else [()] * 5
             kinds = [batch.schema.field("doc_id").type, pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
