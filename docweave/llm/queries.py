@@ -149,13 +149,46 @@ def op6(spark, sf_dir):
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op3_minhash_near_dedup")
+#: All pairs that share a shingle, and the classes of those similar enough.
+OP3_SQL = r"""
+WITH RECURSIVE docs AS (SELECT doc_id, row_number() OVER () AS r,
+                     list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+              FROM documents),
+sh AS (SELECT r, array_to_string(w[i:i + 4], ' ') AS g
+       FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM docs WHERE len(w) > 0)),
+tf AS (SELECT r, g, count(*) AS n FROM sh GROUP BY r, g),
+df AS (SELECT g, count(*) AS d FROM tf GROUP BY g),
+v AS (SELECT r, g, n * ln((SELECT count(*) + 1.0 FROM docs) / d) AS x, d FROM tf JOIN df USING (g)),
+total AS (SELECT r, sum(x) AS t FROM v GROUP BY r),
+pairs AS (SELECT a.r AS ra, b.r AS rb, sum(least(a.x, b.x)) AS s FROM v a JOIN v b ON a.g = b.g AND a.r < b.r
+          WHERE a.d > 1 GROUP BY a.r, b.r),
+links AS (SELECT ra, rb FROM pairs JOIN total ta ON ta.r = ra JOIN total tb ON tb.r = rb WHERE s >= 0.8 * (ta.t + tb.t - s) - 1e-9),
+e AS (SELECT ra AS a, rb AS b FROM links UNION ALL SELECT rb, ra FROM links),
+c(a, b) AS (SELECT r, r FROM docs UNION SELECT c.a, e.b FROM c JOIN e ON e.a = c.b)
+SELECT d.doc_id, k.class_id, k.n_class
+FROM docs d JOIN (SELECT c.a, min(o.doc_id) AS class_id, CAST(count(*) AS BIGINT) AS n_class FROM c JOIN docs o ON o.r = c.b GROUP BY c.a) k
+     ON k.a = d.r
+"""
+
+
+@query("op3_minhash_near_dedup", OP3_SQL)
 def op3(spark, sf_dir):
     out = weighted_minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "class_id", "n_class")
 
 
-@query("op7_html_extraction")
+#: The article as the pages mark it up, by pattern.
+OP7_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?(?:p|h[1-6])>') AS b FROM pages),
+t AS (SELECT page_id, url, list_transform(b, lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(
+        regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'),
+        '\s+', ' ', 'g'))) AS b FROM a)
+SELECT page_id, url, array_to_string(list_filter(b, lambda x: x <> ''), chr(10)) AS text,
+       CAST(length(array_to_string(list_filter(b, lambda x: x <> ''), chr(10))) AS BIGINT) AS n_chars, 'html/body/article' AS slot FROM t
+"""
+
+
+@query("op7_html_extraction", OP7_SQL)
 def op7(spark, sf_dir):
     out = template_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "slot")
