@@ -2,8 +2,8 @@
 
 Encoding is the BPE of the model file: an agenda of neighbouring pieces whose join
 is a piece, best score first, leftmost on ties.  With dropout a candidate that
-comes up is skipped when the keyed hash of (seed, variant, place in the word,
-joined piece) falls below the rate, so a text gets other, equally valid pieces
+comes up is skipped when the keyed hash (by tabulation) of seed, variant, place in
+the word and joined piece falls below the rate, so a text gets other, equally valid pieces
 under another seed, and the same ones whenever, wherever and how often it is
 encoded.  The variant (one of ``variants``) is drawn from the text.  At rate 0 the
 pieces are those of the library.
@@ -12,7 +12,8 @@ Decoding is lossless for every text: what no piece spells goes as bytes, also th
 model's own blank sign when a text holds it.
 
 Words are independent (no piece has a blank sign after another character), so a
-worker remembers the pieces of words that it has met, up to ``max_words``.
+worker remembers the pieces of words that it has met, up to ``max_words``, and works
+the agendas of many new words at a time as arrays.
 
 Edge cases: a null text gives null pieces, an empty one none; texts of any length
 are encoded whole; repeated rows are encoded alike; other columns are ignored; an
@@ -30,7 +31,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
+from .residual_packing import Memory
+
 BLANK = "▁"
+#: Words up to this length are worked on as arrays.
+SHORT = 48
+NEVER = np.int32(2 ** 31 - 1)
 
 
 @lru_cache(maxsize=2)
@@ -45,7 +51,7 @@ def _load(path: str):
 class Pieces:
     """A BPE model with byte fallback: encoder with dropout, and decoder."""
 
-    def __init__(self, path: str, rate: float = 0.1, seed: int = 0, variants: int = 4, max_words: int = 600_000):
+    def __init__(self, path: str, rate: float = 0.1, seed: int = 0, variants: int = 4, max_words: int = 150_000):
         kinds = _load(path).pieces
         self.id = {p.piece: i for i, p in enumerate(kinds) if p.type == p.NORMAL}
         self.score = {p.piece: p.score for p in kinds if p.type == p.NORMAL and len(p.piece) > 1}
@@ -58,44 +64,101 @@ class Pieces:
         alone = "".join(c for c in "\n\r\t" if c not in joined)
         #: a word: blanks and what follows up to the next blank; characters that join nothing stand alone
         self.words = re.compile(f"[{alone}]| *[^ {alone}]+| +" if alone else " *[^ ]+| +")
-        self.bar = int(rate * 2 ** 64)
-        self.seed, self.variants, self.max_words = seed, variants, max_words
-        self.known: dict[str, bytes] = {}
+        self.bar, self.seed, self.variants = int(rate * 2 ** 64), seed, variants
+        self.known = [Memory(max_words) for _ in range(variants)]
+        self._arrays(len(kinds))
+
+    def _arrays(self, n: int) -> None:
+        """The model as arrays: characters, joins of two pieces, agenda order, keys."""
+        self.char = np.full(0x110000, -1, np.int32)
+        for p, i in self.id.items():
+            if len(p) == 1:
+                self.char[ord(p)] = i
+        order = {s: r for r, s in enumerate(sorted(set(self.score.values()), reverse=True))}
+        joins = sorted((self.id[p[:k]] * n + self.id[p[k:]], order[s], self.id[p]) for p, s in self.score.items()
+                       for k in range(1, len(p)) if p[:k] in self.id and p[k:] in self.id)
+        self.n = n
+        self.join_key = np.array([j for j, _, _ in joins], np.int64)
+        self.join_rank = np.array([r for _, r, _ in joins], np.int32)
+        self.join_id = np.array([i for _, _, i in joins], np.int32)
+        self.key = np.zeros(n, np.uint64)
+        for p, i in self.id.items():
+            self.key[i] = xxhash.xxh64_intdigest(p.encode(), self.seed)
+        self.rank = {p: order[s] for p, s in self.score.items()}
+        self.places = [np.array([xxhash.xxh64_intdigest(f"{v} {i}".encode(), self.seed) for i in range(SHORT)], np.uint64)
+                       for v in range(self.variants)]
+
+    def _place(self, variant: int, i: int) -> int:
+        return int(self.places[variant][i]) if i < SHORT else xxhash.xxh64_intdigest(f"{variant} {i}".encode(), self.seed)
 
     def agenda(self, word: str, variant: int = 0) -> list[str]:
-        """The pieces of one word."""
+        """The pieces of one word, its agenda as a heap."""
         piece = list(word)
-        n, score = len(piece), self.score
-        if n < 2:
-            return piece
+        n, rank = len(piece), self.rank
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        todo = []
-        for i in range(n - 1):
-            s = score.get(piece[i] + piece[i + 1])
-            if s is not None:
-                todo.append((-s, i, i + 1, piece[i] + piece[i + 1]))
+        todo = [(rank[w], i, i + 1, w) for i in range(n - 1) if (w := piece[i] + piece[i + 1]) in rank]
         heapq.heapify(todo)
         while todo:
             _, i, j, whole = heapq.heappop(todo)
             if after[i] != j or piece[i] + piece[j] != whole:
                 continue                                   # one of the two has grown since
-            if self.bar and xxhash.xxh64_intdigest(f"{variant} {i} {whole}".encode(), self.seed) < self.bar:
+            if self.bar and int(self.key[self.id[whole]]) ^ self._place(variant, i) < self.bar:
                 continue
             piece[i], piece[j] = whole, ""
             k = after[i] = after[j]
             after[j] = -2
             if k >= 0:
                 before[k] = i
-                s = score.get(whole + piece[k])
-                if s is not None:
-                    heapq.heappush(todo, (-s, i, k, whole + piece[k]))
+                if (w := whole + piece[k]) in rank:
+                    heapq.heappush(todo, (rank[w], i, k, w))
             h = before[i]
-            if h >= 0:
-                s = score.get(piece[h] + whole)
-                if s is not None:
-                    heapq.heappush(todo, (-s, h, i, piece[h] + whole))
+            if h >= 0 and (w := piece[h] + whole) in rank:
+                heapq.heappush(todo, (rank[w], h, i, w))
         return [p for p in piece if p]
 
+    def _join(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, piece) of joining a and b; rank ``NEVER`` where they join to none."""
+        key = a.astype(np.int64) * self.n + b
+        at = np.minimum(np.searchsorted(self.join_key, key), len(self.join_key) - 1)
+        ok = (self.join_key[at] == key) & (a >= 0) & (b >= 0)
+        return np.where(ok, self.join_rank[at], NEVER), self.join_id[at]
+
+    def agendas(self, piece: np.ndarray, variant: int) -> np.ndarray:
+        """The agendas of many words at a time.  ``piece``: words x characters as piece
+        ids, -1 behind their ends; in the result -1 also stands where a piece has been
+        joined to the one before it."""
+        n, m = piece.shape
+        piece, place = piece.copy(), self.places[variant]
+        after = np.tile(np.arange(1, m + 1), (n, 1))               # m: none
+        before = np.tile(np.arange(-1, m - 1), (n, 1))
+        padded = np.pad(piece, ((0, 0), (0, 1)), constant_values=-1)
+        rank, whole = (x.reshape(n, m) for x in self._join(padded[:, :-1].ravel(), padded[:, 1:].ravel()))
+        rows = np.arange(n)
+        while len(rows):
+            i = np.argmin(rank[rows], axis=1)                      # the best, leftmost of equals
+            live = rank[rows, i] != NEVER
+            rows, i = rows[live], i[live]
+            w = whole[rows, i]
+            if self.bar:
+                drop = (self.key[w] ^ place[i]) < np.uint64(self.bar)
+                rank[rows[drop], i[drop]] = NEVER
+                r, c, w = rows[~drop], i[~drop], w[~drop]
+            else:
+                r, c = rows, i
+            j = after[r, c]
+            piece[r, c], piece[r, j] = w, -1
+            rank[r, j] = NEVER
+            k = after[r, c] = after[r, j]
+            inside = k < m
+            before[r[inside], k[inside]] = c[inside]
+            right = np.where(inside, piece[r, np.minimum(k, m - 1)], -1)
+            rank[r, c], whole[r, c] = self._join(w, right)
+            h = before[r, c]
+            has = h >= 0
+            r, h, w = r[has], h[has], w[has]
+            rank[r, h], whole[r, h] = self._join(piece[r, h], w)
+        return piece
+
     def _ids(self, word: str, variant: int) -> bytes:
         out = []
         for k, part in enumerate(word.split(BLANK)):       # a blank sign in the text itself goes as bytes
@@ -106,19 +169,45 @@ class Pieces:
                 out += [i] if i is not None else [self.byte[b] for b in p.encode()]
         return np.array(out, "<i4").tobytes()
 
+    def _spell(self, words: list[str], variant: int) -> list[bytes]:
+        """Ids of new words: those of known characters in blocks of like lengths, and
+        long ones, or those that need bytes, one by one."""
+        out: list[bytes | None] = [None] * len(words)
+        size = np.array([len(w) for w in words])
+        code = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+        char = self.char[np.where(code == 32, ord(BLANK), np.where(code == ord(BLANK), 0x10FFFF, code))]
+        start = np.cumsum(size) - size
+        plain = (np.minimum.reduceat(char, start) >= 0) & (size <= SHORT)
+        order = np.flatnonzero(plain)
+        order = order[np.argsort(size[order], kind="stable")]
+        for a in range(0, len(order), 4096):
+            part = order[a:a + 4096]
+            place = np.arange(size[part[-1]])
+            inside = place < size[part][:, None]
+            piece = np.where(inside, char[np.minimum(start[part][:, None] + place, len(char) - 1)], -1)
+            done = self.agendas(piece, variant)
+            keep = done >= 0
+            blob, ends = done[keep].astype("<i4").tobytes(), (np.cumsum(keep.sum(axis=1)) * 4).tolist()
+            for w, i, j in zip(part.tolist(), [0, *ends], ends):
+                out[w] = blob[i:j]
+        for w in np.flatnonzero(~plain).tolist():
+            out[w] = self._ids(words[w], variant)
+        return out
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes | None]:
+        """Ids of each text as little-endian 32-bit integers."""
+        out: list[bytes | None] = [None if t is None else b"" for t in texts]
+        variant = [xxhash.xxh64_intdigest(t.encode(), self.seed) % self.variants if t and self.bar else 0 for t in texts]
+        for v in range(self.variants):
+            mine = [(i, self.words.findall(" " + t)) for i, t in enumerate(texts) if t and variant[i] == v]
+            if mine:
+                known = self.known[v].fill(set().union(*(w for _, w in mine)), lambda new: self._spell(new, v))  # noqa: B023
+                for i, words in mine:
+                    out[i] = b"".join(map(known.__getitem__, words))
+        return out
+
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit integers."""
-        if not text:
-            return b""
-        variant = xxhash.xxh64_intdigest(text.encode(), self.seed) % self.variants if self.bar else 0
-        if len(self.known) > self.max_words:
-            self.known.clear()
-        words = self.words.findall(" " + text)
-        key = f"{variant}".__add__
-        known, keyed = self.known, list(map(key, words))
-        for k in set(keyed).difference(known):
-            known[k] = self._ids(k[len(str(variant)):], variant)
-        return b"".join(map(known.__getitem__, keyed))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.spell.__getitem__, ids)).decode()[1:]
@@ -132,19 +221,15 @@ def _lists(blobs: list[bytes | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), values, mask=nulls)
 
 
-def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, batch_chars: int = 1 << 22, **how) -> DataFrame:
+def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, batch_texts: int = 512, **how) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, ids array<int>``; ``model`` is a path that executors see."""
     def run(batches):
         pieces = Pieces(model, rate, seed, **how)
         for batch in batches:
-            held, size, at = [], 0, 0
-            for k, t in enumerate(batch.column("text").to_pylist()):
-                held.append(None if t is None else pieces.encode(t))
-                size += len(t or "")
-                if size >= batch_chars:
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id")[at:k + 1], _lists(held)], ["doc_id", "ids"])
-                    held, size, at = [], 0, k + 1
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id")[at:], _lists(held)], ["doc_id", "ids"])
+            for a in range(0, batch.num_rows, batch_texts):
+                part = batch.slice(a, batch_texts)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(pieces.encode_all(part.column("text").to_pylist()))],
+                                                 ["doc_id", "ids"])
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
