@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, ceil_div, durable
+from .common import U64, ceil_div, durable, packed
 
 ONES = U64(0xFFFFFFFFFFFFFFFF)
 
@@ -208,7 +208,7 @@ def _search(k: int):
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 20, row_block: int = 1 << 16, query_block: int = 256) -> DataFrame:
     """``rows(id long, v array<long>)`` and ``queries`` alike -> ``query_id, rank, vec_id, score``."""
     def blocks(df, size):
-        n = df.count()
+        n = packed(df).count()
         return df.repartition(ceil_div(n, size)).mapInArrow(_pack(size), PACKED)
     stored = durable(blocks(rows, row_block))
     asked = blocks(queries, query_block).select("dims", F.col("n").alias("q_n"), F.col("ids").alias("q_ids"),

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed
+
 START, END = "<|im_start|>", "<|im_end|>"
 _CONTROL = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
@@ -93,7 +95,7 @@ def expand(turns: DataFrame) -> DataFrame:
                      F.coalesce("text", F.lit("")).alias("text"))
     whole = t.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     kind = turns.schema["conv_id"].dataType.simpleString()
-    return whole.mapInArrow(_expand, EXAMPLE.format(id=kind))
+    return packed(whole).mapInArrow(_expand, EXAMPLE.format(id=kind))
 
 
 READ = "conv_id {id}, example int, n_turns long, transcript string, loss_text string, chars long"
@@ -119,7 +121,7 @@ def read_back(examples: DataFrame) -> DataFrame:
     """What the examples hold, per conversation: ``conv_id, n_turns, transcript,
     loss_text, formatted_chars, n_examples``."""
     kind = examples.schema["conv_id"].dataType.simpleString()
-    parts = examples.mapInArrow(_read, READ.format(id=kind))
+    parts = packed(examples).mapInArrow(_read, READ.format(id=kind))
     in_order = F.sort_array(F.collect_list(F.struct("example", "loss_text")))
     return parts.groupBy("conv_id").agg(
         F.max("n_turns").alias("n_turns"), F.max("transcript").alias("transcript"),

@@ -24,6 +24,12 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Python workers can import the package."""
+    ready(df.sparkSession)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

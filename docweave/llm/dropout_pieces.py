@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
+from .common import packed
 from .residual_packing import Memory
 
 BLANK = "▁"
@@ -231,7 +232,7 @@ def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, batch_
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(pieces.encode_all(part.column("text").to_pylist()))],
                                                  ["doc_id", "ids"])
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return packed(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
 def decode(coded: DataFrame, model: str) -> DataFrame:
@@ -243,4 +244,4 @@ def decode(coded: DataFrame, model: str) -> DataFrame:
             text = [None if not ids[i].is_valid else pieces.decode(ids[i].values.to_numpy().tolist()) for i in range(len(ids))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, pa.array(text, pa.string())], ["doc_id", "ids", "text"])
     kind = coded.schema["doc_id"].dataType.simpleString()
-    return coded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
+    return packed(coded).select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")

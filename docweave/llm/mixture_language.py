@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed
+
 
 
 GRAM = 3
@@ -115,7 +117,7 @@ def expectation_maximisation(p: np.ndarray, weight: np.ndarray, rounds: int) ->
 
 def train(docs: DataFrame, n_features: int = FEATURES) -> Model:
     """Learn from the ``text`` and ``lang`` of all rows that have both."""
-    labelled = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("lang", "text")
+    labelled = packed(docs).where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("lang", "text")
     counted = labelled.mapInArrow(_count(n_features), COUNTED).groupBy("lang", "block").applyInArrow(_add, COUNTED)
     parts = counted.orderBy("lang", "block").toArrow().to_pylist()     # languages x features numbers
     names = sorted({r["lang"] for r in parts})
@@ -130,7 +132,7 @@ GUESS = "lang_pred string, score double, languages array<struct<lang:string,shar
 def identify(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``columns`` plus ``lang_pred, score, languages`` (the chosen set with shares).
     Only the text is read for a prediction."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = packed(docs).sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:

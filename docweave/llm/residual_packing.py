@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ceil_div, durable
+from .common import ceil_div, durable, packed
 
 PIECE = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 
@@ -197,7 +197,7 @@ def pack(pieces: DataFrame, size: int = 2048, slack: int = 4, fan_in: int = 8, p
     """``pieces`` (with ``length`` from 1 to ``size``) plus ``sequence_id, offset``.
     Bins with at most ``slack`` free tokens are done in the round that made them."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    local = durable(pieces.mapInArrow(_pack_partition(size, partition_pieces), f"{kinds}, bin long, at long, fill long"))
+    local = durable(packed(pieces).mapInArrow(_pack_partition(size, partition_pieces), f"{kinds}, bin long, at long, fill long"))
     waiting = lambda df: df.where(F.col("fill") < size - slack).select("bin", "fill").distinct()
     last = local.agg(F.max(F.shiftright("bin", 40))).head()[0]
     groups, level, rounds, open_bins = (0 if last is None else last + 1), 0, [], waiting(local)
@@ -231,5 +231,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, **how) ->
     """``docs(doc_id, text)`` -> one row per piece: ``doc_id, piece, start, length,
     ids_crc32, sequence_id, offset``.  ``tokenizer``: path of a file that executors see."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    pieces = docs.select("doc_id", "text").mapInArrow(encode_pieces(tokenizer, size), PIECE.format(id=kind))
+    pieces = packed(docs).select("doc_id", "text").mapInArrow(encode_pieces(tokenizer, size), PIECE.format(id=kind))
     return pack(pieces, size, **how)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (U64, ceil_div, chunked, mix, pack, pack_bits, pack_sorted, run_hashes,
+from .common import (U64, ceil_div, chunked, mix, pack, pack_bits, pack_sorted, packed, run_hashes,
                      shards_of, total_bytes, unpack, unpack_bits, unpack_sorted, word_hashes)
 
 
@@ -192,7 +192,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = 35, depth: int = 2, c
                             chunk_bytes: int = 8 << 20, shard_words: int = 1 << 22) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, n_words, n_removed, kept_text, removed``
     (word ranges).  ``chunk_bytes`` and ``shard_words`` bound what a task holds."""
-    docs = docs.select("doc_id", "text")
+    docs = packed(docs.select("doc_id", "text"))
     size = total_bytes(docs, "text")
     words = max(1, size // 5)
     bits = (ceil_div(words, shard_words) - 1).bit_length()

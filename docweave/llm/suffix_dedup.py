@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (U64, ceil_div, chunked, durable, mix, pack_bits, pack_sorted, shards_of, total_bytes,
+from .common import (U64, ceil_div, chunked, durable, mix, pack_bits, pack_sorted, packed, shards_of, total_bytes,
                      unpack_bits, unpack_sorted)
 from .sketch_dedup import SPAN, _table, spans
 
@@ -322,7 +322,7 @@ def cut_chunk(key, docs, found):
 def remove_repeated_strings(docs: DataFrame, size: int = 200, chunk_bytes: int = 8 << 20, shard: int = 1 << 21,
                             bucket_bytes: int = 16 << 20) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, n_bytes, kept, removed`` (byte ranges)."""
-    docs = docs.select("doc_id", "text")
+    docs = packed(docs.select("doc_id", "text"))
     total = total_bytes(docs, "text")
     bits = (ceil_div(total // 60, shard) - 1).bit_length()
     dealt = chunked(docs, ceil_div(total, chunk_bytes), "doc_id", "text").repartition("chunk")

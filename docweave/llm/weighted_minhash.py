@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (U64, ceil_div, chunked, durable, mix, pack, pack_bits, pack_sorted, run_hashes, shards_of,
+from .common import (U64, ceil_div, chunked, durable, mix, pack, pack_bits, pack_sorted, packed, run_hashes, shards_of,
                      total_bytes, unpack, unpack_bits, unpack_sorted, word_hashes)
 from .components import components
 from .sketch_dedup import _encoded, _table
@@ -294,7 +294,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, shingle: int = 5, bands
     """``docs(doc_id, text)`` -> ``doc_id, text_key, class_id, n_class, is_first``: the
     least doc_id of the class, its number of rows, and whether this is its first row.  ``text_key`` (xxhash64 of the text)
     tells rows of one doc_id apart."""
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    docs = packed(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")))
     size, n_docs = total_bytes(docs, "text"), docs.count()
     words = max(1, size // 5)
     bits = (ceil_div(words, shard_words) - 1).bit_length()
