@@ -46,16 +46,19 @@ def _merged(levels: list[DataFrame]) -> list[DataFrame]:
     return levels
 
 
-def _follow_redirects(level: DataFrame, redirects: DataFrame, visited: list[DataFrame], vk) -> DataFrame:
-    """add redirect targets to a level, along chains of any length.  Keys only
-    fall, so the loop ends where nothing falls any more."""
+def _follow_redirects(level: DataFrame, redirects: DataFrame, visited: list[DataFrame], vk, hops: int = 4) -> DataFrame:
+    """add redirect targets to a level, along chains of any length, ``hops`` of them
+    a round.  Keys only fall, so the rounds end where nothing falls any more.  (What
+    lies behind a page visited before was visited with it.)"""
     moves = redirects.select(F.col("src").alias("url"), F.col("dst").alias("to"))
     changed = level
     while True:
-        targets = (changed.join(moves, "url").select(
-            F.col("to").alias("url"), F.concat("order_key", F.array(F.lit(-1).cast("long"))).alias("order_key"))
-            .withColumn("vkey", vk(F.col("url"))))
-        targets = _new(_first(targets), visited).select("vkey", "order_key", "url")
+        step, found = changed, None
+        for _ in range(hops):
+            step = step.join(moves, "url").select(
+                F.col("to").alias("url"), F.concat("order_key", F.array(F.lit(-1).cast("long"))).alias("order_key"))
+            found = step if found is None else found.unionByName(step)
+        targets = _new(_first(found.withColumn("vkey", vk(F.col("url")))), visited).select("vkey", "order_key", "url")
         old = level.select("vkey", F.col("order_key").alias("old"))
         changed = (targets.join(old, "vkey", "left").where("old is null or order_key < old")
                    .select("vkey", "order_key", "url").checkpoint())

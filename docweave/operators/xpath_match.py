@@ -52,11 +52,15 @@ def _compile_udf(xpaths: pd.Series) -> pd.DataFrame:
 
 def xpath_valid(df: DataFrame, col: str = "xpath") -> DataFrame:
     """F16: adds ``valid boolean``."""
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     return df.withColumn("valid", _compile_udf(F.col(col))["valid"])
 
 
 def compile_xpaths(xpaths: DataFrame, col: str = "xpath") -> DataFrame:
     """One row per distinct expression: ``xpath, valid, n_atoms, atoms``."""
+    from ..session import ship_package
+    ship_package(xpaths.sparkSession)
     c = (xpaths.select(F.col(col).alias("xpath")).where(F.col("xpath").isNotNull())
          .distinct()
          .withColumn("c", _compile_udf(F.col("xpath"))))

@@ -44,3 +44,33 @@ def test_write_collections_sorted_per_channel(spark, tmp_path):
     back = spark.read.text(out + "/channel=c1").collect()
     assert [r.value for r in back] == ["<documentcollection>", "<document a/>", "<document b/>",
                                        "</documentcollection>"]
+
+
+def test_response_landing_folder(spark, tmp_path):
+    from docweave.sources.documents import RESPONSE_SCHEMA, read_responses, stream_responses
+    import datetime as dt
+    out = str(tmp_path / "landing")
+    rows = [(f"http://h/{i}", dt.datetime(2024, 1, 1), "HTTP/1.1 200 OK", "Content-Type: text/html", bytearray(b"<p>" + bytes([48 + i]))) for i in range(3)]
+    spark.createDataFrame(rows, RESPONSE_SCHEMA).repartition(3).write.parquet(out)
+    assert sorted(r.url for r in read_responses(spark, out).collect()) == [f"http://h/{i}" for i in range(3)]
+    q = stream_responses(spark, out, 1).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck")) \
+        .trigger(availableNow=True).start(str(tmp_path / "out"))
+    q.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_library_works_from_any_folder(tmp_path):
+    """Workers get the package with the first operator, without a registered query."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.path.insert(0, {root!r})\n"
+            "from docweave.session import local_session\nfrom docweave.operators import xpath_match as xm\n"
+            "s = local_session(2)\n"
+            "d = s.createDataFrame([('u', '<a/>')], 'doc_id string, body string')\n"
+            "x = s.createDataFrame([('/a',)], 'xpath string')\n"
+            "print('FOUND', xm.match_documents(d, x).collect())")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "FOUND [Row(doc_id='u', xpath='/a')]" in done.stdout, done.stderr[-2000:]
