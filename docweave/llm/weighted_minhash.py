@@ -50,27 +50,19 @@ class Shingles:
     def __init__(self, texts: list[bytes], size: int):
         words, counts = word_hashes(texts)
         ends = np.cumsum(counts)
-        self.words, self.ends, self.counts, self.size = words, ends, counts, size
+        self.words, self.ends, self.counts = words, ends, counts
         runs = run_hashes(words, size)
-        starts = ends - counts
-        hashes, doc = [], []
-        long = counts >= size
-        take = np.maximum(counts - size + 1, 0)
-        first = np.cumsum(take) - take
-        at = np.repeat(starts - first, take) + np.arange(int(take.sum()))
-        hashes.append(runs[at] if len(at) else np.zeros(0, U64))
-        doc.append(np.repeat(np.arange(len(counts)), take))
-        for d in np.flatnonzero(~long & (counts > 0)).tolist():          # short: one shingle of all words
-            hashes.append(run_hashes(words[starts[d]:ends[d]], int(counts[d])))
-            doc.append(np.array([d]))
-        h, d = np.concatenate(hashes), np.concatenate(doc)
-        order = np.lexsort((h, d))
-        h, d = h[order], d[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-        at = np.flatnonzero(new)
-        self.h, self.doc, self.tf = h[at], d[at], np.diff(np.append(at, len(h)))
-        self.cut = np.searchsorted(self.doc, np.arange(len(counts) + 1))
+        h, tf = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+        for end, n in zip(ends.tolist(), counts.tolist()):
+            if n >= size:
+                mine = runs[end - n:end - size + 1]
+            else:                                       # short: one shingle of all words
+                mine = run_hashes(words[end - n:end], n) if n else words[:0]
+            one, times = np.unique(mine, return_counts=True)
+            h.append(one)
+            tf.append(times)
+        self.cut = np.cumsum([0] + [len(x) for x in h[1:]])
+        self.h, self.tf = np.concatenate(h), np.concatenate(tf)
 
     def content(self, d: int) -> bytes:
         """128 bits that tell the word sequence of a document."""
