@@ -328,8 +328,9 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, shingle: int = 5, bands
     named = signed.join(classes.withColumnRenamed("node", "content"), "content", "left").withColumn(
         "label", F.when(F.col("content") != F.lit(b""), F.coalesce("label", "content")))
     first = F.min(F.struct("doc_id", "text_key"))
-    totals = named.where("label is not null").groupBy("label").agg(
-        F.min("doc_id").alias("class_id"), F.count("*").alias("n_class"), first.alias("first"))
+    # written, so that the join deals both sides itself and can split a large class
+    totals = durable(named.where("label is not null").groupBy("label").agg(
+        F.min("doc_id").alias("class_id"), F.count("*").alias("n_class"), first.alias("first")))
     alone = named.where("label is null").select("doc_id", "text_key", F.col("doc_id").alias("class_id"),
                                                 F.lit(1).cast("long").alias("n_class"), F.lit(True).alias("is_first"))
     first_here = F.col("first").eqNullSafe(F.struct("doc_id", "text_key"))
