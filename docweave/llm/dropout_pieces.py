@@ -2,18 +2,21 @@
 
 Encoding is the BPE of the model file: an agenda of neighbouring pieces whose join
 is a piece, best score first, leftmost on ties.  With dropout a candidate that
-comes up is skipped when the keyed hash (by tabulation) of seed, variant, place in
-the word and joined piece falls below the rate, so a text gets other, equally valid pieces
-under another seed, and the same ones whenever, wherever and how often it is
-encoded.  The variant (one of ``variants``) is drawn from the text.  At rate 0 the
-pieces are those of the library.
+comes up is skipped when the keyed hash of seed, text, the word's number in the text,
+place in the word and joined piece falls below the rate: every occurrence of a word
+draws anew.  A text gets other, equally valid pieces under another seed, and the same
+ones whenever, wherever and how often it is encoded.  At rate 0 the pieces are those
+of the library.
 
 Decoding is lossless for every text: what no piece spells goes as bytes, also the
 model's own blank sign when a text holds it.
 
-Words are independent (no piece has a blank sign after another character), so a
-worker remembers the pieces of words that it has met, up to ``max_words``, and works
-the agendas of many new words at a time as arrays.
+Words are independent (no piece has a blank sign after another character).  What the
+draws do not change is remembered: a node is a word with the steps of its agenda that
+were skipped so far, and holds the joins that follow and the pieces when none of them
+is skipped.  An occurrence goes from the word's node to that of the first join that
+its draws skip, and on from there.  New nodes are worked on as arrays, many at a time;
+beyond ``max_nodes`` all are forgotten.
 
 Edge cases: a null text gives null pieces, an empty one none; texts of any length
 are encoded whole; repeated rows are encoded alike; other columns are ignored; an
@@ -32,12 +35,46 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from .common import packed
-from .residual_packing import Memory
 
 BLANK = "▁"
 #: Words up to this length are worked on as arrays.
 SHORT = 48
 NEVER = np.int32(2 ** 31 - 1)
+#: Joins are found in a table of 2**SLOTS slots.
+SLOTS = 20
+GOLDEN, FULL = 0x9E3779B97F4A7C15, 2 ** 64 - 1
+#: Words whose draws are made at a time.
+SLICE = 200_000
+
+
+def scatter(x):
+    """The finalizer of splitmix64, of one integer or in place of an array."""
+    if isinstance(x, int):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & FULL
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & FULL
+        return x ^ x >> 31
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= x >> np.uint64(shift)
+        x *= np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+class Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind):
+        self.held, self.n = np.zeros(1024, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        while self.n + len(values) > len(self.held):
+            self.held = np.concatenate([self.held, np.zeros_like(self.held)])
+        self.held[self.n:self.n + len(values)] = values
+        self.n += len(values)
+
+    @property
+    def now(self) -> np.ndarray:
+        return self.held[:self.n]
 
 
 @lru_cache(maxsize=2)
@@ -52,7 +89,7 @@ def _load(path: str):
 class Pieces:
     """A BPE model with byte fallback: encoder with dropout, and decoder."""
 
-    def __init__(self, path: str, rate: float = 0.1, seed: int = 0, variants: int = 4, max_words: int = 150_000):
+    def __init__(self, path: str, rate: float = 0.1, seed: int = 0, max_nodes: int = 600_000):
         kinds = _load(path).pieces
         self.id = {p.piece: i for i, p in enumerate(kinds) if p.type == p.NORMAL}
         self.score = {p.piece: p.score for p in kinds if p.type == p.NORMAL and len(p.piece) > 1}
@@ -65,8 +102,8 @@ class Pieces:
         alone = "".join(c for c in "\n\r\t" if c not in joined)
         #: a word: blanks and what follows up to the next blank; characters that join nothing stand alone
         self.words = re.compile(f"[{alone}]| *[^ {alone}]+| +" if alone else " *[^ ]+| +")
-        self.bar, self.seed, self.variants = int(rate * 2 ** 64), seed, variants
-        self.known = [Memory(max_words) for _ in range(variants)]
+        self.bar, self.seed, self.max_nodes = int(rate * 2 ** 64), seed, max_nodes
+        self._forget()
         self._arrays(len(kinds))
 
     def _arrays(self, n: int) -> None:
@@ -79,21 +116,38 @@ class Pieces:
         joins = sorted((self.id[p[:k]] * n + self.id[p[k:]], order[s], self.id[p]) for p, s in self.score.items()
                        for k in range(1, len(p)) if p[:k] in self.id and p[k:] in self.id)
         self.n = n
-        self.join_key = np.array([j for j, _, _ in joins], np.int64)
-        self.join_rank = np.array([r for _, r, _ in joins], np.int32)
-        self.join_id = np.array([i for _, _, i in joins], np.int32)
+        join = np.array(joins, np.int64)
+        slot = self._slot(join[:, 0]).astype(np.int64)
+        join = join[np.argsort(slot, kind="stable")]
+        held = np.bincount(slot, minlength=2 ** SLOTS)
+        #: joins by slot, and some that are none behind them
+        self.most = int(held.max())
+        self.first = (np.cumsum(held) - held).astype(np.int32)
+        self.join_key, self.join_rank, self.join_id = (np.pad(x, (0, self.most), constant_values=-1) for x in (
+            join[:, 0], join[:, 1].astype(np.int32), join[:, 2].astype(np.int32)))
         self.key = np.zeros(n, np.uint64)
         for p, i in self.id.items():
             self.key[i] = xxhash.xxh64_intdigest(p.encode(), self.seed)
         self.rank = {p: order[s] for p, s in self.score.items()}
-        self.places = [np.array([xxhash.xxh64_intdigest(f"{v} {i}".encode(), self.seed) for i in range(SHORT)], np.uint64)
-                       for v in range(self.variants)]
+        self.places = np.array([xxhash.xxh64_intdigest(b"%d" % i, self.seed) for i in range(SHORT)], np.uint64)
 
-    def _place(self, variant: int, i: int) -> int:
-        return int(self.places[variant][i]) if i < SHORT else xxhash.xxh64_intdigest(f"{variant} {i}".encode(), self.seed)
+    def _forget(self) -> None:
+        self.root: dict[str, int] = {}
+        #: of each node: its word, skipped steps, ids, and where its joins start
+        self.word: list[str] = []
+        self.skipped: list[tuple] = []
+        self.blob: list[bytes] = []
+        self.start, self.count = Grown(np.int64), Grown(np.int64)
+        #: of each join: its key, and the node where it is skipped (-1: not met yet)
+        self.joins, self.child = Grown(np.uint64), Grown(np.int32)
 
-    def agenda(self, word: str, variant: int = 0) -> list[str]:
-        """The pieces of one word, its agenda as a heap."""
+    def _event(self, whole: str, i: int) -> int:
+        place = int(self.places[i]) if i < SHORT else xxhash.xxh64_intdigest(b"%d" % i, self.seed)
+        return int(self.key[self.id[whole]]) ^ place
+
+    def agenda(self, word: str, skip=None, at: int = 0) -> list[str]:
+        """The pieces of one word (``at``: its place in a longer one), its agenda as a
+        heap; ``skip`` tells of the key of a candidate whether it is skipped."""
         piece = list(word)
         n, rank = len(piece), self.rank
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
@@ -103,7 +157,7 @@ class Pieces:
             _, i, j, whole = heapq.heappop(todo)
             if after[i] != j or piece[i] + piece[j] != whole:
                 continue                                   # one of the two has grown since
-            if self.bar and int(self.key[self.id[whole]]) ^ self._place(variant, i) < self.bar:
+            if skip and skip(self._event(whole, at + i)):
                 continue
             piece[i], piece[j] = whole, ""
             k = after[i] = after[j]
@@ -120,16 +174,29 @@ class Pieces:
     def _join(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, piece) of joining a and b; rank ``NEVER`` where they join to none."""
         key = a.astype(np.int64) * self.n + b
-        at = np.minimum(np.searchsorted(self.join_key, key), len(self.join_key) - 1)
-        ok = (self.join_key[at] == key) & (a >= 0) & (b >= 0)
+        at = self.first[self._slot(key)]
+        ok = self.join_key[at] == key
+        for _ in range(1, self.most):
+            todo = np.flatnonzero(~ok)
+            at[todo] += 1
+            ok[todo] = self.join_key[at[todo]] == key[todo]
+        ok &= (a >= 0) & (b >= 0)
+        at[~ok] = 0
         return np.where(ok, self.join_rank[at], NEVER), self.join_id[at]
 
-    def agendas(self, piece: np.ndarray, variant: int) -> np.ndarray:
+    @staticmethod
+    def _slot(key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(GOLDEN)) >> np.uint64(64 - SLOTS)
+
+    def agendas(self, piece: np.ndarray, skipped: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The agendas of many words at a time.  ``piece``: words x characters as piece
-        ids, -1 behind their ends; in the result -1 also stands where a piece has been
-        joined to the one before it."""
+        ids, -1 behind their ends; ``skipped``: words x steps to skip, ascending.  The
+        pieces (-1 also where one has been joined to the one before it), and the joins
+        after the last skipped step: their keys, word by word, and how many each has."""
         n, m = piece.shape
-        piece, place = piece.copy(), self.places[variant]
+        piece, step = piece.copy(), 0
+        last = skipped[:, -1] if skipped.shape[1] else np.full(n, -1)
+        late, keys = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
         after = np.tile(np.arange(1, m + 1), (n, 1))               # m: none
         before = np.tile(np.arange(-1, m - 1), (n, 1))
         padded = np.pad(piece, ((0, 0), (0, 1)), constant_values=-1)
@@ -140,12 +207,15 @@ class Pieces:
             live = rank[rows, i] != NEVER
             rows, i = rows[live], i[live]
             w = whole[rows, i]
-            if self.bar:
-                drop = (self.key[w] ^ place[i]) < np.uint64(self.bar)
+            r, c = rows, i
+            if skipped.shape[1]:
+                drop = (skipped[rows] == step).any(axis=1)
                 rank[rows[drop], i[drop]] = NEVER
                 r, c, w = rows[~drop], i[~drop], w[~drop]
-            else:
-                r, c = rows, i
+            told = last[r] < step
+            late.append(r[told])
+            keys.append(self.key[w[told]] ^ self.places[c[told]])
+            step += 1
             j = after[r, c]
             piece[r, c], piece[r, j] = w, -1
             rank[r, j] = NEVER
@@ -158,22 +228,35 @@ class Pieces:
             has = h >= 0
             r, h, w = r[has], h[has], w[has]
             rank[r, h], whole[r, h] = self._join(piece[r, h], w)
-        return piece
+        late = np.concatenate(late)
+        return piece, np.concatenate(keys)[np.argsort(late, kind="stable")], np.bincount(late, minlength=n)
 
-    def _ids(self, word: str, variant: int) -> bytes:
-        out = []
+    def _ids(self, word: str, skip=None) -> bytes:
+        out, at = [], 0
         for k, part in enumerate(word.split(BLANK)):       # a blank sign in the text itself goes as bytes
             if k:
                 out += [self.byte[b] for b in BLANK.encode()]
-            for p in self.agenda(part.replace(" ", BLANK), variant) if part else ():
+            for p in self.agenda(part.replace(" ", BLANK), skip, at) if part else ():
                 i = self.id.get(p)
                 out += [i] if i is not None else [self.byte[b] for b in p.encode()]
+            at += len(part) + 1
         return np.array(out, "<i4").tobytes()
 
-    def _spell(self, words: list[str], variant: int) -> list[bytes]:
-        """Ids of new words: those of known characters in blocks of like lengths, and
-        long ones, or those that need bytes, one by one."""
-        out: list[bytes | None] = [None] * len(words)
+    def _follow(self, word: str, skipped: tuple) -> tuple[bytes, list[int]]:
+        """Ids of a word, and the keys of its joins after the last skipped step."""
+        met: list[int] = []
+
+        def skip(event):
+            met.append(event)
+            return len(met) - 1 in skipped
+        ids = self._ids(word, skip)
+        return ids, met[skipped[-1] + 1:] if skipped else met
+
+    def _grow(self, words: list[str], skipped: list[tuple]) -> np.ndarray:
+        """New nodes, all with equally many skipped steps: words of known characters in
+        blocks of like lengths, those that need bytes one by one."""
+        blob: list[bytes | None] = [None] * len(words)
+        joins: list[bytes] = [b""] * len(words)
         size = np.array([len(w) for w in words])
         code = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
         char = self.char[np.where(code == 32, ord(BLANK), np.where(code == ord(BLANK), 0x10FFFF, code))]
@@ -181,30 +264,102 @@ class Pieces:
         plain = (np.minimum.reduceat(char, start) >= 0) & (size <= SHORT)
         order = np.flatnonzero(plain)
         order = order[np.argsort(size[order], kind="stable")]
+        steps = np.array(skipped, np.int64).reshape(len(words), -1)
         for a in range(0, len(order), 4096):
             part = order[a:a + 4096]
             place = np.arange(size[part[-1]])
             inside = place < size[part][:, None]
             piece = np.where(inside, char[np.minimum(start[part][:, None] + place, len(char) - 1)], -1)
-            done = self.agendas(piece, variant)
+            done, keys, count = self.agendas(piece, steps[part])
             keep = done >= 0
-            blob, ends = done[keep].astype("<i4").tobytes(), (np.cumsum(keep.sum(axis=1)) * 4).tolist()
-            for w, i, j in zip(part.tolist(), [0, *ends], ends):
-                out[w] = blob[i:j]
+            ids, ends = done[keep].astype("<i4").tobytes(), (np.cumsum(keep.sum(axis=1)) * 4).tolist()
+            keys, stops = keys.tobytes(), (np.cumsum(count) * 8).tolist()
+            for w, i, j, k, m in zip(part.tolist(), [0, *ends], ends, [0, *stops], stops):
+                blob[w], joins[w] = ids[i:j], keys[k:m]
         for w in np.flatnonzero(~plain).tolist():
-            out[w] = self._ids(words[w], variant)
+            blob[w], met = self._follow(words[w], skipped[w])
+            joins[w] = np.array(met, np.uint64).tobytes()
+        node = np.arange(len(self.blob), len(self.blob) + len(words))
+        self.word += words
+        self.skipped += skipped
+        self.blob += blob
+        count = np.array([len(k) for k in joins]) // 8
+        self.start.add(self.joins.n + np.cumsum(count) - count)
+        self.count.add(count)
+        self.joins.add(np.frombuffer(b"".join(joins), np.uint64))
+        self.child.add(np.full(int(count.sum()), -1))
+        return node
+
+    def _skip(self, joins: np.ndarray) -> np.ndarray:
+        """The nodes where these joins are skipped."""
+        new = np.unique(joins[self.child.now[joins] < 0])
+        if len(new):
+            owner = np.searchsorted(self.start.now, new, side="right") - 1
+            step = (new - self.start.now[owner]).tolist()
+            before = [self.skipped[k] for k in owner.tolist()]
+            skipped = [(*b, (b[-1] + 1 if b else 0) + s) for b, s in zip(before, step)]
+            self.child.now[new] = self._grow([self.word[k] for k in owner.tolist()], skipped)
+        return self.child.now[joins]
+
+    def _draw(self, words: list[str], drawn: np.ndarray) -> list[bytes]:
+        """Ids of each occurrence of a word; ``drawn`` is the key of its draws."""
+        if len(self.blob) > self.max_nodes:
+            self._forget()
+        new = list(set(words).difference(self.root))
+        if self.bar:                                       # a long word meets its like too seldom
+            long = [w for w in new if len(w) > SHORT]
+            new = [w for w in new if len(w) <= SHORT]
+            self.root.update(dict.fromkeys(long, -1))
+        if new:
+            self.root.update(zip(new, self._grow(new, [()] * len(new)).tolist()))
+        node = np.fromiter(map(self.root.__getitem__, words), np.int64, len(words))
+        live = np.flatnonzero(node >= 0) if self.bar else []
+        while len(live):
+            count = self.count.now[node[live]]
+            ends = np.cumsum(count)
+            of = np.repeat(np.arange(len(live)), count)
+            join = np.arange(len(of)) + (self.start.now[node[live]] - ends + count)[of]
+            hit = np.flatnonzero(scatter(self.joins.now[join] ^ drawn[live][of]) < np.uint64(self.bar))
+            hit = hit[np.diff(of[hit], prepend=-1) > 0]    # the first of each
+            live = live[of[hit]]
+            if len(live):
+                node[live] = self._skip(join[hit])
+        out = [self.blob[k] if k >= 0 else None for k in node.tolist()]
+        if self.bar and len(long):
+            for k in np.flatnonzero(node < 0).tolist():
+                mine = int(drawn[k])
+                out[k] = self._ids(words[k], lambda event: scatter(mine ^ event) < self.bar)  # noqa: B023
+            for w in long:
+                del self.root[w]
         return out
 
     def encode_all(self, texts: list[str | None]) -> list[bytes | None]:
         """Ids of each text as little-endian 32-bit integers."""
         out: list[bytes | None] = [None if t is None else b"" for t in texts]
-        variant = [xxhash.xxh64_intdigest(t.encode(), self.seed) % self.variants if t and self.bar else 0 for t in texts]
-        for v in range(self.variants):
-            mine = [(i, self.words.findall(" " + t)) for i, t in enumerate(texts) if t and variant[i] == v]
-            if mine:
-                known = self.known[v].fill(set().union(*(w for _, w in mine)), lambda new: self._spell(new, v))  # noqa: B023
-                for i, words in mine:
-                    out[i] = b"".join(map(known.__getitem__, words))
+        held: list[int] = []
+        words: list[str] = []
+        drawn: list[np.ndarray] = []
+
+        def empty():
+            key = np.concatenate(drawn)
+            ids = [x for a in range(0, len(words), SLICE) for x in self._draw(words[a:a + SLICE], key[a:a + SLICE])]
+            at = 0
+            for i, d in zip(held, drawn):
+                out[i] = b"".join(ids[at:at + len(d)])
+                at += len(d)
+            held.clear(), words.clear(), drawn.clear()
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            mine = self.words.findall(" " + t)
+            key = np.uint64(xxhash.xxh64_intdigest(t.encode(), self.seed))
+            held.append(i)
+            words += mine
+            drawn.append(scatter(np.arange(1, len(mine) + 1, dtype=np.uint64) * np.uint64(GOLDEN) + key))
+            if len(words) >= SLICE:
+                empty()
+        if held:
+            empty()
         return out
 
     def encode(self, text: str) -> bytes:
@@ -214,6 +369,12 @@ class Pieces:
         return b"".join(map(self.spell.__getitem__, ids)).decode()[1:]
 
 
+@lru_cache(maxsize=1)
+def _pieces(*args, **how) -> Pieces:
+    """One for all tasks of a worker: what it remembers holds for any text."""
+    return Pieces(*args, **how)
+
+
 def _lists(blobs: list[bytes | None]) -> pa.Array:
     size = [0 if b is None else len(b) // 4 for b in blobs]
     ends = np.cumsum([0, *size]).astype(np.int32)
@@ -225,7 +386,7 @@ def _lists(blobs: list[bytes | None]) -> pa.Array:
 def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, batch_texts: int = 512, **how) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, ids array<int>``; ``model`` is a path that executors see."""
     def run(batches):
-        pieces = Pieces(model, rate, seed, **how)
+        pieces = _pieces(model, rate, seed, **how)
         for batch in batches:
             for a in range(0, batch.num_rows, batch_texts):
                 part = batch.slice(a, batch_texts)
@@ -238,7 +399,7 @@ def encode(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, batch_
 def decode(coded: DataFrame, model: str) -> DataFrame:
     """``coded(doc_id, ids)`` plus ``text``, as it was before encoding."""
     def run(batches):
-        pieces = Pieces(model)
+        pieces = _pieces(model)
         for batch in batches:
             ids = batch.column("ids")
             text = [None if not ids[i].is_valid else pieces.decode(ids[i].values.to_numpy().tolist()) for i in range(len(ids))]

@@ -108,6 +108,31 @@ def test_dropout_is_seeded_varied_and_lossless(spark, docs):
     assert all(set(ids or []) <= legal for ids, _ in out[0].values())
 
 
+def test_every_occurrence_of_a_word_draws_anew():
+    model = dropout_pieces.Pieces(model_path(), 0.1, 3)
+    word = " station"
+    plain = dropout_pieces.Pieces(model_path(), 0)
+    whole, rng = plain._ids(word), np.random.default_rng(1)
+    share = np.mean([plain._ids(word, lambda event: rng.random() < 0.1) == whole for _ in range(5000)])
+    one = model.encode(word[1:] + word * 4999)             # one text, and many
+    assert len(whole) == 4 and abs(np.mean(np.frombuffer(one, "<i4") == np.frombuffer(whole, "<i4")) * len(one) / 20_000 - share) < 0.03
+    many = {i: model.encode(f"{i}" + word) for i in range(3000)}
+    assert abs(np.mean([x[-4:] == whole for x in many.values()]) - share) < 0.04
+    cuts = {tuple(model.spell[i] for i in np.frombuffer(model.encode("\n" * (k + 1) + word[1:]), "<i4") if model.spell[i] != b"\n")
+            for k in range(500)}
+    assert len(cuts) > 4
+    few = dropout_pieces.Pieces(model_path(), 0.1, 3, max_nodes=1)       # what is remembered does not matter
+    text = word * 50 + " caffè▁ñandú " + "x" * 60 + " 日本 station"
+    assert model.encode(text) == few.encode(text) == few.encode(text)
+    # draws occurrence by occurrence, without nodes
+    words = model.words.findall(" " + text)
+    key = dropout_pieces.xxhash.xxh64_intdigest(text.encode(), 3)
+    mine = [dropout_pieces.scatter((k + 1) * dropout_pieces.GOLDEN + key & dropout_pieces.FULL) for k in range(len(words))]
+    assert model.encode(text) == b"".join(
+        model._ids(w, lambda e, m=m: dropout_pieces.scatter(m ^ e) < model.bar) for w, m in zip(words, mine))
+    assert model.decode(np.frombuffer(model.encode(text), "<i4").tolist()) == text
+
+
 # -- language
 
 def test_languages(spark):
