@@ -202,3 +202,16 @@ def test_classes_group_tokens_by_occurrence(spark):
     by = {r.path: r for r in t.collect()}
     assert by["html"]["class"] == by["html/body"]["class"] == by["html/body/main"]["class"] != by["html/body/div[class=opt]"]["class"]
     assert by["html/body/div[class=opt]"].n_pages == 2 and by["html/body/main"].varies and not by["html/body/div[class=top]"].varies
+
+
+def test_one_odd_page_does_not_move_the_slot_of_its_host(spark):
+    shell = "<p>Shop open now {}</p>{}<p>Imprint {}</p>"
+    rows = [(i, f"http://h/{i}", page(shell.format(i, f"<article><p>Story {i}</p></article>", i))) for i in range(12)]
+    rows += [(12, "http://h/12", page(shell.format(12, "<article><p>One</p></article><article><p>Two</p></article>", 12)))]
+    # most pages of this host are listings
+    rows += [(20 + i, f"http://l/{i}", page(shell.format(i, "".join(f"<article><p>Part {j}</p></article>" for j in range(1 + i % 3)), i)))
+             for i in range(9)]
+    out = {r.page_id: r for r in template_extract.extract(ready(spark).createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [out[i].text for i in range(13)] == [f"Story {i}" for i in range(12)] + ["One\nTwo"]
+    assert out[0].slot == "html/body/article"
+    assert [out[20 + i].text for i in range(9)] == ["\n".join(f"Part {j}" for j in range(1 + i % 3)) for i in range(9)]
