@@ -215,3 +215,19 @@ def test_one_odd_page_does_not_move_the_slot_of_its_host(spark):
     assert [out[i].text for i in range(13)] == [f"Story {i}" for i in range(12)] + ["One\nTwo"]
     assert out[0].slot == "html/body/article"
     assert [out[20 + i].text for i in range(9)] == ["\n".join(f"Part {j}" for j in range(1 + i % 3)) for i in range(9)]
+
+
+@pytest.mark.parametrize("body, want", [
+    ("<p><a class='related-link'>Foo</a> said that</p>", "Foo said that"),
+    ("<p><span class='search-term'>Word</span> means this</p>", "Word means this"),
+    ("<p>Long text <span class='ad'>Buy now</span>goes on</p>", "Long text goes on"),
+    ("<p><span class='ad'>Buy now</span>Long text</p>", "Long text"),
+    ("<div class='entry-header'><h1>Title</h1></div><div class='header'>By me</div>", "Title\nBy me"),
+    ("<div class='code-header'>main.c</div><div class='search-results'>ten</div><div id='social-history'>old</div>", "main.c\nten\nold"),
+    ("<p>a</p><div class='share-buttons'>x</div><section id='comments'>y</section><div class='col ad'>z</div>", "a"),
+    ("<p>So <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation encoding=tex>a=2</annotation></math> holds</p>", "So a=2 holds"),
+    ("<p>An <svg><text>i</text></svg>icon and <script>var a</script>a <noscript>n</noscript>script</p>", "An icon and a script"),
+    ("<p>one <a href=x><div>two</div></a> three</p>", "one\ntwo\nthree"),
+])
+def test_articles_lose_only_what_is_surely_outside(body, want):
+    assert template_extract.main_text(page(f"<nav>n</nav><article>{body}</article>"), "html/body/article") == want
