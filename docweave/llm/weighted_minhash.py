@@ -250,7 +250,18 @@ def similar(h: list[np.ndarray], tf: list[np.ndarray], weight: list[np.ndarray],
         x = np.zeros((n, slab))
         x[doc[i:j], col[i:j] - a] = np.sqrt(value[i:j])
         inter += x @ x.T
-    return inter >= least * (total[:, None] + total[None, :] - inter) - 1e-9 * total[:, None]
+    out = np.empty((n, n), bool)
+    for a in range(0, n, 256):                             # no further matrices of n x n numbers
+        mine, part = total[a:a + 256, None], inter[a:a + 256]
+        out[a:a + 256] = part >= least * (mine + total[None, :] - part) - 1e-9 * mine
+    return out
+
+
+def blocks_of(vectors: DataFrame, block_bytes: int, block_rows: int) -> DataFrame:
+    """``label, blocks``: into how many blocks a component goes, so that neither the
+    bytes of a block nor its rows (matrices are rows x rows) grow with the component."""
+    by_bytes, by_rows = F.ceil(F.sum("size") / block_bytes), F.ceil(F.count("*") / block_rows)
+    return vectors.groupBy("label").agg(F.greatest(by_bytes, by_rows).cast("int").alias("blocks"))
 
 
 LINKS = "a binary, b binary"
@@ -282,7 +293,7 @@ def link_block(n_docs: int, least: float):
 
 
 def near_duplicates(docs: DataFrame, least: float = 0.8, shingle: int = 5, bands: int = 16, rows: int = 4, seed: int = 1,
-                    chunk_bytes: int = 8 << 20, shard_words: int = 1 << 21, block_bytes: int = 2 << 20) -> DataFrame:
+                    chunk_bytes: int = 8 << 20, shard_words: int = 1 << 21, block_bytes: int = 2 << 20, block_rows: int = 2000) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, text_key, class_id, n_class, is_first``: the
     least doc_id of the class, its number of rows, and whether this is its first row.  ``text_key`` (xxhash64 of the text)
     tells rows of one doc_id apart."""
@@ -315,8 +326,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, shingle: int = 5, bands
     vectors = durable(found.select("label", "content", "text", "df").mapInArrow(_vectors(shingle), VECTOR))
 
     # verification, a pair of blocks of a component at a time
-    blocks = F.ceil(F.sum("size") / block_bytes).cast("int")
-    sized = vectors.groupBy("label").agg(blocks.alias("blocks"))
+    sized = blocks_of(vectors, block_bytes, block_rows)
     mine = F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")
     pairs = (vectors.join(sized, "label").withColumn("mine", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

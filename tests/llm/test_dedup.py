@@ -113,3 +113,16 @@ def test_empty_tables(spark, docs):
     assert sketch_dedup.remove_repeated_windows(none).count() == 0
     assert suffix_dedup.remove_repeated_strings(none).count() == 0
     assert weighted_minhash.near_duplicates(none).count() == 0
+
+
+def test_blocks_are_bounded_by_rows_too(spark, docs):
+    short = spark.range(9000).selectExpr("cast('c' as binary) label", "96L size")
+    assert weighted_minhash.blocks_of(short, 2 << 20, 2000).head().blocks == 5
+    long = spark.range(30).selectExpr("cast('c' as binary) label", "1000000L size")
+    assert weighted_minhash.blocks_of(long, 2 << 20, 2000).head().blocks == 15
+    rows = [(i, " ".join(f"w{k}" for k in range(150)) + f" end{i}") for i in range(120)]
+    rows += [(1000 + i, " ".join(f"x{i}y{k}" for k in range(10))) for i in range(600)]
+    near = spark.createDataFrame(rows, "doc_id long, text string")
+    few, one = ({(r.doc_id, r.class_id, r.n_class) for r in weighted_minhash.near_duplicates(near, block_rows=n).collect()}
+                for n in (20, 2000))
+    assert few == one == {(i, 0, 120) for i in range(120)} | {(1000 + i, 1000 + i, 1) for i in range(600)}
