@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bit_sliced, chat_examples, dropout_pieces, mixture_language, residual_packing, rule_ledger, sketch_dedup, suffix_dedup, template_extract, weighted_minhash
+from . import bit_sliced, chat_examples, dropout_pieces, mixture_language, periodic_runs, residual_packing, rule_ledger, sketch_dedup, suffix_dedup, template_extract, weighted_minhash
 from .common import table
 from .registry import query
 
@@ -206,3 +206,56 @@ def op9(spark, sf_dir):
     out = dropout_pieces.decode(dropout_pieces.encode(docs, piece_model_path(), rate=0.1, seed=7), piece_model_path())
     return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
                       F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+#: Every period's islands of equal 5-word stretches; of one stretch the smallest period.
+OP11_SQL = r"""
+WITH crc AS (SELECT doc_id, row_number() OVER () AS r,
+                    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS o,
+                    xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                        lambda x: [CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+                        lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor(xor(c, b) >> 1, 3988292384) ELSE xor(c, b) >> 1 END), 4294967295) AS h
+             FROM documents),
+cut AS (SELECT *, len(o) AS n, (h // 10) % greatest(len(o), 1) AS a, 3 + (h // 10) % 8 AS k FROM crc),
+docs AS (SELECT doc_id, r, n, CASE WHEN h % 10 = 0 AND n > 0
+                THEN list_transform(range(0, n), lambda i: o[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // k) END]) ELSE o END AS w FROM cut),
+gram AS (SELECT g.r, i, n, array_to_string(w[i:i + 4], ' ') AS k FROM (SELECT r, unnest(range(1, n - 3)) AS i FROM docs WHERE n >= 6) g JOIN docs USING (r)),
+twice AS (SELECT x.r, x.i, y.i - x.i AS q FROM gram x JOIN gram y ON x.r = y.r AND x.k = y.k AND y.i > x.i AND y.i - x.i <= x.n // 4),
+island AS (SELECT r, q, min(i) - 1 AS s, max(i) - min(i) + 5 + q AS l
+           FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM twice) GROUP BY r, q, g),
+run AS (SELECT r, s, l, min(q) AS q FROM island WHERE l >= greatest(6, 4 * q) GROUP BY r, s, l),
+gone AS (SELECT r, list(DISTINCT p) AS ps FROM (SELECT r, unnest(range(s + q, s + l)) AS p FROM run) GROUP BY r),
+per AS (SELECT r, count(*) AS c, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS listed,
+               max_by({'s': s, 'l': l, 'q': q}, [l, -s, -q]) AS b FROM run GROUP BY r)
+SELECT doc_id, CAST(coalesce(c, 0) AS BIGINT) AS n_runs, CAST(b.s AS BIGINT) AS start, CAST(b.l AS BIGINT) AS length, CAST(b.q AS BIGINT) AS period,
+       CAST(1000 * b.l // b.q AS BIGINT) AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+       sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE
+              list_transform(list_filter(list_zip(w, range(0, n)), lambda z: NOT list_contains(ps, z[2])), lambda z: z[1]) END, ' ')) AS collapsed_sha256
+FROM docs LEFT JOIN per USING (r) LEFT JOIN gone USING (r)
+"""
+
+
+def with_periodic_tails(docs):
+    """``documents`` with the words of some texts made periodic from a place on, as
+    the contract of op11 sets it out: no rule looks at a text."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    words = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, split).alias("w"))
+    sized = words.withColumn("n", F.size("w")).withColumn("a", F.expr("if(n > 0, cast(g % n as int), 0)"))
+    tail = F.expr("slice(flatten(array_repeat(slice(w, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a)")
+    made = F.array_join(F.concat(F.expr("slice(w, 1, a)"), tail), " ")
+    return (sized.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+            .select("doc_id", F.when(F.col("w").isNotNull() & (F.col("n") > 0), made).otherwise(F.col("text")).alias("text")))
+
+
+@query("op11_periodic_runs", OP11_SQL)
+def op11(spark, sf_dir):
+    out = periodic_runs.find_runs(with_periodic_tails(table(spark, sf_dir, "documents")), least=6, exponent=4)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("q"))))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    listed = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = out.withColumn("best", longest)
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.q")).alias("period"), F.expr("1000 * best.length div -best.q").alias("exponent_milli"),
+        F.sha2(F.encode(listed, "UTF-8"), 256).alias("runs_sha256"), F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"))

@@ -81,3 +81,21 @@ def near_classes(rows, least=0.8, size=5):
                 a, c = sorted((find(i), find(j)))
                 parent[c] = a
     return [find(i) for i in range(len(rows))]
+
+
+def agrees_with_sql(spark, name, sf_dir="/root/testdata/sf0.001"):
+    """A registered query and its SQL twin give the same rows."""
+    import duckdb
+
+    from docweave.llm import queries  # noqa: F401
+    from docweave.llm.registry import ORACLE, QUERIES
+    con = duckdb.connect()
+    for t in ("documents", "pages", "embeddings", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    cur = con.execute(ORACLE[name])
+    cols = sorted(c[0] for c in cur.description)
+    at = [[c[0] for c in cur.description].index(c) for c in cols]
+    df = QUERIES[name](spark, sf_dir)
+    assert cols == sorted(df.columns)
+    show = lambda v: f"{v:.9f}" if isinstance(v, float) else str(v)
+    assert sorted(tuple(show(r[c]) for c in cols) for r in df.collect()) == sorted(tuple(show(r[i]) for i in at) for r in cur.fetchall())
