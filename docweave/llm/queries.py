@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bit_sliced, chat_examples, dropout_pieces, mixture_language, periodic_runs, residual_packing, rule_ledger, sketch_dedup, suffix_dedup, template_extract, weighted_minhash
-from .common import table
+from . import bit_sliced, chat_examples, dropout_pieces, mixture_language, periodic_runs, ranked_search, residual_packing, rule_ledger, sketch_dedup, suffix_dedup, template_extract, weighted_minhash
+from .common import durable, table
 from .registry import query
 
 #: Windows of 35 words whose sequence starts twice or more; then the words left.
@@ -259,3 +259,28 @@ def op11(spark, sf_dir):
         "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.length").alias("length"),
         (-F.col("best.q")).alias("period"), F.expr("1000 * best.length div -best.q").alias("exponent_milli"),
         F.sha2(F.encode(listed, "UTF-8"), 256).alias("runs_sha256"), F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"))
+
+
+OP13_SQL = r"""
+WITH words AS (SELECT doc_id, row_number() OVER () AS r,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+held AS (SELECT doc_id, r, CAST(len(t) AS BIGINT) AS n, t FROM words WHERE len(t) > 0),
+al AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(n) AS BIGINT) AS l FROM held),
+items AS (SELECT DISTINCT item_id, text FROM benchmark),
+want AS (SELECT DISTINCT item_id, text, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM items),
+tf AS (SELECT doc_id, r, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT doc_id, r, n, unnest(t) AS term FROM held) GROUP BY doc_id, r, n, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM df, al),
+scores AS (SELECT item_id, text, r, doc_id, CAST(sum(w.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // l)))) AS BIGINT) AS score
+           FROM want JOIN tf USING (term) JOIN w USING (term), al GROUP BY item_id, text, r, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10
+"""
+
+
+@query("op13_ranked_lexical_search", OP13_SQL)
+def op13(spark, sf_dir):
+    index = durable(ranked_search.build_index(table(spark, sf_dir, "documents")))
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark").select("item_id", "text"), 10)
