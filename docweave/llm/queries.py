@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bit_sliced, chat_examples, dropout_pieces, mixture_language, periodic_runs, ranked_search, residual_packing, rule_ledger, sketch_dedup, suffix_dedup, template_extract, weighted_minhash
+from . import bit_sliced, chat_examples, consistent_sampling, dropout_pieces, mixture_language, periodic_runs, ranked_search, residual_packing, rule_ledger, sketch_dedup, suffix_dedup, template_extract, weighted_minhash
 from .common import durable, table
 from .registry import query
 
@@ -284,3 +284,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DES
 def op13(spark, sf_dir):
     index = durable(ranked_search.build_index(table(spark, sf_dir, "documents")))
     return ranked_search.search(index, table(spark, sf_dir, "benchmark").select("item_id", "text"), 10)
+
+
+@query("op12_document_fingerprints")
+def op12(spark, sf_dir):
+    return consistent_sampling.with_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
