@@ -140,14 +140,17 @@ def with_edited(docs: DataFrame) -> DataFrame:
     heads = F.substr("text", F.lit(1), (F.col("n_chars") - F.expr("n_chars div 2")).cast("int"))
     sent = rows.select(F.col("before_id").alias("id"), F.col("before_h").alias("h"), F.substr("text", F.lit(1), F.col("taken").cast("int")).alias("tail"))
     both = rows.join(sent, ["id", "h"]).withColumn("edited", F.concat(heads, F.col("tail")))
-    found = fingerprints(both.select("id", "h", F.posexplode(F.array("text", "edited")).alias("which", "text")), ["id", "h", "which"])
-    pair = found.groupBy("id", "h").agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("fingerprint"),
-                                        F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited_fingerprint"))
-    made = both.select("id", "h", "n_chars", "copies", "place", "before_id", "before_h", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"))
-    done = durable(made.join(pair, ["id", "h"]))
+    # the digest rides along as a key: a second branch over the texts would send them again
+    one = lambda which, text, digest: F.struct(F.lit(which).alias("which"), F.col(text).alias("text"), digest.alias("digest"))
+    versions = F.array(one(0, "text", F.lit(None).cast("binary")), one(1, "edited", F.unhex(F.sha2(F.encode("edited", "UTF-8"), 256))))
+    found = fingerprints(both.select("id", "h", F.inline(versions)), ["id", "h", "which", "digest"])
+    pick = lambda which: F.max(F.when(F.col("which") == which, F.unhex("fingerprint")))
+    pair = found.groupBy("id", "h").agg(pick(0).alias("fingerprint"), pick(1).alias("edited_fingerprint"), F.max("digest").alias("digest"))
+    done = durable(pair.join(links.select("id", "h", "n_chars", "copies", "before_id", "before_h"), ["id", "h"]))
     following = done.select(F.col("before_id").alias("id"), F.col("before_h").alias("h"), F.col("fingerprint").alias("next"))
-    out = done.join(following, ["id", "h"])
+    out = done.join(following, ["id", "h"]).withColumns({c: F.hex(c) for c in ("fingerprint", "edited_fingerprint", "next")})
     return out.select(
-        F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_chars", F.lower(F.hex("digest")).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next")).alias("near_next"),
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).drop("copy")
