@@ -1,9 +1,6 @@
-"""Channel management and publish/subscribe joins.
+"""Channel sets and publish/subscribe joins.
 
-"First wins" and "latest wins" are hash aggregates (``min_by`` / ``max_by`` on
-an ordering struct), not ``row_number`` windows: partial aggregation runs
-map-side, so a channel name or page key that holds a third of all rows still
-leaves each task with one row per key.
+Which channels exist when is worked out in ``history`` (J7, J10).
 """
 
 from __future__ import annotations
@@ -49,36 +46,6 @@ def validate_requests(req: DataFrame) -> DataFrame:
         .otherwise("ok"))
 
 
-def register_channels(req: DataFrame, store: DataFrame | None = None,
-                      order_cols=("ts", "request_id")) -> DataFrame:
-    """First registration of a name wins.
-
-    ``req``: validated requests (``validate_requests``).  ``store``: already
-    registered ``channels`` (or None).  Returns every request with ``result`` ∈
-    {success, association_exists, <validation status>}.
-    """
-    ok = req.where(F.col("status") == "ok")
-    order = F.struct(*order_cols)
-    winners = (ok.groupBy("channel")
-               .agg(F.min_by(F.col("request_id"), order).alias("win_id")))
-    if store is not None:
-        winners = winners.join(store.select("channel"), "channel", "left_anti")
-    # one row per channel name: broadcast it so a hot name is never one task
-    out = req.join(small(winners), "channel", "left")
-    return out.withColumn(
-        "result",
-        F.when(F.col("status") != "ok", F.col("status"))
-        .when(F.col("request_id") == F.col("win_id"), "success")
-        .otherwise("association_exists")).drop("win_id")
-
-
-def channels_of(registered: DataFrame) -> DataFrame:
-    """The ``channels`` table of successful registrations."""
-    return (registered.where(F.col("result") == "success")
-            .select("channel", "owner", "xsl_url", F.col("ts").alias("created_at"),
-                    "request_id", "xpaths"))
-
-
 def subscriptions_of(channels: DataFrame, valid: DataFrame | None = None) -> DataFrame:
     """S3/C9 + intent of the validity filter: ``(xpath, channel)`` per channel
     expression; with ``valid`` (``xpath, valid``) invalid expressions are dropped."""
@@ -89,22 +56,6 @@ def subscriptions_of(channels: DataFrame, valid: DataFrame | None = None) -> Dat
     return subs.select("xpath", "channel")
 
 
-def delete_channels(channels: DataFrame, requests: DataFrame) -> DataFrame:
-    """A delete takes effect only when the requester owns the channel.
-
-    ``requests(request_id, owner, channel)`` -> each request with ``deleted``.
-    """
-    owned = channels.select("channel", "owner").withColumn("_hit", F.lit(True))
-    return (requests.join(small(owned), ["channel", "owner"], "left")
-            .withColumn("deleted", F.coalesce("_hit", F.lit(False))).drop("_hit"))
-
-
-def live_channels(channels: DataFrame, deletions: DataFrame) -> DataFrame:
-    """Channels minus those deleted by their owner."""
-    gone = deletions.where("deleted").select("channel").distinct()
-    return channels.join(small(gone), "channel", "left_anti")
-
-
 def purge_subscriptions(subs: DataFrame, live: DataFrame) -> DataFrame:
     """Subscriptions of channels that no longer exist are dropped."""
     return subs.join(small(live.select("channel")), "channel", "left_semi")

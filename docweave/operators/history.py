@@ -172,6 +172,13 @@ def channel_history(requests: DataFrame, block_rows: int = 100_000) -> DataFrame
     return dealt(ready).mapInArrow(_settle, kept.add("result", "string").add("made", "long")).drop("block")
 
 
+def outcomes(validated: DataFrame, history: DataFrame) -> DataFrame:
+    """Every create request with its ``result``: what validation refused, or what came
+    of it in its turn."""
+    taken = history.where("kind = 'create'").select("request_id", F.col("result").alias("_result"))
+    return validated.join(taken, "request_id", "left").withColumn("result", F.coalesce("_result", "status")).drop("_result")
+
+
 def lifetimes(history: DataFrame) -> DataFrame:
     """Every successful create with the time it lasted: its columns, ``created_at`` and
     ``deleted_at`` (null: still there)."""

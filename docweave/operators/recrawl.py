@@ -19,13 +19,14 @@ def latest_wins(existing: DataFrame, new: DataFrame, key: str,
                 order: list[str]) -> DataFrame:
     """One row per ``key``: the row with the greatest ``order`` struct.
 
-    ``new`` rows are preferred on ties (``_src`` = 1 sorts after 0).  Rows without a
-    key (malformed urls) belong to no page: see ``without_key``.
+    ``new`` rows are preferred on ties (``_src`` = 1 sorts after 0), then the row whose
+    hash is greatest, so the outcome does not depend on the order of the input.  Rows
+    without a key (malformed urls) belong to no page: see ``without_key``.
     """
     cols = existing.columns
     both = (existing.select(*cols).withColumn("_src", F.lit(0))
             .unionByName(new.select(*cols).withColumn("_src", F.lit(1))))
-    ordering = F.struct(*[F.col(c) for c in order], F.col("_src"))
+    ordering = F.struct(*[F.col(c) for c in order], F.col("_src"), F.xxhash64(*cols), F.hash(*cols))
     row = F.struct(*[F.col(c) for c in cols if c != key])
     return (both.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(row, ordering).alias("_r"))
             .select(key, "_r.*"))

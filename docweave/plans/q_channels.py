@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import channels as ch
+from ..operators import history as hist
 from ..operators import xpath_match as xm
 from ..sources.tables import read_table
 from .q_xpath import OX_CTE
@@ -65,25 +66,27 @@ def channel_requests(spark, sf_dir):
 class ChannelState:
     """All derived channel tables of one input directory (lazy DataFrames)."""
 
-    def __init__(self, spark, sf_dir, cutoff: str | None = None):
+    def __init__(self, spark, sf_dir):
         req = channel_requests(spark, sf_dir)
-        if cutoff is not None:
-            req = req.where(F.col("ts") < F.lit(cutoff).cast("timestamp"))
         self.requests = req
-        creates = req.where(F.col("kind") == "create")
         # every stage is small (one row per request / channel / expression) and
         # feeds several later ones: checkpointed, so none is computed from
         # ``events`` again and nothing stays pinned in executors
-        self.validated = ch.validate_requests(creates)
-        self.registered = ch.register_channels(self.validated).checkpoint()
-        self.channels = ch.channels_of(self.registered)
-        self.items = ch.subscriptions_of(self.channels)          # every listed expression
-        self.valid = xm.xpath_valid(self.items.select("xpath").distinct())
-        self.subs = ch.subscriptions_of(self.channels, self.valid).checkpoint()
-        dels = req.where(F.col("kind") == "delete").select("request_id", "owner", "channel")
-        self.deletions = ch.delete_channels(self.channels, dels).checkpoint()
-        self.live = ch.live_channels(self.channels, self.deletions).checkpoint()
-        self.live_subs = ch.purge_subscriptions(self.subs, self.live)
+        self.validated = ch.validate_requests(req.where(F.col("kind") == "create")).checkpoint()
+        taken = self.validated.where("status = 'ok'").drop("status").unionByName(req.where(F.col("kind") == "delete"))
+        self.history = hist.channel_history(taken).checkpoint()
+        self.registered = hist.outcomes(self.validated, self.history)
+        self.lives = hist.lifetimes(self.history).checkpoint()
+        self.items = ch.subscriptions_of(self.lives)             # every listed expression
+        self.valid = xm.xpath_valid(self.items.select("xpath").distinct()).checkpoint()
+        self.subs = ch.subscriptions_of(self.lives, self.valid)
+        self.live = hist.live_at(self.lives)
+        self.live_subs = ch.subscriptions_of(self.live, self.valid).checkpoint()
+
+    def at(self, moment: str):
+        """(channels, subscriptions) as the requests before ``moment`` left them."""
+        live = hist.live_at(self.lives, moment)
+        return live, ch.subscriptions_of(live, self.valid).checkpoint()
 
 
 def _matches(spark, sf_dir, subs):
@@ -133,26 +136,34 @@ val AS (
          WHEN NOT regexp_full_match(owner, '[A-Za-z0-9]{{5,16}}') THEN 'invalid_user_name'
          ELSE 'ok' END AS status
   FROM req r WHERE kind = 'create'),
-win AS (SELECT channel, arg_min(request_id, (ts, request_id)) AS win_id FROM val WHERE status = 'ok'
-        GROUP BY channel),
+ev AS (SELECT request_id, ts, 'create' AS kind, channel, owner, xsl_url FROM val WHERE status = 'ok'
+       UNION ALL SELECT request_id, ts, kind, channel, owner, xsl_url FROM req WHERE kind = 'delete'),
+num AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY ts, request_id) AS rn FROM ev),
+later AS (SELECT *,
+    min(CASE WHEN kind = 'delete' THEN rn END) OVER (PARTITION BY channel, owner ORDER BY rn
+        ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS gone,
+    min(CASE WHEN kind = 'create' THEN rn END) OVER (PARTITION BY channel ORDER BY rn
+        ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS again FROM num),
+nx AS (SELECT a.channel, a.rn, a.gone, b.again FROM later a LEFT JOIN later b ON b.channel = a.channel AND b.rn = a.gone
+       WHERE a.kind = 'create'),
+life AS (SELECT nx.* FROM nx JOIN (SELECT channel, min(rn) AS rn FROM num WHERE kind = 'create' GROUP BY channel) USING (channel, rn)
+         UNION ALL SELECT nx.* FROM life JOIN nx ON nx.channel = life.channel AND nx.rn = life.again),
+chans AS (SELECT n.channel, n.owner, n.xsl_url, n.ts AS created_at, n.request_id, d.ts AS deleted_at, d.request_id AS delete_id
+          FROM life JOIN num n USING (channel, rn) LEFT JOIN num d ON d.channel = life.channel AND d.rn = life.gone),
 reg AS (
-  SELECT v.*, CASE WHEN status <> 'ok' THEN status WHEN request_id = win_id THEN 'success'
+  SELECT v.*, CASE WHEN status <> 'ok' THEN status WHEN request_id IN (SELECT request_id FROM chans) THEN 'success'
                    ELSE 'association_exists' END AS result
-  FROM val v LEFT JOIN win USING (channel)),
-chans AS (SELECT channel, owner, xsl_url, ts AS created_at, request_id FROM reg WHERE result = 'success'),
-subs_all AS (SELECT DISTINCT i.xpath, c.channel, i.tk, i.p1, i.p2, c.created_at
-             FROM chans c JOIN items i USING (request_id)),
+  FROM val v),
+subs_all AS (SELECT DISTINCT i.xpath, c.channel, i.tk, i.p1, i.p2 FROM chans c JOIN items i USING (request_id)),
 subs AS (SELECT * FROM subs_all WHERE tk <> 'bad'),
 dels AS (SELECT d.request_id, d.ts, d.owner, d.channel,
-                EXISTS (SELECT 1 FROM chans c WHERE c.channel = d.channel AND c.owner = d.owner) AS deleted
+                d.request_id IN (SELECT delete_id FROM chans WHERE delete_id IS NOT NULL) AS deleted
          FROM req d WHERE kind = 'delete'),
-live AS (SELECT * FROM chans WHERE channel NOT IN (SELECT channel FROM dels WHERE deleted)),
-live_subs AS (SELECT * FROM subs WHERE channel IN (SELECT channel FROM live)),
-chans_b AS (SELECT * FROM chans WHERE created_at < TIMESTAMP '{CUTOFF}'),
-dels_b AS (SELECT d.*, EXISTS (SELECT 1 FROM chans_b c WHERE c.channel = d.channel AND c.owner = d.owner)
-                  AS deleted_b FROM req d WHERE kind = 'delete' AND ts < TIMESTAMP '{CUTOFF}'),
-live_b AS (SELECT * FROM chans_b WHERE channel NOT IN (SELECT channel FROM dels_b WHERE deleted_b)),
-live_subs_b AS (SELECT * FROM subs WHERE channel IN (SELECT channel FROM live_b))"""
+live AS (SELECT * FROM chans WHERE delete_id IS NULL),
+live_subs AS (SELECT DISTINCT i.xpath, c.channel, i.tk, i.p1, i.p2 FROM live c JOIN items i USING (request_id) WHERE tk <> 'bad'),
+live_b AS (SELECT * FROM chans WHERE created_at < TIMESTAMP '{CUTOFF}'
+           AND (delete_id IS NULL OR deleted_at >= TIMESTAMP '{CUTOFF}')),
+live_subs_b AS (SELECT DISTINCT i.xpath, c.channel, i.tk, i.p1, i.p2 FROM live_b c JOIN items i USING (request_id) WHERE tk <> 'bad')"""
 
 HOLDS = """CASE s.tk WHEN 'pri' THEN ox.o_orderpriority = s.p1
      WHEN 'pk' THEN coalesce(contains(ox.f_pk, s.p1), false)
@@ -162,7 +173,7 @@ HOLDS = """CASE s.tk WHEN 'pri' THEN ox.o_orderpriority = s.p1
      WHEN 'openpk' THEN ox.o_orderstatus = 'O' AND coalesce(contains(ox.f_pk, s.p1), false)
      ELSE false END"""
 
-CH_SQL = f"WITH {OX_CTE},{REQ_CTE}"
+CH_SQL = f"WITH RECURSIVE {OX_CTE},{REQ_CTE}"
 
 
 def _hits_sql(subs: str) -> str:
@@ -218,14 +229,38 @@ def q_validate_channels(spark, sf_dir):
 
 @query("register_channels", sql=f"{CH_SQL}\nSELECT request_id, channel, result FROM reg")
 def q_register_channels(spark, sf_dir):
-    """First registration of a channel name wins."""
+    """A create succeeds if no channel of the name exists at its time."""
     return ChannelState(spark, sf_dir).registered.select("request_id", "channel", "result")
 
 
 @query("delete_channels", sql=f"{CH_SQL}\nSELECT request_id, channel, owner, deleted FROM dels")
 def q_delete_channels(spark, sf_dir):
-    """Deletes take effect only for the owner."""
-    return ChannelState(spark, sf_dir).deletions.select("request_id", "channel", "owner", "deleted")
+    """Deletes take effect only for the owner, at their time."""
+    h = ChannelState(spark, sf_dir).history.where("kind = 'delete'")
+    return h.select("request_id", "channel", "owner", (F.col("result") == "deleted").alias("deleted"))
+
+
+@query("channel_history", sql=f"""{CH_SQL}
+SELECT request_id, channel, 'create' AS kind, result FROM reg WHERE status = 'ok'
+UNION ALL SELECT request_id, channel, 'delete', CASE WHEN deleted THEN 'deleted'
+    WHEN EXISTS (SELECT 1 FROM chans c JOIN num a ON a.request_id = c.request_id AND a.kind = 'create'
+                 JOIN num d ON d.request_id = dels.request_id AND d.kind = 'delete'
+                 LEFT JOIN num g ON g.request_id = c.delete_id AND g.kind = 'delete'
+                 WHERE c.channel = dels.channel AND a.rn < d.rn AND (g.rn IS NULL OR g.rn > d.rn)) THEN 'not_owner'
+    ELSE 'no_such_channel' END FROM dels""")
+def q_channel_history(spark, sf_dir):
+    """J10 + J7 in order: what became of every create and delete request."""
+    return ChannelState(spark, sf_dir).history.select("request_id", "channel", "kind", "result")
+
+
+@query("channel_lifetimes", sql=f"""{CH_SQL}
+SELECT request_id, channel, owner, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
+       coalesce(strftime(deleted_at, '%Y-%m-%d %H:%M:%S'), '') AS deleted_at FROM chans""")
+def q_channel_lifetimes(spark, sf_dir):
+    """J10 + J7 + J9: every time a channel came to be, whose it was and when it went."""
+    shown = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return ChannelState(spark, sf_dir).lives.select(
+        "request_id", "channel", "owner", shown("created_at").alias("created_at"), F.coalesce(shown("deleted_at"), F.lit("")).alias("deleted_at"))
 
 
 @query("purge_subscriptions", sql=f"{CH_SQL}\nSELECT xpath, channel FROM live_subs")
@@ -259,9 +294,8 @@ SELECT channel, 'added' AS change FROM live WHERE channel NOT IN (SELECT channel
 UNION ALL SELECT channel, 'deleted' FROM live_b WHERE channel NOT IN (SELECT channel FROM live)""")
 def q_channel_diff(spark, sf_dir):
     """Channels added / deleted since the snapshot at ``CUTOFF``."""
-    before = ChannelState(spark, sf_dir, CUTOFF).live
-    after = ChannelState(spark, sf_dir).live
-    return ch.channel_diff(before, after)
+    now = ChannelState(spark, sf_dir)
+    return ch.channel_diff(now.at(CUTOFF)[0], now.live)
 
 
 @query("live_hits", sql=f"{CH_SQL}\n{_hits_sql('live_subs')}")
@@ -280,10 +314,10 @@ WHERE NOT EXISTS (SELECT 1 FROM hb WHERE hb.channel = h.channel AND hb.doc_id =
 def q_new_hits(spark, sf_dir):
     """Associations not present under the earlier snapshot."""
     now = ChannelState(spark, sf_dir)
-    before = ChannelState(spark, sf_dir, CUTOFF)
-    m = _matches(spark, sf_dir, now.live_subs.select("xpath").union(before.live_subs.select("xpath")))
+    _, before = now.at(CUTOFF)
+    m = _matches(spark, sf_dir, now.live_subs.select("xpath").union(before.select("xpath")))
     hits = ch.fan_out(m, now.live_subs)
-    old = ch.fan_out(m, before.live_subs)
+    old = ch.fan_out(m, before)
     return ch.new_associations(hits, old).select("channel", "doc_id", "xpath")
 
 
@@ -331,8 +365,8 @@ FROM hb GROUP BY doc_id""")
 def q_prune_page_channels(spark, sf_dir):
     """A document's recorded channels intersected with the live ones."""
     now = ChannelState(spark, sf_dir)
-    before = ChannelState(spark, sf_dir, CUTOFF)
-    old = ch.fan_out(_matches(spark, sf_dir, before.live_subs), before.live_subs)
+    _, before = now.at(CUTOFF)
+    old = ch.fan_out(_matches(spark, sf_dir, before), before)
     pages = (old.groupBy("doc_id").agg(F.collect_set("channel").alias("channels"))
              .withColumnRenamed("doc_id", "page_key"))
     pruned = ch.prune_page_channels(pages, now.live)
@@ -348,9 +382,9 @@ FROM (SELECT doc_id, channel FROM hb UNION ALL SELECT doc_id, channel FROM h) GR
 def q_merge_page_channels(spark, sf_dir):
     """U4: recorded channels united with newly gained ones."""
     now = ChannelState(spark, sf_dir)
-    before = ChannelState(spark, sf_dir, CUTOFF)
+    _, before = now.at(CUTOFF)
     m = _matches(spark, sf_dir, now.subs)
-    old = ch.fan_out(m, before.live_subs)
+    old = ch.fan_out(m, before)
     new = ch.fan_out(m, now.live_subs)
     pages = (old.groupBy("doc_id").agg(F.collect_set("channel").alias("channels"))
              .withColumnRenamed("doc_id", "page_key"))

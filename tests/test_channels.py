@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from docweave.operators import channels as ch
+from docweave.operators import history
 from docweave.operators import recrawl
 
 T0 = dt.datetime(2024, 1, 1)
@@ -24,24 +25,22 @@ def test_validation_and_first_registration_wins(spark):
         (5, T0, "nouser", "abc", "z.xsl", "/e"),
         (6, T0, "empty", "erin55", " ", "/e"),
     ])
-    reg = {r.request_id: r.result for r in ch.register_channels(ch.validate_requests(req)).collect()}
+    valid = ch.validate_requests(req)
+    taken = valid.where("status = 'ok'").withColumn("kind", F.lit("create"))
+    reg = {r.request_id: r.result for r in history.outcomes(valid, history.channel_history(taken)).collect()}
     assert reg == {1: "success", 2: "association_exists", 3: "success", 4: "invalid_channel_name",
                    5: "invalid_user_name", 6: "missing_fields"}
 
 
-def test_store_blocks_existing_names(spark):
-    req = ch.validate_requests(_req(spark, [(1, T0, "news", "alice1", "x.xsl", "/a")]))
-    store = spark.createDataFrame([("news",)], "channel string")
-    assert ch.register_channels(req, store).first().result == "association_exists"
-
-
 def test_owner_deletes_purge_and_fan_out(spark):
-    chans = spark.createDataFrame([("news", "alice1"), ("sport", "carol3")], "channel string, owner string")
-    dels = spark.createDataFrame([(9, "bobby2", "news"), (10, "carol3", "sport")],
-                                 "request_id long, owner string, channel string")
-    d = {r.request_id: r.deleted for r in ch.delete_channels(chans, dels).collect()}
-    assert d == {9: False, 10: True}
-    live = ch.live_channels(chans, ch.delete_channels(chans, dels))
+    later = T0 + dt.timedelta(hours=1)
+    requests = spark.createDataFrame(
+        [(1, T0, "create", "news", "alice1"), (2, T0, "create", "sport", "carol3"),
+         (9, later, "delete", "news", "bobby2"), (10, later, "delete", "sport", "carol3")],
+        "request_id long, ts timestamp, kind string, channel string, owner string")
+    done = history.channel_history(requests).checkpoint()
+    assert {r.request_id: r.result for r in done.collect()} == {1: "success", 2: "success", 9: "not_owner", 10: "deleted"}
+    live = history.live_at(history.lifetimes(done))
     subs = spark.createDataFrame([("/a", "news"), ("/b", "news"), ("/b", "sport")], "xpath string, channel string")
     assert {tuple(r) for r in ch.purge_subscriptions(subs, live).collect()} == {("news", "/a"), ("news", "/b")}
     matches = spark.createDataFrame([(1, "/a"), (1, "/b"), (2, "/b")], "doc_id long, xpath string")
@@ -71,6 +70,12 @@ def test_latest_wins_and_incremental(spark):
     assert got == {"k": "v1", "j": "w0", "n": "x1"}
     tie = spark.createDataFrame([("k", "v2", T0)], "page_key string, v string, t timestamp")
     assert recrawl.latest_wins(old, tie, "page_key", ["t"]).where("page_key = 'k'").first().v == "v2"
+    same_time = [("k", f"n{i}", T0) for i in range(8)]
+    for rows in (same_time, same_time[::-1], same_time[3:] + same_time[:3]):                # ties do not depend on the order
+        df = spark.createDataFrame(rows, "page_key string, v string, t timestamp")
+        got = recrawl.latest_wins(old, df.repartition(3), "page_key", ["t"]).where("page_key = 'k'").first().v
+        first = got if rows is same_time else first
+        assert got == first
 
     meta = spark.createDataFrame([("k", T0, True), ("j", T0, False)],
                                  "page_key string, time_last_access timestamp, stored boolean")
