@@ -1,9 +1,14 @@
 """Per-document helpers: markup text -> first-chain nodes.
 
-Only nodes reachable by "first child with this name" steps are emitted, since
-no expression can address any other node.  Each node carries its absolute
-path, name, depth, *value* (the first child node that has a value: text,
-CDATA, comment or processing instruction; whitespace counts) and attributes.
+Only nodes reachable by "first child with this name" steps are kept, since no
+expression can address any other node.  Each node has its name, depth, *value* (the
+first child node that has a value: text, CDATA, comment or processing instruction;
+whitespace counts), attributes and the number of its parent; paths are put together
+only where they are asked for, so memory is linear in the document however deep it is.
+
+Given a *trie* of element names (``trie[node]`` maps a child's name to its node; 0 is
+above the root), the parse walks it along: elements off the trie are skipped with all
+that is below them.
 
 These helpers run inside an Arrow batch function (``operators.docnodes``);
 Spark partitions the documents.  The parsers are the standard library's
@@ -12,98 +17,134 @@ Spark partitions the documents.  The parsers are the standard library's
 
 from __future__ import annotations
 
+from collections import Counter
 from html.parser import HTMLParser
 from xml.parsers import expat
 
 
-class _Frame:
-    __slots__ = ("path", "depth", "seen", "value", "run", "attrs", "name", "seq_on")
+class Nodes:
+    """Elements in document order, as parallel lists; ``at`` holds trie nodes."""
 
-    def __init__(self, name, path, depth, attrs):
-        self.name = name
-        self.path = path          # None when the element is not on a first chain
-        self.depth = depth
-        self.seen: set[str] = set()
-        self.value: str | None = None
-        self.run: list[str] | None = None   # open text / CDATA run while value is being read
-        self.attrs = attrs
+    def __init__(self):
+        self.names: list[str] = []
+        self.parents: list[int] = []
+        self.depths: list[int] = []
+        self.values: list[str | None] = []
+        self.attrs: list[dict] = []
+        self.chain: list[bool] = []
+        self.at: list[int] = []
 
+    def paths(self):
+        """The path of every node (None off the first chains), one at a time."""
+        above: list[str] = []                 # names of the latest node of every depth
+        for name, depth, chain in zip(self.names, self.depths, self.chain):
+            del above[depth - 1:]
+            above.append(name)
+            yield "/" + "/".join(above) if chain else None
+
+    def rows(self):
+        """``(path, name, depth, value, attrs)`` one at a time."""
+        return zip(self.paths(), self.names, self.depths, self.values, self.attrs)
 
-class _Collector:
-    """Builds first-chain node rows from start/end/value events."""
 
-    def __init__(self, every_node: bool = False):
-        self.stack: list[_Frame] = []
-        self.rows: list[_Frame] = []
+def walk(names, parents, trie: list[dict[str, int]]) -> list[int]:
+    """Trie node of every first-chain node (-1 off the trie)."""
+    at = []
+    for name, parent in zip(names, parents):
+        above = at[parent] if parent >= 0 else 0
+        at.append(trie[above].get(name, -1) if above >= 0 else -1)
+    return at
+
+
+class _Collector:
+    """Builds nodes from start/end/value events."""
+
+    def __init__(self, every_node: bool = False, trie: list[dict[str, int]] | None = None):
+        self.nodes = Nodes()
+        self.open: list[int] = []              # node numbers of the open elements that are kept
+        self.seen: list[set | None] = []       # names of their children so far
+        self.skipped = 0                       # open elements below the last kept one
+        self.run: list[str] | None = None      # open text / CDATA run while a value is being read
         self.root_seen = False
-        self.every_node = every_node   # outline mode: keep elements off the first chains too
+        self.every_node = every_node           # outline mode: keep elements off the first chains too
+        self.trie = trie
 
     def start(self, name: str, attrs: dict) -> None:
-        self._close_run()
-        if self.stack:
-            parent = self.stack[-1]
-            on_chain = parent.path is not None and name not in parent.seen
-            parent.seen.add(name)
-            path = f"{parent.path}/{name}" if on_chain else None
-            depth = parent.depth + 1
+        if self.run is not None:
+            self._close_run()
+        if self.skipped:
+            self.skipped += 1
+            return
+        n, parent, at = self.nodes, self.open[-1] if self.open else -1, 0
+        if parent >= 0:
+            chain = n.chain[parent]
+            if chain and self.trie is not None:
+                at = self.trie[n.at[parent]].get(name, -1)
+                chain = at >= 0
+            if chain:
+                seen = self.seen[-1]
+                if seen is None:
+                    seen = self.seen[-1] = set()
+                chain = name not in seen
+                seen.add(name)
         else:
-            path = None if self.root_seen else f"/{name}"
-            self.root_seen = True
-            depth = 1
-        keep = path is not None or self.every_node
-        f = _Frame(name, path, depth, attrs if keep else None)
-        f.seq_on = keep
-        self.stack.append(f)
-        if keep:
-            self.rows.append(f)
+            chain, self.root_seen = not self.root_seen, True
+            if self.trie is not None:
+                at = self.trie[0].get(name, -1)
+                chain = chain and at >= 0
+        if not chain and not self.every_node:
+            self.skipped = 1
+            return
+        self.open.append(len(n.names))
+        self.seen.append(None)
+        n.names.append(name)
+        n.parents.append(parent)
+        n.depths.append(len(self.open))
+        n.values.append(None)
+        n.attrs.append(attrs)
+        n.chain.append(chain)
+        n.at.append(at)
 
     def end(self) -> None:
-        self._close_run()
-        self.stack.pop()
+        if self.skipped:
+            self.skipped -= 1
+            return
+        if self.run is not None:
+            self._close_run()
+        self.open.pop()
+        self.seen.pop()
 
     def text(self, data: str) -> None:
-        if not self.stack:
+        if self.skipped or not self.open:
             return
-        f = self.stack[-1]
-        if not f.seq_on:
-            return
-        if f.run is not None:
-            f.run.append(data)
-        elif f.value is None:
-            f.run = [data]
+        if self.run is not None:
+            self.run.append(data)
+        elif self.nodes.values[self.open[-1]] is None:
+            self.run = [data]
 
     def value_node(self, data: str) -> None:
         """A comment or processing instruction: a value node of its own."""
-        self._close_run()
-        if self.stack:
-            f = self.stack[-1]
-            if f.seq_on and f.value is None:
-                f.value = data
+        self.boundary()
+        if self.open and not self.skipped and self.nodes.values[self.open[-1]] is None:
+            self.nodes.values[self.open[-1]] = data
 
     def boundary(self) -> None:
-        self._close_run()
+        if self.run is not None:
+            self._close_run()
 
     def _close_run(self) -> None:
-        if self.stack:
-            f = self.stack[-1]
-            if f.run is not None:
-                if f.value is None:
-                    f.value = "".join(f.run)
-                f.run = None
-
-    def result(self):
-        return [(f.path, f.name, f.depth, f.value, f.attrs or {}) for f in self.rows]
+        self.nodes.values[self.open[-1]] = "".join(self.run)
+        self.run = None
 
 
-def xml_nodes(body: str | None, every_node: bool = False):
-    """Rows ``(path, name, depth, value, attrs)``; raises ``ValueError`` if malformed.
+def parse_xml(body: str | None, every_node: bool = False, trie=None) -> Nodes:
+    """The nodes of an XML document; raises ``ValueError`` if malformed.
 
-    With ``every_node`` all elements are returned in document order (outline);
-    those off the first chains have ``path`` None.
+    With ``every_node`` all elements are kept in document order (outline).
     """
     if body is None:
         raise ValueError("no document")
-    c = _Collector(every_node)
+    c = _Collector(every_node, trie)
     p = expat.ParserCreate()
     p.buffer_text = True
     p.ordered_attributes = False
@@ -119,7 +160,12 @@ def xml_nodes(body: str | None, every_node: bool = False):
         p.Parse(body, True)
     except expat.ExpatError as e:
         raise ValueError(str(e)) from None
-    return c.result()
+    return c.nodes
+
+
+def xml_nodes(body: str | None, every_node: bool = False):
+    """Rows ``(path, name, depth, value, attrs)`` of an XML document."""
+    return list(parse_xml(body, every_node).rows())
 
 
 # --- HTML -------------------------------------------------------------------
@@ -147,20 +193,22 @@ IMPLIED = {
 class _HtmlTree(HTMLParser):
     """Tolerant tree builder following the recovery rules in the README."""
 
-    def __init__(self, every_node: bool = False):
+    def __init__(self, every_node: bool = False, trie=None):
         super().__init__(convert_charrefs=True)
-        self.c = _Collector(every_node)
-        self.open: list[str] = []        # names parallel to c.stack
+        self.c = _Collector(every_node, trie)
+        self.open: list[str] = []        # names of the open elements
+        self.n_open: Counter = Counter()
         self.has_head = self.has_body = False
 
     # stack helpers
     def _push(self, name, attrs):
         self.c.start(name, attrs)
         self.open.append(name)
+        self.n_open[name] += 1
 
     def _pop_to(self, i):
         while len(self.open) > i:
-            self.open.pop()
+            self.n_open[self.open.pop()] -= 1
             self.c.end()
 
     def _ensure_html(self, attrs=None):
@@ -175,12 +223,14 @@ class _HtmlTree(HTMLParser):
             if not self.has_head:
                 self._push("head", {})
                 self.has_head = True
-            if "head" in self.open:
+            if self.n_open["head"]:
                 self._pop_to(self.open.index("head"))
             self._push("body", {})
             self.has_body = True
 
     def _close_in_scope(self, targets, stop):
+        if not any(self.n_open[t] for t in targets):      # no search through a deep stack for nothing
+            return
         for i in range(len(self.open) - 1, -1, -1):
             n = self.open[i]
             if n in targets:
@@ -209,7 +259,7 @@ class _HtmlTree(HTMLParser):
                 if not self.has_head:
                     self._push("head", {})
                     self.has_head = True
-                if "head" in self.open:
+                if self.n_open["head"]:
                     self._pop_to(self.open.index("head"))
                 self._push("body", amap)
                 self.has_body = True
@@ -238,8 +288,11 @@ class _HtmlTree(HTMLParser):
     def handle_endtag(self, tag):
         if tag in ("html", "body"):
             return
-        if tag in self.open:
-            self._pop_to(len(self.open) - 1 - self.open[::-1].index(tag))
+        if self.n_open[tag]:
+            i = len(self.open) - 1
+            while self.open[i] != tag:
+                i -= 1
+            self._pop_to(i)
         # stray end tags are ignored
 
     def handle_data(self, data):
@@ -252,13 +305,18 @@ class _HtmlTree(HTMLParser):
     # comments, doctype and processing instructions are dropped
 
 
-def html_nodes(body: str | None, every_node: bool = False):
-    """Rows ``(path, name, depth, value, attrs)`` of the recovered HTML tree."""
+def parse_html(body: str | None, every_node: bool = False, trie=None) -> Nodes:
+    """The nodes of the recovered HTML tree."""
     if body is None:
         raise ValueError("no document")
-    t = _HtmlTree(every_node)
+    t = _HtmlTree(every_node, trie)
     t.feed(body)
     t.close()
     t._ensure_body()
     t._pop_to(0)
-    return t.c.result()
+    return t.c.nodes
+
+
+def html_nodes(body: str | None, every_node: bool = False):
+    """Rows ``(path, name, depth, value, attrs)`` of the recovered HTML tree."""
+    return list(parse_html(body, every_node).rows())

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dom import html_nodes, xml_nodes
+from ..functions.dom import Nodes, parse_html, parse_xml
 
 NODE_FIELDS = "path string, name string, depth int, text string, attrs map<string,string>"
 _NODE_TYPES = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.map_(pa.string(), pa.string())]
@@ -29,27 +29,40 @@ def _batch(ids, source: pa.RecordBatch, columns, types, names) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays(arrays + [pa.array(c, type=t) for c, t in zip(columns, types)], names)
 
 
-def parse_nodes(body: str | None, kind: str, every_node: bool = False):
-    """(nodes, None) of a document, or ([], message) when it does not parse."""
+#: Text of a batch of node rows at which it is handed on.
+BATCH_CHARS = 8 << 20
+
+
+def parse(body: str | None, kind: str, every_node: bool = False, trie=None) -> tuple[Nodes, str | None]:
+    """(nodes, None) of a document, or (no nodes, message) when it does not parse."""
     try:
-        return (html_nodes if kind == "html" else xml_nodes)(body, every_node=every_node), None
+        return (parse_html if kind == "html" else parse_xml)(body, every_node, trie), None
     except Exception as e:  # malformed input: keep the job alive
-        return [], f"{type(e).__name__}: {e}"
+        return Nodes(), f"{type(e).__name__}: {e}"
+
+
+def _row_batches(batch, every_node, names, types, make):
+    """Node rows of a batch of documents, in batches of bounded size: a document of deep
+    markup has paths far longer than itself, so they are never all held."""
+    ids, cols, held = [], [[] for _ in types], 0
+    for doc_id, body, kind in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        nodes, error = parse(body, kind, every_node)
+        rows = nodes.rows() if error is None else [(None, "#error", 0, error, {})]
+        for seq, row in enumerate(rows):
+            ids.append(doc_id)
+            for c, v in zip(cols, make(seq, *row)):
+                c.append(v)
+            held += len(row[0] or "") + len(row[3] or "") + 64
+            if held >= BATCH_CHARS:
+                yield _batch(ids, batch, cols, types, names)
+                ids, cols, held = [], [[] for _ in types], 0
+    yield _batch(ids, batch, cols, types, names)
 
 
 def _parse_batches(batches):
     names = ["doc_id", "path", "name", "depth", "text", "attrs"]
     for b in batches:
-        ids, cols = [], ([], [], [], [], [])
-        for doc_id, body, kind in zip(*(b.column(i).to_pylist() for i in range(3))):
-            rows, error = parse_nodes(body, kind)
-            if error is not None:
-                rows = [(None, "#error", 0, error, {})]
-            for row in rows:
-                ids.append(doc_id)
-                for c, v in zip(cols, (*row[:4], list(row[4].items()))):
-                    c.append(v)
-        yield _batch(ids, b, cols, _NODE_TYPES, names)
+        yield from _row_batches(b, False, names, _NODE_TYPES, lambda seq, path, name, depth, text, attrs: (path, name, depth, text, list(attrs.items())))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -105,16 +118,8 @@ def _attr_text(attrs: dict) -> str:
 def _outline_batches(batches):
     names = ["doc_id", "seq", "depth", "path", "name", "value", "attrs"]
     for b in batches:
-        ids, cols = [], ([], [], [], [], [], [])
-        for doc_id, body, kind in zip(*(b.column(i).to_pylist() for i in range(3))):
-            rows, error = parse_nodes(body, kind, every_node=True)
-            if error is not None:
-                rows = [(None, "#error", 0, error, {})]
-            for seq, (path, name, depth, text, attrs) in enumerate(rows):
-                ids.append(doc_id)
-                for c, v in zip(cols, (seq, depth, path, name, text, _attr_text(attrs))):
-                    c.append(v)
-        yield _batch(ids, b, cols, _OUTLINE_TYPES, names)
+        yield from _row_batches(b, True, names, _OUTLINE_TYPES,
+                                lambda seq, path, name, depth, text, attrs: (seq, depth, path, name, text, _attr_text(attrs)))
 
 
 def doc_outline(df: DataFrame, id_col: str = "doc_id", body_col: str = "body",
@@ -128,30 +133,40 @@ def doc_outline(df: DataFrame, id_col: str = "doc_id", body_col: str = "body",
     return src.mapInArrow(_outline_batches, _schema(src, OUTLINE_FIELDS))
 
 
-def _map_batches(batches):
-    for b in batches:
-        maps, errs = [], []
-        for body, kind in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-            rows, error = parse_nodes(body, kind)
-            maps.append([(path, {"text": text, "attrs": list(attrs.items())})
-                         for path, _n, _d, text, attrs in rows])
-            errs.append(error)
-        extra = list(range(3, b.num_columns))
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(maps, type=_MAP_TYPE), pa.array(errs, type=pa.string()), *(b.column(i) for i in extra)],
-            ["doc_id", "nodes", "error", *(b.schema.field(i).name for i in extra)])
-
-
-def doc_node_map(df: DataFrame, id_col: str = "doc_id", body_col: str = "body",
+def trie_of(paths) -> list[dict[str, int]]:
+    """The trie of element names of some paths; node 0 is above the root."""
+    trie: list[dict[str, int]] = [{}]
+    for path in paths:
+        at = 0
+        for name in path.split("/")[1:]:
+            if name not in trie[at]:
+                trie[at][name] = len(trie)
+                trie.append({})
+            at = trie[at][name]
+    return trie
+
+
+def doc_node_map(df: DataFrame, paths: list[str], id_col: str = "doc_id", body_col: str = "body",
                  kind: str = "xml", carry=(), kind_col: str | None = None) -> DataFrame:
     """One row per document: ``doc_id, nodes map<path, struct<text, attrs>>, error``
-    (+ ``carry`` columns passed through unchanged).
-
-    Built inside the parsing task: no shuffle, one row in, one row out.
-    """
+    (+ ``carry`` columns passed through unchanged) for the nodes on ``paths`` and above
+    them.  Built inside the parsing task: no shuffle, one row in, one row out."""
+    trie = trie_of(paths)
+
+    def run(batches):
+        for b in batches:
+            maps, errs = [], []
+            for body, how in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                nodes, error = parse(body, how, trie=trie)
+                maps.append([(path, {"text": text, "attrs": list(attrs.items())}) for path, _n, _d, text, attrs in nodes.rows()])
+                errs.append(error)
+            extra = list(range(3, b.num_columns))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(maps, type=_MAP_TYPE), pa.array(errs, type=pa.string()), *(b.column(i) for i in extra)],
+                ["doc_id", "nodes", "error", *(b.schema.field(i).name for i in extra)])
     src = _source(df, id_col, body_col, kind, kind_col, carry)
     fields = MAP_FIELDS + "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in carry)
-    return src.mapInArrow(_map_batches, _schema(src, fields))
+    return src.mapInArrow(run, _schema(src, fields))
 
 
 def node_attrs_text(attrs: F.Column) -> F.Column:

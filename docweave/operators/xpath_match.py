@@ -8,9 +8,14 @@ a path), and an expression matches when all its atoms were met.  The decision is
 made inside the document, so ids may be of any type and may repeat; nothing is
 shuffled and streams need no state.
 
-The index is broadcast in blocks of at most ``block_atoms`` atoms.  A larger
-expression set becomes several blocks, each matched in a pass of its own, so there
-is no limit to it and no task holds more than a block.
+The paths of an index form a trie of element names that the parser walks along:
+subtrees off it are skipped, and no path is ever put together.
+
+The index is broadcast in blocks of at most ``block_atoms`` atoms.  A larger expression
+set becomes several blocks.  Documents are then parsed once into a written table of
+their nodes, and each block is matched in a pass of its own over that table (in a
+stream: over the documents), so there is no limit to the set and no task holds more
+than a block.
 """
 
 from __future__ import annotations
@@ -24,7 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.xpath_grammar import compile_xpath
-from .docnodes import parse_nodes, spread
+from ..functions.dom import walk
+from .docnodes import parse, spread, trie_of
+from .frontier import ranked
 
 ATOM_TYPE = T.ArrayType(T.StructType([
     T.StructField("path", T.StringType()),
@@ -78,19 +85,19 @@ def atom_table(compiled: DataFrame) -> DataFrame:
 
 
 class AtomIndex:
-    """All atoms of a block of expressions by path; built on first use in a worker."""
+    """All atoms of a block of expressions by trie node; built on first use in a worker."""
 
     def __init__(self, rows: list[tuple]):
-        self.rows = rows            # (expression, atoms as (path, kind, attr, lit))
-        self.by_path = None
+        self.rows = rows            # (expression, atoms as (path, kind, attr, lit); None: invalid)
+        self.trie = None
 
     def __getstate__(self):
-        return {"rows": self.rows, "by_path": None}
+        return {"rows": self.rows, "trie": None}
 
     def build(self) -> None:
         by_path: dict[str, dict] = {}
         for x, (_, atoms) in enumerate(self.rows):
-            for path, kind, attr, lit in atoms:
+            for path, kind, attr, lit in atoms or ():
                 at = by_path.setdefault(path, {"exists": [], "text": {}, "attr": {}, "contains": {}})
                 if kind == "exists":
                     at["exists"].append(x)
@@ -99,29 +106,46 @@ class AtomIndex:
                     at[kind].setdefault(key, []).append(x)
         for at in by_path.values():
             at["scan"] = _scanner(at["contains"])
-        self.need = [len(atoms) for _, atoms in self.rows]
-        self.by_path = by_path
+        self.need = [-1 if atoms is None else len(atoms) for _, atoms in self.rows]
+        trie = trie_of(by_path)
+        self.tests = [None] * len(trie)
+        for path, at in by_path.items():
+            node = 0
+            for name in path.split("/")[1:]:
+                node = trie[node][name]
+            self.tests[node] = at
+        self.trie = trie
+
+    def matches(self, body, kind) -> list[int]:
+        """Numbers of the expressions that hold in a document, ascending."""
+        if self.trie is None:
+            self.build()
+        nodes, error = parse(body, kind, trie=self.trie)
+        return self.held(nodes.at, nodes.values, nodes.attrs) if error is None else self.held((), (), ())
 
-    def match(self, nodes) -> list[int]:
-        """Numbers of the expressions that hold in a document's nodes, ascending."""
-        if self.by_path is None:
+    def matches_parsed(self, names, parents, values, attrs) -> list[int]:
+        """The same of a parsed document."""
+        if self.trie is None:
             self.build()
+        return self.held(walk(names, parents, self.trie), values, map(dict, attrs))
+
+    def held(self, at, values, attrs) -> list[int]:
         met: dict[int, int] = {}
 
         def meet(xs):
             for x in xs:
                 met[x] = met.get(x, 0) + 1
-        for path, _name, _depth, text, attrs in nodes:
-            at = self.by_path.get(path)
-            if at is None:
+        for node, text, pairs in zip(at, values, attrs):
+            tests = self.tests[node] if node >= 0 else None
+            if tests is None:
                 continue
-            meet(at["exists"])
+            meet(tests["exists"])
             if text is not None:
-                meet(at["text"].get(text, ()))
-                for xs in at["scan"](text):
+                meet(tests["text"].get(text, ()))
+                for xs in tests["scan"](text):
                     meet(xs)
-            for key in attrs.items() if at["attr"] else ():
-                meet(at["attr"].get(key, ()))
+            for key in pairs.items() if tests["attr"] else ():
+                meet(tests["attr"].get(key, ()))
         return sorted(x for x, n in met.items() if n == self.need[x])
 
 
@@ -144,62 +168,103 @@ def _scanner(literals: dict[str, list[int]]):
     return scan
 
 
-def expression_blocks(compiled: DataFrame, block_atoms: int = BLOCK_ATOMS) -> list:
-    """The valid expressions as broadcast indexes of about ``block_atoms`` atoms each."""
-    valid = compiled.where("valid")
-    total = valid.agg(F.coalesce(F.sum("n_atoms"), F.lit(0))).first()[0]
+def _held(docs: DataFrame, rows: list[tuple]):
+    return docs.sparkSession.sparkContext.broadcast(AtomIndex(rows))
+
+
+def _blocks_of(rows: DataFrame, name: str, block_atoms: int):
+    """``rows(name, n_atoms, atoms)`` as broadcast indexes of about ``block_atoms`` atoms
+    each, dealt by name."""
+    total = rows.agg(F.coalesce(F.sum("n_atoms"), F.lit(0))).first()[0]
     n = max(1, -(-total // block_atoms))
-    out = []
+    if n > 1:
+        rows = rows.checkpoint()                       # compiled once for all blocks
     for b in range(n):
-        part = valid.where(F.pmod(F.xxhash64("xpath"), F.lit(n)) == b) if n > 1 else valid
-        rows = [(r["xpath"], [tuple(a) for a in r["atoms"]]) for r in part.select("xpath", "atoms").orderBy("xpath").collect()]
-        out.append(compiled.sparkSession.sparkContext.broadcast(AtomIndex(rows)))
-    return out
+        part = rows.where(F.pmod(F.xxhash64(name), F.lit(n)) == b) if n > 1 else rows
+        yield [(r[0], [tuple(a) for a in r["atoms"]]) for r in part.select(name, "atoms").orderBy(name).collect()]
 
 
-def _row_local(docs: DataFrame, id_col: str, body_col: str, kind: str, kind_col: str | None, keep, out: str, emit):
-    """One parsing pass: ``emit(nodes)`` gives the values of column ``out`` that a
-    document yields (nodes: None where it does not parse), next to its id and the
-    ``keep`` columns."""
+def expression_blocks(compiled: DataFrame, block_atoms: int = BLOCK_ATOMS) -> list:
+    """The valid expressions as broadcast indexes."""
+    return [_held(compiled, rows) for rows in _blocks_of(compiled.where("valid"), "xpath", block_atoms)]
+
+
+def _source(docs: DataFrame, id_col: str, body_col: str, kind: str, kind_col: str | None, keep) -> DataFrame:
     from ..session import ship_package
     ship_package(docs.sparkSession)
-    cols = [F.col(id_col).alias("doc_id"), F.col(body_col).alias("body"),
-            (F.col(kind_col) if kind_col else F.lit(kind)).alias("kind"), *keep]
-    src = docs.select(*cols)
-    if not docs.isStreaming:
-        src = spread(src)
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(body_col).alias("body"),
+                      (F.col(kind_col) if kind_col else F.lit(kind)).alias("kind"), *keep)
+    return src if docs.isStreaming else spread(src)
+
+
+PARSED = "names array<string>, parents array<int>, vals array<string>, attrs array<map<string,string>>"
+_PARSED_TYPES = [pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.map_(pa.string(), pa.string()))]
+PARSED_NAMES = ["names", "parents", "vals", "attrs"]
+
+
+def parsed(src: DataFrame) -> DataFrame:
+    """``doc_id, body, kind, ...`` -> the first-chain nodes of every document in place of
+    ``body`` and ``kind`` (none where it does not parse)."""
+    keep = [c for c in src.columns if c not in ("body", "kind")]
+
+    def run(batches):
+        for b in batches:
+            cols = [[], [], [], []]
+            for body, k in zip(b.column("body").to_pylist(), b.column("kind").to_pylist()):
+                n, _ = parse(body, k)
+                for c, v in zip(cols, (n.names, n.parents, n.values, [list(a.items()) for a in n.attrs])):
+                    c.append(v)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *(pa.array(c, t) for c, t in zip(cols, _PARSED_TYPES))], [*keep, *PARSED_NAMES])
+    fields = T.StructType([src.schema[c] for c in keep] + T.StructType.fromDDL(PARSED).fields)
+    return src.mapInArrow(run, fields)
+
+
+def _emitted(src: DataFrame, out: str, emit, from_parsed: bool) -> DataFrame:
+    """``emit(document)`` gives the values of column ``out`` that a document yields, next
+    to its other columns; a document is (body, kind) or its parsed nodes."""
     name, kind_of = out.split()
+    inputs = PARSED_NAMES if from_parsed else ["body", "kind"]
+    keep = [c for c in src.columns if c not in inputs]
 
     def run(batches):
         for b in batches:
             index, values = [], []
-            for i, (body, k) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
-                nodes, error = parse_nodes(body, k)
-                for v in emit(nodes if error is None else None):
+            for i, document in enumerate(zip(*(b.column(c).to_pylist() for c in inputs))):
+                for v in emit(document):
                     index.append(i)
                     values.append(v)
-            rows = b.select([0, *range(3, b.num_columns)]).take(pa.array(index, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(values, pa.string())], [*rows.schema.names, name])
-    schema = T.StructType([src.schema["doc_id"], *(src.schema[c] for c in keep)])
-    return src.mapInArrow(run, schema.add(name, kind_of))
+            rows = b.select(keep).take(pa.array(index, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(values, pa.string())], [*keep, name])
+    return src.mapInArrow(run, T.StructType([src.schema[c] for c in keep]).add(name, kind_of))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+def _matched(src: DataFrame, blocks: list, out: str, once: bool = False) -> DataFrame:
+    """The names of all that holds in every document, block by block; ``once``: a name
+    that several entries of a block share comes once a document."""
+    from_parsed = len(blocks) > 1 and not src.isStreaming
+    if from_parsed:
+        src = parsed(src).checkpoint()
+
+    def emit(block):
+        def run(document):
+            index = block.value
+            found = index.matches_parsed(*document) if from_parsed else index.matches(*document)
+            names = [index.rows[x][0] for x in found]
+            return dict.fromkeys(names) if once else names
+        return run
+    return _union([_emitted(src, out, emit(b), from_parsed) for b in blocks])
+
+
 def match_compiled(docs: DataFrame, compiled: DataFrame, id_col: str = "doc_id", body_col: str = "body",
                    kind: str = "xml", kind_col: str | None = None, keep=(), block_atoms: int = BLOCK_ATOMS) -> DataFrame:
     """``(doc_id, xpath)`` (and ``keep``) for every document row and every
     expression that holds in it.  ``kind_col`` names a column that picks the parser of
     each row (``html``, anything else is XML).  Batch or streaming."""
-    def emit(held):
-        def run(nodes):
-            index = held.value
-            return [index.rows[x][0] for x in index.match(nodes or ())]
-        return run
-    return _union([_row_local(docs, id_col, body_col, kind, kind_col, keep, "xpath string", emit(b))
-                   for b in expression_blocks(compiled, block_atoms)])
+    return _matched(_source(docs, id_col, body_col, kind, kind_col, keep), expression_blocks(compiled, block_atoms), "xpath string")
 
 
 def match_documents(docs: DataFrame, xpaths: DataFrame, id_col: str = "doc_id", body_col: str = "body",
@@ -208,44 +273,49 @@ def match_documents(docs: DataFrame, xpaths: DataFrame, id_col: str = "doc_id",
     return match_compiled(docs, compile_xpaths(xpaths, xpath_col), id_col, body_col, kind, **how)
 
 
+def channel_blocks(subs: DataFrame, block_atoms: int = BLOCK_ATOMS) -> list:
+    """Expressions with their channels as broadcast indexes; those of one channel share
+    a block."""
+    rows = subs.select("xpath", "channel").distinct().join(compile_xpaths(subs).where("valid"), "xpath")
+    return [_held(subs, r) for r in _blocks_of(rows.select("channel", "n_atoms", "atoms"), "channel", block_atoms)]
+
+
 def match_channels(docs: DataFrame, subs: DataFrame, id_col: str = "doc_id", body_col: str = "body", kind: str = "xml",
                    kind_col: str | None = None, keep=(), block_atoms: int = BLOCK_ATOMS) -> DataFrame:
-    """X12 + J3: ``(doc_id, channel)``, each channel once a document row.  An
-    expression travels with its channels; those of one channel share a block."""
-    compiled = compile_xpaths(subs).where("valid")
-    rows = subs.select("xpath", "channel").distinct().join(compiled, "xpath")
-    total = rows.agg(F.coalesce(F.sum("n_atoms"), F.lit(0))).first()[0]
-    n = max(1, -(-total // block_atoms))
-    parts = []
-    for b in range(n):
-        part = rows.where(F.pmod(F.xxhash64("channel"), F.lit(n)) == b) if n > 1 else rows
-        pairs = part.select("channel", "atoms").orderBy("channel").collect()
-        held = docs.sparkSession.sparkContext.broadcast(AtomIndex([(r["channel"], [tuple(a) for a in r["atoms"]]) for r in pairs]))
-
-        def emit(nodes, held=held):
-            index = held.value
-            return dict.fromkeys(index.rows[x][0] for x in index.match(nodes or ()))
-        parts.append(_row_local(docs, id_col, body_col, kind, kind_col, keep, "channel string", emit))
-    return _union(parts)
+    """X12 + J3: ``(doc_id, channel)``, each channel once a document row."""
+    src = _source(docs, id_col, body_col, kind, kind_col, keep)
+    return _matched(src, channel_blocks(subs, block_atoms), "channel string", once=True)
 
 
 def truth_vectors(docs: DataFrame, compiled: DataFrame, id_col: str = "doc_id", body_col: str = "body",
                   kind: str = "xml", kind_col: str | None = None, block_atoms: int = BLOCK_ATOMS) -> DataFrame:
     """Per document row ``doc_id, n_true, n_false, truth``: one ``1``/``0`` per
-    expression in expression order (invalid ones are false).  Every block of the
-    expression set fills its places, so a worker holds the vector, as the row does."""
-    blocks = expression_blocks(compiled, block_atoms)
-    names = docs.sparkSession.sparkContext.broadcast(
-        {r["xpath"]: i for i, r in enumerate(compiled.select("xpath").distinct().orderBy("xpath").collect())})
-
-    def emit(nodes):
-        places = [names.value[b.value.rows[x][0]] for b in blocks for x in b.value.match(nodes or ())]
-        truth = bytearray(b"0" * len(names.value))
-        for i in places:
-            truth[i] = 49
-        return [truth.decode()]
-
-    out = _row_local(docs, id_col, body_col, kind, kind_col, (), "truth string", emit)
+    expression in expression order (invalid ones are false).  A block is a range of that
+    order and gives its piece of the vector; only the rows hold vectors whole."""
+    rows = compiled.select("xpath", "valid", "n_atoms", "atoms").checkpoint()
+    total, count = rows.agg(F.coalesce(F.sum(F.when(F.col("valid"), F.col("n_atoms"))), F.lit(0)), F.count(F.lit(1))).first()
+    n = max(1, -(-total // block_atoms))
+    if n > 1:
+        rows = ranked(rows, ["xpath"], "place").checkpoint()
+    src = _source(docs, id_col, body_col, kind, kind_col, ()).withColumn("row", F.monotonically_increasing_id())
+    if n > 1:
+        src = parsed(src).checkpoint()
+    pieces = []
+    for b in range(n):
+        part = rows.where(F.floor((F.col("place") - 1) * n / count) == b) if n > 1 else rows
+        block = _held(docs, [(r["xpath"], [tuple(a) for a in r["atoms"]] if r["valid"] else None) for r in part.orderBy("xpath").collect()])
+
+        def emit(document, block=block):
+            index = block.value
+            truth = bytearray(b"0" * len(index.rows))
+            for x in index.matches_parsed(*document) if n > 1 else index.matches(*document):
+                truth[x] = 49
+            return [truth.decode()]
+        pieces.append(_emitted(src, "truth string", emit, n > 1).withColumn("block", F.lit(b)))
+    out = pieces[0]
+    if n > 1:                                                # a row's pieces make its vector
+        inside = F.transform(F.sort_array(F.collect_list(F.struct("block", "truth"))), lambda p: p["truth"])
+        out = _union(pieces).groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.array_join(inside, "").alias("truth"))
     ones = F.length("truth") - F.length(F.translate("truth", "1", ""))
     return out.select("doc_id", ones.cast("long").alias("n_true"),
                       (F.length("truth") - ones).cast("long").alias("n_false"), "truth")

@@ -1,8 +1,13 @@
 """First-chain node extraction and HTML recovery (FIXTURES.md 2 and 4)."""
 
+import random
+import time
+import tracemalloc
+
 import pytest
 
-from docweave.functions.dom import html_nodes, xml_nodes
+from docweave.functions.dom import html_nodes, parse_html, parse_xml, walk, xml_nodes
+from docweave.operators.docnodes import trie_of
 
 PORT = ('<p:port xmlns:p="urn:p"><p:berth><p:ship>Northern Light</p:ship></p:berth><log><log day="3">'
         '<log wind="NW" force="5"/><log wind="N" force="4"/></log></log></p:port>')
@@ -61,3 +66,38 @@ def test_html_implied_closes_and_raw_text():
 def test_outline_keeps_every_element():
     rows = xml_nodes("<r><a/><a x='1'/></r>", every_node=True)
     assert [(p, n) for p, n, *_ in rows] == [("/r", "r"), ("/r/a", "a"), (None, "a")]
+
+
+def deep(levels, tag):
+    return f"<{tag}>" * levels + "x" + f"</{tag}>" * levels
+
+
+@pytest.mark.parametrize("parse, body", [(parse_xml, deep(20_000, "div")), (parse_html, deep(20_000, "div")), (parse_html, "<div>" * 20_000),
+                                         (parse_html, "<div><p>" * 10_000), (parse_html, "<b><i>" * 10_000 + "</b>" * 10_000)])
+def test_deep_markup_is_linear(parse, body):
+    for how in ({}, {"trie": trie_of(["/html/body/div/div", "/div/div/div"])}, {"every_node": True}):
+        tracemalloc.start()
+        began = time.process_time()
+        nodes = parse(body, **how)
+        took, (_, peak) = time.process_time() - began, tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert took < 5 and peak < 50 << 20                     # under the tracer, which slows it severalfold
+        assert len(nodes.names) < 10 if "trie" in how else len(nodes.names) >= 10_000
+
+
+def test_trie_keeps_what_the_paths_name():
+    rng = random.Random(3)
+    names = "abc"
+
+    def tree(depth):
+        return "".join(f"<{n} k='{rng.randint(0, 9)}'>{rng.choice(['', 't'])}{tree(depth - 1) if depth else ''}</{n}>" for n in rng.choices(names, k=rng.randint(0, 3)))
+    for _ in range(200):
+        body = f"<a>{tree(4)}</a>"
+        whole = parse_xml(body)
+        paths = list(whole.paths())
+        trie = trie_of(wanted := rng.sample(paths, min(3, len(paths))) + ["/a/x/y"])
+        above = {"/".join(p.split("/")[:i]) for p in wanted for i in range(2, 99)}
+        kept = parse_xml(body, trie=trie)
+        assert list(kept.rows()) == [r for r in whole.rows() if r[0] in above]
+        at = walk(whole.names, whole.parents, trie)
+        assert [(p, t) for p, t in zip(paths, at) if t >= 0] == list(zip(kept.paths(), kept.at))
