@@ -12,7 +12,9 @@ texts are escaped reversibly: ``<`` + n backslashes + ``|`` gets one backslash m
 Edge cases: null text or role counts as empty; turns are ordered by (turn, role,
 text), so ties and repeated rows have one defined order and repeated rows are
 turns of their own; rows with a null conv_id form a conversation; other columns
-are ignored; an empty table gives no examples.
+are ignored; an empty table gives no examples.  A conversation of any length is worked off
+example by example, in batches of bounded size: its examples are long by definition
+(all turns before each reply), but are never all held.
 """
 
 from __future__ import annotations
@@ -48,9 +50,10 @@ def unescape_role(role: str) -> str:
     return _ROLE.sub(lambda m: "\n" if m[1] == "n" else m[1], unescape(role))
 
 
-def format_turns(turns: list[tuple[str, str]]) -> list[tuple[str, list[tuple[int, int]], int]]:
-    """The examples of one conversation: (text, trainable spans, turns held)."""
-    out, text, done = [], "", 0
+def format_turns(turns: list[tuple[str, str]]):
+    """The examples of one conversation, one at a time: (text, trainable spans, turns
+    held).  Together they are as long as the conversation times its replies."""
+    text, done = "", 0
     for i, (role, body) in enumerate(turns, 1):
         text += f"{START}{escape_role(role)}\n"
         at = len(text)
@@ -58,11 +61,10 @@ def format_turns(turns: list[tuple[str, str]]) -> list[tuple[str, list[tuple[int
         span = (at, len(text))
         text += f"{END}\n"
         if role == "assistant":
-            out.append((text, [span], i))
+            yield text, [span], i
             done = i
     if done < len(turns):
-        out.append((text, [], len(turns)))
-    return out
+        yield text, [], len(turns)
 
 
 def parse(text: str) -> list[tuple[str, str]]:
@@ -74,17 +76,29 @@ SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 EXAMPLE = "conv_id {id}, example int, n_examples int, n_turns int, text string, loss array<struct<start:long,end:long>>"
 
 
+#: Characters of examples that are handed on at once (a longer example alone).
+BATCH_CHARS = 8 << 20
+
+
 def _expand(batches):
     for batch in batches:
-        rows = []
-        for conv, turns in zip(batch.column("conv_id").to_pylist(), batch.column("turns").to_pylist()):
-            made = format_turns([(t["role"], t["text"]) for t in turns])
-            rows += [(conv, k, len(made), n, text, [{"start": a, "end": b} for a, b in loss])
-                     for k, (text, loss, n) in enumerate(made)]
-        cols = list(zip(*rows)) if rows else [()] * 6
         kinds = [batch.schema.field("conv_id").type, pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(SPAN)]
         names = ["conv_id", "example", "n_examples", "n_turns", "text", "loss"]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+
+        def made(rows, kinds=kinds, names=names):
+            cols = list(zip(*rows)) if rows else [()] * 6
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+        rows, held = [], 0
+        for conv, said in zip(batch.column("conv_id"), batch.column("turns")):
+            turns = [(t["role"], t["text"]) for t in said.as_py()]
+            n = sum(role == "assistant" for role, _ in turns) + (bool(turns) and turns[-1][0] != "assistant")
+            for k, (text, loss, held_turns) in enumerate(format_turns(turns)):
+                if rows and held + len(text) > BATCH_CHARS:
+                    yield made(rows)
+                    rows, held = [], 0
+                rows.append((conv.as_py(), k, n, held_turns, text, [{"start": a, "end": b} for a, b in loss]))
+                held += len(text)
+        yield made(rows)
 
 
 def expand(turns: DataFrame) -> DataFrame:
@@ -104,8 +118,8 @@ READ = "conv_id {id}, example int, n_turns long, transcript string, loss_text st
 def _read(batches):
     for batch in batches:
         n, transcript, loss, chars = [], [], [], []
-        col = lambda c: batch.column(c).to_pylist()
-        for k, last, text, spans in zip(col("example"), col("n_examples"), col("text"), col("loss")):
+        for k, last, text, spans in zip(*(batch.column(c) for c in ("example", "n_examples", "text", "loss"))):
+            k, last, text, spans = k.as_py(), last.as_py(), text.as_py(), spans.as_py()
             turns = parse(text) if k == last - 1 else None      # the last example holds every turn
             n.append(None if turns is None else len(turns))
             transcript.append(None if turns is None else "".join(f"{r}\n{t}\n" for r, t in turns))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,9 +71,11 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x
 
 
-_BASE, _STEP = 0x9E6C63D0676A9A99, 0xD6E8FEB86659FD93
+_STEP = 0xD6E8FEB86659FD93
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Words of more bytes are hashed one by one.
+_LONG_WORD = 64
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -82,24 +85,28 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(p, dtype=U64)
 
 
-def _slice_hashes(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    inside = ~_SPACE[a]
-    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
+def _slice_hashes(a: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    edge = np.diff((~_SPACE[a]).astype(np.int8), prepend=0, append=0)
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    if not len(start):
-        return np.zeros(0, U64), start
     size = end - start
-    at = np.flatnonzero(inside)
-    first = np.concatenate(([0], np.cumsum(size)[:-1]))
-    place = np.arange(len(at)) - np.repeat(first, size)
-    value = (a[at].astype(U64) + U64(1)) * powers(_BASE, int(size.max()))[place]
-    return mix(np.add.reduceat(value, first) + size.astype(U64) * U64(_STEP)), start
-
-
-def word_hashes(texts: list[bytes], slice_bytes: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
-    """One 64-bit hash per word of all texts in order, and each text's number of
-    words.  Memory is bounded by the slice (texts are cut between words),
-    whatever the length of a text."""
+    padded = np.concatenate((a, np.zeros(8, np.uint8)))
+    eight = np.ndarray((len(a),), "<u8", padded, strides=(1,))      # the eight bytes from every place on
+    h = mix(size.astype(U64), seed + 11)
+    live, k = np.flatnonzero(size <= _LONG_WORD), 0
+    while len(live):                                                # eight bytes of every word at a time
+        left = np.minimum(size[live] - k, 8)
+        h[live] = mix(h[live] ^ (eight[start[live] + k] & (U64(MASK) >> (U64(64) - U64(8) * left.astype(U64)))), seed)
+        k += 8
+        live = live[size[live] > k]
+    for i in np.flatnonzero(size > _LONG_WORD).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(a[start[i]:end[i]].tobytes(), seed)
+    return h, start
+
+
+def word_hashes(texts: list[bytes], slice_bytes: int = 1 << 20, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """One 64-bit hash per word of all texts in order (hashes of different seeds are
+    independent), and each text's number of words.  Memory is bounded by the slice
+    (texts are cut between words), whatever the length of a text."""
     a = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     hashes, starts, at = [], [], 0
     while at < len(a):
@@ -110,7 +117,7 @@ def word_hashes(texts: list[bytes], slice_bytes: int = 1 << 20) -> tuple[np.ndar
                 end += int(gap[0])
                 break
             end = min(len(a), end + slice_bytes)
-        h, s = _slice_hashes(a[at:end])
+        h, s = _slice_hashes(a[at:end], seed)
         hashes.append(h)
         starts.append(s + at)
         at = end

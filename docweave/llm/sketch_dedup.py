@@ -39,10 +39,11 @@ def _encoded(tbl: pa.Table) -> list[bytes]:
 
 
 class Windows:
-    """The windows of a chunk's documents as two hash arrays."""
+    """The windows of a chunk's documents as two independent hash arrays."""
 
     def __init__(self, texts: list[bytes], window: int):
         words, self.counts = word_hashes(texts)
+        self.texts = texts
         n = max(0, len(words) - window + 1)
         ends = np.repeat(np.cumsum(self.counts), self.counts)
         self.at = np.flatnonzero(np.arange(n) + window <= ends[:n])
@@ -50,7 +51,19 @@ class Windows:
         self.words, self.window = words, window
 
     def second(self, pick: np.ndarray) -> np.ndarray:
-        return run_hashes(mix(self.words, 77), self.window)[self.at[pick]]
+        return run_hashes(word_hashes(self.texts, seed=1)[0], self.window)[self.at[pick]]
+
+    def among(self, r1: np.ndarray, r2: np.ndarray) -> np.ndarray:
+        """Numbers of the windows whose two hashes are one of the given pairs."""
+        order = np.argsort(r1, kind="stable")
+        r1, r2 = r1[order], r2[order]
+        first, after = np.searchsorted(r1, self.h1), np.searchsorted(r1, self.h1, "right")
+        pick = np.flatnonzero(after > first)
+        first, after, h2 = first[pick], after[pick], self.second(pick)
+        same = np.zeros(len(pick), bool)
+        for k in range(int((after - first).max()) if len(pick) else 0):     # pairs that share the first hash
+            same |= (first + k < after) & (r2[np.minimum(first + k, len(r2) - 1)] == h2)
+        return pick[same]
 
 
 def sketch_row(h: np.ndarray, row: int, log_width: int):
@@ -69,7 +82,7 @@ def _table(schema: str, rows: list[tuple]) -> pa.Table:
 CELLS = "shard int, chunk long, cells binary, counts binary"
 BITS = "chunk long, shard int, bits binary"
 PRINTS = "shard int, chunk long, h1 binary, h2 binary, twice binary"
-REPEATED = "chunk long, shard int, h1 binary"
+REPEATED = "chunk long, shard int, h1 binary, h2 binary"
 
 
 def sketch_chunk(window: int, depth: int, log_width: int, bits: int):
@@ -137,10 +150,10 @@ def merge_fingerprints(key, tbl):
     repeated |= twice
     out, a = [], 0
     for c, n in zip(tbl.column("chunk").to_pylist(), size):
-        mine = h1[a:a + n][repeated[a:a + n]]
+        mine = repeated[a:a + n]
+        if mine.any():
+            out.append((c, key[0].as_py(), pack_sorted(h1[a:a + n][mine]), pack(h2[a:a + n][mine])))
         a += n
-        if len(mine):
-            out.append((c, key[0].as_py(), pack_sorted(mine)))
     return _table(REPEATED, out)
 
 
@@ -159,9 +172,9 @@ def cut_chunk(window: int):
         gone = counts = None
         if found.num_rows:
             w = Windows(texts, window)
-            repeated = np.sort(np.concatenate([unpack_sorted(b) for b in found.column("h1").to_pylist()]))
-            place = np.minimum(np.searchsorted(repeated, w.h1), len(repeated) - 1)
-            at = w.at[repeated[place] == w.h1]
+            r1 = np.concatenate([unpack_sorted(b) for b in found.column("h1").to_pylist()])
+            r2 = np.concatenate([unpack(b, U64) for b in found.column("h2").to_pylist()])
+            at = w.at[w.among(r1, r2)]
             step = np.zeros(len(w.words) + 1, np.int32)
             np.add.at(step, at, 1)
             np.add.at(step, at + window, -1)

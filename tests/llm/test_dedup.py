@@ -126,3 +126,31 @@ def test_blocks_are_bounded_by_rows_too(spark, docs):
     few, one = ({(r.doc_id, r.class_id, r.n_class) for r in weighted_minhash.near_duplicates(near, block_rows=n).collect()}
                 for n in (20, 2000))
     assert few == one == {(i, 0, 120) for i in range(120)} | {(1000 + i, 1000 + i, 1) for i in range(600)}
+
+
+def test_words_that_collide_in_polynomial_hashes(spark):
+    """Thue-Morse words and their complements: 35 of them in two texts, none repeats."""
+    a = "a"
+    while len(a) < 4096:
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    hashes = [word_hashes([x.encode()], seed=s)[0][0] for x in (a, b, a[:40], b[:40]) for s in (0, 1)]
+    assert len(set(hashes)) == len(hashes)
+    one, two = f"{a} " * 34 + a, f"{a} " * 34 + b
+    out = sketch_dedup.remove_repeated_windows(spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string"))
+    assert {r.doc_id: r.n_removed for r in out.collect()} == {1: 0, 2: 0}
+
+
+def test_windows_are_told_apart_by_both_hashes():
+    w = sketch_dedup.Windows([b"a b c d a b x d"], 2)
+    h2 = w.second(np.arange(len(w.h1)))
+    assert w.among(w.h1[[1, 1]], h2[[0, 1]]).tolist() == [1]
+    assert w.among(w.h1[:1], h2[:1]).tolist() == [0, 4] and not len(w.among(w.h1[:1], h2[1:2]))
+
+
+def test_word_hashes_depend_on_every_byte():
+    rng = random.Random(6)
+    words = {bytes(rng.choice(b"ab\x00\xff") for _ in range(rng.randint(1, 70))) for _ in range(4000)}
+    hashes, n = word_hashes([b" ".join(words)])
+    assert n.tolist() == [len(words)] and len(set(hashes.tolist())) == len(words)
+    assert [h for w in words for h in word_hashes([w])[0].tolist()] == hashes.tolist()

@@ -231,3 +231,25 @@ def test_one_odd_page_does_not_move_the_slot_of_its_host(spark):
 ])
 def test_articles_lose_only_what_is_surely_outside(body, want):
     assert template_extract.main_text(page(f"<nav>n</nav><article>{body}</article>"), "html/body/article") == want
+
+
+def test_a_long_conversation_comes_in_bounded_batches(monkeypatch):
+    """1.9 MB in 4,700 turns: 2.2 GB of examples, of which few are held at once."""
+    import itertools
+    import resource
+
+    import pyarrow as pa
+    turns = [{"role": ("user", "assistant")[i % 2], "text": f"{i} " + "x" * 400} for i in range(4700)]
+    batch = pa.RecordBatch.from_pylist([{"conv_id": 1, "turns": turns}, {"conv_id": 2, "turns": turns[:3]}])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    n = chars = 0
+    for out in chat_examples._expand(iter([batch])):
+        assert out.nbytes < 2 * chat_examples.BATCH_CHARS
+        n += out.num_rows
+        chars += sum(pa.compute.utf8_length(out.column("text")).to_pylist())
+    assert n == 2350 + 2 and chars > 2_000_000_000
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000
+    small = [{"conv_id": i, "turns": turns[:7]} for i in range(40)]
+    monkeypatch.setattr(chat_examples, "BATCH_CHARS", 3000)
+    rows = list(itertools.chain(*(b.to_pylist() for b in chat_examples._expand(iter([pa.RecordBatch.from_pylist(small)])))))
+    assert [(r["conv_id"], r["example"], r["n_examples"], r["n_turns"]) for r in rows] == [(i, k, 4, n) for i in range(40) for k, n in enumerate((2, 4, 6, 7))]
