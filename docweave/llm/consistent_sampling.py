@@ -139,14 +139,13 @@ def with_edited(docs: DataFrame) -> DataFrame:
     rows = keyed.dropDuplicates(["id", "h"]).join(links, ["id", "h"])
     heads = F.substr("text", F.lit(1), (F.col("n_chars") - F.expr("n_chars div 2")).cast("int"))
     sent = rows.select(F.col("before_id").alias("id"), F.col("before_h").alias("h"), F.substr("text", F.lit(1), F.col("taken").cast("int")).alias("tail"))
-    both = rows.join(sent, ["id", "h"]).withColumn("edited", F.concat(heads, F.col("tail")))
-    # the digest rides along as a key: a second branch over the texts would send them again
-    one = lambda which, text, digest: F.struct(F.lit(which).alias("which"), F.col(text).alias("text"), digest.alias("digest"))
-    versions = F.array(one(0, "text", F.lit(None).cast("binary")), one(1, "edited", F.unhex(F.sha2(F.encode("edited", "UTF-8"), 256))))
-    found = fingerprints(both.select("id", "h", F.inline(versions)), ["id", "h", "which", "digest"])
+    both = rows.select("id", "h", "n_chars", "text").join(sent, ["id", "h"]).select("id", "h", "text", F.concat(heads, F.col("tail")).alias("edited"))
+    found = fingerprints(both.select("id", "h", F.posexplode(F.array("text", "edited")).alias("which", "text")), ["id", "h", "which"])
     pick = lambda which: F.max(F.when(F.col("which") == which, F.unhex("fingerprint")))
-    pair = found.groupBy("id", "h").agg(pick(0).alias("fingerprint"), pick(1).alias("edited_fingerprint"), F.max("digest").alias("digest"))
-    done = durable(pair.join(links.select("id", "h", "n_chars", "copies", "before_id", "before_h"), ["id", "h"]))
+    pair = found.groupBy("id", "h").agg(pick(0).alias("fingerprint"), pick(1).alias("edited_fingerprint"))
+    digests = both.select("id", "h", F.unhex(F.sha2(F.encode("edited", "UTF-8"), 256)).alias("digest"))
+    known = links.select("id", "h", "n_chars", "copies", "before_id", "before_h")
+    done = durable(pair.join(digests, ["id", "h"]).join(known, ["id", "h"]))
     following = done.select(F.col("before_id").alias("id"), F.col("before_h").alias("h"), F.col("fingerprint").alias("next"))
     out = done.join(following, ["id", "h"]).withColumns({c: F.hex(c) for c in ("fingerprint", "edited_fingerprint", "next")})
     return out.select(
