@@ -242,9 +242,9 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def _matched(src: DataFrame, blocks: list, out: str, once: bool = False) -> DataFrame:
-    """The names of all that holds in every document, block by block; ``once``: a name
-    that several entries of a block share comes once a document."""
+def match_parts(src: DataFrame, blocks: list, out: str, once: bool = False) -> list[DataFrame]:
+    """The names of all that holds in every document, a table for each block; ``once``: a
+    name that several entries of a block share comes once a document."""
     from_parsed = len(blocks) > 1 and not src.isStreaming
     if from_parsed:
         src = parsed(src).checkpoint()
@@ -256,7 +256,7 @@ def _matched(src: DataFrame, blocks: list, out: str, once: bool = False) -> Data
             names = [index.rows[x][0] for x in found]
             return dict.fromkeys(names) if once else names
         return run
-    return _union([_emitted(src, out, emit(b), from_parsed) for b in blocks])
+    return [_emitted(src, out, emit(b), from_parsed) for b in blocks]
 
 
 def match_compiled(docs: DataFrame, compiled: DataFrame, id_col: str = "doc_id", body_col: str = "body",
@@ -264,7 +264,8 @@ def match_compiled(docs: DataFrame, compiled: DataFrame, id_col: str = "doc_id",
     """``(doc_id, xpath)`` (and ``keep``) for every document row and every
     expression that holds in it.  ``kind_col`` names a column that picks the parser of
     each row (``html``, anything else is XML).  Batch or streaming."""
-    return _matched(_source(docs, id_col, body_col, kind, kind_col, keep), expression_blocks(compiled, block_atoms), "xpath string")
+    src = _source(docs, id_col, body_col, kind, kind_col, keep)
+    return _union(match_parts(src, expression_blocks(compiled, block_atoms), "xpath string"))
 
 
 def match_documents(docs: DataFrame, xpaths: DataFrame, id_col: str = "doc_id", body_col: str = "body",
@@ -284,7 +285,7 @@ def match_channels(docs: DataFrame, subs: DataFrame, id_col: str = "doc_id", bod
                    kind_col: str | None = None, keep=(), block_atoms: int = BLOCK_ATOMS) -> DataFrame:
     """X12 + J3: ``(doc_id, channel)``, each channel once a document row."""
     src = _source(docs, id_col, body_col, kind, kind_col, keep)
-    return _matched(src, channel_blocks(subs, block_atoms), "channel string", once=True)
+    return _union(match_parts(src, channel_blocks(subs, block_atoms), "channel string", once=True))
 
 
 def truth_vectors(docs: DataFrame, compiled: DataFrame, id_col: str = "doc_id", body_col: str = "body",

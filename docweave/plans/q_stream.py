@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators import fetch
-from ..streaming import jobs
+from ..streaming import jobs, live
+from ..sources.tables import read_table
 from .derived import responses_from, rss_xml_from
 from .q_crawl import PAGE_CHANNELS, STORE_CTE, TS, _HM_SQL, _page_parts, new_meta_rows, store_v0
 from .q_html import PAGE_FIELDS_CTE
-from .q_rss import RSS_SQL, RSS_XPATHS
+from .q_rss import RF_CTE, RSS_SQL, RSS_XPATHS
 from .q_web import RESP_CTE, url_part_sql
-from .registry import query, values_sql
+from .registry import query, sql_str, values_sql
 
 
 @query("stream_match", sql=RSS_SQL)
@@ -60,3 +61,40 @@ def q_stream_upsert(spark, sf_dir):
     return meta.select("page_key", "url", "type",
                        dates.format_crawl_time(F.col("time_last_access")).alias("time_last_access"),
                        "file_size", "stored")
+
+
+#: What users change before each file of documents comes: (action, channel, number of the
+#: expression in ``RSS_XPATHS``).
+LIVE_CHANGES = [
+    [("add", "licences", 3), ("add", "licences", 4), ("add", "handles", 5), ("add", "first", 9)],
+    [("add", "french", 8), ("add", "every", 10)],
+    [("delete", "handles", None), ("delete", "every", None), ("add", "every", 6)],
+]
+
+
+def _live_sql() -> str:
+    parts, subs = [], set()
+    for b, changes in enumerate(LIVE_CHANGES):
+        subs = {s for s in subs if ("delete", s[0], None) not in changes} | {(c, x) for a, c, x in changes if a == "add"}
+        parts += [f"SELECT DISTINCT doc_id, {sql_str(c)} AS channel, {b + 1} AS version FROM rf WHERE doc_id % 3 = {b} AND {RSS_XPATHS[x][1]}" for c, x in sorted(subs)]
+    return f"WITH {RF_CTE}\n" + "\nUNION ".join(parts)
+
+
+@query("stream_match_live", sql=_live_sql())
+def q_stream_match_live(spark, sf_dir):
+    """T1 + J9: feeds arrive in three files; before each, users change the channels,
+    while the stream runs."""
+    root = jobs.new_store_path(spark, "stream_match_live")
+    log = live.SubscriptionLog(spark, f"{root}/log")
+    feeds = rss_xml_from(read_table(spark, sf_dir, "documents"))
+    running = None
+    for b, changes in enumerate(LIVE_CHANGES):
+        rows = [(a, c, None if x is None else RSS_XPATHS[x][0]) for a, c, x in changes]
+        log.append(spark.createDataFrame(rows, live.CHANGES))
+        live.put_file(feeds.where(F.col("id") % 3 == b), f"{root}/feeds", f"part{b}")
+        if running is None:
+            arriving = spark.readStream.schema(feeds.schema).parquet(f"{root}/feeds")
+            running = live.start_live(arriving, log, root, "id", "xml")
+        running.processAllAvailable()
+    running.stop()
+    return live.live_rows(spark, root, "doc_id long, channel string, version int")
