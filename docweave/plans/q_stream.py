@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators import fetch
-from ..streaming import jobs, live
+from ..streaming import deferred, jobs, live
 from ..sources.tables import read_table
 from .derived import responses_from, rss_xml_from
 from .q_crawl import PAGE_CHANNELS, STORE_CTE, TS, _HM_SQL, _page_parts, new_meta_rows, store_v0
@@ -98,3 +98,28 @@ def q_stream_match_live(spark, sf_dir):
         running.processAllAvailable()
     running.stop()
     return live.live_rows(spark, root, "doc_id long, channel string, version int")
+
+
+_MICROS = "strftime(make_timestamp({0}), '%Y-%m-%d %H:%M:%S')"
+
+
+@query("stream_deferred", sql=f"""WITH {RESP_CTE},
+a AS (SELECT url, lower({url_part_sql('url', 2)}) AS host, epoch_us(fetched_at) AS t FROM resp),
+d AS (SELECT *, CAST(1800 * (length(host) % 5) AS BIGINT) * 1000000 AS delay, row_number() OVER (PARTITION BY host ORDER BY t, url) AS i FROM a),
+v AS (SELECT *, max(t - i * delay) OVER (PARTITION BY host ORDER BY i ROWS UNBOUNDED PRECEDING) + i * delay AS visit FROM d)
+SELECT host, url, {_MICROS.format('t')} AS arrived, {_MICROS.format('visit')} AS visited FROM v""")
+def q_stream_deferred(spark, sf_dir):
+    """pages arrive in three files, out of order; each is visited when its host's
+    delay has passed.  A last row of no host that is crawled moves time on."""
+    root = jobs.new_store_path(spark, "stream_deferred")
+    pages = _page_parts(responses_from(read_table(spark, sf_dir, "pages")))
+    arrivals = pages.select("page_id", "url", "host", F.col("fetched_at").alias("arrived"), (1800 * (F.length("host") % 5)).cast("long").alias("delay_s"))
+    for n in range(3):
+        live.put_file(arrivals.where(F.col("page_id") % 3 == n).drop("page_id"), f"{root}/arrivals", f"part{n}")
+    end = arrivals.agg(F.lit("end").alias("url"), F.lit("").alias("host"), F.timestamp_add("DAY", F.lit(4000), F.max("arrived")).alias("arrived"), F.lit(0).cast("long").alias("delay_s"))
+    stream = spark.readStream.schema(end.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/arrivals")
+    done = jobs.run_append(deferred.visits(stream, "60 days"), "stream_deferred", root=root)
+    live.put_file(end, f"{root}/arrivals", "rest")
+    done = jobs.run_append(deferred.visits(stream, "60 days"), "stream_deferred", root=root)
+    shown = lambda c: dates.format_crawl_time(F.timestamp_micros(c))
+    return done.select("host", "url", shown("arrived_us").alias("arrived"), shown("visited_us").alias("visited"))

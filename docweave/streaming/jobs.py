@@ -45,11 +45,12 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{base}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def run_append(df: DataFrame, name: str, partition_cols: list[str] | None = None) -> DataFrame:
+def run_append(df: DataFrame, name: str, partition_cols: list[str] | None = None, root: str | None = None) -> DataFrame:
     """Run a stream to completion (``availableNow``) into a parquet file sink
-    and return the sink as a batch DataFrame."""
+    and return the sink as a batch DataFrame.  With the ``root`` of a run before, the
+    stream goes on from where that ended."""
     spark = df.sparkSession
-    root = _scratch(spark, name)
+    root = root or _scratch(spark, name)
     w = (df.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", f"{root}/_ck").trigger(availableNow=True))
     if partition_cols:
