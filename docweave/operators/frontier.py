@@ -8,7 +8,8 @@ is written once with ``checkpoint()``; what was visited is the union of the leve
 Visit order (I2) is an array key: a page's key is its parent's key plus its position
 on the parent page, so ``(depth, key)`` orders pages as a FIFO queue pops them.  A
 redirect target is put in front of the queue: its key is the redirecting page's key
-plus -1, and a page that is reached both ways keeps the smaller key.
+plus -1, and a page that is reached both ways keeps the smaller key.  Redirect chains
+are resolved once, by doubling; a level then follows them in one join.
 """
 
 from __future__ import annotations
@@ -46,25 +47,54 @@ def _merged(levels: list[DataFrame]) -> list[DataFrame]:
     return levels
 
 
-def _follow_redirects(level: DataFrame, redirects: DataFrame, visited: list[DataFrame], vk, hops: int = 4) -> DataFrame:
-    """add redirect targets to a level, along chains of any length, ``hops`` of them
-    a round.  Keys only fall, so the rounds end where nothing falls any more.  (What
-    lies behind a page visited before was visited with it.)"""
-    moves = redirects.select(F.col("src").alias("url"), F.col("dst").alias("to"))
-    changed = level
-    while True:
-        step, found = changed, None
-        for _ in range(hops):
-            step = step.join(moves, "url").select(
-                F.col("to").alias("url"), F.concat("order_key", F.array(F.lit(-1).cast("long"))).alias("order_key"))
-            found = step if found is None else found.unionByName(step)
-        targets = _new(_first(found.withColumn("vkey", vk(F.col("url")))), visited).select("vkey", "order_key", "url")
-        old = level.select("vkey", F.col("order_key").alias("old"))
-        changed = (targets.join(old, "vkey", "left").where("old is null or order_key < old")
-                   .select("vkey", "order_key", "url").checkpoint())
-        if changed.isEmpty():
-            return level
-        level = _first(level.unionByName(changed)).checkpoint()
+#: Hops of a redirect chain that one join follows.
+HOPS = 32
+
+
+def redirect_closure(redirects: DataFrame, hops: int = HOPS) -> DataFrame:
+    """``src, dst, hops``: every page up to ``hops`` redirects behind a page, at its
+    least number of hops.  Chains are resolved by doubling, in log2(hops) rounds at most,
+    for all pages at once; a cycle ends where it comes round."""
+    known = redirects.select("src", "dst").where("src <> dst").distinct().withColumn("hops", F.lit(1)).checkpoint()
+    n, reach = known.count(), 1
+    while reach < hops:
+        far = known.where(F.col("hops") == reach).select(F.col("src").alias("first"), F.col("dst").alias("src"))
+        more = far.join(known, "src").select(F.col("first").alias("src"), "dst", (F.col("hops") + reach).alias("hops"))
+        known = (known.unionByName(more.where(F.col("hops") <= hops)).where("src <> dst")
+                 .groupBy("src", "dst").agg(F.min("hops").alias("hops")).checkpoint())
+        m, n = n, known.count()
+        if m == n:
+            break
+        reach *= 2
+    return known
+
+
+class _Redirects:
+    """Redirects as their closure; ``longer``: whether chains go on behind it."""
+
+    def __init__(self, redirects: DataFrame):
+        self.closure = redirect_closure(redirects)
+        ends = self.closure.where(F.col("hops") == HOPS).select(F.col("dst").alias("src"))
+        self.longer = not ends.join(self.closure.select("src"), "src", "left_semi").isEmpty()
+
+    def follow(self, level: DataFrame, visited: list[DataFrame], vk) -> DataFrame:
+        """Add the targets of redirecting pages to a level.  Keys only fall, so further
+        rounds, which only chains beyond ``HOPS`` need, end where nothing falls any more.
+        (What lies behind a page visited before was visited with it.)"""
+        moves = self.closure.select(F.col("src").alias("url"), F.col("dst").alias("to"), "hops")
+        changed = level
+        while True:
+            found = changed.join(moves, "url").select(
+                F.col("to").alias("url"), F.concat("order_key", F.array_repeat(F.lit(-1).cast("long"), F.col("hops"))).alias("order_key"))
+            targets = _new(_first(found.withColumn("vkey", vk(F.col("url")))), visited).select("vkey", "order_key", "url")
+            if not self.longer:
+                return _first(level.unionByName(targets)).checkpoint()
+            old = level.select("vkey", F.col("order_key").alias("old"))
+            changed = (targets.join(old, "vkey", "left").where("old is null or order_key < old")
+                       .select("vkey", "order_key", "url").checkpoint())
+            if changed.isEmpty():
+                return level
+            level = _first(level.unionByName(changed)).checkpoint()
 
 
 def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int | None = None, visit_key=None,
@@ -86,13 +116,14 @@ def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int | None = None
     if redirects is not None:   # a redirect response carries no links
         edges = edges.join(redirects.select("src").distinct(), "src", "left_anti")
     pos = F.col("pos") if "pos" in seeds.columns else F.lit(0)
+    jumps = None if redirects is None else _Redirects(redirects)
     level = _first(seeds.select("url", _key(pos).alias("order_key")).withColumn("vkey", vk(F.col("url")))).checkpoint()
     visited: list[tuple[DataFrame, int]] = []
     depth, found = 0, 0
     while True:
         before = [v for v, _ in visited]
-        if redirects is not None:
-            level = _follow_redirects(level, redirects, before, vk)
+        if jumps is not None:
+            level = jumps.follow(level, before, vk)
         n = level.count()
         if n == 0:
             break
@@ -107,7 +138,8 @@ def crawl_reach(links: DataFrame, seeds: DataFrame, max_depth: int | None = None
         found_links = edges.join(front, "src").select(
             F.col("dst").alias("url"), F.concat("parent", _key(F.col("pos"))).alias("order_key"))
         candidates = _first(found_links.withColumn("vkey", vk(F.col("url"))))
-        level = _new(candidates, [v for v, _ in visited]).select("vkey", "order_key", "url").checkpoint()
+        level = _new(candidates, [v for v, _ in visited]).select("vkey", "order_key", "url")
+        level = level.checkpoint()
     out = visited[0][0]
     for more, _ in visited[1:]:
         out = out.unionByName(more)

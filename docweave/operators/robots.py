@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.headers import jtrim
+from .channels import small
 
 
 def clean_lines(body: Column) -> Column:
@@ -71,16 +72,20 @@ def parse_robots(robots_txt: DataFrame, agent: str) -> DataFrame:
                     F.col("_r.disallows").alias("disallows"))
 
 
-def allowed_pages(pages: DataFrame, robots: DataFrame, host: str = "host", path: str = "path",
-                  max_broadcast_rules: int = 1_000_000) -> DataFrame:
-    """Pages whose path starts with no disallowed prefix of their host.
+def allowed_pages(pages: DataFrame, robots: DataFrame, host: str = "host", path: str = "path") -> DataFrame:
+    """J2 + F13: pages whose path starts with no disallowed prefix of their host.
 
-    Equi-join on host with a ``startswith`` residual (left anti).  The rule
-    side is broadcast only when its row count is under ``max_broadcast_rules``;
-    otherwise both sides shuffle on host and AQE splits a skewed host.
+    A rule that a path starts with is one of the path's own prefixes, and its length is
+    the length of some rule of the host.  So every (host, path) gives its prefixes of
+    those lengths, and these meet the rules by equality: work grows with the pages times
+    the distinct rule *lengths* of their host, not with its rules.  Rules and lengths are
+    broadcast where they are measured to be small.
     """
-    rules = robots.select(F.col("host").alias("_h"), F.explode("disallows").alias("_rule"))
-    if rules.count() <= max_broadcast_rules:
-        rules = F.broadcast(rules)
-    cond = (F.col(host) == F.col("_h")) & F.col(path).startswith(F.col("_rule"))
-    return pages.join(rules, cond, "left_anti")
+    rules = robots.where(F.col("host").isNotNull()).select(
+        F.col("host").alias("_h"), F.explode("disallows").alias("_rule")).where("_rule is not null").distinct()
+    lengths = rules.select("_h", F.length("_rule").alias("_n")).distinct()
+    keys = pages.select(F.col(host).alias("_h"), F.col(path).alias("_path")).distinct()
+    prefixes = (keys.join(small(lengths), "_h").where(F.length("_path") >= F.col("_n"))
+                .select("_h", "_path", F.substr("_path", F.lit(1), F.col("_n")).alias("_rule")))
+    shut = prefixes.join(small(rules), ["_h", "_rule"], "left_semi").select("_h", "_path").distinct()
+    return pages.join(shut, (pages[host] == shut["_h"]) & (pages[path] == shut["_path"]), "left_anti")
