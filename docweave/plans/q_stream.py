@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators import fetch
+from ..operators.store import Store
 from ..streaming import deferred, jobs, live
 from ..sources.tables import read_table
 from .derived import responses_from, rss_xml_from
@@ -53,11 +54,11 @@ SELECT page_key, url, type, {TS.format('time_last_access')} AS time_last_access,
 def q_stream_upsert(spark, sf_dir):
     """T4: metadata refreshed from a response stream with foreachBatch upserts."""
     meta0, _ = store_v0(spark, sf_dir)
-    root = jobs.new_store_path(spark, "stream_upsert")
-    jobs.write_store(meta0, root, "page_key")
+    store = Store(spark, jobs.new_store_path(spark, "stream_upsert"), meta0.schema, "page_key", bucket_bytes=16 << 10)
+    store.upsert(meta0, ["time_last_access"])
     pages = jobs.stream_table(spark, sf_dir, "pages", 1)
     batch = _page_parts(fetch.classify(fetch.with_headers(responses_from(pages))))
-    meta = jobs.upsert_stream(new_meta_rows(batch).drop("data"), root, meta0.schema, "page_key", ["time_last_access"])
+    meta = jobs.upsert_stream(new_meta_rows(batch).drop("data"), store, ["time_last_access"])
     return meta.select("page_key", "url", "type",
                        dates.format_crawl_time(F.col("time_last_access")).alias("time_last_access"),
                        "file_size", "stored")

@@ -15,8 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import recrawl
 from ..operators import xpath_match as xm
+from ..operators.store import Store
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import TABLE_SCHEMAS
 
@@ -108,59 +108,19 @@ def stream_dedup(arrivals: DataFrame, watermark: str = "1 hour") -> DataFrame:
             .dropDuplicatesWithinWatermark(["page_key"]).select("page_key"))
 
 
-# --- T4: a store in buckets ---------------------------------------------------------
-
-BUCKETS = 64
-
-
-def bucket_of(key: str, buckets: int = BUCKETS):
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
-def write_store(rows: DataFrame, store_path: str, key: str, version: int = 0, buckets: int = BUCKETS) -> None:
-    """Write rows as one version of the buckets that they fall into."""
-    (rows.withColumn("bucket", bucket_of(key, buckets)).repartition("bucket")
-     .write.mode("overwrite").partitionBy("bucket").parquet(f"{store_path}/v{version:08d}"))
-
-
-def _latest(spark: SparkSession, store_path: str, before: int | None = None) -> dict[int, str]:
-    """Bucket -> folder of its newest version (below version ``before``)."""
-    out = {}
-    for v in _names(spark, store_path):
-        if v.startswith("v") and (before is None or int(v[1:]) < before):
-            for b in _names(spark, f"{store_path}/{v}"):
-                if b.startswith("bucket="):
-                    out[int(b[7:])] = f"{store_path}/{v}/{b}"
-    return out
-
-
-def read_store(spark: SparkSession, store_path: str, schema, buckets: list[int] | None = None, before: int | None = None) -> DataFrame:
-    """The newest version of all buckets, or of those named."""
-    paths = [p for b, p in sorted(_latest(spark, store_path, before).items()) if buckets is None or b in buckets]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-
-
-def upsert_stream(new_rows: DataFrame, store_path: str, schema, key: str, order: list[str], buckets: int = BUCKETS) -> DataFrame:
-    """T4: ``foreachBatch`` latest-wins upsert into a bucketed parquet store.
-
-    A batch reads and rewrites only the buckets that its rows fall into, as version
-    ``batch_id + 1``; a replayed batch starts from the versions before it and rewrites
-    the same one, so the sink is idempotent.  Returns the store as it ends.
-    """
-    spark = new_rows.sparkSession
+# --- T4: upserts into a store ---------------------------------------------------------
 
+def upsert_stream(new_rows: DataFrame, store: Store, order: list[str]) -> DataFrame:
+    """T4: ``foreachBatch`` latest-wins upsert into a store that was written once
+    (version 1).  Batch b commits version b + 2 on top of the newest version before it, so
+    a replayed batch replaces its own version.  Returns the store as it ends."""
     def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.where(F.col(key).isNotNull()).persist()
-        touched = [r[0] for r in rows.select(bucket_of(key, buckets)).distinct().collect()]      # at most ``buckets`` numbers
-        cur = read_store(spark, store_path, schema, touched, batch_id + 1)
-        if touched:
-            write_store(recrawl.latest_wins(cur, rows.select(*cur.columns), key, order), store_path, key, batch_id + 1, buckets)
-        rows.unpersist()
+        store.upsert(batch, order, batch_id + 2)
 
     (new_rows.writeStream.foreachBatch(merge)
-     .option("checkpointLocation", f"{store_path}/_ck").trigger(availableNow=True)
+     .option("checkpointLocation", f"{store.path}/_ck").trigger(availableNow=True)
      .start().awaitTermination())
-    return read_store(spark, store_path, schema)
+    return store.read()
 
 
 def _names(spark: SparkSession, root: str) -> list[str]:
