@@ -10,8 +10,12 @@ collection is its part files read in order, wrapped in
 
 from __future__ import annotations
 
+import codecs
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The collection wrapper.
 COLLECTION_OPEN = "<documentcollection>"
@@ -62,18 +66,62 @@ def write_collections(fragments: DataFrame, path: str, partitions: int | None =
      .select("channel", "fragment").write.mode("overwrite").partitionBy("channel").text(path))
 
 
-def decode_bodies(df: DataFrame, body: str = "body", charset: str = "encoding") -> DataFrame:
-    """Body bytes decoded with the declared charset (a string body: its UTF-8 bytes).
-
-    Only charsets Spark can decode are used (US-ASCII, ISO-8859-1, UTF-8,
-    UTF-16BE, UTF-16LE, UTF-16, UTF-32); any other name falls back to UTF-8.
-    """
-    known = ["US-ASCII", "ISO-8859-1", "UTF-8", "UTF-16BE", "UTF-16LE", "UTF-16", "UTF-32"]
-    cs = F.upper(F.coalesce(F.col(charset), F.lit("UTF-8")))
-    raw = F.col(body) if df.schema[body].dataType.simpleString() == "binary" else F.encode(F.col(body), "UTF-8")
-    decoded = None
-    for k in known:
-        expr = F.decode(raw, k)
-        decoded = F.when(cs == k, expr) if decoded is None else decoded.when(cs == k, expr)
-    decoded = decoded.otherwise(F.decode(raw, "UTF-8"))
-    return df.withColumn("decoded", decoded).withColumn("n_chars", F.length("decoded").cast("long"))
+#: Byte-order marks in hex and their charsets; longer ones first.
+BYTE_ORDER_MARKS = [("FFFE0000", "UTF-32LE"), ("0000FEFF", "UTF-32BE"), ("EFBBBF", "UTF-8"), ("FFFE", "UTF-16LE"), ("FEFF", "UTF-16BE")]
+#: Bytes at the start of a page in which it may declare its charset (as browsers read it).
+DECLARED_IN = 1024
+
+
+def _bytes(df: DataFrame, body: str) -> Column:
+    return F.col(body) if df.schema[body].dataType.simpleString() == "binary" else F.col(body).cast("binary")
+
+
+def declared_charset(raw: Column, header: Column) -> Column:
+    """The charset of a page: its byte-order mark, else what its XML declaration, its
+    ``<meta>`` element or the response header names, in this order; else UTF-8."""
+    start = F.decode(F.substr(raw, F.lit(1), F.lit(DECLARED_IN)), "ISO-8859-1")
+    mark = F.hex(F.substr(raw, F.lit(1), F.lit(4)))
+    by_mark = None
+    for bytes_, name in BYTE_ORDER_MARKS:
+        by_mark = F.when(mark.startswith(bytes_), name) if by_mark is None else by_mark.when(mark.startswith(bytes_), name)
+    xml = F.regexp_extract(start, r"""^\s*<\?xml[^>]*\sencoding\s*=\s*["']([A-Za-z0-9._:-]+)["']""", 1)
+    meta = F.regexp_extract(start, r"""(?i)<meta[^>]*\scharset\s*=\s*["']?\s*([A-Za-z0-9._:-]+)""", 1)
+    inside = F.regexp_extract(start, r"""(?i)<meta[^>]*\scontent\s*=\s*["'][^"'>]*charset\s*=\s*([A-Za-z0-9._:-]+)""", 1)
+    named = [F.nullif(c, F.lit("")) for c in (xml, meta, inside, F.trim(header))]
+    return F.upper(F.coalesce(by_mark, *named, F.lit("UTF-8")))
+
+
+@F.pandas_udf(T.StringType())
+def _decode_other(raw: pd.Series, charset: pd.Series) -> pd.Series:
+    """Any charset that Python knows, bad bytes replaced; an unknown name counts as UTF-8."""
+    def one(b, name):
+        if b is None:
+            return None
+        try:
+            codecs.lookup(name)
+        except (LookupError, TypeError):
+            name = "utf-8"
+        try:
+            return bytes(b).decode(name, "replace").encode("utf-8", "replace").decode("utf-8")
+        except (LookupError, UnicodeError):               # a codec that is no charset
+            return bytes(b).decode("utf-8", "replace")
+    return pd.Series([one(b, c) for b, c in zip(raw, charset)], dtype=object)
+
+
+def decode_bodies(df: DataFrame, body: str = "body", charset: str = "encoding", detect: bool = False) -> DataFrame:
+    """``decoded`` and ``n_chars``: body bytes (a string body: its UTF-8 bytes) in the
+    charset that column ``charset`` names or, with ``detect``, that ``declared_charset``
+    finds (column ``charset_used``).  UTF-8 and ISO-8859-1 are decoded by Spark, any other
+    by an Arrow function that gets only those rows.  Bad bytes become U+FFFD; a
+    byte-order mark is no part of the text."""
+    from ..session import ship_package
+    ship_package(df.sparkSession)
+    raw = _bytes(df, body)
+    name = declared_charset(raw, F.col(charset)) if detect else F.upper(F.coalesce(F.col(charset), F.lit("UTF-8")))
+    named = df.withColumn("charset_used", name)
+    native = F.col("charset_used").isin("UTF-8", "ISO-8859-1")
+    other = named.withColumn("_other", _decode_other(F.when(~native, raw), F.when(~native, F.col("charset_used"))))
+    decoded = (F.when(F.col("charset_used") == "UTF-8", F.make_valid_utf8(raw.cast("string")))
+               .when(F.col("charset_used") == "ISO-8859-1", F.decode(raw, "ISO-8859-1")).otherwise(F.col("_other")))
+    text = F.when(decoded.startswith("\ufeff"), F.substr(decoded, F.lit(2))).otherwise(decoded)
+    return other.withColumn("decoded", text).drop("_other").withColumn("n_chars", F.length("decoded").cast("long"))

@@ -2,7 +2,6 @@
 
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from docweave.operators.store import Store, address
@@ -17,17 +16,17 @@ def _store(spark, **how):
 
 def test_addresses_of_linear_hashing(spark):
     h = spark.range(4000).select(F.xxhash64("id").alias("h"))
-    for n in range(1, 20):
+    for n in (1, 3, 4, 7):
         got = h.select("h", address(F.col("h"), n).alias("b"))
         assert {r.b for r in got.select("b").distinct().collect()} == set(range(n))
-        for more in range(n, 2 * n + 1):                                # a bucket tells the one it came from
+        for more in {n, n + 1, 2 * n}:                                # a bucket tells the one it came from
             assert got.withColumn("c", address(F.col("h"), more)).where(address(F.col("c"), n) != F.col("b")).isEmpty()
 
 
 def test_upserts_grow_and_equal_a_dictionary(spark):
     rng = random.Random(7)
-    store, want, buckets = _store(spark, bucket_bytes=4000, file_rows=30), {}, []
-    for version in range(1, 6):
+    store, want, buckets = _store(spark, bucket_bytes=2500, file_rows=30), {}, []
+    for version in range(1, 5):
         rows = [(f"k{rng.randint(0, 400)}", rng.randint(0, 9) + 2 * version, f"v{version}" + "x" * 40) for _ in range(150)]
         store.upsert(spark.createDataFrame([*rows, (None, 1, "no key")], SCHEMA), ["t"])
         for k, t, v in rows:
@@ -54,17 +53,17 @@ def test_a_half_written_version_is_not_read_and_a_replay_replaces_its_own(spark)
     assert {tuple(r) for r in store.read().collect()} == {("a", 2, "z"), ("b", 1, "y"), ("c", 1, "w")}
 
 
-@pytest.mark.parametrize("n", [0, 1, 100])
-def test_a_lookup_opens_few_files(spark, n):
+def test_a_lookup_opens_few_files(spark):
     store = _store(spark, bucket_bytes=2000, file_rows=20)
-    df = spark.range(3000).select(F.concat(F.lit("key"), F.col("id").cast("string")).alias("k"), F.col("id").alias("t"), F.lit("v").alias("v"))
-    for _ in range(5):
+    df = spark.range(1200).select(F.concat(F.lit("key"), F.col("id").cast("string")).alias("k"), F.col("id").alias("t"), F.lit("v").alias("v"))
+    for _ in range(3):
         store.upsert(df.withColumn("t", F.col("t") + 1), ["t"])
-    files = store.manifest().count()
-    asked = spark.range(n).select(F.concat(F.lit("key"), (F.col("id") * 7).cast("string")).alias("k"))
-    asked = asked.union(spark.createDataFrame([("none",), (None,)], "k string"))
-    assert {r.k for r in store.lookup(asked).collect()} == {f"key{i * 7}" for i in range(n)}
-    assert files > 100 and store.candidates(asked).count() <= n + 1       # a file for each key
+    assert store.manifest().count() > 50
+    for n in (0, 20):
+        asked = spark.range(n).select(F.concat(F.lit("key"), (F.col("id") * 7).cast("string")).alias("k"))
+        asked = asked.union(spark.createDataFrame([("none",), (None,)], "k string"))
+        assert {r.k for r in store.lookup(asked).collect()} == {f"key{i * 7}" for i in range(n)}
+        assert store.candidates(asked).count() <= n + 1       # a file for each key
 
 
 def test_an_empty_store(spark):
