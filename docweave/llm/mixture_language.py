@@ -4,9 +4,9 @@ A language is a distribution over byte n-grams (hashed to a fixed number of
 features), learned by counting over all labelled texts.  A document is a mixture
 of languages: expectation-maximisation finds the proportions under which its
 n-grams are most likely.  The language set is chosen by penalised likelihood:
-starting from all languages, the one whose removal costs the least is dropped as
-long as the likelihood lost is below ``penalty * log(n-grams)`` (one proportion
-less to describe).  The prediction is the language of the largest proportion, the
+starting from all languages, the one of the smallest proportion is dropped as long as
+the likelihood lost is below ``penalty * log(n-grams)`` (one proportion less to
+describe).  The prediction is the language of the largest proportion, the
 score that proportion.
 
 The model holds languages x features counts, so its size does not grow with the
@@ -14,7 +14,8 @@ documents; counts are summed by Spark.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; ties go
 to the smaller language name; with no labelled text every document is ``und``;
-repeated rows are judged one by one; other columns are ignored.
+repeated rows are judged one by one; an empty table gives no rows; a text of any length
+is counted whole, in slices; other columns are ignored.
 """
 
 from __future__ import annotations
