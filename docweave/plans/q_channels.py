@@ -9,6 +9,8 @@ expression template directly on the order tables.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
 from ..operators import channels as ch
@@ -64,24 +66,48 @@ def channel_requests(spark, sf_dir):
 
 
 class ChannelState:
-    """All derived channel tables of one input directory (lazy DataFrames)."""
+    """All derived channel tables of one input directory, made as they are asked for."""
+
+    # every stage is small (one row per request / channel / expression) and feeds
+    # several later ones: checkpointed, so none is computed from ``events`` again and
+    # nothing stays pinned in executors
 
     def __init__(self, spark, sf_dir):
-        req = channel_requests(spark, sf_dir)
-        self.requests = req
-        # every stage is small (one row per request / channel / expression) and
-        # feeds several later ones: checkpointed, so none is computed from
-        # ``events`` again and nothing stays pinned in executors
-        self.validated = ch.validate_requests(req.where(F.col("kind") == "create")).checkpoint()
-        taken = self.validated.where("status = 'ok'").drop("status").unionByName(req.where(F.col("kind") == "delete"))
-        self.history = hist.channel_history(taken).checkpoint()
-        self.registered = hist.outcomes(self.validated, self.history)
-        self.lives = hist.lifetimes(self.history).checkpoint()
-        self.items = ch.subscriptions_of(self.lives)             # every listed expression
-        self.valid = xm.xpath_valid(self.items.select("xpath").distinct()).checkpoint()
-        self.subs = ch.subscriptions_of(self.lives, self.valid)
-        self.live = hist.live_at(self.lives)
-        self.live_subs = ch.subscriptions_of(self.live, self.valid).checkpoint()
+        self.requests = channel_requests(spark, sf_dir)
+
+    @cached_property
+    def validated(self):
+        return ch.validate_requests(self.requests.where(F.col("kind") == "create"))
+
+    @cached_property
+    def history(self):
+        taken = self.validated.where("status = 'ok'").drop("status")
+        return hist.channel_history(taken.unionByName(self.requests.where(F.col("kind") == "delete"))).checkpoint()
+
+    @cached_property
+    def registered(self):
+        return hist.outcomes(self.validated, self.history)
+
+    @cached_property
+    def lives(self):
+        return hist.lifetimes(self.history).checkpoint()
+
+    @cached_property
+    def valid(self):
+        items = ch.subscriptions_of(self.lives)                  # every listed expression
+        return xm.xpath_valid(items.select("xpath").distinct()).checkpoint()
+
+    @cached_property
+    def subs(self):
+        return ch.subscriptions_of(self.lives, self.valid)
+
+    @cached_property
+    def live(self):
+        return hist.live_at(self.lives)
+
+    @cached_property
+    def live_subs(self):
+        return ch.subscriptions_of(self.live, self.valid).checkpoint()
 
     def at(self, moment: str):
         """(channels, subscriptions) as the requests before ``moment`` left them."""
