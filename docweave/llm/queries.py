@@ -141,7 +141,25 @@ def op10(spark, sf_dir):
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "languages")
 
 
-@query("op6_suffix_array_dedup")
+#: All 200-byte strings, in hex; removed runs are those of repeated ones that touch.
+OP6_SQL = r"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS x FROM documents),
+place AS (SELECT r, unnest(range(0, length(x) // 2 - 199)) AS i FROM docs WHERE length(x) >= 400),
+keyed AS (SELECT place.r, i, sha256(substr(x, 2 * i + 1, 400)) AS k FROM place JOIN docs USING (r)),
+rep AS (SELECT k FROM keyed GROUP BY k HAVING count(*) > 1),
+hit AS (SELECT r, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) AS d FROM keyed JOIN rep USING (k)),
+part AS (SELECT r, i, sum(CASE WHEN d <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS g FROM hit),
+span AS (SELECT r, g, min(i) AS a, max(i) + 200 AS b FROM part GROUP BY r, g),
+cut AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM span),
+kept AS (SELECT r, sum(b - a) AS n, count(*) AS c, max(b) AS last, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS h
+         FROM cut JOIN docs USING (r) GROUP BY r)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, CAST(coalesce(c, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN n IS NULL THEN x ELSE h || substr(x, 2 * last + 1) END)) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+
+@query("op6_suffix_array_dedup", OP6_SQL)
 def op6(spark, sf_dir):
     out = suffix_dedup.remove_repeated_strings(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", F.aggregate(

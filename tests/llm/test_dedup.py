@@ -154,3 +154,7 @@ def test_word_hashes_depend_on_every_byte():
     hashes, n = word_hashes([b" ".join(words)])
     assert n.tolist() == [len(words)] and len(set(hashes.tolist())) == len(words)
     assert [h for w in words for h in word_hashes([w])[0].tolist()] == hashes.tolist()
+
+
+def test_strings_sql_twin(spark):
+    brute.agrees_with_sql(spark, "op6_suffix_array_dedup")
