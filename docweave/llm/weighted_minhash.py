@@ -34,6 +34,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -186,9 +187,25 @@ def sign_chunk(size: int, free: int, bits: int, n_docs: int, bands: int, rows: i
 VECTOR = "label binary, content binary, h binary, tf binary, df binary, size long"
 
 
+#: Text whose vectors are made at once (a longer text alone).
+VECTOR_BYTES = 8 << 20
+
+
+def _pieces(batches):
+    """Batches of documents in pieces of bounded text."""
+    for batch in batches:
+        a, held = 0, 0
+        for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()):
+            if i > a and held + n > VECTOR_BYTES:
+                yield batch.slice(a, i - a)
+                a, held = i, 0
+            held += n
+        yield batch.slice(a)
+
+
 def _vectors(size: int):
     def run(batches):
-        for batch in batches:
+        for batch in _pieces(batches):
             s = Shingles(_encoded(batch), size)
             h = [pack_sorted(s.h[a:b]) for a, b in zip(s.cut, s.cut[1:])]
             tf = [pack(s.tf[a:b].astype(np.uint32)) for a, b in zip(s.cut, s.cut[1:])]

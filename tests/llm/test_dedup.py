@@ -158,3 +158,11 @@ def test_word_hashes_depend_on_every_byte():
 
 def test_strings_sql_twin(spark):
     brute.agrees_with_sql(spark, "op6_suffix_array_dedup")
+
+
+def test_pieces_of_a_batch_hold_every_row_once(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(weighted_minhash, "VECTOR_BYTES", 10)
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(t, pa.string())}) for t in (["a" * 4, None, "b" * 5, "c" * 50, "d", ""], ["e" * 11], [])]
+    pieces = [b.column("text").to_pylist() for b in weighted_minhash._pieces(iter(batches))]
+    assert pieces == [["a" * 4, None, "b" * 5], ["c" * 50], ["d", ""], ["e" * 11], []]
