@@ -12,11 +12,12 @@ Decoding is lossless for every text: what no piece spells goes as bytes, also th
 model's own blank sign when a text holds it.
 
 Words are independent (no piece has a blank sign after another character).  What the
-draws do not change is remembered: a node is a word with the steps of its agenda that
-were skipped so far, and holds the joins that follow and the pieces when none of them
-is skipped.  An occurrence goes from the word's node to that of the first join that
-its draws skip, and on from there.  New nodes are worked on as arrays, many at a time;
-beyond ``max_nodes`` all are forgotten.
+draws do not change is remembered: a root is a word, a first skip is a word with the
+one step of its agenda that was skipped, and both hold the joins that follow and the
+pieces when none of them is skipped.  An occurrence goes from its root to the first
+join that its draws skip; one that skips again has its agenda worked on by its own
+draws and leaves nothing behind.  Agendas are worked on as arrays, many at a time.
+Beyond ``max_nodes`` those that were met once are forgotten.
 
 Edge cases: a null text gives null pieces, an empty one none; texts of any length
 are encoded whole; repeated rows are encoded alike; other columns are ignored; an
@@ -28,6 +29,7 @@ from __future__ import annotations
 import heapq
 import re
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +62,12 @@ def scatter(x):
     return x
 
 
+def _spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each, as many as counted."""
+    ends = np.cumsum(count)
+    return np.repeat(start - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Grown:
     """An array that grows at its end."""
 
@@ -103,25 +111,28 @@ class Pieces:
         #: a word: blanks and what follows up to the next blank; characters that join nothing stand alone
         self.words = re.compile(f"[{alone}]| *[^ {alone}]+| +" if alone else " *[^ ]+| +")
         self.bar, self.seed, self.max_nodes = int(rate * 2 ** 64), seed, max_nodes
-        self._forget()
+        self._empty()
         self._arrays(len(kinds))
 
     def _arrays(self, n: int) -> None:
         """The model as arrays: characters, joins of two pieces, agenda order, keys."""
-        self.char = np.full(0x110000, -1, np.int32)
+        def piece(p):                                      # of a character that is no piece: a number behind them
+            return self.id.get(p, n + ord(p) if len(p) == 1 else None)
+        self.n, self.wide = n, n + 0x110000
+        self.char = np.arange(n, self.wide, dtype=np.int32)
         for p, i in self.id.items():
             if len(p) == 1:
                 self.char[ord(p)] = i
+        self.char[32], self.char[ord(BLANK)] = self.char[ord(BLANK)], n + ord(BLANK)
+        self.bytes = np.array([self.byte[b] for b in range(256)], np.int32)
         order = {s: r for r, s in enumerate(sorted(set(self.score.values()), reverse=True))}
-        joins = sorted((self.id[p[:k]] * n + self.id[p[k:]], order[s], self.id[p]) for p, s in self.score.items()
-                       for k in range(1, len(p)) if p[:k] in self.id and p[k:] in self.id)
-        self.n = n
-        join = np.array(joins, np.int64)
+        halves = ((piece(p[:k]), piece(p[k:]), order[s], self.id[p]) for p, s in self.score.items() for k in range(1, len(p)))
+        join = np.array(sorted((a * self.wide + b, r, i) for a, b, r, i in halves if a is not None and b is not None), np.int64)
         slot = self._slot(join[:, 0]).astype(np.int64)
         join = join[np.argsort(slot, kind="stable")]
         held = np.bincount(slot, minlength=2 ** SLOTS)
         #: joins by slot, and some that are none behind them
-        self.most = int(held.max())
+        self.most, self.more = int(held.max()), held > 1
         self.first = (np.cumsum(held) - held).astype(np.int32)
         self.join_key, self.join_rank, self.join_id = (np.pad(x, (0, self.most), constant_values=-1) for x in (
             join[:, 0], join[:, 1].astype(np.int32), join[:, 2].astype(np.int32)))
@@ -131,16 +142,34 @@ class Pieces:
         self.rank = {p: order[s] for p, s in self.score.items()}
         self.places = np.array([xxhash.xxh64_intdigest(b"%d" % i, self.seed) for i in range(SHORT)], np.uint64)
 
-    def _forget(self) -> None:
+    def _empty(self) -> None:
         self.root: dict[str, int] = {}
-        #: of each node: its word, skipped steps, ids, and where its joins start
-        self.word: list[str] = []
-        self.skipped: list[tuple] = []
-        self.blob: list[bytes] = []
+        #: of each node: where the characters of its word are, its pieces, its joins, and how often it was met
+        self.at, self.size, self.met = Grown(np.int64), Grown(np.int64), Grown(np.int64)
+        self.ids_at, self.ids_n = Grown(np.int64), Grown(np.int64)
         self.start, self.count = Grown(np.int64), Grown(np.int64)
+        self.letters, self.ids = Grown(np.int32), Grown(np.int32)
         #: of each join: its key, and the node where it is skipped (-1: not met yet)
         self.joins, self.child = Grown(np.uint64), Grown(np.int32)
 
+    def _forget(self) -> None:
+        """Keeps the roots that were met more than once, the most met if they are many."""
+        old, word = self.__dict__.copy(), np.array([*self.root.values()], np.int64)
+        met = old["met"].now
+        least = max(2, np.partition(met[word], -(self.max_nodes // 2))[-(self.max_nodes // 2)] + 1
+                    if len(word) > self.max_nodes // 2 > 0 else 2)
+        kept = word[met[word] >= least]
+        words = [w for w, k in old["root"].items() if met[k] >= least]
+        self._empty()
+        self.root = dict(zip(words, range(len(words))))
+        for pool, start, count in (("letters", "at", "size"), ("ids", "ids_at", "ids_n"), ("joins", "start", "count")):
+            n = old[count].now[kept]
+            getattr(self, pool).add(old[pool].now[_spread(old[start].now[kept], n)])
+            getattr(self, start).add(np.cumsum(n) - n)
+            getattr(self, count).add(n)
+        self.child.add(np.full(self.joins.n, -1))
+        self.met.add(met[kept] // 2)
+
     def _event(self, whole: str, i: int) -> int:
         place = int(self.places[i]) if i < SHORT else xxhash.xxh64_intdigest(b"%d" % i, self.seed)
         return int(self.key[self.id[whole]]) ^ place
@@ -173,13 +202,15 @@ class Pieces:
 
     def _join(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, piece) of joining a and b; rank ``NEVER`` where they join to none."""
-        key = a.astype(np.int64) * self.n + b
-        at = self.first[self._slot(key)]
+        key = a.astype(np.int64) * self.wide + b
+        slot = self._slot(key)
+        at = self.first[slot]
         ok = self.join_key[at] == key
+        todo = np.flatnonzero(~ok & self.more[slot])
         for _ in range(1, self.most):
-            todo = np.flatnonzero(~ok)
             at[todo] += 1
             ok[todo] = self.join_key[at[todo]] == key[todo]
+            todo = todo[~ok[todo]]
         ok &= (a >= 0) & (b >= 0)
         at[~ok] = 0
         return np.where(ok, self.join_rank[at], NEVER), self.join_id[at]
@@ -188,14 +219,14 @@ class Pieces:
     def _slot(key: np.ndarray) -> np.ndarray:
         return (key.astype(np.uint64) * np.uint64(GOLDEN)) >> np.uint64(64 - SLOTS)
 
-    def agendas(self, piece: np.ndarray, skipped: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def agendas(self, piece: np.ndarray, skip: np.ndarray | None = None, drawn: np.ndarray | None = None):
         """The agendas of many words at a time.  ``piece``: words x characters as piece
-        ids, -1 behind their ends; ``skipped``: words x steps to skip, ascending.  The
-        pieces (-1 also where one has been joined to the one before it), and the joins
-        after the last skipped step: their keys, word by word, and how many each has."""
+        ids, -1 behind their ends; ``skip``: the step of each to skip (-1: none), or
+        ``drawn``: the key of the draws of each.  The pieces (-1 also where one has been
+        joined to the one before it) and, without draws, the joins after the skipped
+        step: their keys, word by word, and how many each has."""
         n, m = piece.shape
         piece, step = piece.copy(), 0
-        last = skipped[:, -1] if skipped.shape[1] else np.full(n, -1)
         late, keys = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
         after = np.tile(np.arange(1, m + 1), (n, 1))               # m: none
         before = np.tile(np.arange(-1, m - 1), (n, 1))
@@ -205,16 +236,17 @@ class Pieces:
         while len(rows):
             i = np.argmin(rank[rows], axis=1)                      # the best, leftmost of equals
             live = rank[rows, i] != NEVER
-            rows, i = rows[live], i[live]
-            w = whole[rows, i]
-            r, c = rows, i
-            if skipped.shape[1]:
-                drop = (skipped[rows] == step).any(axis=1)
-                rank[rows[drop], i[drop]] = NEVER
-                r, c, w = rows[~drop], i[~drop], w[~drop]
-            told = last[r] < step
-            late.append(r[told])
-            keys.append(self.key[w[told]] ^ self.places[c[told]])
+            r, c = rows, i = rows[live], i[live]
+            w = whole[r, c]
+            drop = skip[r] == step if drawn is None else \
+                scatter(self.key[w] ^ self.places[c] ^ drawn[r]) < np.uint64(self.bar)
+            if drop.any():
+                rank[r[drop], c[drop]] = NEVER
+                r, c, w = r[~drop], c[~drop], w[~drop]
+            if drawn is None:
+                told = skip[r] < step
+                late.append(r[told])
+                keys.append(self.key[w[told]] ^ self.places[c[told]])
             step += 1
             j = after[r, c]
             piece[r, c], piece[r, j] = w, -1
@@ -242,96 +274,103 @@ class Pieces:
             at += len(part) + 1
         return np.array(out, "<i4").tobytes()
 
-    def _follow(self, word: str, skipped: tuple) -> tuple[bytes, list[int]]:
-        """Ids of a word, and the keys of its joins after the last skipped step."""
-        met: list[int] = []
-
-        def skip(event):
-            met.append(event)
-            return len(met) - 1 in skipped
-        ids = self._ids(word, skip)
-        return ids, met[skipped[-1] + 1:] if skipped else met
-
-    def _grow(self, words: list[str], skipped: list[tuple]) -> np.ndarray:
-        """New nodes, all with equally many skipped steps: words of known characters in
-        blocks of like lengths, those that need bytes one by one."""
-        blob: list[bytes | None] = [None] * len(words)
-        joins: list[bytes] = [b""] * len(words)
-        size = np.array([len(w) for w in words])
-        code = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
-        char = self.char[np.where(code == 32, ord(BLANK), np.where(code == ord(BLANK), 0x10FFFF, code))]
-        start = np.cumsum(size) - size
-        plain = (np.minimum.reduceat(char, start) >= 0) & (size <= SHORT)
-        order = np.flatnonzero(plain)
-        order = order[np.argsort(size[order], kind="stable")]
-        steps = np.array(skipped, np.int64).reshape(len(words), -1)
+    def _blocks(self, at: np.ndarray, size: np.ndarray):
+        """Words of like lengths, many at a time: which, and their characters."""
+        order = np.argsort(size, kind="stable")
+        letters = self.letters.now
         for a in range(0, len(order), 4096):
             part = order[a:a + 4096]
             place = np.arange(size[part[-1]])
             inside = place < size[part][:, None]
-            piece = np.where(inside, char[np.minimum(start[part][:, None] + place, len(char) - 1)], -1)
-            done, keys, count = self.agendas(piece, steps[part])
-            keep = done >= 0
-            ids, ends = done[keep].astype("<i4").tobytes(), (np.cumsum(keep.sum(axis=1)) * 4).tolist()
-            keys, stops = keys.tobytes(), (np.cumsum(count) * 8).tolist()
-            for w, i, j, k, m in zip(part.tolist(), [0, *ends], ends, [0, *stops], stops):
-                blob[w], joins[w] = ids[i:j], keys[k:m]
-        for w in np.flatnonzero(~plain).tolist():
-            blob[w], met = self._follow(words[w], skipped[w])
-            joins[w] = np.array(met, np.uint64).tobytes()
-        node = np.arange(len(self.blob), len(self.blob) + len(words))
-        self.word += words
-        self.skipped += skipped
-        self.blob += blob
-        count = np.array([len(k) for k in joins]) // 8
-        self.start.add(self.joins.n + np.cumsum(count) - count)
-        self.count.add(count)
-        self.joins.add(np.frombuffer(b"".join(joins), np.uint64))
-        self.child.add(np.full(int(count.sum()), -1))
+            yield part, np.where(inside, letters[np.minimum(at[part][:, None] + place, len(letters) - 1)], -1)
+
+    def _spelled(self, done: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of finished agendas, word by word, and how many each has: characters
+        that are no piece go as bytes."""
+        keep = done >= 0
+        ids, count = done[keep], keep.sum(axis=1)
+        odd = ids >= self.n
+        if odd.any():
+            code = ids - self.n
+            width = np.where(odd, 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF), 1)
+            count = np.bincount(np.repeat(np.arange(len(done)), count), width, len(done)).astype(np.int64)
+            text = code[odd].astype("<u4").tobytes().decode("utf-32-le").encode()
+            ids, odd = np.repeat(ids, width), np.repeat(odd, width)
+            ids[odd] = self.bytes[np.frombuffer(text, np.uint8)]
+        return ids, count
+
+    def _grow(self, at: np.ndarray, size: np.ndarray, skip: np.ndarray) -> np.ndarray:
+        """New nodes: words by their characters, and the step that is skipped (-1: none)."""
+        node = np.empty(len(at), np.int64)
+        for part, piece in self._blocks(at, size):
+            node[part] = np.arange(self.at.n, self.at.n + len(part))
+            done, keys, count = self.agendas(piece, skip[part])
+            ids, n = self._spelled(done)
+            self.at.add(at[part])
+            self.size.add(size[part])
+            self.met.add(np.zeros(len(part)))
+            self.ids_at.add(self.ids.n + np.cumsum(n) - n)
+            self.ids_n.add(n)
+            self.ids.add(ids)
+            self.start.add(self.joins.n + np.cumsum(count) - count)
+            self.count.add(count)
+            self.joins.add(keys)
+            self.child.add(np.full(len(keys), -1))
         return node
 
-    def _skip(self, joins: np.ndarray) -> np.ndarray:
-        """The nodes where these joins are skipped."""
-        new = np.unique(joins[self.child.now[joins] < 0])
-        if len(new):
-            owner = np.searchsorted(self.start.now, new, side="right") - 1
-            step = (new - self.start.now[owner]).tolist()
-            before = [self.skipped[k] for k in owner.tolist()]
-            skipped = [(*b, (b[-1] + 1 if b else 0) + s) for b, s in zip(before, step)]
-            self.child.now[new] = self._grow([self.word[k] for k in owner.tolist()], skipped)
-        return self.child.now[joins]
-
-    def _draw(self, words: list[str], drawn: np.ndarray) -> list[bytes]:
-        """Ids of each occurrence of a word; ``drawn`` is the key of its draws."""
-        if len(self.blob) > self.max_nodes:
+    def _learn(self, words: list[str]) -> None:
+        """Roots of words that were not met before."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        at = self.letters.n + np.cumsum(size) - size
+        self.letters.add(self.char[np.frombuffer("".join(words).encode("utf-32-le"), "<u4")])
+        self.root.update(zip(words, self._grow(at, size, np.full(len(words), -1)).tolist()))
+
+    def _skipped(self, node: np.ndarray, drawn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of occurrences at these nodes those that skip a join, and the first join each skips."""
+        count = self.count.now[node]
+        of = np.repeat(np.arange(len(node)), count)
+        join = _spread(self.start.now[node], count)
+        hit = np.flatnonzero(scatter(self.joins.now[join] ^ drawn[of]) < np.uint64(self.bar))
+        hit = hit[np.diff(of[hit], prepend=-1) > 0]
+        return of[hit], join[hit]
+
+    def _draw(self, words: list[str], drawn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all occurrences of words, and how many each has; ``drawn`` is the key of
+        the draws of each."""
+        if self.at.n > self.max_nodes:
             self._forget()
-        new = list(set(words).difference(self.root))
-        if self.bar:                                       # a long word meets its like too seldom
-            long = [w for w in new if len(w) > SHORT]
-            new = [w for w in new if len(w) <= SHORT]
-            self.root.update(dict.fromkeys(long, -1))
+        new = [w for w in set(words).difference(self.root) if len(w) <= SHORT]
         if new:
-            self.root.update(zip(new, self._grow(new, [()] * len(new)).tolist()))
-        node = np.fromiter(map(self.root.__getitem__, words), np.int64, len(words))
-        live = np.flatnonzero(node >= 0) if self.bar else []
-        while len(live):
-            count = self.count.now[node[live]]
-            ends = np.cumsum(count)
-            of = np.repeat(np.arange(len(live)), count)
-            join = np.arange(len(of)) + (self.start.now[node[live]] - ends + count)[of]
-            hit = np.flatnonzero(scatter(self.joins.now[join] ^ drawn[live][of]) < np.uint64(self.bar))
-            hit = hit[np.diff(of[hit], prepend=-1) > 0]    # the first of each
-            live = live[of[hit]]
-            if len(live):
-                node[live] = self._skip(join[hit])
-        out = [self.blob[k] if k >= 0 else None for k in node.tolist()]
-        if self.bar and len(long):
-            for k in np.flatnonzero(node < 0).tolist():
-                mine = int(drawn[k])
-                out[k] = self._ids(words[k], lambda event: scatter(mine ^ event) < self.bar)  # noqa: B023
-            for w in long:
-                del self.root[w]
-        return out
+            self._learn(new)
+        node = np.fromiter(map(self.root.get, words, repeat(-1)), np.int64, len(words))
+        np.add.at(self.met.now, node[node >= 0], 1)
+        own, parts, counts = [], [], []                    # occurrences that no node stands for
+        for k in np.flatnonzero(node < 0).tolist():        # a long word meets its like too seldom
+            mine = int(drawn[k])
+            parts.append(np.frombuffer(self._ids(words[k], lambda event: scatter(mine ^ event) < self.bar), "<i4"))  # noqa: B023
+            own.append([k])
+            counts.append([len(parts[-1])])
+        if self.bar:
+            live = np.flatnonzero(node >= 0)
+            hit, join = self._skipped(node[live], drawn[live])
+            live = live[hit]
+            first = np.unique(join[self.child.now[join] < 0])
+            if len(first):
+                owner = np.searchsorted(self.start.now, first, side="right") - 1
+                made = self._grow(self.at.now[owner], self.size.now[owner], first - self.start.now[owner])
+                self.child.now[first] = made
+            node[live] = self.child.now[join]
+            again = live[self._skipped(node[live], drawn[live])[0]]
+            for part, piece in self._blocks(self.at.now[node[again]], self.size.now[node[again]]):
+                ids, n = self._spelled(self.agendas(piece, drawn=drawn[again[part]])[0])
+                own.append(again[part])
+                parts.append(ids)
+                counts.append(n)
+        start, count = self.ids_at.now[node], self.ids_n.now[node]
+        if own:
+            own, counts = np.concatenate(own), np.concatenate(counts)
+            start[own], count[own] = self.ids.n + np.cumsum(counts) - counts, counts
+        return np.concatenate([self.ids.now, *parts])[_spread(start, count)], count
 
     def encode_all(self, texts: list[str | None]) -> list[bytes | None]:
         """Ids of each text as little-endian 32-bit integers."""
@@ -342,11 +381,11 @@ class Pieces:
 
         def empty():
             key = np.concatenate(drawn)
-            ids = [x for a in range(0, len(words), SLICE) for x in self._draw(words[a:a + SLICE], key[a:a + SLICE])]
-            at = 0
-            for i, d in zip(held, drawn):
-                out[i] = b"".join(ids[at:at + len(d)])
-                at += len(d)
+            done = [self._draw(words[a:a + SLICE], key[a:a + SLICE]) for a in range(0, len(words), SLICE)]
+            ids = np.concatenate([d[0] for d in done]).astype("<i4", copy=False)
+            ends = np.cumsum(np.concatenate([d[1] for d in done]))[np.cumsum([len(d) for d in drawn]) - 1].tolist()
+            for i, a, b in zip(held, [0, *ends], ends):
+                out[i] = ids[a:b].tobytes()
             held.clear(), words.clear(), drawn.clear()
         for i, t in enumerate(texts):
             if not t:
