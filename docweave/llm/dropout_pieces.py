@@ -46,7 +46,7 @@ NEVER = np.int32(2 ** 31 - 1)
 SLOTS = 20
 GOLDEN, FULL = 0x9E3779B97F4A7C15, 2 ** 64 - 1
 #: Words whose draws are made at a time.
-SLICE = 200_000
+SLICE = 100_000
 
 
 def scatter(x):
@@ -97,7 +97,7 @@ def _load(path: str):
 class Pieces:
     """A BPE model with byte fallback: encoder with dropout, and decoder."""
 
-    def __init__(self, path: str, rate: float = 0.1, seed: int = 0, max_nodes: int = 600_000):
+    def __init__(self, path: str, rate: float = 0.1, seed: int = 0, max_nodes: int = 450_000):
         kinds = _load(path).pieces
         self.id = {p.piece: i for i, p in enumerate(kinds) if p.type == p.NORMAL}
         self.score = {p.piece: p.score for p in kinds if p.type == p.NORMAL and len(p.piece) > 1}

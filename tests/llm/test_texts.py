@@ -133,6 +133,22 @@ def test_every_occurrence_of_a_word_draws_anew():
     assert model.decode(np.frombuffer(model.encode(text), "<i4").tolist()) == text
 
 
+def test_forgotten_words_are_encoded_alike():
+    rng = np.random.default_rng(4)
+    known = ["of", "the", "station", "naïve", "日本語", "ꙮꙮ", "a▁b", "🙂ok", "\u07ff\u0800"]
+    texts = [" ".join(known[k % len(known)] if k % 3 else f"w{rng.integers(9999)}" for k in rng.integers(0, 999, 400)) for _ in range(12)]
+    whole = dropout_pieces.Pieces(model_path(), 0.2, 5)
+    few = dropout_pieces.Pieces(model_path(), 0.2, 5, max_nodes=300)
+    for t in texts:
+        words = whole.words.findall(" " + t)
+        key = dropout_pieces.xxhash.xxh64_intdigest(t.encode(), 5)
+        mine = [dropout_pieces.scatter((k + 1) * dropout_pieces.GOLDEN + key & dropout_pieces.FULL) for k in range(len(words))]
+        plain = b"".join(whole._ids(w, lambda e, m=m: dropout_pieces.scatter(m ^ e) < whole.bar) for w, m in zip(words, mine))
+        assert whole.encode(t) == few.encode(t) == plain
+        assert few.decode(np.frombuffer(plain, "<i4").tolist()) == t
+    assert 0 < len(few.root) < len(whole.root)             # words met again stay
+
+
 # -- language
 
 def test_languages(spark):
