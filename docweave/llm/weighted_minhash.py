@@ -244,7 +244,7 @@ def among(df: DataFrame, keys: DataFrame, key: str, log_bits: int = 26, without:
     return df.mapInArrow(run, df.schema)
 
 
-def similar(h: list[np.ndarray], tf: list[np.ndarray], weight: list[np.ndarray], least: float, slab: int = 4096):
+def similar(h: list[np.ndarray], tf: list[np.ndarray], weight: list[np.ndarray], least: float, slab: int = 1024):
     """All pairs with weighted Jaccard similarity >= least, as a boolean matrix.
     A shingle of tf k counts as k features of its weight, so that the sum of minima
     is a product of 0/1 matrices; only features that two texts share are looked at."""
@@ -266,7 +266,8 @@ def similar(h: list[np.ndarray], tf: list[np.ndarray], weight: list[np.ndarray],
         i, j = np.searchsorted(col, (a, a + slab))
         x = np.zeros((n, slab))
         x[doc[i:j], col[i:j] - a] = np.sqrt(value[i:j])
-        inter += x @ x.T
+        for k in range(0, n, 256):                         # products of n x n numbers would be one more matrix
+            inter[k:k + 256] += x[k:k + 256] @ x.T
     out = np.empty((n, n), bool)
     for a in range(0, n, 256):                             # no further matrices of n x n numbers
         mine, part = total[a:a + 256, None], inter[a:a + 256]
