@@ -231,17 +231,12 @@ def among(df: DataFrame, keys: DataFrame, key: str, log_bits: int = 26, without:
     place = F.shiftrightunsigned(F.col(key), 64 - log_bits) + 1      # Spark numbers places from 1
     maps = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("n")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("map"))
-    parts = maps.toArrow()                                       # 4 KB a row, 2**(log_bits - 15) rows at most
-    bits = np.zeros((1 << log_bits) // 8 + 4096, np.uint8)
-    for n, b in zip(parts.column("n").to_pylist(), parts.column("map").to_pylist()):
-        bits[(n - 1) * 4096:(n - 1) * 4096 + len(b)] = np.frombuffer(b, np.uint8)
-    held = df.sparkSession.sparkContext.broadcast(bits)
-
-    def run(batches):
-        for batch in batches:
-            p = (batch.column(key).to_numpy(zero_copy_only=False).astype(np.int64).view(U64) >> U64(64 - log_bits)).astype(np.int64)
-            yield batch.filter(pa.array((held.value[p >> 3] >> (p & 7)) & 1 != int(without)))
-    return df.mapInArrow(run, df.schema)
+    maps = maps.select(F.col("n").alias("_map_n"), F.col("map").alias("_map"))      # 4 KB a row, 2**(log_bits - 15) rows at most
+    at = F.bitmap_bit_position(place).cast("int")
+    byte = F.conv(F.hex(F.substring("_map", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.coalesce(F.getbit(byte, F.pmod(at, F.lit(8))) == 1, F.lit(False))
+    met = df.join(F.broadcast(maps), F.bitmap_bucket_number(place) == F.col("_map_n"), "left")
+    return met.where(~held if without else held).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def similar(h: list[np.ndarray], tf: list[np.ndarray], weight: list[np.ndarray], least: float, slab: int = 1024):
