@@ -37,9 +37,10 @@ def settle(last: int | None, queue: list[tuple[int, str]], delay: int, now: int)
 
 
 def _visit(key, frames, state: GroupState):
-    host, delay = key[0], key[1]
+    # keys and state may come as numpy numbers, which a state does not take back
+    host, delay = key[0], int(key[1])
     last, arrived, urls = state.get if state.exists else (None, [], [])
-    queue = list(zip(arrived, urls))
+    last, queue = None if last is None else int(last), list(zip(map(int, arrived), urls))
     for frame in frames:
         queue += zip(frame["arrived_us"].tolist(), frame["url"].tolist())
     now = state.getCurrentWatermarkMs()

@@ -52,3 +52,23 @@ def test_visits_do_not_depend_on_batches(spark):
         done = jobs.run_append(deferred.visits(stream, "1 hours"), "deferred", root=root)
         zero = int((T0 - dt.datetime(1970, 1, 1)).total_seconds())
         assert {r.url: (r.host, r.arrived_us // 10**6 - zero, r.visited_us // 10**6 - zero) for r in done.collect()} == want
+
+
+def test_a_queue_that_is_served_in_part_waits_on(spark):
+    schema = "url string, host string, arrived timestamp, delay_s long"
+    root = jobs.new_store_path(spark, "deferred")
+    rows = [(f"u{i}", "h", T0 + dt.timedelta(seconds=i), 7200) for i in range(6)]
+    for b, more in enumerate((rows, [("w", "z", T0 + dt.timedelta(hours=5), 0)], [("end", "z", T0 + dt.timedelta(days=2), 0)])):
+        live.put_file(spark.createDataFrame(more, schema).coalesce(1), f"{root}/in", f"p{b}")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        done = jobs.run_append(deferred.visits(stream, "1 hours"), "deferred", root=root)
+    zero = int((T0 - dt.datetime(1970, 1, 1)).total_seconds())
+    assert {r.url: r.visited_us // 10**6 - zero for r in done.where("host = 'h'").collect()} == {f"u{i}": 7200 * i for i in range(6)}
+
+
+def test_pages_of_more_than_the_watermark_are_all_visited(spark, tmp_path):
+    import __spark_entry__ as E
+    rows = [(i * 30_000, f"http://h{i % 2}.example.com/{i}", "<p>x</p>") for i in range(12)]     # 20 days apart
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    got = E.queries()["stream_deferred"](spark, str(tmp_path))
+    assert sorted(r.url for r in got.collect()) == sorted(r[1] for r in rows)
