@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results or plan shape; everything else is cluster-specific.
 CORE_CONF = {
@@ -54,6 +55,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder, as a table that is read back:
+    compressed, column by column, and of known size (unlike ``checkpoint()``)."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``docweave`` importable in Python workers (Arrow UDFs, mapInArrow)
     wherever the driver runs from: the package is zipped once per context and

@@ -154,3 +154,26 @@ def test_redirect_order_query(spark):
     _, order = brute_bfs_redirects(edges, redirects, ["s1", "s2"], 99)
     got = sorted((r.visit_rank, r.url) for r in E.queries()["crawl_redirect_order"](spark, SF001).collect())
     assert [u for _, u in got] == order
+
+
+def test_links_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(pos):
+        seen.add(1)
+        return pos
+    edges = [(f"n{i}", f"n{i + 1}", i) for i in range(6)]
+    links = spark.createDataFrame(edges, "src string, dst string, pos long").withColumn("pos", F.udf(look, "long")("pos"))
+    reached = frontier.crawl_reach(links, spark.createDataFrame([("n0",)], "url string"))
+    assert reached.count() == 7 and seen.value == 6
+
+
+def test_large_levels_are_shuffled_to_the_same_result(spark, monkeypatch):
+    edges = [(f"n{i}", f"n{j}", j) for i in range(30) for j in ((i * 2 + 1) % 30, (i * 3 + 2) % 30)]
+    redirects = spark.createDataFrame([("n4", "n5"), ("n5", "n6"), ("n9", "n1")], "src string, dst string")
+    links = spark.createDataFrame(edges, "src string, dst string, pos long")
+    seeds = spark.createDataFrame([("n0",), ("n7",)], "url string")
+    run = lambda: sorted(map(tuple, frontier.crawl_reach(links, seeds, redirects=redirects).collect()))
+    small = run()
+    monkeypatch.setattr(frontier, "BROADCAST_BYTES", -1)
+    assert run() == small and len(small) > 10
