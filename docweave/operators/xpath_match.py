@@ -12,10 +12,14 @@ The paths of an index form a trie of element names that the parser walks along:
 subtrees off it are skipped, and no path is ever put together.
 
 The index is broadcast in blocks of at most ``block_atoms`` atoms.  A larger expression
-set becomes several blocks.  Documents are then parsed once into a written table of
-their nodes, and each block is matched in a pass of its own over that table (in a
-stream: over the documents), so there is no limit to the set and no task holds more
-than a block.
+set becomes several blocks.  A pass over the documents parses each once, along the paths
+of all its blocks, and matches it against one block after the other; it takes as many
+blocks as hold ``BLOCK_ATOMS`` atoms together.  Beyond that documents are parsed once
+into a written table of their nodes, and each pass reads that table (in a stream: the
+documents), so there is no limit to the set and no task holds more than that.
+
+Documents are worked on in slices of an Arrow batch of bounded text, so what a Python
+worker holds does not grow with the batch.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ import functools
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,10 +96,15 @@ class AtomIndex:
         self.rows = rows            # (expression, atoms as (path, kind, attr, lit); None: invalid)
         self.trie = None
 
+        self.by_path = None
+
     def __getstate__(self):
-        return {"rows": self.rows, "trie": None}
+        return {"rows": self.rows, "trie": None, "by_path": None}
 
-    def build(self) -> None:
+    def paths(self) -> dict[str, dict]:
+        """The tests of every path."""
+        if self.by_path is not None:
+            return self.by_path
         by_path: dict[str, dict] = {}
         for x, (_, atoms) in enumerate(self.rows):
             for path, kind, attr, lit in atoms or ():
@@ -107,13 +117,22 @@ class AtomIndex:
         for at in by_path.values():
             at["scan"] = _scanner(at["contains"])
         self.need = [-1 if atoms is None else len(atoms) for _, atoms in self.rows]
-        trie = trie_of(by_path)
-        self.tests = [None] * len(trie)
-        for path, at in by_path.items():
+        self.by_path = by_path
+        return by_path
+
+    def tests_along(self, trie: list[dict[str, int]]) -> dict[int, dict]:
+        """The tests by node of a trie that holds all paths."""
+        tests = {}
+        for path, at in self.paths().items():
             node = 0
             for name in path.split("/")[1:]:
                 node = trie[node][name]
-            self.tests[node] = at
+            tests[node] = at
+        return tests
+
+    def build(self) -> None:
+        trie = trie_of(self.paths())
+        self.tests = self.tests_along(trie)
         self.trie = trie
 
     def matches(self, body, kind) -> list[int]:
@@ -121,22 +140,22 @@ class AtomIndex:
         if self.trie is None:
             self.build()
         nodes, error = parse(body, kind, trie=self.trie)
-        return self.held(nodes.at, nodes.values, nodes.attrs) if error is None else self.held((), (), ())
+        return self.held(nodes.at, nodes.values, nodes.attrs, self.tests) if error is None else self.held((), (), (), self.tests)
 
     def matches_parsed(self, names, parents, values, attrs) -> list[int]:
         """The same of a parsed document."""
         if self.trie is None:
             self.build()
-        return self.held(walk(names, parents, self.trie), values, map(dict, attrs))
+        return self.held(walk(names, parents, self.trie), values, map(dict, attrs), self.tests)
 
-    def held(self, at, values, attrs) -> list[int]:
+    def held(self, at, values, attrs, along) -> list[int]:
         met: dict[int, int] = {}
 
         def meet(xs):
             for x in xs:
                 met[x] = met.get(x, 0) + 1
         for node, text, pairs in zip(at, values, attrs):
-            tests = self.tests[node] if node >= 0 else None
+            tests = along.get(node)
             if tests is None:
                 continue
             meet(tests["exists"])
@@ -149,6 +168,48 @@ class AtomIndex:
         return sorted(x for x, n in met.items() if n == self.need[x])
 
 
+class Pass:
+    """Blocks that are matched over one parse of a document."""
+
+    def __init__(self, numbered: list[tuple[int, object]]):
+        self.numbered = numbered    # (number of the block, its broadcast index)
+        self.trie = None
+
+    def __getstate__(self):
+        return {"numbered": self.numbered, "trie": None}
+
+    def build(self) -> None:
+        held = [(n, block.value) for n, block in self.numbered]
+        trie = trie_of(path for _, index in held for path in index.paths())
+        self.indexes = [(n, index, index.tests_along(trie)) for n, index in held]
+        self.trie = trie
+
+    def matches(self, document, from_parsed: bool):
+        """``block, index, numbers of its expressions that hold`` of every block."""
+        if self.trie is None:
+            self.build()
+        if from_parsed:
+            names, parents, values, attrs = document
+            at, attrs = walk(names, parents, self.trie), [dict(a) for a in attrs]
+        else:
+            nodes, error = parse(*document, trie=self.trie)
+            at, values, attrs = (nodes.at, nodes.values, nodes.attrs) if error is None else ((), (), ())
+        for n, index, tests in self.indexes:
+            yield n, index, index.held(at, values, attrs, tests)
+
+
+def passes_of(blocks: list, most_atoms: int = BLOCK_ATOMS) -> list[Pass]:
+    """Blocks in passes of at most ``most_atoms`` atoms (a larger block alone)."""
+    dealt, room = [], 0
+    for n, block in enumerate(blocks):
+        if not dealt or block.n_atoms > room:
+            dealt.append([])
+            room = most_atoms
+        dealt[-1].append((n, block))
+        room -= block.n_atoms
+    return [Pass(p) for p in dealt]
+
+
 def _scanner(literals: dict[str, list[int]]):
     """text -> expressions of each literal that it contains."""
     if not literals:
@@ -169,7 +230,9 @@ def _scanner(literals: dict[str, list[int]]):
 
 
 def _held(docs: DataFrame, rows: list[tuple]):
-    return docs.sparkSession.sparkContext.broadcast(AtomIndex(rows))
+    block = docs.sparkSession.sparkContext.broadcast(AtomIndex(rows))
+    block.n_atoms = sum(len(atoms or ()) for _, atoms in rows)
+    return block
 
 
 def _blocks_of(rows: DataFrame, name: str, block_atoms: int):
@@ -197,6 +260,22 @@ def _source(docs: DataFrame, id_col: str, body_col: str, kind: str, kind_col: st
     return src if docs.isStreaming else spread(src)
 
 
+#: Text of a slice of a batch (a longer document alone), and its most documents.
+SLICE_BYTES, SLICE_ROWS = 4 << 20, 1000
+
+
+def _slices(batch: pa.RecordBatch):
+    """A batch in slices of bounded text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("body")), 0).to_pylist() if "body" in batch.schema.names else [0] * batch.num_rows
+    a = held = 0
+    for i, n in enumerate(sizes):
+        if i > a and (held + n > SLICE_BYTES or i - a == SLICE_ROWS):
+            yield batch.slice(a, i - a)
+            a, held = i, 0
+        held += n
+    yield batch.slice(a)
+
+
 PARSED = "names array<string>, parents array<int>, vals array<string>, attrs array<map<string,string>>"
 _PARSED_TYPES = [pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.map_(pa.string(), pa.string()))]
 PARSED_NAMES = ["names", "parents", "vals", "attrs"]
@@ -208,7 +287,7 @@ def parsed(src: DataFrame) -> DataFrame:
     keep = [c for c in src.columns if c not in ("body", "kind")]
 
     def run(batches):
-        for b in batches:
+        for b in (piece for batch in batches for piece in _slices(batch)):
             cols = [[], [], [], []]
             for body, k in zip(b.column("body").to_pylist(), b.column("kind").to_pylist()):
                 n, _ = parse(body, k)
@@ -220,43 +299,46 @@ def parsed(src: DataFrame) -> DataFrame:
 
 
 def _emitted(src: DataFrame, out: str, emit, from_parsed: bool) -> DataFrame:
-    """``emit(document)`` gives the values of column ``out`` that a document yields, next
-    to its other columns; a document is (body, kind) or its parsed nodes."""
-    name, kind_of = out.split()
+    """``emit(document)`` gives the values of the columns ``out`` that a document yields,
+    as tuples, next to its other columns; a document is (body, kind) or its parsed nodes."""
+    made = T.StructType.fromDDL(out)
     inputs = PARSED_NAMES if from_parsed else ["body", "kind"]
     keep = [c for c in src.columns if c not in inputs]
 
     def run(batches):
-        for b in batches:
-            index, values = [], []
+        for b in (piece for batch in batches for piece in _slices(batch)):
+            index, values = [], [[] for _ in made]
             for i, document in enumerate(zip(*(b.column(c).to_pylist() for c in inputs))):
-                for v in emit(document):
+                for row in emit(document):
                     index.append(i)
-                    values.append(v)
+                    for column, v in zip(values, row):
+                        column.append(v)
             rows = b.select(keep).take(pa.array(index, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(values, pa.string())], [*keep, name])
-    return src.mapInArrow(run, T.StructType([src.schema[c] for c in keep]).add(name, kind_of))
+            kinds = [pa.int32() if f.dataType == T.IntegerType() else pa.string() for f in made]
+            yield pa.RecordBatch.from_arrays([*rows.columns, *(pa.array(v, k) for v, k in zip(values, kinds))], [*keep, *made.names])
+    return src.mapInArrow(run, T.StructType([*(src.schema[c] for c in keep), *made]))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def match_parts(src: DataFrame, blocks: list, out: str, once: bool = False) -> list[DataFrame]:
-    """The names of all that holds in every document, a table for each block; ``once``: a
-    name that several entries of a block share comes once a document."""
-    from_parsed = len(blocks) > 1 and not src.isStreaming
+def match_blocks(src: DataFrame, blocks: list, out: str, once: bool = False) -> DataFrame:
+    """The names of all that holds in every document, with ``_block``, the number of the
+    block it comes from; ``once``: a name that several entries of a block share comes
+    once a document and block."""
+    passes = passes_of(blocks)
+    from_parsed = len(passes) > 1 and not src.isStreaming
     if from_parsed:
         src = parsed(src).checkpoint()
 
-    def emit(block):
+    def emit(one: Pass):
         def run(document):
-            index = block.value
-            found = index.matches_parsed(*document) if from_parsed else index.matches(*document)
-            names = [index.rows[x][0] for x in found]
-            return dict.fromkeys(names) if once else names
+            for n, index, found in one.matches(document, from_parsed):
+                names = [index.rows[x][0] for x in found]
+                yield from ((name, n) for name in (dict.fromkeys(names) if once else names))
         return run
-    return [_emitted(src, out, emit(b), from_parsed) for b in blocks]
+    return _union([_emitted(src, f"{out}, _block int", emit(p), from_parsed) for p in passes])
 
 
 def match_compiled(docs: DataFrame, compiled: DataFrame, id_col: str = "doc_id", body_col: str = "body",
@@ -265,7 +347,7 @@ def match_compiled(docs: DataFrame, compiled: DataFrame, id_col: str = "doc_id",
     expression that holds in it.  ``kind_col`` names a column that picks the parser of
     each row (``html``, anything else is XML).  Batch or streaming."""
     src = _source(docs, id_col, body_col, kind, kind_col, keep)
-    return _union(match_parts(src, expression_blocks(compiled, block_atoms), "xpath string"))
+    return match_blocks(src, expression_blocks(compiled, block_atoms), "xpath string").drop("_block")
 
 
 def match_documents(docs: DataFrame, xpaths: DataFrame, id_col: str = "doc_id", body_col: str = "body",
@@ -285,7 +367,7 @@ def match_channels(docs: DataFrame, subs: DataFrame, id_col: str = "doc_id", bod
                    kind_col: str | None = None, keep=(), block_atoms: int = BLOCK_ATOMS) -> DataFrame:
     """X12 + J3: ``(doc_id, channel)``, each channel once a document row."""
     src = _source(docs, id_col, body_col, kind, kind_col, keep)
-    return _union(match_parts(src, channel_blocks(subs, block_atoms), "channel string", once=True))
+    return match_blocks(src, channel_blocks(subs, block_atoms), "channel string", once=True).drop("_block")
 
 
 def truth_vectors(docs: DataFrame, compiled: DataFrame, id_col: str = "doc_id", body_col: str = "body",
@@ -311,7 +393,7 @@ def truth_vectors(docs: DataFrame, compiled: DataFrame, id_col: str = "doc_id",
             truth = bytearray(b"0" * len(index.rows))
             for x in index.matches_parsed(*document) if n > 1 else index.matches(*document):
                 truth[x] = 49
-            return [truth.decode()]
+            return [(truth.decode(),)]
         pieces.append(_emitted(src, "truth string", emit, n > 1).withColumn("block", F.lit(b)))
     out = pieces[0]
     if n > 1:                                                # a row's pieces make its vector

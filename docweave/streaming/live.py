@@ -88,13 +88,13 @@ class LiveMatcher:
         """``doc_id, channel``: each channel once a document row."""
         src = xm._source(docs, id_col, body_col, kind, kind_col, ()).withColumn("_row", F.monotonically_increasing_id())
         gone = small(self.log.deleted(self.version).checkpoint())
-        parts = xm.match_parts(src, [b for _, b in self.blocks], "channel string")
-        # a channel deleted and added again later has its new expressions in a later block
-        kept = [p.join(gone.where(F.col("gone") > built), "channel", "left_anti") for (built, _), p in zip(self.blocks, parts)]
-        if not kept:
+        if not self.blocks:
             return src.select("doc_id", F.lit("").alias("channel")).where("false")
-        hits = xm._union([k.select("_row", "doc_id", "channel") for k in kept])
-        return hits.dropDuplicates(["_row", "channel"]).drop("_row")
+        built = docs.sparkSession.createDataFrame([(n, v) for n, (v, _) in enumerate(self.blocks)], "_block int, built int")
+        found = xm.match_blocks(src, [b for _, b in self.blocks], "channel string").join(F.broadcast(built), "_block")
+        # a channel deleted and added again later has its new expressions in a later block
+        hits = found.join(gone, (found["channel"] == gone["channel"]) & (F.col("gone") > F.col("built")), "left_anti")
+        return hits.select("_row", "doc_id", "channel").dropDuplicates(["_row", "channel"]).drop("_row")
 
 
 def start_live(docs: DataFrame, log: SubscriptionLog, root: str, id_col: str, body_col: str, kind: str = "xml", **how):

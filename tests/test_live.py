@@ -52,3 +52,14 @@ def test_a_restarted_stream_keeps_the_versions_of_its_batches(spark):
         log.append(spark.createDataFrame([("delete", "a", None)], live.CHANGES))
     rows = {tuple(r) for r in live.live_rows(spark, root, "doc_id long, channel string, version int").collect()}
     assert rows == {(1, "a", 1), (2, "b", 1), (12, "b", 2)}
+
+
+def test_blocks_of_a_live_index_share_one_parse(spark):
+    log = _log(spark, ADD, [("add", "c", "/r/c")])
+    docs = spark.createDataFrame([(1, "<r><a/><c/></r>")], "id long, xml string")
+    matcher = live.LiveMatcher(log)
+    matcher.advance(1)
+    matcher.advance(2)
+    got = matcher.match(docs, "id", "xml", "xml")
+    assert len(matcher.blocks) == 2 and got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(tuple, got.collect())) == [(1, "a"), (1, "c")]

@@ -139,3 +139,21 @@ def test_random_trees_match_brute_force(spark):
     assert expected, "fixture should produce matches"
     for block in (7, 200_000):
         assert sorted(tuple(r) for r in xm.match_documents(docs, _xp(spark, paths), block_atoms=block).collect()) == expected
+
+
+def test_blocks_share_one_parse(spark):
+    docs = spark.createDataFrame([(1, "<r><a/><b>x</b></r>"), (2, "<r><b>y</b></r>"), (3, "broken"), (4, None)], "doc_id long, body string")
+    xs = _xp(spark, ["/r/a", "/r/b", '/r/b[text()="x"]', "/r"])
+    got = xm.match_documents(docs, xs, block_atoms=1)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(tuple, got.collect())) == sorted([(1, "/r/a"), (1, "/r/b"), (1, '/r/b[text()="x"]'), (1, "/r"), (2, "/r/b"), (2, "/r")])
+
+
+def test_slices_hold_bounded_text(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(xm, "SLICE_BYTES", 10)
+    monkeypatch.setattr(xm, "SLICE_ROWS", 3)
+    bodies = ["x" * 6, None, "y" * 5, "z" * 40, "", "", "", "", "w"]
+    pieces = list(xm._slices(pa.RecordBatch.from_pydict({"body": bodies})))
+    assert [b for p in pieces for b in p.column("body").to_pylist()] == bodies
+    assert all(p.num_rows == 1 or p.num_rows <= 3 and sum(len(b or "") for b in p.column("body").to_pylist()) <= 10 for p in pieces)
