@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import split_list
+from ..session import written
 
 DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
@@ -113,8 +114,10 @@ def prune_page_channels(pages: DataFrame, live: DataFrame, col: str = "channels"
     """``page.channels ∩ live channels`` as a join, not a driver-side list.
 
     Explodes the page's channel list, keeps live names (semi join) and regroups
-    per page; pages left with no live channel get an empty array.
+    per page; pages left with no live channel get an empty array.  Pages are written
+    first: they are read twice here, and may come from a match of all documents.
     """
+    pages = written(pages)
     ex = pages.select("page_key", F.explode_outer(col).alias("channel"))
     kept = (ex.join(small(live.select("channel")), "channel", "left_semi")
             .groupBy("page_key").agg(F.array_sort(F.collect_set("channel")).alias("_kept")))

@@ -90,3 +90,16 @@ def test_latest_wins_and_incremental(spark):
                  "n": (True, True, "fetched", "B3")}
     assert {r.page_key for r in recrawl.to_process(b).collect()} == {"n"}
     assert {r.page_key for r in recrawl.to_process(b, True).collect()} == {"k", "j", "n"}
+
+
+def test_pruned_pages_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(channels):
+        seen.add(1)
+        return channels
+    pages = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"]), (3, [])], "page_key long, channels array<string>")
+    pages = pages.withColumn("channels", F.udf(look, "array<string>")("channels"))
+    live = spark.createDataFrame([("b",), ("a",)], "channel string")
+    assert {r.page_key: r.channels for r in ch.prune_page_channels(pages, live).collect()} == {1: ["a", "b"], 2: [], 3: []}
+    assert seen.value == 3
