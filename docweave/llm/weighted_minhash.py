@@ -188,7 +188,7 @@ VECTOR = "label binary, content binary, h binary, tf binary, df binary, size lon
 
 
 #: Text whose vectors are made at once (a longer text alone).
-VECTOR_BYTES = 8 << 20
+VECTOR_BYTES = 2 << 20
 
 
 def _pieces(batches):
