@@ -95,11 +95,11 @@ def test_latest_wins_and_incremental(spark):
 def test_pruned_pages_are_computed_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
-    def look(channels):
+    def look(key):
         seen.add(1)
-        return channels
+        return key
     pages = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"]), (3, [])], "page_key long, channels array<string>")
-    pages = pages.withColumn("channels", F.udf(look, "array<string>")("channels"))
+    pages = pages.withColumn("page_key", F.udf(look, "long")("page_key"))
     live = spark.createDataFrame([("b",), ("a",)], "channel string")
     assert {r.page_key: r.channels for r in ch.prune_page_channels(pages, live).collect()} == {1: ["a", "b"], 2: [], 3: []}
     assert seen.value == 3
