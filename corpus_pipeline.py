@@ -32,9 +32,10 @@ def quality(spark, docs, sf_dir):
 def language(spark, docs, sf_dir, least_share=0.5):
     """Documents of which one language makes up at least ``least_share``."""
     ready(spark)
-    rows = docs.select(_whole(docs).alias("row"), "text")
-    told = mixture_language.identify(rows, language_model(docs), ("row",))
-    return told.where((F.col("lang_pred") != mixture_language.UNKNOWN) & (F.col("score") >= least_share)).select("row.*")
+    rows = docs.select(_whole(docs, ("text",)).alias("row"), "text")          # the text goes to Python once
+    told = mixture_language.identify(rows, language_model(docs), ("row", "text"))
+    kept = told.where((F.col("lang_pred") != mixture_language.UNKNOWN) & (F.col("score") >= least_share))
+    return kept.select(*(F.col("text" if c == "text" else f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark, docs, sf_dir):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +21,19 @@ U64 = np.uint64
 MASK = (1 << 64) - 1
 
 
+#: Bytes of rows that go to a Python worker at once, where the session says nothing else:
+#: both sides hold whole batches beside the heap, and Spark's 64 MB are for one task alone.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ready(spark: SparkSession) -> SparkSession:
-    """Python workers can import the package; lineage cuts have a shared folder."""
+    """Python workers can import the package and get small batches; lineage cuts have
+    a shared folder."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     return spark
 
 
@@ -58,6 +70,48 @@ def ceil_div(a: int, b: int) -> int:
     return max(1, -(-a // b))
 
 
+# -- memory of Python workers --------------------------------------------------
+
+@functools.lru_cache(maxsize=1)
+def _trim():
+    """glibc's malloc_trim; elsewhere nothing."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker outlives its task, and what it
+    keeps counts for the executor beside the workers of other tasks."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def _thrifty(run, tables: tuple, key, least: int = 1 << 20):
+    out = run(key, *tables)
+    if sum(t.nbytes for t in tables) >= least:         # small groups leave little behind
+        give_back()
+    return out
+
+
+def thrifty(run):
+    """``run`` of a group, without what it leaves in the worker."""
+    return lambda key, tbl: _thrifty(run, (tbl,), key)
+
+
+def thrifty_pair(run):
+    """``thrifty`` for two groups of one key."""
+    return lambda key, one, two: _thrifty(run, (one, two), key)
+
+
+def thrifty_batches(run):
+    """``thrifty`` for a whole partition of batches."""
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return tidied
+
+
 # -- hashing -------------------------------------------------------------------
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -107,8 +161,9 @@ def word_hashes(texts: list[bytes], slice_bytes: int = 1 << 20, seed: int = 0) -
     """One 64-bit hash per word of all texts in order (hashes of different seeds are
     independent), and each text's number of words.  Memory is bounded by the slice
     (texts are cut between words), whatever the length of a text."""
-    a = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    hashes, starts, at = [], [], 0
+    a = np.frombuffer(b" ".join([*texts, b""]) if texts else b" ", np.uint8)
+    edges = np.cumsum([0] + [len(t) + 1 for t in texts])
+    hashes, before, at = [], np.zeros(len(edges), np.int64), 0
     while at < len(a):
         end = min(len(a), at + slice_bytes)
         while end < len(a):                        # go on to the next white space
@@ -119,20 +174,25 @@ def word_hashes(texts: list[bytes], slice_bytes: int = 1 << 20, seed: int = 0) -
             end = min(len(a), end + slice_bytes)
         h, s = _slice_hashes(a[at:end], seed)
         hashes.append(h)
-        starts.append(s + at)
+        before += np.searchsorted(s, edges - at)
         at = end
-    edges = np.cumsum([0] + [len(t) + 1 for t in texts])
-    return np.concatenate(hashes), np.diff(np.searchsorted(np.concatenate(starts), edges))
+    return np.concatenate(hashes), np.diff(before)
 
 
-def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    """Hash of every run of ``size`` consecutive word hashes."""
+def run_hashes(words: np.ndarray, size: int, block: int = 1 << 16) -> np.ndarray:
+    """Hash of every run of ``size`` consecutive word hashes, ``block`` runs at a time."""
     n = len(words) - size + 1
-    if n <= 0:
+    if n <= 0 or not size:
         return np.zeros(0, U64)
-    back = pow(_STEP, -1, 1 << 64)
-    sums = np.concatenate((np.zeros(1, U64), np.cumsum(words * powers(_STEP, len(words)), dtype=U64)))
-    return mix((sums[size:] - sums[:-size]) * powers(back, n))
+    block = max(block, size)
+    up, down = powers(_STEP, min(len(words), block + size - 1)), powers(pow(_STEP, -1, 1 << 64), min(n, block))
+    out = np.empty(n, U64)
+    for a in range(0, n, block):
+        mine = words[a:min(n, a + block) + size - 1]
+        sums = np.concatenate((np.zeros(1, U64), np.cumsum(mine * up[:len(mine)], dtype=U64)))
+        runs = sums[size:] - sums[:-size]
+        out[a:a + block] = mix(runs * down[:len(runs)])
+    return out
 
 
 # -- blobs ---------------------------------------------------------------------

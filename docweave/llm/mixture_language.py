@@ -27,8 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed
-
+from .common import packed, thrifty_batches
 
 
 GRAM = 3
@@ -119,7 +118,7 @@ def expectation_maximisation(p: np.ndarray, weight: np.ndarray, rounds: int) ->
 def train(docs: DataFrame, n_features: int = FEATURES) -> Model:
     """Learn from the ``text`` and ``lang`` of all rows that have both."""
     labelled = packed(docs).where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("lang", "text")
-    counted = labelled.mapInArrow(_count(n_features), COUNTED).groupBy("lang", "block").applyInArrow(_add, COUNTED)
+    counted = labelled.mapInArrow(thrifty_batches(_count(n_features)), COUNTED).groupBy("lang", "block").applyInArrow(_add, COUNTED)
     parts = counted.orderBy("lang", "block").toArrow().to_pylist()     # languages x features numbers
     names = sorted({r["lang"] for r in parts})
     counts = [np.concatenate([np.frombuffer(r["counts"], np.int64) for r in parts if r["lang"] == x]) for x in names]
@@ -143,4 +142,4 @@ def identify(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id"
                 [*(batch.column(c) for c in columns), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()),
                  pa.array(cols[2], SHARES)], [*columns, "lang_pred", "score", "languages"])
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select(*columns, *(["text"] if "text" not in columns else [])).mapInArrow(run, f"{kinds}, {GUESS}")
+    return docs.select(*columns, *(["text"] if "text" not in columns else [])).mapInArrow(thrifty_batches(run), f"{kinds}, {GUESS}")

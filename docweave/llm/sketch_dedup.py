@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (U64, ceil_div, chunked, mix, pack, pack_bits, pack_sorted, packed, run_hashes,
-                     shards_of, total_bytes, unpack, unpack_bits, unpack_sorted, word_hashes)
+from .common import (U64, ceil_div, chunked, mix, pack, pack_bits, pack_sorted, packed, run_hashes, shards_of,
+                     thrifty, thrifty_pair, total_bytes, unpack, unpack_bits, unpack_sorted, word_hashes)
 
 
 def _encoded(tbl: pa.Table) -> list[bytes]:
@@ -45,10 +45,12 @@ class Windows:
         words, self.counts = word_hashes(texts)
         self.texts = texts
         n = max(0, len(words) - window + 1)
-        ends = np.repeat(np.cumsum(self.counts), self.counts)
-        self.at = np.flatnonzero(np.arange(n) + window <= ends[:n])
-        self.h1 = run_hashes(words, window)[self.at]
-        self.words, self.window = words, window
+        whole = np.ones(n, bool)
+        for end in np.cumsum(self.counts).tolist():            # windows must not go on into the next text
+            whole[max(0, end - window + 1):end] = False
+        self.at = np.flatnonzero(whole)
+        self.h1 = run_hashes(words, window)[whole]
+        self.n_words, self.window = len(words), window
 
     def second(self, pick: np.ndarray) -> np.ndarray:
         return run_hashes(word_hashes(self.texts, seed=1)[0], self.window)[self.at[pick]]
@@ -66,10 +68,15 @@ class Windows:
         return pick[same]
 
 
-def sketch_row(h: np.ndarray, row: int, log_width: int):
-    """A window's cell in a row, left-aligned: (cells, window -> cell, counts)."""
+def cells_of(h: np.ndarray, row: int, log_width: int) -> np.ndarray:
+    """A window's cell in a row, left-aligned."""
     free = U64(64 - log_width)
-    return np.unique(mix(h, row + 1) >> free << free, return_inverse=True, return_counts=True)
+    return mix(h, row + 1) >> free << free
+
+
+def sketch_row(h: np.ndarray, row: int, log_width: int):
+    """Cells of a row: (cells, window -> cell, counts)."""
+    return np.unique(cells_of(h, row, log_width), return_inverse=True, return_counts=True)
 
 
 def _table(schema: str, rows: list[tuple]) -> pa.Table:
@@ -89,7 +96,7 @@ def sketch_chunk(window: int, depth: int, log_width: int, bits: int):
     def run(key, tbl):
         h, out = Windows(_encoded(tbl), window).h1, []
         for row in range(depth):
-            cells, _, counts = sketch_row(h, row, log_width)
+            cells, counts = np.unique(cells_of(h, row, log_width), return_counts=True)
             small = np.minimum(counts, 255).astype(np.uint8)
             out += [((row << bits) + s, key[0].as_py(), pack_sorted(cells[a:b] >> U64(64 - log_width)),
                      pack(small[a:b])) for s, a, b in shards_of(cells, bits)]
@@ -116,7 +123,7 @@ def fingerprint_chunk(window: int, depth: int, log_width: int, bits: int):
         told = dict(zip(verdicts.column("shard").to_pylist(), verdicts.column("bits").to_pylist()))
         maybe = np.ones(len(w.h1), bool)
         for row in range(depth):
-            cells, cell, _ = sketch_row(w.h1, row, log_width)
+            cells, cell = np.unique(cells_of(w.h1, row, log_width), return_inverse=True)
             parts = [unpack_bits(told[(row << bits) + s], b - a) for s, a, b in shards_of(cells, bits)]
             if parts:
                 maybe &= np.concatenate(parts)[cell]
@@ -175,7 +182,7 @@ def cut_chunk(window: int):
             r1 = np.concatenate([unpack_sorted(b) for b in found.column("h1").to_pylist()])
             r2 = np.concatenate([unpack(b, U64) for b in found.column("h2").to_pylist()])
             at = w.at[w.among(r1, r2)]
-            step = np.zeros(len(w.words) + 1, np.int32)
+            step = np.zeros(w.n_words + 1, np.int32)
             np.add.at(step, at, 1)
             np.add.at(step, at + window, -1)
             gone, counts = np.cumsum(step[:-1]) > 0, w.counts.tolist()
@@ -213,9 +220,9 @@ def remove_repeated_windows(docs: DataFrame, window: int = 35, depth: int = 2, c
     args = (window, depth, log_width, bits)
     dealt = chunked(docs, ceil_div(size, chunk_bytes), "doc_id", "text").repartition("chunk")
     by_chunk = dealt.groupBy("chunk")
-    sketches = by_chunk.applyInArrow(sketch_chunk(*args), CELLS)
-    verdicts = sketches.groupBy("shard").applyInArrow(merge_cells, BITS)
-    prints = by_chunk.cogroup(verdicts.groupBy("chunk")).applyInArrow(fingerprint_chunk(*args), PRINTS)
-    found = prints.groupBy("shard").applyInArrow(merge_fingerprints, REPEATED)
+    sketches = by_chunk.applyInArrow(thrifty(sketch_chunk(*args)), CELLS)
+    verdicts = sketches.groupBy("shard").applyInArrow(thrifty(merge_cells), BITS)
+    prints = by_chunk.cogroup(verdicts.groupBy("chunk")).applyInArrow(thrifty_pair(fingerprint_chunk(*args)), PRINTS)
+    found = prints.groupBy("shard").applyInArrow(thrifty(merge_fingerprints), REPEATED)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return by_chunk.cogroup(found.groupBy("chunk")).applyInArrow(cut_chunk(window), RESULT.format(id=kind))
+    return by_chunk.cogroup(found.groupBy("chunk")).applyInArrow(thrifty_pair(cut_chunk(window)), RESULT.format(id=kind))

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (U64, ceil_div, chunked, durable, mix, pack, pack_bits, pack_sorted, packed, run_hashes, shards_of,
-                     total_bytes, unpack, unpack_bits, unpack_sorted, word_hashes)
+                     thrifty, thrifty_batches, thrifty_pair, total_bytes, unpack, unpack_bits, unpack_sorted, word_hashes)
 from .components import components
 from .sketch_dedup import _encoded, _table
 
@@ -219,7 +219,7 @@ def _vectors(size: int):
 def _squeeze(batches):
     """Texts as compressed bytes: what moves in the shuffle."""
     c = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
+    for batch in _pieces(batches):
         z = [c.compress(t) for t in _encoded(batch)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), batch.column("chunk"), pa.array(z, pa.binary())],
                                          ["doc_id", "text_key", "chunk", "z"])
@@ -239,8 +239,10 @@ def among(df: DataFrame, keys: DataFrame, key: str, log_bits: int = 26, without:
     return met.where(~held if without else held).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
-def similar(h: list[np.ndarray], tf: list[np.ndarray], weight: list[np.ndarray], least: float, slab: int = 1024):
-    """All pairs with weighted Jaccard similarity >= least, as a boolean matrix.
+def similar(h: list[np.ndarray], tf: list[np.ndarray], weight: list[np.ndarray], least: float, slab: int = 1024,
+            left: int | None = None):
+    """All pairs with weighted Jaccard similarity >= least, as a boolean matrix; with
+    ``left``, only those of one of the first ``left`` texts and one of the others.
     A shingle of tf k counts as k features of its weight, so that the sum of minima
     is a product of 0/1 matrices; only features that two texts share are looked at."""
     n = len(h)
@@ -256,17 +258,18 @@ def similar(h: list[np.ndarray], tf: list[np.ndarray], weight: list[np.ndarray],
     doc, col, value = doc[live], number[col[live]], value[live]
     order = np.argsort(col, kind="stable")
     doc, col, value = doc[order], col[order], value[order]
-    inter = np.zeros((n, n))
+    rows, first = (n, 0) if left is None else (left, left)      # columns from ``first`` on
+    inter = np.zeros((rows, n - first))
     for a in range(0, int(shared.sum()), slab):
         i, j = np.searchsorted(col, (a, a + slab))
         x = np.zeros((n, slab))
         x[doc[i:j], col[i:j] - a] = np.sqrt(value[i:j])
-        for k in range(0, n, 256):                         # products of n x n numbers would be one more matrix
-            inter[k:k + 256] += x[k:k + 256] @ x.T
-    out = np.empty((n, n), bool)
-    for a in range(0, n, 256):                             # no further matrices of n x n numbers
-        mine, part = total[a:a + 256, None], inter[a:a + 256]
-        out[a:a + 256] = part >= least * (mine + total[None, :] - part) - 1e-9 * mine
+        for k in range(0, rows, 256):                      # products of all pairs would be one more matrix
+            inter[k:k + 256] += x[k:min(k + 256, rows)] @ x[first:].T
+    out = np.empty(inter.shape, bool)
+    for a in range(0, rows, 256):                          # no further matrices of all pairs
+        mine, part = total[a:min(a + 256, rows), None], inter[a:a + 256]
+        out[a:a + 256] = part >= least * (mine + total[None, first:] - part) - 1e-9 * mine
     return out
 
 
@@ -282,11 +285,14 @@ LINKS = "a binary, b binary"
 
 def link_block(n_docs: int, least: float):
     def run(key, tbl):
-        tbl = tbl.sort_by([("content", "ascending")])
+        tbl = tbl.sort_by([("mine", "ascending"), ("content", "ascending")])
+        # of two blocks only what links them; each block has a task of its own for the rest
+        i, j = key[1].as_py(), key[2].as_py()
+        left = None if i == j else pc.sum(pc.equal(tbl.column("mine"), i)).as_py()
         h = [unpack_sorted(b) for b in tbl.column("h").to_pylist()]
         tf = [unpack(b, np.uint32).astype(np.int64) for b in tbl.column("tf").to_pylist()]
         weight = [idf(unpack(b, np.int64), n_docs) for b in tbl.column("df").to_pylist()]
-        linked = similar(h, tf, weight, least)
+        linked = similar(h, tf, weight, least, left=left)
         names, free, out = tbl.column("content").to_pylist(), np.ones(len(h), bool), []
         for root in range(len(h)):                     # a spanning tree of each class of the block
             if not free[root]:
@@ -294,11 +300,17 @@ def link_block(n_docs: int, least: float):
             free[root], front = False, [root]
             while front:
                 new = []
-                for i in front:
-                    for j in np.flatnonzero(linked[i] & free).tolist():
-                        free[j] = False
-                        out.append((names[i], names[j]))
-                        new.append(j)
+                for a in front:
+                    if left is None:
+                        met = np.flatnonzero(linked[a] & free)
+                    elif a < left:
+                        met = np.flatnonzero(linked[a] & free[left:]) + left
+                    else:
+                        met = np.flatnonzero(linked[:, a - left] & free[:left])
+                    for b in met.tolist():
+                        free[b] = False
+                        out.append((names[a], names[b]))
+                        new.append(b)
                 front = new
         cols = list(zip(*out)) if out else [()] * 2
         return pa.table({"a": pa.array(cols[0], pa.binary()), "b": pa.array(cols[1], pa.binary())})
@@ -317,11 +329,11 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, shingle: int = 5, bands
     free = 64 - min(64, max(44, words.bit_length() + 13))
     kind = docs.schema["doc_id"].dataType.simpleString()
     dealt = chunked(docs, ceil_div(size, chunk_bytes), "doc_id", "text").mapInArrow(
-        _squeeze, f"doc_id {kind}, text_key long, chunk long, z binary").repartition("chunk")
+        thrifty_batches(_squeeze), f"doc_id {kind}, text_key long, chunk long, z binary").repartition("chunk")
     by_chunk = dealt.groupBy("chunk")
-    told = by_chunk.applyInArrow(count_chunk(shingle, free, bits), COUNTS).groupBy("shard").applyInArrow(merge_counts, FREQUENT)
+    told = by_chunk.applyInArrow(thrifty(count_chunk(shingle, free, bits)), COUNTS).groupBy("shard").applyInArrow(thrifty(merge_counts), FREQUENT)
     signed = durable(by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(
-        sign_chunk(shingle, free, bits, n_docs, bands, rows, seed), SIGNED.format(id=kind)))
+        thrifty_pair(sign_chunk(shingle, free, bits, n_docs, bands, rows, seed)), SIGNED.format(id=kind)))
 
     # contents that share a band
     contents = signed.where("bands is not null").groupBy("content").agg(F.first("bands").alias("bands"))
@@ -336,7 +348,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, shingle: int = 5, bands
     texts = among(docs, homes, "text_key").dropDuplicates(["doc_id", "text_key"])
     asked = homes.withColumnRenamed("doc_id", "id").withColumnRenamed("text_key", "key")
     found = texts.join(asked, (F.col("key") == F.col("text_key")) & F.col("id").eqNullSafe(F.col("doc_id")))
-    vectors = durable(found.select("label", "content", "text", "df").mapInArrow(_vectors(shingle), VECTOR))
+    vectors = durable(found.select("label", "content", "text", "df").mapInArrow(thrifty_batches(_vectors(shingle)), VECTOR))
 
     # verification, a pair of blocks of a component at a time
     sized = blocks_of(vectors, block_bytes, block_rows)
@@ -344,8 +356,8 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, shingle: int = 5, bands
     pairs = (vectors.join(sized, "label").withColumn("mine", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")))
-    links = pairs.select("label", "i", "j", "content", "h", "tf", "df").groupBy("label", "i", "j").applyInArrow(
-        link_block(n_docs, least), LINKS)
+    links = pairs.select("label", "i", "j", "mine", "content", "h", "tf", "df").groupBy("label", "i", "j").applyInArrow(
+        thrifty(link_block(n_docs, least)), LINKS)
     classes = components(links)
 
     named = signed.join(classes.withColumnRenamed("node", "content"), "content", "left").withColumn(

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from docweave.llm import sketch_dedup, suffix_dedup, weighted_minhash
-from docweave.llm.common import word_hashes
+from docweave.llm.common import mix, run_hashes, word_hashes
 
 from . import brute
 
@@ -166,3 +166,44 @@ def test_pieces_of_a_batch_hold_every_row_once(monkeypatch):
     batches = [pa.RecordBatch.from_pydict({"text": pa.array(t, pa.string())}) for t in (["a" * 4, None, "b" * 5, "c" * 50, "d", ""], ["e" * 11], [])]
     pieces = [b.column("text").to_pylist() for b in weighted_minhash._pieces(iter(batches))]
     assert pieces == [["a" * 4, None, "b" * 5], ["c" * 50], ["d", ""], ["e" * 11], []]
+
+
+def peak_of(run):
+    import tracemalloc
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_run_hashes_hold_little_beside_their_result():
+    words = np.random.default_rng(4).integers(0, 1 << 63, 400_000).astype(np.uint64)
+    step, full = 0xD6E8FEB86659FD93, (1 << 64) - 1
+    for size in (1, 5, 300):
+        sums = [sum(int(w) * pow(step, k, 1 << 64) for k, w in enumerate(words[a:a + size])) & full for a in (0, 1, 70_000, len(words) - size)]
+        got = run_hashes(words, size)
+        assert len(got) == len(words) - size + 1
+        assert [int(got[a]) for a in (0, 1, 70_000, -1)] == [int(mix(np.array([s], np.uint64))[0]) for s in sums]
+        assert (got[:900] == run_hashes(words[:900 + size - 1], size, block=7)).all()
+    assert peak_of(lambda: run_hashes(words, 35)) < 2.5 * words.nbytes
+
+
+def test_a_pair_of_blocks_is_linked_across_only():
+    import pyarrow as pa
+    from docweave.llm.common import pack, pack_sorted
+    rng = np.random.default_rng(5)
+    base = np.sort(rng.integers(0, 1 << 63, 40).astype(np.uint64))
+    h = [np.sort(np.concatenate((base[:36], rng.integers(0, 1 << 63, 1 + k % 5).astype(np.uint64)))) for k in range(700)]
+    one = [np.ones(len(x), np.int64) for x in h]
+    whole = weighted_minhash.similar(h, one, one, 0.85)
+    assert whole.any() and not whole.all()
+    assert (weighted_minhash.similar(h, one, one, 0.85, left=300) == whole[:300, 300:]).all()
+    mine = [0] * 300 + [1] * 400
+    tbl = pa.table({"content": [bytes([m, *divmod(k, 256)]) for k, m in enumerate(mine)], "h": [pack_sorted(x) for x in h],
+                    "tf": [pack(x.astype(np.uint32)) for x in one], "df": [pack(x) for x in one], "mine": mine})
+    links = weighted_minhash.link_block(700, 0.8)((pa.scalar(b"x"), pa.scalar(0), pa.scalar(1)), tbl)
+    assert links.num_rows == 699 and all(a[0] != b[0] for a, b in zip(*(links.column(c).to_pylist() for c in "ab")))
+    whole_peak, pair_peak = (peak_of(lambda: weighted_minhash.similar(h * 2, one * 2, one * 2, 0.8, slab=64, left=left)) for left in (None, 700))
+    assert pair_peak < 0.6 * whole_peak
