@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ceil_div, durable, packed
+from .common import ceil_div, durable, packed, thrifty_batches
 
 PIECE = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 
@@ -76,7 +76,8 @@ class WordEncoder:
         """Many runs in one text: the last id of each is one that ends a word."""
         out = []
         for a in range(0, len(runs), 500):
-            ids = np.array(self.tok.encode(" ".join(runs[a:a + 500]), add_special_tokens=False).ids, "<u4")
+            found, = self.tok.encode_batch_fast([" ".join(runs[a:a + 500])], add_special_tokens=False)     # without offsets
+            ids = np.array(found.ids, "<u4")
             cut = (np.flatnonzero(self.ends[ids]) + 1) * 4
             blob = ids.tobytes()
             out += [blob[i:j] for i, j in zip([0, *cut[:-1].tolist()], cut.tolist())]
@@ -231,5 +232,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, **how) ->
     """``docs(doc_id, text)`` -> one row per piece: ``doc_id, piece, start, length,
     ids_crc32, sequence_id, offset``.  ``tokenizer``: path of a file that executors see."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    pieces = packed(docs).select("doc_id", "text").mapInArrow(encode_pieces(tokenizer, size), PIECE.format(id=kind))
+    pieces = packed(docs).select("doc_id", "text").mapInArrow(thrifty_batches(encode_pieces(tokenizer, size)), PIECE.format(id=kind))
     return pack(pieces, size, **how)

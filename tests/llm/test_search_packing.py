@@ -123,6 +123,21 @@ def test_encoder_is_exact():
     assert got == [np.array([*tok.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes() for t in texts]
 
 
+def test_encoder_asks_for_no_offsets():
+    class Plain:
+        """The tokenizer without its slow ``encode``."""
+        def __init__(self, tok):
+            self.encode_batch_fast = tok.encode_batch_fast
+
+    path = __import__("public_tokenizers").path("word_bpe_49k.json")
+    enc = residual_packing.WordEncoder(path)
+    texts = ["a b c " * 700, "Word wordier, w0rd!", "don't 日本 x"]
+    want = enc.encode(texts)
+    enc = residual_packing.WordEncoder(path)
+    enc.tok = Plain(enc.tok)
+    assert enc.encode(texts) == want
+
+
 # -- twins
 
 @pytest.mark.parametrize("name", ["op1_exact_top_k", "op2_chat_formatting", "op4_quality_rules", "op5_substring_dedup"])
