@@ -127,20 +127,20 @@ def _tables(samples: int, seed: int):
     rng = np.random.default_rng(seed)
     shape = (1 << 16, samples)
     r, c = rng.gamma(2, 1, shape).astype(np.float32), rng.gamma(2, 1, shape).astype(np.float32)
-    return 1 / r, r, rng.random(shape, np.float32), np.log(c) - r
+    return r, rng.random(shape, np.float32), np.log(c) - r
 
 
 def icws(h: np.ndarray, weight: np.ndarray, samples: int, seed: int = 1) -> np.ndarray:
     """Improved consistent weighted sampling of one document: a hash per sample that
     tells the sampled shingle and its quantised weight."""
-    inv, r, beta, base = _tables(samples, seed)
+    rs, beta, base = _tables(samples, seed)
     log_w = np.log(weight).astype(np.float32)[:, None]
     best = pick_t = pick_h = None
     for a in range(0, len(h), 4096):                 # bounded memory on long texts
         row = (mix(h[a:a + 4096], 21) >> U64(48)).astype(np.int64)
-        b = beta[row]
-        t = np.floor(log_w[a:a + 4096] * inv[row] + b)
-        cost = base[row] - r[row] * (t - b)
+        r, b = rs[row], beta[row]
+        t = np.floor(log_w[a:a + 4096] * (1 / r) + b)
+        cost = base[row] - r * (t - b)
         i = np.argmin(cost, axis=0)
         j = np.arange(samples)
         low, found_t, found_h = cost[i, j], t[i, j], h[a:a + 4096][i]
