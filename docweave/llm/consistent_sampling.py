@@ -51,7 +51,8 @@ def with_terms(texts: DataFrame, text: str) -> DataFrame:
     rest = [c for c in texts.columns if c != text]
     trimmed = F.btrim(text, F.lit(WHITE))
     words = texts.select(*rest, F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPLIT)).alias("_w"))
-    windows = F.transform(F.sequence(F.lit(1), F.size("_w") - (SHINGLE - 1)), lambda i: F.xxhash64(F.slice("_w", i, SHINGLE)))
+    # the hash of a slice, without making the slice
+    windows = F.transform(F.sequence(F.lit(0), F.size("_w") - SHINGLE), lambda i: F.xxhash64(*(F.get("_w", i + k) for k in range(SHINGLE))))
     hashed = words.select(*rest, F.when(F.size("_w") >= SHINGLE, windows).when(F.size("_w") > 0, F.array(F.xxhash64("_w")))
                           .otherwise(F.array().cast("array<long>")).alias("_h"))
     ordered = hashed.select(*rest, F.sort_array("_h").alias("_h"))
@@ -76,9 +77,9 @@ def value(term: Column, weight: Column, limit: Column, sample: Column) -> Column
     rest = uniform(13, 13) * uniform(0, 13) * 2.0 ** -26           # exp(-c)
     r, c = -F.log(both), -F.log(rest)
     step = F.floor(F.log(weight) / r + b)
-    # c >= 1 - exp(-c); exp(-r * (t - b + 1)) is exp(-r) ** (1 - b) >= exp(-r) / (exp(-r) + (1 - b) * (1 - exp(-r)))
+    # c >= 2 * (1 - exp(-c)) / (1 + exp(-c)); exp(-r * (t - b + 1)) is exp(-r) ** (1 - b) >= exp(-r) / (exp(-r) + (1 - b) * (1 - exp(-r)))
     # at weight 1, and >= exp(-r) / weight at any
-    near = (1 - rest) * both < limit * F.when(weight > 1, weight).otherwise(both + (1 - b) * (1 - both))
+    near = (1 - rest) * both < limit * (0.5 + 0.5 * rest) * F.when(weight > 1, weight).otherwise(both + (1 - b) * (1 - both))
     return F.when(near, c * F.exp(-r * (step - b + 1)))
 
 

@@ -43,6 +43,28 @@ def test_bound_never_drops_a_value_below_the_limit(spark):
         assert abs(sum(x * w > 1 for x in got) / len(got) - 0.3679) < 0.03
 
 
+def test_windows_are_hashed_without_slices_and_values_are_exact(spark):
+    texts = ["a b c d e f g", "x y " * 20, "one two", "é f g\x0bh\x1ci j k l m"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    terms = cs.with_terms(df, "t")
+    assert "slice(" not in terms._jdf.queryExecution().optimizedPlan().toString()
+    words = df.select("i", F.split(F.btrim("t", F.lit(cs.WHITE)), cs.SPLIT).alias("w"))
+    sliced = words.where(F.size("w") >= 5).select("i", F.explode(F.sequence(F.lit(1), F.size("w") - 4)).alias("at"), "w")
+    want = {(r.i, r.h) for r in sliced.select("i", F.xxhash64(F.slice("w", F.col("at"), 5)).alias("h")).collect()}
+    got = {(r.i, t.term) for r in terms.collect() for t in r.terms}
+    assert want == {x for x in got if x[0] != 2}
+
+    one = spark.range(5000).select(F.xxhash64("id").alias("t"), F.lit(1.0).alias("w"))
+    bits = F.xxhash64("t", F.lit(3))
+    u = lambda shift, n: F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << n) - 1)) + 0.5
+    r, c = -F.log(u(51, 13) * u(38, 13) * 2.0 ** -26), -F.log(u(13, 13) * u(0, 13) * 2.0 ** -26)
+    b = u(26, 12) * 2.0 ** -12
+    plain = c * F.exp(-r * (F.floor(F.log("w") / r + b) - b + 1))
+    near = one.where(cs.value(F.col("t"), F.col("w"), F.lit(0.05), F.lit(3)).isNotNull())
+    assert near.count() < 1.6 * one.where(plain < 0.05).count()              # 2.1 times as many by 1 - exp(-c)
+    assert one.where(~cs.value(F.col("t"), F.col("w"), F.lit(1e9), F.lit(3)).eqNullSafe(plain)).count() == 0
+
+
 def test_likeness_is_the_generalised_jaccard_similarity(spark):
     rng = random.Random(8)
     word = lambda: f"w{rng.randint(0, 10**6)}"
